@@ -37,7 +37,8 @@ def trim_trailing_separators(line: Column | str) -> Column:
     keeps no trailing empty fields, so removing the run first gives the same
     fields while letting Spark's ``split`` (which keeps trailing empties) be used.
     """
-    return F.regexp_replace(_col(line), r",+\z", "")
+    c = _col(line)
+    return F.when(c.endswith(COMMA), F.regexp_replace(c, r",+\z", "")).otherwise(c)
 
 
 def split_fields(line: Column | str) -> Column:

@@ -1,6 +1,6 @@
 """DataFrame operators: parsing, counting, ranking, grouped top-k, itineraries."""
 
-from skytally.operators.counts import airport_endpoints, count_by
+from skytally.operators.counts import count_by
 from skytally.operators.itinerary import (
     best_from_stats,
     best_itineraries,
@@ -10,9 +10,10 @@ from skytally.operators.itinerary import (
     route_day_stats,
 )
 from skytally.operators.parse import (
+    airport_ids,
     classify_legs,
     classify_on_time,
-    endpoint_records,
+    flat_map_fields,
     legs,
     on_time_records,
     records,
@@ -22,7 +23,7 @@ from skytally.operators.ranking import bottom_n, global_rank, rank_by_count, top
 from skytally.operators.topk import pack_top_k, top_k_per_group
 
 __all__ = [
-    "airport_endpoints",
+    "airport_ids",
     "best_from_stats",
     "best_itineraries",
     "bottom_n",
@@ -30,7 +31,7 @@ __all__ = [
     "classify_on_time",
     "connect",
     "count_by",
-    "endpoint_records",
+    "flat_map_fields",
     "global_rank",
     "itinerary_counts",
     "leg_union",

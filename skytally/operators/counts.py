@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions import field
-
 
 def count_by(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
     """Row count per key as BIGINT; Spark combines map-side before the shuffle."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
-def airport_endpoints(endpoint_rows: DataFrame) -> DataFrame:
-    """One row per airport a flight touches: origin and destination (column ``id``)."""
-    return endpoint_rows.select(F.explode(F.array(field("f", 1), field("f", 2))).alias("id"))

@@ -11,30 +11,39 @@ from pyspark.sql import functions as F
 
 from skytally.functions import field, format_date, is_numeric_literal, parse_date, shift_days
 from skytally.functions.dates import CONNECTION_GAP_DAYS
-from skytally.operators import classify_legs, classify_on_time, count_by, leg_union, legs, on_time_records, records
+from skytally.operators import (
+    classify_legs,
+    classify_on_time,
+    count_by,
+    flat_map_fields,
+    leg_union,
+    legs,
+    on_time_records,
+    records,
+)
 from skytally.operators.parse import LEG_FIELDS, ON_TIME_FIELDS
 
 
 def split_summary(lines: DataFrame) -> DataFrame:
     """``n_fields, f0, f1, f2, n``: lines by arity and first three fields."""
-    rec = records(lines).select(F.col("n_fields").cast("bigint").alias("n_fields"),
+    rec = records(lines).select(F.size("f").cast("bigint").alias("n_fields"),
                                 field("f", 0).alias("f0"), field("f", 1).alias("f1"), field("f", 2).alias("f2"))
     return count_by(rec, ["n_fields", "f0", "f1", "f2"])
 
 
 def arity_histogram(lines: DataFrame) -> DataFrame:
     """``n_fields, n``."""
-    return count_by(records(lines).select(F.col("n_fields").cast("bigint").alias("n_fields")), ["n_fields"])
+    return count_by(records(lines).select(F.size("f").cast("bigint").alias("n_fields")), ["n_fields"])
 
 
 def numeric_delays(lines: DataFrame) -> DataFrame:
     """``which, is_numeric, n`` over the two delay fields of five-field lines."""
-    rec = records(lines).where(F.col("n_fields") == ON_TIME_FIELDS)
     both = F.array(
         F.struct(F.lit("dep").alias("which"), is_numeric_literal(field("f", 3)).alias("is_numeric")),
         F.struct(F.lit("arr").alias("which"), is_numeric_literal(field("f", 4)).alias("is_numeric")),
     )
-    return count_by(rec.select(F.inline(both)), ["which", "is_numeric"])
+    rows = records(lines).select(F.inline(F.when(F.size("f") == ON_TIME_FIELDS, both)))
+    return count_by(rows, ["which", "is_numeric"])
 
 
 def on_time_flags(lines: DataFrame) -> DataFrame:
@@ -54,14 +63,15 @@ def leg_reject_summary(lines: DataFrame) -> DataFrame:
 
 def date_parse_summary(lines: DataFrame) -> DataFrame:
     """``d_raw, d, n``: raw date field of seven-field lines and its strict parse (NULL if invalid)."""
-    rec = records(lines).where(F.col("n_fields") == LEG_FIELDS)
-    return count_by(rec.select(field("f", 0).alias("d_raw"), parse_date(field("f", 0)).alias("d")), ["d_raw", "d"])
+    rows = flat_map_fields(records(lines), F.size("f") == LEG_FIELDS,
+                           [field("f", 0).alias("d_raw"), parse_date(field("f", 0)).alias("d")])
+    return count_by(rows, ["d_raw", "d"])
 
 
 def date_shift_summary(lines: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
     """``d, shifted, formatted, n``: valid dates moved back by the connection gap."""
-    rec = records(lines).where(F.col("n_fields") == LEG_FIELDS)
-    d = rec.select(parse_date(field("f", 0)).alias("d")).where(F.col("d").isNotNull())
+    d = flat_map_fields(records(lines), F.size("f") == LEG_FIELDS,
+                        [parse_date(field("f", 0)).alias("d")]).where(F.col("d").isNotNull())
     shifted = d.select("d", shift_days("d", -gap_days).alias("shifted"))
     return count_by(shifted.select("d", "shifted", format_date("shifted").alias("formatted")),
                     ["d", "shifted", "formatted"])

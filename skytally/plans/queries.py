@@ -16,11 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.operators import (
-    airport_endpoints,
+    airport_ids,
     best_itineraries as _best_itineraries,
     bottom_n,
     count_by,
-    endpoint_records,
     itinerary_counts as _itinerary_counts,
     legs,
     on_time_records,
@@ -36,7 +35,7 @@ from skytally.operators.topk import DEFAULT_K
 
 def airport_popularity(lines: DataFrame, mode: str = "drop") -> DataFrame:
     """``id, popularity``: flights that start or end at each airport."""
-    return count_by(airport_endpoints(endpoint_records(lines, mode=mode)), ["id"], "popularity")
+    return count_by(airport_ids(lines, mode=mode), ["id"], "popularity")
 
 
 def airports_ranked(lines: DataFrame) -> DataFrame:

@@ -27,18 +27,21 @@ def replay_dir(spark: SparkSession, lines: DataFrame, name: str,
     return base
 
 
-def run_available(spark: SparkSession, base: str, start_fn: StartFn, max_files_per_trigger: int = 1,
-                  timeout_s: float = 1800.0) -> DataFrame:
-    """Run ``start_fn`` over ``<base>/input`` until every file is consumed."""
-    stream = file_line_stream(spark, f"{base}/input", max_files_per_trigger)
-    q = start_fn(stream, f"{base}/table", f"{base}/checkpoint", {"availableNow": True})
+def run_available(spark: SparkSession, input_path: str, work_dir: str, start_fn: StartFn,
+                  max_files_per_trigger: int = 1, timeout_s: float = 1800.0) -> DataFrame:
+    """Run ``start_fn`` over the files in ``input_path`` until all are consumed.
+
+    The result table and the checkpoint go under ``work_dir``.
+    """
+    stream = file_line_stream(spark, input_path, max_files_per_trigger)
+    q = start_fn(stream, f"{work_dir}/table", f"{work_dir}/checkpoint", {"availableNow": True})
     if not q.awaitTermination(timeout_s):
         q.stop()
-        raise TimeoutError(f"stream over {base} did not finish in {timeout_s}s")
-    return read_latest(spark, f"{base}/table")
+        raise TimeoutError(f"stream over {input_path} did not finish in {timeout_s}s")
+    return read_latest(spark, f"{work_dir}/table")
 
 
 def replay(spark: SparkSession, lines: DataFrame, start_fn: StartFn, name: str,
            records_per_file: int = RECORDS_PER_TRIGGER, max_files_per_trigger: int = 1) -> DataFrame:
     base = replay_dir(spark, lines, name, records_per_file)
-    return run_available(spark, base, start_fn, max_files_per_trigger)
+    return run_available(spark, f"{base}/input", base, start_fn, max_files_per_trigger)
