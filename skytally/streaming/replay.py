@@ -28,16 +28,20 @@ def replay_dir(spark: SparkSession, lines: DataFrame, name: str,
 
 
 def run_available(spark: SparkSession, input_path: str, work_dir: str, start_fn: StartFn,
-                  max_files_per_trigger: int = 1, timeout_s: float = 1800.0) -> DataFrame:
+                  max_files_per_trigger: int = 1, timeout_s: float = 1800.0,
+                  progress: list | None = None) -> DataFrame:
     """Run ``start_fn`` over the files in ``input_path`` until all are consumed.
 
-    The result table and the checkpoint go under ``work_dir``.
+    The result table and the checkpoint go under ``work_dir``. If ``progress``
+    is a list, the query's per-trigger progress reports are appended to it.
     """
     stream = file_line_stream(spark, input_path, max_files_per_trigger)
     q = start_fn(stream, f"{work_dir}/table", f"{work_dir}/checkpoint", {"availableNow": True})
     if not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream over {input_path} did not finish in {timeout_s}s")
+    if progress is not None:
+        progress.extend(q.recentProgress)
     return read_latest(spark, f"{work_dir}/table")
 
 
