@@ -14,6 +14,7 @@ from skytally.operators.parse import (
     classify_legs,
     classify_on_time,
     flat_map_fields,
+    leg_rejects,
     legs,
     on_time_records,
     records,
@@ -34,6 +35,7 @@ __all__ = [
     "flat_map_fields",
     "global_rank",
     "itinerary_counts",
+    "leg_rejects",
     "leg_union",
     "legs",
     "on_time_records",

@@ -90,7 +90,7 @@ def _on_time_reason() -> Column:
 def classify_on_time(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Every line with ``n_fields`` and the first failing ``reason`` (or ``ok``)."""
     rec = records(lines, line_col, keep_line=True)
-    return rec.select("line", _n().alias("n_fields"), _on_time_reason().alias("reason"))
+    return rec.select("line", _n().cast("bigint").alias("n_fields"), _on_time_reason().alias("reason"))
 
 
 def rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
@@ -98,7 +98,7 @@ def rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
     rec = records(lines, line_col, keep_line=True)
     reason = _on_time_reason()
     return flat_map_fields(rec, reason != "ok",
-                           [F.col("line"), _n().alias("n_fields"), reason.alias("reason")])
+                           [F.col("line"), _n().cast("bigint").alias("n_fields"), reason.alias("reason")])
 
 
 def airport_ids(lines: DataFrame, line_col: str = "line", mode: str = "drop") -> DataFrame:
@@ -136,12 +136,24 @@ def legs(lines: DataFrame, line_col: str = "line") -> DataFrame:
                        & (F.col("dest") != "") & F.col("arr_delay").isNotNull())
 
 
+def _leg_reason() -> Column:
+    n = _n()
+    return (F.when(n != LEG_FIELDS, F.lit("arity"))
+            .when(parse_date(field(_f(), 0)).isNull(), F.lit("bad_date"))
+            .when((field(_f(), 2) == "") | (field(_f(), 3) == ""), F.lit("blank_airport"))
+            .when(~is_numeric_literal(field(_f(), 6)), F.lit("bad_arr_delay"))
+            .otherwise(F.lit("ok")))
+
+
 def classify_legs(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Every itinerary line with ``n_fields`` and the first failing ``reason`` (or ``ok``)."""
     rec = records(lines, line_col, keep_line=True)
-    n = _n()
-    reason = (F.when(n != LEG_FIELDS, F.lit("arity"))
-              .when(parse_date(field(_f(), 0)).isNull(), F.lit("bad_date"))
-              .when((field(_f(), 2) == "") | (field(_f(), 3) == ""), F.lit("blank_airport"))
-              .when(~is_numeric_literal(field(_f(), 6)), F.lit("bad_arr_delay"))
-              .otherwise(F.lit("ok")))
-    return rec.select("line", n.alias("n_fields"), reason.alias("reason"))
+    return rec.select("line", _n().cast("bigint").alias("n_fields"), _leg_reason().alias("reason"))
+
+
+def leg_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """The itinerary lines that cannot be legs, with their reason."""
+    rec = records(lines, line_col, keep_line=True)
+    reason = _leg_reason()
+    return flat_map_fields(rec, reason != "ok",
+                           [F.col("line"), _n().cast("bigint").alias("n_fields"), reason.alias("reason")])

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skytally.operators import leg_rejects, rejects
 from skytally.plans import diagnostics as D
 from skytally.plans import queries as Q
 from skytally.sources import itinerary_lines, on_time_lines
@@ -68,6 +69,8 @@ def queries() -> dict[str, Query]:
         "on_time_flags": _five(D.on_time_flags),
         "reject_summary": _five(D.reject_summary),
         "leg_reject_summary": _seven(D.leg_reject_summary),
+        "rejected_lines": _five(rejects),
+        "rejected_legs": _seven(leg_rejects),
         # Q1.1 airports
         "airport_popularity": _five(Q.airport_popularity),
         "airports_ranked": _five(Q.airports_ranked),
@@ -97,7 +100,13 @@ def queries() -> dict[str, Query]:
             "stream-airports-ranked",
             lambda lines, table, ckpt, trigger: R.airport_popularity_stream(lines, table, ckpt, trigger,
                                                                             ranked=True)),
+        "stream_top10_airports": _stream(
+            "stream-top10-airports",
+            lambda lines, table, ckpt, trigger: R.airport_popularity_stream(lines, table, ckpt, trigger, top=10)),
         "stream_carrier_on_time": _stream("stream-carriers", R.carrier_on_time_stream),
+        "stream_top10_carriers": _stream(
+            "stream-top10-carriers",
+            lambda lines, table, ckpt, trigger: R.carrier_on_time_stream(lines, table, ckpt, trigger, top=10)),
         "stream_top10_carriers_by_airport": _stream("stream-carriers-by-airport",
                                                     _grouped_stream(Q.CARRIERS_BY_AIRPORT)),
         "stream_top10_destinations_by_airport": _stream("stream-destinations-by-airport",

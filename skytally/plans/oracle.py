@@ -65,6 +65,33 @@ leg AS (
   WHERE len(f) = 7 AND try_strptime(f[1], '%Y-%m-%d') IS NOT NULL AND f[3] <> '' AND f[4] <> ''
     AND regexp_full_match(f[7], {NUM})
 ),
+split5 AS (
+  SELECT line, string_split(array_to_string(list_transform(seg, lambda e, i:
+           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)) AS f
+  FROM (SELECT line, string_split(regexp_replace(line, ',+$', ''), '"') AS seg FROM lines5) s
+),
+split7 AS (
+  SELECT line, string_split(array_to_string(list_transform(seg, lambda e, i:
+           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)) AS f
+  FROM (SELECT line, string_split(regexp_replace(line, ',+$', ''), '"') AS seg FROM lines7) s
+),
+reason5 AS (
+  SELECT line, f, CASE WHEN len(f) < 3 THEN 'short'
+                       WHEN len(f) <> 5 THEN 'arity'
+                       WHEN f[1] = '' OR f[2] = '' OR f[3] = '' THEN 'blank_key'
+                       WHEN NOT coalesce(regexp_full_match(f[4], {NUM}), false) THEN 'bad_dep_delay'
+                       WHEN NOT coalesce(regexp_full_match(f[5], {NUM}), false) THEN 'bad_arr_delay'
+                       ELSE 'ok' END AS reason
+  FROM split5
+),
+reason7 AS (
+  SELECT line, f, CASE WHEN len(f) <> 7 THEN 'arity'
+                       WHEN try_strptime(f[1], '%Y-%m-%d') IS NULL THEN 'bad_date'
+                       WHEN f[3] = '' OR f[4] = '' THEN 'blank_airport'
+                       WHEN NOT coalesce(regexp_full_match(f[7], {NUM}), false) THEN 'bad_arr_delay'
+                       ELSE 'ok' END AS reason
+  FROM split7
+),
 o1 AS (
   SELECT id, count(*) AS popularity
   FROM (SELECT unnest([f[2], f[3]]) AS id FROM rec WHERE len(f) >= 3) u GROUP BY id
@@ -117,25 +144,10 @@ BODIES = {
           FROM rec WHERE len(f) = 5) u
         GROUP BY 1, 2""",
     "on_time_flags": "SELECT dep_ok AS dep_on_time, arr_ok AS arr_on_time, count(*) AS n FROM ontime GROUP BY 1, 2",
-    "reject_summary": f"""
-        SELECT reason, count(*) AS n FROM (
-          SELECT CASE WHEN len(f) < 3 THEN 'short'
-                      WHEN len(f) <> 5 THEN 'arity'
-                      WHEN f[1] = '' OR f[2] = '' OR f[3] = '' THEN 'blank_key'
-                      WHEN NOT coalesce(regexp_full_match(f[4], {NUM}), false) THEN 'bad_dep_delay'
-                      WHEN NOT coalesce(regexp_full_match(f[5], {NUM}), false) THEN 'bad_arr_delay'
-                      ELSE 'ok' END AS reason
-          FROM rec) r
-        GROUP BY 1""",
-    "leg_reject_summary": f"""
-        SELECT reason, count(*) AS n FROM (
-          SELECT CASE WHEN len(f) <> 7 THEN 'arity'
-                      WHEN try_strptime(f[1], '%Y-%m-%d') IS NULL THEN 'bad_date'
-                      WHEN f[3] = '' OR f[4] = '' THEN 'blank_airport'
-                      WHEN NOT coalesce(regexp_full_match(f[7], {NUM}), false) THEN 'bad_arr_delay'
-                      ELSE 'ok' END AS reason
-          FROM rec7) r
-        GROUP BY 1""",
+    "reject_summary": "SELECT reason, count(*) AS n FROM reason5 GROUP BY reason",
+    "leg_reject_summary": "SELECT reason, count(*) AS n FROM reason7 GROUP BY reason",
+    "rejected_lines": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason5 WHERE reason <> 'ok'",
+    "rejected_legs": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason7 WHERE reason <> 'ok'",
     "airport_popularity": "SELECT id, popularity FROM o1",
     "airports_ranked": "SELECT CAST(row_number() OVER (ORDER BY popularity DESC, id) AS BIGINT) AS rank, "
                        "id, popularity FROM o1",
@@ -181,7 +193,9 @@ BODIES = {
 SAME_AS = {
     "stream_airport_popularity": "airport_popularity",
     "stream_airports_ranked": "airports_ranked",
+    "stream_top10_airports": "top10_airports",
     "stream_carrier_on_time": "carrier_on_time_arrivals",
+    "stream_top10_carriers": "top10_carriers",
     "stream_top10_carriers_by_airport": "top10_carriers_by_airport",
     "stream_top10_destinations_by_airport": "top10_destinations_by_airport",
     "stream_top10_carriers_by_route": "top10_carriers_by_route",

@@ -53,7 +53,11 @@ def start(stream_df: DataFrame, sink, checkpoint: str, output_mode: str = "compl
 
 
 def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict | None,
-                  mode: str, ranked: bool) -> StreamingQuery:
+                  mode: str, ranked: bool, top: int | None = None) -> StreamingQuery:
+    if top is not None:
+        if mode != "complete" or ranked:
+            raise ValueError("top-n needs every key each batch: use mode='complete' without ranked")
+        return start(counts, snapshot_sink(table, lambda df: top_n(df, top)), checkpoint, mode, trigger)
     if mode == "complete":
         sink = snapshot_sink(table, rank_by_count if ranked else None)
     elif mode == "update":
@@ -66,15 +70,20 @@ def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict
 
 
 def airport_popularity_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                              mode: str = "complete", ranked: bool = False) -> StreamingQuery:
-    """Running ``id, popularity`` per airport (optionally with ``rank``) into ``table``."""
-    return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked)
+                              mode: str = "complete", ranked: bool = False,
+                              top: int | None = None) -> StreamingQuery:
+    """Running ``id, popularity`` per airport into ``table``.
+
+    ``ranked=True`` adds the global ``rank``; ``top=n`` keeps only the n busiest.
+    """
+    return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked, top)
 
 
 def carrier_on_time_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                           mode: str = "complete", ranked: bool = False) -> StreamingQuery:
+                           mode: str = "complete", ranked: bool = False,
+                           top: int | None = None) -> StreamingQuery:
     """Running ``id, popularity`` of on-time arrivals per carrier into ``table``."""
-    return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked)
+    return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked, top)
 
 
 def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, checkpoint: str,

@@ -115,3 +115,53 @@ def test_kafka_options():
     assert kafka_options("k:1", ["a", "b"], max_offsets_per_trigger=None).get("maxOffsetsPerTrigger") is None
     with pytest.raises(ValueError):
         kafka_options("k:1", " , ")
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, five):
+    """2 s style triggers: new files are picked up while the query runs; stop() ends it."""
+    parts = five.randomSplit([1.0, 1.0], seed=5)
+    base = scratch_path(spark, "t-proc")
+    src = base + "/input"
+    write_lines(parts[0].coalesce(1), src)
+    from skytally.sources import file_line_stream
+    q = R.airport_popularity_stream(file_line_stream(spark, src), base + "/table", base + "/ckpt",
+                                    {"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        assert rows(read_latest(spark, base + "/table")) == rows(Q.airport_popularity(parts[0]))
+        parts[1].coalesce(1).write.mode("append").text(src)
+        q.processAllAvailable()
+        assert rows(read_latest(spark, base + "/table")) == rows(Q.airport_popularity(five))
+        assert q.isActive
+    finally:
+        q.stop()
+    assert not q.isActive
+
+
+def test_sink_errors_fail_the_query(spark, five):
+    src = split_into_files(spark, five, 1, "t-fail")
+    base = scratch_path(spark, "t-fail-run")
+
+    def broken(batch_df):
+        return batch_df.select(F.raise_error(F.lit("sink exploded")).alias("y"))
+
+    from skytally.sources import file_line_stream
+    from skytally.plans.queries import airport_popularity
+    from skytally.streaming.sinks import snapshot_sink
+    q = R.start(airport_popularity(file_line_stream(spark, src)), snapshot_sink(base + "/table", broken),
+                base + "/ckpt", "complete", {"availableNow": True})
+    with pytest.raises(Exception, match="sink exploded"):
+        q.awaitTermination(300)
+    assert latest_version(spark, base + "/table") is None
+
+
+def test_top_n_stream_memory_sink(spark, five):
+    src = split_into_files(spark, five, 2, "t-top")
+    from skytally.sources import file_line_stream
+    counts = Q.airport_popularity(file_line_stream(spark, src))
+    q = (R.top_n_stream(counts, 3).writeStream.outputMode("complete").format("memory")
+         .queryName("t_top3").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = [(r["id"], r["popularity"]) for r in spark.sql("SELECT * FROM t_top3").collect()]
+    expected = [(r["id"], r["popularity"]) for r in Q.top10_airports(five, 3).collect()]
+    assert sorted(got) == sorted(expected)
