@@ -44,7 +44,15 @@ def route_day_stats(legs: DataFrame) -> DataFrame:
 
 
 def connect(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
-    """Join first-leg route-days to second-leg route-days on (via airport, date + gap)."""
+    """Join first-leg route-days to second-leg route-days on (via airport, date + gap).
+
+    Both sides are the same aggregate. The null checks each side's join keys
+    would get from constraint inference are stated once, up front, so the two
+    sides stay identical plans and the aggregate's shuffle is computed once
+    and reused (ReusedExchange) instead of parsing every line twice.
+    """
+    stats = stats.where(F.col("flight_date").isNotNull() & shift_days("flight_date", gap_days).isNotNull()
+                        & F.col("origin").isNotNull() & F.col("dest").isNotNull())
     first = stats.select(
         F.col("flight_date"), F.col("origin").alias("x"), F.col("dest").alias("y"),
         shift_days("flight_date", gap_days).alias("d2"),

@@ -126,8 +126,17 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
     route-days runs per trigger on that state.
     """
     stats = route_day_stats(legs(lines))
-    return start(stats, snapshot_sink(table, lambda s: best_from_stats(s, gap_days)), checkpoint,
-                 "complete", trigger)
+    snapshot = snapshot_sink(table, lambda s: best_from_stats(s, gap_days))
+
+    def sink(batch_df: DataFrame, batch_id: int) -> None:
+        # the batch feeds both sides of a self-join: materialise it once
+        cached = batch_df.persist()
+        try:
+            snapshot(cached, batch_id)
+        finally:
+            cached.unpersist()
+
+    return start(stats, sink, checkpoint, "complete", trigger)
 
 
 def top_n_stream(counts: DataFrame, n: int = 10, by: str = "popularity", key: str = "id") -> DataFrame:
