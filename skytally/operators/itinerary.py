@@ -35,32 +35,40 @@ def leg_union(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame
     return legs.select(F.explode(F.array(first, second)).alias("u")).select("u.d", "u.via", "u.leg")
 
 
-def route_day_stats(legs: DataFrame) -> DataFrame:
-    """Per (flight_date, origin, dest): n flights and the best (lowest delay, then flight) one."""
-    return legs.groupBy("flight_date", "origin", "dest").agg(
+def route_day_stats(legs: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per (flight_date, origin, dest): n flights and the best (lowest delay, then flight) one.
+
+    ``extra_keys`` are added to the grouping (e.g. an event-time column that a
+    streaming watermark needs among the keys); they must depend on the date only.
+    """
+    return legs.groupBy(*extra_keys, "flight_date", "origin", "dest").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct(F.col("arr_delay").alias("delay"), F.col("flight").alias("flight"))).alias("best"),
     )
 
 
-def connect(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
+def connect(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS, second: DataFrame | None = None) -> DataFrame:
     """Join first-leg route-days to second-leg route-days on (via airport, date + gap).
 
-    Both sides are the same aggregate. The null checks each side's join keys
-    would get from constraint inference are stated once, up front, so the two
-    sides stay identical plans and the aggregate's shuffle is computed once
-    and reused (ReusedExchange) instead of parsing every line twice.
+    With ``second=None`` both sides are the same aggregate. The null checks each
+    side's join keys would get from constraint inference are stated once, up
+    front, so the two sides stay identical plans and the aggregate's shuffle is
+    computed once and reused (ReusedExchange) instead of parsing every line twice.
     """
-    stats = stats.where(F.col("flight_date").isNotNull() & shift_days("flight_date", gap_days).isNotNull()
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.where(F.col("flight_date").isNotNull() & shift_days("flight_date", gap_days).isNotNull()
                         & F.col("origin").isNotNull() & F.col("dest").isNotNull())
-    first = stats.select(
+
+    first_src = keyed(stats)
+    second_src = first_src if second is None else keyed(second)
+    first = first_src.select(
         F.col("flight_date"), F.col("origin").alias("x"), F.col("dest").alias("y"),
         shift_days("flight_date", gap_days).alias("d2"),
         F.col("n").alias("n1"), F.col("best").alias("best1"))
-    second = stats.select(
+    second_side = second_src.select(
         F.col("flight_date").alias("d2"), F.col("origin").alias("y"), F.col("dest").alias("z"),
         F.col("n").alias("n2"), F.col("best").alias("best2"))
-    return first.join(second, ["y", "d2"])
+    return first.join(second_side, ["y", "d2"])
 
 
 def itinerary_counts(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
@@ -78,9 +86,13 @@ def best_itineraries(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> Da
     return best_from_stats(route_day_stats(legs), gap_days)
 
 
-def best_from_stats(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
-    """Same as ``best_itineraries`` but from already aggregated route-day rows (used by streams)."""
-    c = connect(stats, gap_days)
+def best_from_stats(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS,
+                    second: DataFrame | None = None) -> DataFrame:
+    """Same as ``best_itineraries`` but from already aggregated route-day rows (used by streams).
+
+    ``second`` (optional) takes the second legs from another route-day frame.
+    """
+    c = connect(stats, gap_days, second)
     return c.select(
         "flight_date", "x", "y", "z",
         F.col("best1.flight").alias("flight1"),

@@ -114,6 +114,10 @@ def queries() -> dict[str, Query]:
         "stream_top10_carriers_by_route": _stream("stream-carriers-by-route",
                                                   _grouped_stream(Q.CARRIERS_BY_ROUTE)),
         "stream_itinerary": _stream("stream-itinerary", R.itinerary_stream, lines_fn=itinerary_lines),
+        "stream_itinerary_update": _stream(
+            "stream-itinerary-update",
+            lambda lines, table, ckpt, trigger: R.itinerary_stream(lines, table, ckpt, trigger, mode="update"),
+            lines_fn=itinerary_lines, records_per_file=SINK_REPLAY_RECORDS_PER_FILE),
         # keyed upsert sinks in update mode, several micro-batches
         "sink_upsert_counts": _stream(
             "sink-counts",

@@ -19,6 +19,7 @@ True}`` for replays and tests.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skytally.operators import (
@@ -117,26 +118,68 @@ def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, c
     return start(counts, sink, checkpoint, mode, trigger)
 
 
+ROUTE_DAY_KEYS = ["flight_date", "origin", "dest"]
+ITINERARY_KEYS = ["flight_date", "x", "y", "z"]
+
+
 def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                     gap_days: int = 2) -> StreamingQuery:
+                     gap_days: int = 2, mode: str = "complete", route_days_table: str | None = None,
+                     lateness_days: int | None = None) -> StreamingQuery:
     """Best two-leg itineraries over all legs seen so far.
 
     The streaming state is one row per (date, origin, dest) route-day, so legs
-    that arrive in different micro-batches still connect; the join of
-    route-days runs per trigger on that state.
+    that arrive in different micro-batches still connect.
+
+    * ``mode="complete"``: every trigger joins all route-days and writes the
+      whole result.
+    * ``mode="update"``: a trigger emits only the route-days that changed; they
+      are merged by key into ``route_days_table`` and only itineraries whose
+      first or second leg changed are recomputed and merged into ``table``.
+    * ``lateness_days`` (update mode only) adds an event-time watermark on the
+      flight date so route-day state older than that is evicted. Legs arriving
+      later than the watermark are then ignored by Spark, so leave it unset
+      unless the feed is ordered by date.
     """
-    stats = route_day_stats(legs(lines))
-    snapshot = snapshot_sink(table, lambda s: best_from_stats(s, gap_days))
+    lg = legs(lines)
+    if lateness_days is not None:
+        if mode != "update":
+            raise ValueError("a watermark only bounds state in mode='update'")
+        lg = (lg.withColumn("event_ts", F.col("flight_date").cast("timestamp"))
+              .withWatermark("event_ts", f"{int(lateness_days)} days"))
+        stats = route_day_stats(lg, extra_keys=("event_ts",)).drop("event_ts")
+    else:
+        stats = route_day_stats(lg)
 
-    def sink(batch_df: DataFrame, batch_id: int) -> None:
-        # the batch feeds both sides of a self-join: materialise it once
-        cached = batch_df.persist()
+    if mode == "complete":
+        snapshot = snapshot_sink(table, lambda s: best_from_stats(s, gap_days))
+
+        def sink(batch_df: DataFrame, batch_id: int) -> None:
+            # the batch feeds both sides of a self-join: materialise it once
+            cached = batch_df.persist()
+            try:
+                snapshot(cached, batch_id)
+            finally:
+                cached.unpersist()
+
+        return start(stats, sink, checkpoint, "complete", trigger)
+    if mode != "update":
+        raise ValueError(f"unknown mode {mode!r}")
+    rd_table = route_days_table or table.rstrip("/") + "_route_days"
+
+    def update_sink(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        changes = batch_df.select(*ROUTE_DAY_KEYS, "n", "best").persist()
         try:
-            snapshot(cached, batch_id)
+            upsert_by_key(spark, rd_table, changes, ROUTE_DAY_KEYS, batch_id)
+            all_days = spark.read.parquet(version_path(rd_table, batch_id))
+            as_first = best_from_stats(changes, gap_days, second=all_days)
+            as_second = best_from_stats(all_days, gap_days, second=changes)
+            affected = as_first.unionByName(as_second).distinct()
+            upsert_by_key(spark, table, affected, ITINERARY_KEYS, batch_id)
         finally:
-            cached.unpersist()
+            changes.unpersist()
 
-    return start(stats, sink, checkpoint, "complete", trigger)
+    return start(stats, update_sink, checkpoint, "update", trigger)
 
 
 def top_n_stream(counts: DataFrame, n: int = 10, by: str = "popularity", key: str = "id") -> DataFrame:

@@ -165,3 +165,11 @@ def test_top_n_stream_memory_sink(spark, five):
     got = [(r["id"], r["popularity"]) for r in spark.sql("SELECT * FROM t_top3").collect()]
     expected = [(r["id"], r["popularity"]) for r in Q.top10_airports(five, 3).collect()]
     assert sorted(got) == sorted(expected)
+
+
+@pytest.mark.parametrize("lateness", [None, 10000])
+def test_itinerary_update_mode_equals_batch(spark, seven, lateness):
+    src = split_into_files(spark, seven, 4, "t-itin-upd")
+    got = run(spark, src, lambda s, t, c, tr: R.itinerary_stream(s, t, c, tr, mode="update",
+                                                                 lateness_days=lateness))
+    assert rows(got) == rows(Q.best_itineraries(seven))
