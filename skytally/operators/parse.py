@@ -44,8 +44,12 @@ def _n() -> Column:
 
 
 def records(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    """``f ARRAY<STRING>`` (and the original ``line`` if asked) for every line."""
-    cols: list[Column] = [split_fields(F.col(line_col)).alias("f")]
+    """``f ARRAY<STRING>`` (and the original ``line`` if asked) for every line.
+
+    A missing line (e.g. a Kafka message without a value) splits like an empty
+    line: one empty field, so it is rejected as ``short``, never taken as valid.
+    """
+    cols: list[Column] = [split_fields(F.coalesce(F.col(line_col), F.lit(""))).alias("f")]
     if keep_line:
         cols.insert(0, F.col(line_col).alias("line"))
     return lines.select(*cols)

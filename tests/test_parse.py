@@ -143,3 +143,10 @@ def test_legs_validity(lines_df):
     ]
     got = rows(legs(lines_df(lines)), "flight", "arr_delay")
     assert got == [(10, 2.0), (15, -2.5)]
+
+
+def test_missing_line_is_a_short_reject(spark):
+    df = spark.createDataFrame([(None,), ("AA,ATL,ORD,1,2",)], "line string")
+    assert rows(classify_on_time(df), "reason") == [("ok",), ("short",)]
+    assert rows(Q.airport_popularity(df)) == [("ATL", 1), ("ORD", 1)]
+    assert on_time_records(df).count() == 1
