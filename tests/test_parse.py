@@ -150,3 +150,44 @@ def test_missing_line_is_a_short_reject(spark):
     assert rows(classify_on_time(df), "reason") == [("ok",), ("short",)]
     assert rows(Q.airport_popularity(df)) == [("ATL", 1), ("ORD", 1)]
     assert on_time_records(df).count() == 1
+
+
+def test_split_property_random_lines(lines_df):
+    """Random lines over an alphabet rich in separators and quotes, one Spark job."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    collected: list[str] = []
+
+    @settings(max_examples=400, database=None, suppress_health_check=list(HealthCheck))
+    @given(st.text(alphabet='ab,"\x1f ', max_size=24))
+    def gather(s):
+        collected.append(s)
+
+    gather()
+    got = {r["line"]: list(r["f"]) for r in lines_df(collected).select(
+        "line", split_fields("line").alias("f")).collect()}
+    for line in collected:
+        expected = java_split(line)
+        assert got[line] == (expected if expected != [] else [""]), repr(line)
+
+
+def test_numeric_literal_property(lines_df):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from skytally.functions.text import NUMERIC_LITERAL
+
+    collected: list[str] = []
+
+    @settings(max_examples=400, database=None, suppress_health_check=list(HealthCheck))
+    @given(st.text(alphabet="0123456789.+-e \r\n", max_size=8))
+    def gather(s):
+        collected.append(s)
+
+    gather()
+    full = re.compile(NUMERIC_LITERAL, re.ASCII)
+    got = {r["line"]: r["ok"] for r in lines_df(collected).select(
+        "line", is_numeric_literal("line").alias("ok")).collect()}
+    for v in collected:
+        assert got[v] == bool(full.fullmatch(v)), repr(v)
