@@ -69,7 +69,15 @@ def kafka_line_stream(spark: SparkSession, bootstrap_servers: str, topics: str |
     Needs the ``spark-sql-kafka`` connector on the classpath (not bundled here).
     """
     reader = spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topics, **kwargs))
-    return reader.load().select(F.col("value").cast("string").alias("line"))
+    try:
+        raw = reader.load()
+    except Exception as e:  # noqa: BLE001  (the data source is resolved on load)
+        if "kafka" in str(e).lower() and ("find data source" in str(e).lower()
+                                          or "DATA_SOURCE_NOT_FOUND" in str(e)):
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the classpath "
+                               "(e.g. --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)") from e
+        raise
+    return raw.select(F.col("value").cast("string").alias("line"))
 
 
 def write_lines(lines: DataFrame, path: str, records_per_file: int = RECORDS_PER_TRIGGER) -> str:

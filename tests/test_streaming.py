@@ -173,3 +173,29 @@ def test_itinerary_update_mode_equals_batch(spark, seven, lateness):
     got = run(spark, src, lambda s, t, c, tr: R.itinerary_stream(s, t, c, tr, mode="update",
                                                                  lateness_days=lateness))
     assert rows(got) == rows(Q.best_itineraries(seven))
+
+
+def test_file_order_does_not_matter(spark, five):
+    """Files are consumed in modification-time order; any order gives the same final table."""
+    import glob
+    import os
+    import random
+
+    from skytally.session import local_path
+
+    src = split_into_files(spark, five, 5, "t-order")
+    files = sorted(glob.glob(os.path.join(local_path(src), "part-*")))
+    assert len(files) == 5
+    order = list(range(len(files)))
+    random.Random(13).shuffle(order)
+    for rank, i in enumerate(order):
+        os.utime(files[i], (1_000_000 + rank * 100, 1_000_000 + rank * 100))
+    start = lambda s, t, c, tr: R.grouped_top_k_stream(s, Q.CARRIERS_BY_ROUTE, t, c, tr, mode="update")
+    got = run(spark, src, start)
+    assert rows(got) == rows(Q.top10_carriers_by_route(five))
+
+
+def test_kafka_source_needs_connector(spark):
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        from skytally.sources import kafka_line_stream
+        kafka_line_stream(spark, "localhost:1", "flights")
