@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # remove checkpoint files (e.g. from global_rank) once their frames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

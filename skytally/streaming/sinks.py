@@ -12,6 +12,9 @@ Each version is written with Spark's commit protocol, so a failed write leaves
 no visible version, and a replayed ``batch_id`` overwrites its own version
 from the same predecessor: the sink is idempotent under foreachBatch's
 at-least-once delivery. Write errors propagate and fail the query.
+
+Retention: after each write only the newest ``keep_versions`` versions stay
+(default 10, i.e. 20 s of history at a 2 s trigger); ``None`` keeps all.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 VERSION_COL = "version"
+DEFAULT_KEEP_VERSIONS = 10
 
 BatchTransform = Callable[[DataFrame], DataFrame]
 
@@ -29,12 +33,15 @@ def version_path(table: str, version: int) -> str:
     return f"{table.rstrip('/')}/{VERSION_COL}={int(version)}"
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    """Committed versions of a table, via the Hadoop FileSystem listing of its directory."""
+def _fs(spark: SparkSession, table: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(conf)
+    return jvm, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """Committed versions of a table, via the Hadoop FileSystem listing of its directory."""
+    jvm, path, fs = _fs(spark, table)
     if not fs.exists(path):
         return []
     out = []
@@ -63,6 +70,15 @@ def write_version(df: DataFrame, table: str, version: int) -> None:
     df.write.mode("overwrite").parquet(version_path(table, version))
 
 
+def prune_versions(spark: SparkSession, table: str, keep: int | None) -> None:
+    """Delete all but the newest ``keep`` committed versions (no-op for ``None``)."""
+    if keep is None:
+        return
+    jvm, _, fs = _fs(spark, table)
+    for v in _versions(spark, table)[:-max(1, keep)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(table, v)), True)
+
+
 def merge_by_key(previous: DataFrame | None, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``previous`` whose key is not in ``changes``, plus all ``changes``.
 
@@ -77,27 +93,32 @@ def merge_by_key(previous: DataFrame | None, changes: DataFrame, keys: list[str]
     return kept.unionByName(changes.select(*previous.columns))
 
 
-def upsert_by_key(spark: SparkSession, table: str, changes: DataFrame, keys: list[str], version: int) -> None:
+def upsert_by_key(spark: SparkSession, table: str, changes: DataFrame, keys: list[str], version: int,
+                  keep_versions: int | None = DEFAULT_KEEP_VERSIONS) -> None:
     prev_v = latest_version(spark, table, below=version)
     previous = spark.read.parquet(version_path(table, prev_v)) if prev_v is not None else None
     write_version(merge_by_key(previous, changes, keys), table, version)
+    prune_versions(spark, table, keep_versions)
 
 
-def snapshot_sink(table: str, transform: BatchTransform | None = None):
+def snapshot_sink(table: str, transform: BatchTransform | None = None,
+                  keep_versions: int | None = DEFAULT_KEEP_VERSIONS):
     """foreachBatch function for complete-mode output."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         out = transform(batch_df) if transform else batch_df
         write_version(out, table, batch_id)
+        prune_versions(batch_df.sparkSession, table, keep_versions)
     return sink
 
 
-def upsert_sink(table: str, keys: list[str], transform: BatchTransform | None = None):
+def upsert_sink(table: str, keys: list[str], transform: BatchTransform | None = None,
+                keep_versions: int | None = DEFAULT_KEEP_VERSIONS):
     """foreachBatch function for update-mode output, keyed on ``keys``."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         changes = (transform(batch_df) if transform else batch_df).persist()
         try:
-            upsert_by_key(spark, table, changes, keys, batch_id)
+            upsert_by_key(spark, table, changes, keys, batch_id, keep_versions)
         finally:
             changes.unpersist()
     return sink

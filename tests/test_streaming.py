@@ -199,3 +199,14 @@ def test_kafka_source_needs_connector(spark):
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         from skytally.sources import kafka_line_stream
         kafka_line_stream(spark, "localhost:1", "flights")
+
+
+def test_old_versions_are_pruned(spark):
+    from skytally.streaming.sinks import _versions, snapshot_sink
+
+    table = scratch_path(spark, "t-prune")
+    sink = snapshot_sink(table, keep_versions=3)
+    for i in range(6):
+        sink(spark.createDataFrame([("A", i)], "id string, popularity long"), i)
+    assert _versions(spark, table) == [3, 4, 5]
+    assert rows(read_latest(spark, table)) == [("A", 5)]
