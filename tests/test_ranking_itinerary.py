@@ -73,3 +73,38 @@ def test_leap_day_connection(lines_df):
         ("2007-02-28", 5, 7), ("2008-02-27", 3, 4), ("2008-02-28", 1, 2)]
     u = rows(leg_union(legs(lines_df(["2008-03-01,2,B,C,X,0,2.00"]))), "d", "via", "leg")
     assert [(str(d), v, g) for d, v, g in u] == [("2008-02-28", "B", 2), ("2008-03-01", "C", 1)]
+
+
+def test_hot_airport_third_of_rows(spark, lines_df):
+    """One origin holds a third of all lines; results still equal brute force."""
+    from collections import Counter
+
+    from skytally.plans import queries as Q
+
+    rnd = random.Random(21)
+    airports = [f"A{i:02d}" for i in range(30)]
+    carriers = [f"C{i:02d}" for i in range(40)]
+    lines = []
+    for i in range(6000):
+        o = "HUB" if i % 3 == 0 else rnd.choice(airports)
+        d = rnd.choice(airports)
+        c = rnd.choice(carriers[:12]) if o == "HUB" else rnd.choice(carriers)  # many ties at the hub
+        lines.append(f"{c},{o},{d},{rnd.choice([-3, 0, 5, 20])}.00,{rnd.choice([-1, 14, 15, 30])}.00")
+    df = lines_df(lines).repartition(7)
+
+    dep = Counter()
+    ends = Counter()
+    for line in lines:
+        c, o, d, dd, ad = line.split(",")
+        ends[o] += 1
+        ends[d] += 1
+        if float(dd) < 15:
+            dep[(o, c)] += 1
+    expected = []
+    for o in {k[0] for k in dep}:
+        items = sorted(((n, c) for (oo, c), n in dep.items() if oo == o), key=lambda t: (-t[0], t[1]))[:10]
+        expected += [(o, c, n, r + 1) for r, (n, c) in enumerate(items)]
+    assert rows(Q.top10_carriers_by_airport(df)) == sorted(expected)
+    assert rows(Q.airport_popularity(df)) == sorted(ends.items())
+    ranked = rows(Q.airports_ranked(df), "rank", "id", "popularity")
+    assert [(i, p) for _, i, p in ranked] == sorted(ends.items(), key=lambda t: (-t[1], t[0]))
