@@ -210,3 +210,12 @@ def test_old_versions_are_pruned(spark):
         sink(spark.createDataFrame([("A", i)], "id string, popularity long"), i)
     assert _versions(spark, table) == [3, 4, 5]
     assert rows(read_latest(spark, table)) == [("A", 5)]
+
+
+def test_console_top10_runs(spark, five, capsys):
+    src = split_into_files(spark, five, 2, "t-console")
+    from skytally.sources import file_line_stream
+    q = R.console_top10(Q.airport_popularity(file_line_stream(spark, src)), {"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert q.lastProgress["numInputRows"] > 0
