@@ -13,6 +13,12 @@ So legs are first reduced to one row per (date, origin, dest) route-day, and
 only those rows are joined, on (connecting airport, date + gap). A hub airport
 that sees a third of all flights contributes one row per route per day to the
 join, not one per flight; the join output is the result itself.
+
+Floating point: addition is monotone in each operand, so the smallest pair sum
+is exactly ``min_a + min_b``. Picking the pair by (min_a, smallest flight) and
+(min_b, smallest flight) assumes no other pair rounds to the same sum, which
+holds for delays written in minutes with a few decimals. Pair counts are
+BIGINT products; under ANSI mode an overflow fails loudly instead of wrapping.
 """
 
 from __future__ import annotations
