@@ -113,6 +113,9 @@ def queries() -> dict[str, Query]:
                                                         _grouped_stream(Q.DESTINATIONS_BY_AIRPORT)),
         "stream_top10_carriers_by_route": _stream("stream-carriers-by-route",
                                                   _grouped_stream(Q.CARRIERS_BY_ROUTE)),
+        "stream_top10_carriers_by_route_update": _stream(
+            "stream-carriers-by-route-update", _grouped_stream(Q.CARRIERS_BY_ROUTE, mode="update"),
+            records_per_file=SINK_REPLAY_RECORDS_PER_FILE),
         "stream_itinerary": _stream("stream-itinerary", R.itinerary_stream, lines_fn=itinerary_lines),
         "stream_itinerary_update": _stream(
             "stream-itinerary-update",

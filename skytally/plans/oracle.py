@@ -199,6 +199,7 @@ SAME_AS = {
     "stream_top10_carriers_by_airport": "top10_carriers_by_airport",
     "stream_top10_destinations_by_airport": "top10_destinations_by_airport",
     "stream_top10_carriers_by_route": "top10_carriers_by_route",
+    "stream_top10_carriers_by_route_update": "top10_carriers_by_route",
     "stream_itinerary": "itinerary_best",
     "stream_itinerary_update": "itinerary_best",
     "sink_upsert_counts": "airport_popularity",
