@@ -74,3 +74,21 @@ def test_itinerary_aggregate_computed_once(spark, fn):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange" in tree
     assert tree.count("Generate") == 1
+
+
+@pytest.mark.parametrize("fn", [Q.airport_popularity, Q.carrier_on_time_arrivals, Q.top10_carriers_by_airport,
+                                Q.top10_destinations_by_airport, Q.top10_carriers_by_route])
+def test_counts_combine_map_side(spark, fn):
+    """Partial aggregation before the first shuffle: a hot key ships one row per task."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(fn(on_time_lines(spark, SF_SMOKE)), "formatted")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "partial_count" in text
+    tree = text.split("\n\n")[0].splitlines()
+    shuffles = [i for i, line in enumerate(tree)
+                if "Exchange (" in line and "BroadcastExchange" not in line and "ReusedExchange" not in line]
+    assert shuffles
+    # the deepest hash shuffle reads from the partial aggregate, not from the parsed rows
+    assert "HashAggregate" in tree[shuffles[-1] + 1]
