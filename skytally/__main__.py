@@ -67,7 +67,10 @@ def build_parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, argv: list[str]) -> DataFrame | None:
     """Start the job described by ``argv``; waits for streams to end. Returns the batch result."""
-    args = build_parser().parse_args(argv)
+    return run_args(spark, build_parser().parse_args(argv))
+
+
+def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     start_fn, batch_fn = JOBS[args.job]
     if args.batch:
         out = batch_fn(text_lines(spark, args.batch))
@@ -91,8 +94,9 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame | None:
 
 
 def main(argv: list[str] | None = None) -> None:
-    spark = SparkSession.builder.appName("skytally").getOrCreate()
-    run(spark, list(sys.argv[1:] if argv is None else argv))
+    args = build_parser().parse_args(list(sys.argv[1:] if argv is None else argv))  # before starting Spark
+    spark = SparkSession.builder.appName(f"skytally-{args.job}").getOrCreate()
+    run_args(spark, args)
 
 
 if __name__ == "__main__":
