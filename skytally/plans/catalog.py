@@ -22,8 +22,10 @@ from skytally.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Files of this many lines make the sink entries run several micro-batches at sf0.01.
-SINK_REPLAY_RECORDS_PER_FILE = 20_000
+# Replays use files of this many lines, one file per micro-batch, so every
+# streaming entry crosses several micro-batches (three at sf0.01) and the
+# final table depends on state carried between them.
+REPLAY_RECORDS_PER_FILE = 20_000
 
 
 def _five(fn: Callable[[DataFrame], DataFrame]) -> Query:
@@ -47,11 +49,10 @@ def _pair_counts(lines: DataFrame) -> DataFrame:
     return c.select(F.col("airport").alias("origin"), F.col("item").alias("carrier"), "n")
 
 
-def _stream(name: str, start_fn, lines_fn=on_time_lines, records_per_file: int | None = None,
+def _stream(name: str, start_fn, lines_fn=on_time_lines,
             post: Callable[[DataFrame], DataFrame] | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kwargs = {"records_per_file": records_per_file} if records_per_file else {}
-        out = replay(spark, lines_fn(spark, sf_dir), start_fn, name, **kwargs)
+        out = replay(spark, lines_fn(spark, sf_dir), start_fn, name, records_per_file=REPLAY_RECORDS_PER_FILE)
         return post(out) if post else out
     return run
 
@@ -114,21 +115,18 @@ def queries() -> dict[str, Query]:
         "stream_top10_carriers_by_route": _stream("stream-carriers-by-route",
                                                   _grouped_stream(Q.CARRIERS_BY_ROUTE)),
         "stream_top10_carriers_by_route_update": _stream(
-            "stream-carriers-by-route-update", _grouped_stream(Q.CARRIERS_BY_ROUTE, mode="update"),
-            records_per_file=SINK_REPLAY_RECORDS_PER_FILE),
+            "stream-carriers-by-route-update", _grouped_stream(Q.CARRIERS_BY_ROUTE, mode="update")),
         "stream_itinerary": _stream("stream-itinerary", R.itinerary_stream, lines_fn=itinerary_lines),
         "stream_itinerary_update": _stream(
             "stream-itinerary-update",
             lambda lines, table, ckpt, trigger: R.itinerary_stream(lines, table, ckpt, trigger, mode="update"),
-            lines_fn=itinerary_lines, records_per_file=SINK_REPLAY_RECORDS_PER_FILE),
+            lines_fn=itinerary_lines),
         # keyed upsert sinks in update mode, several micro-batches
         "sink_upsert_counts": _stream(
             "sink-counts",
             lambda lines, table, ckpt, trigger: R.airport_popularity_stream(lines, table, ckpt, trigger,
-                                                                            mode="update"),
-            records_per_file=SINK_REPLAY_RECORDS_PER_FILE),
+                                                                            mode="update")),
         "sink_upsert_lists": _stream(
             "sink-lists", _grouped_stream(Q.CARRIERS_BY_AIRPORT, mode="update", packed=True),
-            records_per_file=SINK_REPLAY_RECORDS_PER_FILE,
             post=lambda df: _joined_items(df, ["airport"])),
     }
