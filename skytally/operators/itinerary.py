@@ -41,49 +41,59 @@ def leg_union(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame
     return legs.select(F.explode(F.array(first, second)).alias("u")).select("u.d", "u.via", "u.leg")
 
 
-def route_day_stats(legs: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Per (flight_date, origin, dest): n flights and the best (lowest delay, then flight) one.
+ROUTE_DAY_KEYS = ("flight_date", "origin", "dest")
 
+
+def route_day_stats(legs: DataFrame, extra_keys: tuple[str, ...] = (), best_flight: bool = True) -> DataFrame:
+    """Per (flight_date, origin, dest): ``n`` flights and the best one.
+
+    ``best_flight=True``: ``best`` = min of struct(delay, flight), i.e. the lowest
+    delay and then the smallest flight number (a struct buffer: sort-based
+    aggregate). ``best_flight=False``: only ``min_delay`` (hash aggregate), enough
+    for pair counts and best totals.
     ``extra_keys`` are added to the grouping (e.g. an event-time column that a
     streaming watermark needs among the keys); they must depend on the date only.
     """
-    return legs.groupBy(*extra_keys, "flight_date", "origin", "dest").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col("arr_delay").alias("delay"), F.col("flight").alias("flight"))).alias("best"),
-    )
+    if best_flight:
+        best = F.min(F.struct(F.col("arr_delay").alias("delay"), F.col("flight").alias("flight"))).alias("best")
+    else:
+        best = F.min("arr_delay").alias("min_delay")
+    return legs.groupBy(*extra_keys, *ROUTE_DAY_KEYS).agg(F.count(F.lit(1)).alias("n"), best)
 
 
 def connect(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS, second: DataFrame | None = None) -> DataFrame:
     """Join first-leg route-days to second-leg route-days on (via airport, date + gap).
 
-    With ``second=None`` both sides are the same aggregate. The null checks each
-    side's join keys would get from constraint inference are stated once, up
-    front, so the two sides stay identical plans and the aggregate's shuffle is
-    computed once and reused (ReusedExchange) instead of parsing every line twice.
+    Every statistic column ``c`` comes out as ``c1`` (first leg) and ``c2``
+    (second leg). With ``second=None`` both sides are the same aggregate. The
+    null checks each side's join keys would get from constraint inference are
+    stated once, up front, so the two sides stay identical plans and the
+    aggregate's shuffle is computed once and reused (ReusedExchange) instead of
+    parsing every line twice.
     """
     def keyed(df: DataFrame) -> DataFrame:
         return df.where(F.col("flight_date").isNotNull() & shift_days("flight_date", gap_days).isNotNull()
                         & F.col("origin").isNotNull() & F.col("dest").isNotNull())
 
+    stat_cols = [c for c in stats.columns if c not in ROUTE_DAY_KEYS]
     first_src = keyed(stats)
     second_src = first_src if second is None else keyed(second)
     first = first_src.select(
         F.col("flight_date"), F.col("origin").alias("x"), F.col("dest").alias("y"),
-        shift_days("flight_date", gap_days).alias("d2"),
-        F.col("n").alias("n1"), F.col("best").alias("best1"))
+        shift_days("flight_date", gap_days).alias("d2"), *[F.col(c).alias(c + "1") for c in stat_cols])
     second_side = second_src.select(
         F.col("flight_date").alias("d2"), F.col("origin").alias("y"), F.col("dest").alias("z"),
-        F.col("n").alias("n2"), F.col("best").alias("best2"))
+        *[F.col(c).alias(c + "2") for c in stat_cols])
     return first.join(second_side, ["y", "d2"])
 
 
 def itinerary_counts(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
     """``flight_date, x, y, z, n, best``: number of leg pairs and lowest total arrival delay."""
-    c = connect(route_day_stats(legs), gap_days)
+    c = connect(route_day_stats(legs, best_flight=False), gap_days)
     return c.select(
         "flight_date", "x", "y", "z",
         (F.col("n1") * F.col("n2")).alias("n"),
-        (F.col("best1.delay") + F.col("best2.delay")).alias("best"),
+        (F.col("min_delay1") + F.col("min_delay2")).alias("best"),
     )
 
 
