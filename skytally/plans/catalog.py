@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from skytally.operators import leg_rejects, rejects
 from skytally.plans import diagnostics as D
@@ -36,6 +37,17 @@ def _seven(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(itinerary_lines(spark, sf_dir))
 
 
+def _iso_dates(df: DataFrame) -> DataFrame:
+    """Registry output only: DATE columns as ``yyyy-MM-dd`` text, so the comparison with the
+    oracle does not depend on how a client library represents dates."""
+    return df.select(*[F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, DateType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _dated(query: Query) -> Query:
+    return lambda spark, sf_dir: _iso_dates(query(spark, sf_dir))
+
+
 def _joined_items(df: DataFrame, group_cols: list[str]) -> DataFrame:
     return df.select(*group_cols, F.array_join("items", "|").alias("items"))
 
@@ -90,11 +102,11 @@ def queries() -> dict[str, Query]:
         "packed_top10_destinations_by_airport": _packed(Q.DESTINATIONS_BY_AIRPORT),
         "packed_top10_carriers_by_route": _packed(Q.CARRIERS_BY_ROUTE),
         # Q3.2 itineraries
-        "date_parse": _seven(D.date_parse_summary),
-        "date_shift": _seven(D.date_shift_summary),
-        "leg_union": _seven(D.leg_union_counts),
-        "itinerary_legs": _seven(Q.itinerary_counts),
-        "itinerary_best": _seven(Q.best_itineraries),
+        "date_parse": _dated(_seven(D.date_parse_summary)),
+        "date_shift": _dated(_seven(D.date_shift_summary)),
+        "leg_union": _dated(_seven(D.leg_union_counts)),
+        "itinerary_legs": _dated(_seven(Q.itinerary_counts)),
+        "itinerary_best": _dated(_seven(Q.best_itineraries)),
         # streaming replays: final table == batch answer
         "stream_airport_popularity": _stream("stream-airports", R.airport_popularity_stream),
         "stream_airports_ranked": _stream(
@@ -116,11 +128,11 @@ def queries() -> dict[str, Query]:
                                                   _grouped_stream(Q.CARRIERS_BY_ROUTE)),
         "stream_top10_carriers_by_route_update": _stream(
             "stream-carriers-by-route-update", _grouped_stream(Q.CARRIERS_BY_ROUTE, mode="update")),
-        "stream_itinerary": _stream("stream-itinerary", R.itinerary_stream, lines_fn=itinerary_lines),
-        "stream_itinerary_update": _stream(
+        "stream_itinerary": _dated(_stream("stream-itinerary", R.itinerary_stream, lines_fn=itinerary_lines)),
+        "stream_itinerary_update": _dated(_stream(
             "stream-itinerary-update",
             lambda lines, table, ckpt, trigger: R.itinerary_stream(lines, table, ckpt, trigger, mode="update"),
-            lines_fn=itinerary_lines),
+            lines_fn=itinerary_lines)),
         # keyed upsert sinks in update mode, several micro-batches
         "sink_upsert_counts": _stream(
             "sink-counts",

@@ -3,7 +3,9 @@
 The common prefix derives the same lines from the supplied tables and splits
 them without look-ahead (DuckDB's regex engine has none): a comma is a
 separator when an even number of quote-delimited segments follows it.
-Column names and types match the Spark side (integers BIGINT, dates DATE).
+Column names and types match the Spark side (integers BIGINT; dates are
+rendered as ``yyyy-MM-dd`` text on both sides, so the comparison does not depend
+on how a client library represents DATE values).
 """
 
 from __future__ import annotations
@@ -171,22 +173,24 @@ BODIES = {
     "packed_top10_carriers_by_route":
         "SELECT origin, dest, string_agg(item || ',' || CAST(n AS VARCHAR), '|' ORDER BY rank DESC) AS items "
         "FROM o5 GROUP BY origin, dest",
-    "date_parse": "SELECT f[1] AS d_raw, CAST(try_strptime(f[1], '%Y-%m-%d') AS DATE) AS d, count(*) AS n "
-                  "FROM rec7 WHERE len(f) = 7 GROUP BY 1, 2",
+    "date_parse": "SELECT f[1] AS d_raw, strftime(CAST(try_strptime(f[1], '%Y-%m-%d') AS DATE), '%Y-%m-%d') AS d, "
+                  "count(*) AS n FROM rec7 WHERE len(f) = 7 GROUP BY 1, 2",
     "date_shift": """
-        SELECT d, shifted, strftime(shifted, '%Y-%m-%d') AS formatted, count(*) AS n FROM (
+        SELECT strftime(d, '%Y-%m-%d') AS d, strftime(shifted, '%Y-%m-%d') AS shifted,
+               strftime(shifted, '%Y-%m-%d') AS formatted, count(*) AS n FROM (
           SELECT CAST(try_strptime(f[1], '%Y-%m-%d') AS DATE) AS d,
                  CAST(CAST(try_strptime(f[1], '%Y-%m-%d') AS DATE) - INTERVAL 2 DAY AS DATE) AS shifted
           FROM rec7 WHERE len(f) = 7 AND try_strptime(f[1], '%Y-%m-%d') IS NOT NULL) s
         GROUP BY 1, 2, 3""",
     "leg_union": """
-        SELECT d, via, leg, count(*) AS n FROM (
+        SELECT strftime(d, '%Y-%m-%d') AS d, via, leg, count(*) AS n FROM (
           SELECT d, t AS via, CAST(1 AS BIGINT) AS leg FROM leg
           UNION ALL
           SELECT CAST(d - INTERVAL 2 DAY AS DATE) AS d, o AS via, CAST(2 AS BIGINT) AS leg FROM leg) u
         GROUP BY 1, 2, 3""",
-    "itinerary_legs": "SELECT flight_date, x, y, z, n, best FROM o6",
-    "itinerary_best": "SELECT flight_date, x, y, z, flight1, flight2, total_delay FROM o7",
+    "itinerary_legs": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, n, best FROM o6",
+    "itinerary_best": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, flight1, flight2, "
+                      "total_delay FROM o7",
 }
 
 # Streaming replays and sinks must end equal to the batch answer.
