@@ -35,6 +35,7 @@ from skytally.operators.topk import DEFAULT_K
 from skytally.plans import queries as Q
 from skytally.sources.lines import TRIGGER_SECONDS
 from skytally.streaming.sinks import (
+    check_table_matches_checkpoint,
     snapshot_sink,
     upsert_by_key,
     upsert_sink,
@@ -45,7 +46,11 @@ DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
 
 
 def start(stream_df: DataFrame, sink, checkpoint: str, output_mode: str = "complete",
-          trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+          trigger: dict | None = None, query_name: str | None = None,
+          tables: tuple[str, ...] = ()) -> StreamingQuery:
+    """Start ``stream_df`` into the foreachBatch ``sink``; ``tables`` are the result tables it writes."""
+    for table in tables:
+        check_table_matches_checkpoint(stream_df.sparkSession, table, checkpoint)
     w = (stream_df.writeStream.outputMode(output_mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)))
     if query_name:
@@ -58,7 +63,8 @@ def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict
     if top is not None:
         if mode != "complete" or ranked:
             raise ValueError("top-n needs every key each batch: use mode='complete' without ranked")
-        return start(counts, snapshot_sink(table, lambda df: top_n(df, top)), checkpoint, mode, trigger)
+        return start(counts, snapshot_sink(table, lambda df: top_n(df, top)), checkpoint, mode, trigger,
+                     tables=(table,))
     if mode == "complete":
         sink = snapshot_sink(table, rank_by_count if ranked else None)
     elif mode == "update":
@@ -67,7 +73,7 @@ def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict
         sink = upsert_sink(table, ["id"])
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return start(counts, sink, checkpoint, mode, trigger)
+    return start(counts, sink, checkpoint, mode, trigger, tables=(table,))
 
 
 def airport_popularity_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
@@ -99,7 +105,7 @@ def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, c
 
     counts = Q.grouped_counts(lines, spec)
     if mode == "complete":
-        return start(counts, snapshot_sink(table, finish), checkpoint, mode, trigger)
+        return start(counts, snapshot_sink(table, finish), checkpoint, mode, trigger, tables=(table,))
     if mode != "update":
         raise ValueError(f"unknown mode {mode!r}")
     state_table = counts_table or table.rstrip("/") + "_counts"
@@ -115,7 +121,7 @@ def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, c
         finally:
             changes.unpersist()
 
-    return start(counts, sink, checkpoint, mode, trigger)
+    return start(counts, sink, checkpoint, mode, trigger, tables=(table, state_table))
 
 
 ROUTE_DAY_KEYS = ["flight_date", "origin", "dest"]
@@ -161,7 +167,7 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
             finally:
                 cached.unpersist()
 
-        return start(stats, sink, checkpoint, "complete", trigger)
+        return start(stats, sink, checkpoint, "complete", trigger, tables=(table,))
     if mode != "update":
         raise ValueError(f"unknown mode {mode!r}")
     rd_table = route_days_table or table.rstrip("/") + "_route_days"
@@ -179,7 +185,7 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
         finally:
             changes.unpersist()
 
-    return start(stats, update_sink, checkpoint, "update", trigger)
+    return start(stats, update_sink, checkpoint, "update", trigger, tables=(table, rd_table))
 
 
 def top_n_stream(counts: DataFrame, n: int = 10, by: str = "popularity", key: str = "id") -> DataFrame:

@@ -54,6 +54,21 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
     return sorted(out)
 
 
+def check_table_matches_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
+    """Refuse to start a fresh query on a table written by another run.
+
+    Versions are batch ids. A new checkpoint restarts batch ids at 0, so readers
+    would keep seeing the old run's highest version. Restarting on the same
+    checkpoint (which continues the batch ids) is fine.
+    """
+    jvm, _, fs = _fs(spark, checkpoint)
+    offsets = jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "/offsets")
+    fresh = not fs.exists(offsets) or len(fs.listStatus(offsets)) == 0
+    if fresh and _versions(spark, table):
+        raise ValueError(f"{table} already holds versions from another run; use a new table path, "
+                         f"or restart with the checkpoint that wrote it")
+
+
 def latest_version(spark: SparkSession, table: str, below: int | None = None) -> int | None:
     vs = [v for v in _versions(spark, table) if below is None or v < below]
     return vs[-1] if vs else None

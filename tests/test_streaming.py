@@ -246,3 +246,20 @@ def test_replayed_last_batch_leaves_result_unchanged(spark, five, mode):
     norm = lambda rs: sorted((a, tuple(i)) for a, i in rs)
     expected = [(r["airport"], r["items"]) for r in Q.packed_top_k(five, Q.CARRIERS_BY_AIRPORT).collect()]
     assert norm(again) == norm(expected)
+
+
+def test_fresh_checkpoint_on_used_table_is_refused(spark, five):
+    src = split_into_files(spark, five, 2, "t-guard")
+    base = scratch_path(spark, "t-guard-run")
+    from skytally.sources import file_line_stream
+    q = R.airport_popularity_stream(file_line_stream(spark, src), base + "/table", base + "/ckpt1",
+                                    {"availableNow": True})
+    q.awaitTermination(300)
+    with pytest.raises(ValueError, match="another run"):
+        R.airport_popularity_stream(file_line_stream(spark, src), base + "/table", base + "/ckpt2",
+                                    {"availableNow": True})
+    # the checkpoint that wrote the table may restart on it
+    q = R.airport_popularity_stream(file_line_stream(spark, src), base + "/table", base + "/ckpt1",
+                                    {"availableNow": True})
+    q.awaitTermination(300)
+    assert rows(read_latest(spark, base + "/table")) == rows(Q.airport_popularity(five))
