@@ -18,6 +18,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.plans import layout as L
 from skytally.plans import queries as Q
 from skytally.sources import file_line_stream, kafka_line_stream, text_lines
 from skytally.sources.lines import RECORDS_PER_TRIGGER, TRIGGER_SECONDS
@@ -25,22 +26,48 @@ from skytally.streaming import runner as R
 from skytally.streaming.sinks import latest_version, write_version
 
 
+def _counts(runner, batch):
+    def stream(lines, table, ckpt, trigger, mode, original):
+        return runner(lines, table, ckpt, trigger, mode=mode, post=L.counts_layout if original else None)
+
+    def once(lines, original):
+        out = batch(lines)
+        return L.counts_layout(out) if original else out
+    return stream, once
+
+
 def _grouped(spec):
-    return lambda lines, table, ckpt, trigger, mode: R.grouped_top_k_stream(
-        lines, spec, table, ckpt, trigger, mode=mode)
+    def stream(lines, table, ckpt, trigger, mode, original):
+        post = (lambda df: L.lists_layout(df, spec.group_cols)) if original else None
+        return R.grouped_top_k_stream(lines, spec, table, ckpt, trigger, mode=mode, packed=original, post=post)
+
+    def once(lines, original):
+        return (L.lists_layout(Q.packed_top_k(lines, spec), spec.group_cols) if original
+                else Q.grouped_top_k(lines, spec))
+    return stream, once
+
+
+def _itineraries():
+    def stream(lines, table, ckpt, trigger, mode, original):
+        if original:
+            raise SystemExit("itineraries have no original table layout")
+        return R.itinerary_stream(lines, table, ckpt, trigger, mode=mode)
+
+    def once(lines, original):
+        if original:
+            raise SystemExit("itineraries have no original table layout")
+        return Q.best_itineraries(lines)
+    return stream, once
 
 
 # job name -> (streaming runner, batch query)
 JOBS = {
-    "airports": (lambda lines, table, ckpt, trigger, mode: R.airport_popularity_stream(
-        lines, table, ckpt, trigger, mode=mode), Q.airport_popularity),
-    "carriers": (lambda lines, table, ckpt, trigger, mode: R.carrier_on_time_stream(
-        lines, table, ckpt, trigger, mode=mode), Q.carrier_on_time_arrivals),
-    "carriers-by-airport": (_grouped(Q.CARRIERS_BY_AIRPORT), Q.top10_carriers_by_airport),
-    "destinations-by-airport": (_grouped(Q.DESTINATIONS_BY_AIRPORT), Q.top10_destinations_by_airport),
-    "carriers-by-route": (_grouped(Q.CARRIERS_BY_ROUTE), Q.top10_carriers_by_route),
-    "itineraries": (lambda lines, table, ckpt, trigger, mode: R.itinerary_stream(
-        lines, table, ckpt, trigger, mode=mode), Q.best_itineraries),
+    "airports": _counts(R.airport_popularity_stream, Q.airport_popularity),
+    "carriers": _counts(R.carrier_on_time_stream, Q.carrier_on_time_arrivals),
+    "carriers-by-airport": _grouped(Q.CARRIERS_BY_AIRPORT),
+    "destinations-by-airport": _grouped(Q.DESTINATIONS_BY_AIRPORT),
+    "carriers-by-route": _grouped(Q.CARRIERS_BY_ROUTE),
+    "itineraries": _itineraries(),
 }
 
 
@@ -62,6 +89,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger-seconds", type=float, default=TRIGGER_SECONDS)
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--mode", choices=["complete", "update"], default="complete")
+    p.add_argument("--original-layout", action="store_true",
+                   help="write (Id, Popularity) / (Airport, CarriersList) rows like the original tables")
     return p
 
 
@@ -73,7 +102,7 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame | None:
 def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     start_fn, batch_fn = JOBS[args.job]
     if args.batch:
-        out = batch_fn(text_lines(spark, args.batch))
+        out = batch_fn(text_lines(spark, args.batch), args.original_layout)
         last = latest_version(spark, args.table)
         write_version(out, args.table, 0 if last is None else last + 1)
         return out
@@ -88,7 +117,9 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         lines = file_line_stream(spark, args.files, args.files_per_trigger)
     every = f"{int(round(args.trigger_seconds * 1000))} milliseconds"
     trigger = {"availableNow": True} if args.available_now else {"processingTime": every}
-    q = start_fn(lines, args.table, args.checkpoint, trigger, args.mode)
+    if args.original_layout and args.mode != "complete":
+        raise SystemExit("--original-layout writes whole snapshots: use --mode complete")
+    q = start_fn(lines, args.table, args.checkpoint, trigger, args.mode, args.original_layout)
     q.awaitTermination()
     return None
 

@@ -58,15 +58,25 @@ def start(stream_df: DataFrame, sink, checkpoint: str, output_mode: str = "compl
     return w.start()
 
 
+def _then(first, post):
+    if post is None:
+        return first
+    if first is None:
+        return post
+    return lambda df: post(first(df))
+
+
 def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict | None,
-                  mode: str, ranked: bool, top: int | None = None) -> StreamingQuery:
+                  mode: str, ranked: bool, top: int | None = None, post=None) -> StreamingQuery:
+    if post is not None and mode != "complete":
+        raise ValueError("an output layout is applied to whole snapshots: use mode='complete'")
     if top is not None:
         if mode != "complete" or ranked:
             raise ValueError("top-n needs every key each batch: use mode='complete' without ranked")
-        return start(counts, snapshot_sink(table, lambda df: top_n(df, top)), checkpoint, mode, trigger,
-                     tables=(table,))
+        return start(counts, snapshot_sink(table, _then(lambda df: top_n(df, top), post)), checkpoint, mode,
+                     trigger, tables=(table,))
     if mode == "complete":
-        sink = snapshot_sink(table, rank_by_count if ranked else None)
+        sink = snapshot_sink(table, _then(rank_by_count if ranked else None, post))
     elif mode == "update":
         if ranked:
             raise ValueError("a global rank needs every key each batch: use mode='complete'")
@@ -78,30 +88,37 @@ def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict
 
 def airport_popularity_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
                               mode: str = "complete", ranked: bool = False,
-                              top: int | None = None) -> StreamingQuery:
+                              top: int | None = None, post=None) -> StreamingQuery:
     """Running ``id, popularity`` per airport into ``table``.
 
-    ``ranked=True`` adds the global ``rank``; ``top=n`` keeps only the n busiest.
+    ``ranked=True`` adds the global ``rank``; ``top=n`` keeps only the n busiest;
+    ``post`` reshapes each snapshot (e.g. ``plans.layout.counts_layout``).
     """
-    return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked, top)
+    return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked, top, post)
 
 
 def carrier_on_time_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
                            mode: str = "complete", ranked: bool = False,
-                           top: int | None = None) -> StreamingQuery:
+                           top: int | None = None, post=None) -> StreamingQuery:
     """Running ``id, popularity`` of on-time arrivals per carrier into ``table``."""
-    return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked, top)
+    return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked, top, post)
 
 
 def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, checkpoint: str,
                          trigger: dict | None = None, k: int = DEFAULT_K, mode: str = "complete",
-                         packed: bool = False, counts_table: str | None = None) -> StreamingQuery:
-    """Running per-group top-k (long form, or packed lists) into ``table``."""
+                         packed: bool = False, counts_table: str | None = None, post=None) -> StreamingQuery:
+    """Running per-group top-k (long form, or packed lists) into ``table``.
+
+    ``post`` reshapes each snapshot (complete mode only), e.g. ``plans.layout.lists_layout``.
+    """
     group = spec.group_cols
+    if post is not None and mode != "complete":
+        raise ValueError("an output layout is applied to whole snapshots: use mode='complete'")
 
     def finish(all_counts: DataFrame) -> DataFrame:
         top = top_k_per_group(all_counts, group, "item", "n", k)
-        return pack_top_k(top, group) if packed else top
+        out = pack_top_k(top, group) if packed else top
+        return post(out) if post is not None else out
 
     counts = Q.grouped_counts(lines, spec)
     if mode == "complete":

@@ -41,3 +41,27 @@ def test_arguments():
     assert a.max_per_trigger == 200_000 and a.trigger_seconds == 2
     with pytest.raises(SystemExit):
         build_parser().parse_args(["airports", "--table", "t"])  # no source
+
+
+def test_original_layout_batch_and_stream(spark, line_dir):
+    base = scratch_path(spark, "t-cli-orig")
+    counts = run(spark, ["airports", "--batch", line_dir, "--table", base + "/a", "--original-layout"])
+    assert counts.columns == ["Id", "Popularity"]
+    assert rows(counts) == rows(Q.airport_popularity(text_lines(spark, line_dir)))
+
+    routes = run(spark, ["carriers-by-route", "--batch", line_dir, "--table", base + "/r", "--original-layout"])
+    assert routes.columns == ["Airport", "CarriersList"]
+    first = routes.first()
+    assert first["Airport"].count(",") >= 1                       # "origin,dest"
+    ns = [int(x.rsplit(",", 1)[1]) for x in first["CarriersList"]]
+    assert ns == sorted(ns) and len(ns) <= 10                     # worst first, best last
+
+    run(spark, ["carriers-by-airport", "--files", line_dir, "--table", base + "/s", "--checkpoint", base + "/c",
+                "--available-now", "--original-layout"])
+    streamed = read_latest(spark, base + "/s")
+    batch = run(spark, ["carriers-by-airport", "--batch", line_dir, "--table", base + "/b", "--original-layout"])
+    norm = lambda df: sorted((r["Airport"], tuple(r["CarriersList"])) for r in df.collect())
+    assert norm(streamed) == norm(batch)
+    with pytest.raises(SystemExit):
+        run(spark, ["airports", "--files", line_dir, "--table", base + "/u", "--checkpoint", base + "/cu",
+                    "--available-now", "--original-layout", "--mode", "update"])
