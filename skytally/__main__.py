@@ -79,6 +79,8 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--kafka", help="bootstrap servers, comma separated")
     src.add_argument("--batch", help="text files to process once as a batch")
     p.add_argument("--topics", help="Kafka topics, comma separated (with --kafka)")
+    p.add_argument("--group", help="Kafka consumer group id prefix (offsets themselves live in the checkpoint)")
+    p.add_argument("--starting-offsets", default="latest", help="Kafka start: latest (default) or earliest")
     p.add_argument("--kafka-partitions", type=int, default=None,
                    help="minimum Spark partitions for the Kafka source (threads per topic)")
     p.add_argument("--max-per-trigger", type=int, default=RECORDS_PER_TRIGGER,
@@ -111,8 +113,9 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if args.kafka:
         if not args.topics:
             raise SystemExit("--topics is required with --kafka")
-        lines = kafka_line_stream(spark, args.kafka, args.topics, max_offsets_per_trigger=args.max_per_trigger,
-                                  min_partitions=args.kafka_partitions)
+        lines = kafka_line_stream(spark, args.kafka, args.topics, starting_offsets=args.starting_offsets,
+                                  max_offsets_per_trigger=args.max_per_trigger,
+                                  min_partitions=args.kafka_partitions, group_id_prefix=args.group)
     else:
         lines = file_line_stream(spark, args.files, args.files_per_trigger)
     every = f"{int(round(args.trigger_seconds * 1000))} milliseconds"

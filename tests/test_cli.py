@@ -39,6 +39,10 @@ def test_arguments():
     a = build_parser().parse_args(["carriers-by-route", "--kafka", "b:9092",
                                    "--topics", "x,y", "--table", "t", "--checkpoint", "c"])
     assert a.max_per_trigger == 200_000 and a.trigger_seconds == 2
+    assert a.starting_offsets == "latest" and a.group is None
+    b = build_parser().parse_args(["airports", "--kafka", "b:9092", "--topics", "x", "--group", "g1",
+                                   "--starting-offsets", "earliest", "--table", "t", "--checkpoint", "c"])
+    assert (b.group, b.starting_offsets) == ("g1", "earliest")
     with pytest.raises(SystemExit):
         build_parser().parse_args(["airports", "--table", "t"])  # no source
 
