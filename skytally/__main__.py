@@ -86,6 +86,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--max-per-trigger", type=int, default=RECORDS_PER_TRIGGER,
                    help="Kafka records per trigger (default 200000)")
     p.add_argument("--files-per-trigger", type=int, default=1)
+    p.add_argument("--archive-dir", help="move processed input files here (with --files)")
     p.add_argument("--table", required=True, help="result table directory")
     p.add_argument("--checkpoint", help="streaming checkpoint directory (required for streams)")
     p.add_argument("--trigger-seconds", type=float, default=TRIGGER_SECONDS)
@@ -117,7 +118,9 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
                                   max_offsets_per_trigger=args.max_per_trigger,
                                   min_partitions=args.kafka_partitions, group_id_prefix=args.group)
     else:
-        lines = file_line_stream(spark, args.files, args.files_per_trigger)
+        lines = file_line_stream(spark, args.files, args.files_per_trigger,
+                                 clean_source="archive" if args.archive_dir else None,
+                                 archive_dir=args.archive_dir)
     every = f"{int(round(args.trigger_seconds * 1000))} milliseconds"
     trigger = {"availableNow": True} if args.available_now else {"processingTime": every}
     if args.original_layout and args.mode != "complete":

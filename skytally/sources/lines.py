@@ -23,14 +23,26 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
+                     clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
     """Streaming replay of a directory of text files, ``max_files_per_trigger`` at a time.
 
     New files are picked up in modification-time order; the final result of
     every query in this package does not depend on that order.
+    ``clean_source="archive"`` (with ``archive_dir``) or ``"delete"`` lets Spark
+    move or remove files once their batch is committed, so a long-running feed
+    does not accumulate processed input.
     """
-    return (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
-            .select(F.col("value").alias("line")))
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    if clean_source is not None:
+        if clean_source not in ("archive", "delete"):
+            raise ValueError("clean_source must be 'archive' or 'delete'")
+        if clean_source == "archive" and not archive_dir:
+            raise ValueError("clean_source='archive' needs archive_dir")
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
+    return reader.text(path).select(F.col("value").alias("line"))
 
 
 def kafka_options(bootstrap_servers: str, topics: str | list[str], starting_offsets: str = "latest",

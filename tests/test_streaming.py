@@ -263,3 +263,33 @@ def test_fresh_checkpoint_on_used_table_is_refused(spark, five):
                                     {"availableNow": True})
     q.awaitTermination(300)
     assert rows(read_latest(spark, base + "/table")) == rows(Q.airport_popularity(five))
+
+
+def test_processed_files_are_archived(spark, five):
+    """cleanSource=archive: Spark moves each file away once its batch is committed."""
+    import glob
+    import os
+    import time
+
+    from skytally.session import local_path
+    from skytally.sources import file_line_stream
+
+    src = split_into_files(spark, five, 3, "t-archive")
+    base = scratch_path(spark, "t-archive-run")
+    archive = base + "/archive"
+    q = R.airport_popularity_stream(file_line_stream(spark, src, clean_source="archive", archive_dir=archive),
+                                    base + "/table", base + "/ckpt", {"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        assert rows(read_latest(spark, base + "/table")) == rows(Q.airport_popularity(five))
+        # files of committed batches are moved when a later batch starts; give the next trigger time
+        for _ in range(20):
+            if len(glob.glob(os.path.join(local_path(src), "part-*"))) <= 1:
+                break
+            time.sleep(1)
+        assert len(glob.glob(os.path.join(local_path(src), "part-*"))) <= 1
+        assert glob.glob(os.path.join(local_path(archive), "**", "part-*"), recursive=True)
+    finally:
+        q.stop()
+    with pytest.raises(ValueError):
+        file_line_stream(spark, src, clean_source="archive")
