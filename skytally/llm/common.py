@@ -26,6 +26,38 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame, id_col: str, text_col: str, in_files: bool) -> DataFrame:
+    """(id, text, file, row): rows with a place that later scans find again.
+
+    ``in_files``: ``docs`` is an unchanged read of Parquet files. Otherwise the two columns are written to
+    the shared folder first. ``file`` is a hash of the file's path, ``row`` the row's number therein.
+    """
+    if not in_files:
+        docs = materialize(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "rows")
+        id_col, text_col = "id", "text"
+    meta = docs.metadataColumn("_metadata")
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+                       F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row"))
+
+
+FILTER_BITS = 1 << 23  # of the bitmap below: 2^17 words, 2 MB, at any size
+
+
+def maybe_in(df: DataFrame, keys: list[str], wanted: DataFrame, negate: bool = False) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` may be among those of ``wanted`` (``negate``: the other rows).
+
+    A bitmap of hashed keys, of a fixed size, is broadcast. No wanted row is missed; when the bitmap is
+    crowded more others pass, so a join has to follow. It spares that join's shuffle most rows.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    words = wanted.select(place.alias("_p")).groupBy(F.shiftright("_p", 6).alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(_p & 63 as int)))").alias("_bits"))
+    d = (df.withColumn("_p", place).withColumn("_word", F.shiftright("_p", 6))
+         .join(F.broadcast(words), "_word", "left" if negate else "inner"))
+    hit = F.expr("(shiftright(_bits, cast(_p & 63 as int)) & 1L) = 1L")
+    return d.where(~F.coalesce(hit, F.lit(False)) if negate else hit).select(*df.columns)
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 

@@ -29,7 +29,6 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
-FILTER_BITS = 1 << 23  # of the bitmap that picks the texts to compare: 2^17 words, 2 MB, at any size
 
 
 def normalized(text: Column) -> Column:
@@ -77,13 +76,7 @@ def collided(texts: DataFrame, groups: DataFrame) -> DataFrame:
     A bitmap of the hits' digests, of a fixed size, picks the rows; when it is crowded more rows pass,
     none is missed. Smallest and largest text per digest are combined before the shuffle.
     """
-    place = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
-    hits = groups.where(F.col("size") > 1).select(place.alias("p"))
-    words = hits.groupBy(F.shiftright("p", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits"))
-    picked = (texts.withColumn("p", place).withColumn("word", F.shiftright("p", 6))
-              .join(F.broadcast(words), "word")
-              .where(F.expr("(shiftright(bits, cast(p & 63 as int)) & 1L) = 1L")))
+    picked = C.maybe_in(texts, ["digest"], groups.where(F.col("size") > 1))
     ends = picked.groupBy("digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     return ends.where(F.col("lo") != F.col("hi")).select("digest")
 

@@ -6,6 +6,7 @@ from skytally.llm.common import Query
 from skytally.llm.op2_mixing import op2_mixing
 from skytally.llm.op6_packing import op6_packing
 from skytally.llm.op7_language import op7_language
+from skytally.llm.op8_spans import op8_spans
 from skytally.llm.op9_sharding import op9_sharding
 from skytally.llm.op10_exact_dedup import OP10_SQL, op10_exact_dedup
 
@@ -15,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op2_mixing": op2_mixing,
         "op6_packing": op6_packing,
         "op7_language": op7_language,
+        "op8_spans": op8_spans,
         "op9_sharding": op9_sharding,
         "op10_exact_dedup": op10_exact_dedup,
     }
