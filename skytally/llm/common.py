@@ -40,6 +40,17 @@ def located(docs: DataFrame, id_col: str, text_col: str, in_files: bool) -> Data
                        F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row"))
 
 
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (an unchanged read of Parquet files) without the rows at ``gone``'s (file, row)."""
+    meta = docs.metadataColumn("_metadata")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                       F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row"))
+    gone = materialize(gone.select("file", "row"), "gone")
+    sure = maybe_in(rows, ["file", "row"], gone, negate=True)
+    rest = maybe_in(rows, ["file", "row"], gone).join(gone, ["file", "row"], "left_anti")
+    return sure.select("_doc.*").union(rest.select("_doc.*"))
+
+
 FILTER_BITS = 1 << 23  # of the bitmap below: 2^17 words, 2 MB, at any size
 
 

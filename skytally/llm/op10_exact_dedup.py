@@ -39,13 +39,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, file, row) of rows read straight from Parquet files; file and row find the content."""
-    meta = docs.metadataColumn("_metadata")
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                       meta["file_path"].alias("file"), meta["row_index"].alias("row"))
-
-
 def running_groups(feed: DataFrame) -> DataFrame:
     """Per digest: the row that stays and the number of rows. Works on a stream and on a table."""
     best = F.min(F.struct((-F.col("points")).alias("less"), F.col("id").isNull().alias("no_id"), "id", "file", "row"))
@@ -90,11 +83,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     about so many micro-batches.
     """
     spark = docs.sparkSession
-    if not in_files:
-        docs = C.materialize(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")),
-                             "dedup-content")
-        id_col, text_col = "id", "text"
-    rows = located(docs, id_col, text_col)
+    rows = C.located(docs, id_col, text_col, in_files)
     texts = rows.select("id", "file", "row", F.length(F.coalesce("text", F.lit(""))).alias("points"),
                         normalized(F.col("text")).alias("norm")).withColumn("digest", digest(F.col("norm")))
     feed_path = scratch_path(spark, "llm-dedup-feed")
@@ -130,13 +119,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (an unchanged read of Parquet files) that stay, all columns."""
-    meta = docs.metadataColumn("_metadata")
-    names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"),
-                       meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
-    gone = exact_dedup(docs, id_col, text_col, in_files=True).where(~F.col("kept")).select(
-        F.col("file").alias("_file"), F.col("row").alias("_row"))
-    return rows.join(gone, ["_file", "_row"], "left_anti").select("_doc.*")
+    return C.without_rows(docs, exact_dedup(docs, id_col, text_col, in_files=True).where(~F.col("kept")))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

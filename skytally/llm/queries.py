@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from skytally.llm.common import Query
+from skytally.llm.op1_dartminhash import op1_dartminhash
 from skytally.llm.op2_mixing import op2_mixing
 from skytally.llm.op6_packing import op6_packing
 from skytally.llm.op7_language import op7_language
@@ -13,6 +14,7 @@ from skytally.llm.op10_exact_dedup import OP10_SQL, op10_exact_dedup
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_dartminhash": op1_dartminhash,
         "op2_mixing": op2_mixing,
         "op6_packing": op6_packing,
         "op7_language": op7_language,
