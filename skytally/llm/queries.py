@@ -5,6 +5,7 @@ from __future__ import annotations
 from skytally.llm.common import Query
 from skytally.llm.op1_dartminhash import op1_dartminhash
 from skytally.llm.op2_mixing import op2_mixing
+from skytally.llm.op3_embeddings import op3_embeddings
 from skytally.llm.op6_packing import op6_packing
 from skytally.llm.op7_language import op7_language
 from skytally.llm.op8_spans import op8_spans
@@ -16,6 +17,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_dartminhash": op1_dartminhash,
         "op2_mixing": op2_mixing,
+        "op3_embeddings": op3_embeddings,
         "op6_packing": op6_packing,
         "op7_language": op7_language,
         "op8_spans": op8_spans,
