@@ -6,6 +6,7 @@ from skytally.llm.common import Query
 from skytally.llm.op1_dartminhash import op1_dartminhash
 from skytally.llm.op2_mixing import op2_mixing
 from skytally.llm.op3_embeddings import op3_embeddings
+from skytally.llm.op4_substrings import op4_substrings
 from skytally.llm.op5_pages import op5_pages
 from skytally.llm.op6_packing import op6_packing
 from skytally.llm.op7_language import op7_language
@@ -19,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op1_dartminhash": op1_dartminhash,
         "op2_mixing": op2_mixing,
         "op3_embeddings": op3_embeddings,
+        "op4_substrings": op4_substrings,
         "op5_pages": op5_pages,
         "op6_packing": op6_packing,
         "op7_language": op7_language,
