@@ -208,6 +208,30 @@ def taken_words(mixed: dict[str, DataFrame], block: int = BLOCK) -> DataFrame:
     return taken.union(none)
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    seed: int = SEED) -> DataFrame:
+    """``docs`` (an unchanged read of Parquet files), each row as often as the mix takes its words.
+
+    taken / size copies: the whole part, and one more with the rest as probability, by a hash of the row's
+    values. Of rows equal in id, source and text the first one stands for all.
+    """
+    key = ["id", "source", "digest"]
+    mixed = mix(docs, id_col, text_col, source_col, seed=seed)
+    taken = taken_words(mixed).join(mixed["sources"].select("number", "source"), "number").where("size > 0")
+    chance = F.pmod(F.xxhash64(F.lit(seed).cast("long"), "id", "digest", "start"), F.lit(1 << 30)) / (1 << 30)
+    copies = taken.groupBy(*key).agg(F.sum(F.floor(F.col("taken") / F.col("size") + chance)).cast("long").alias("copies"))
+    meta = docs.metadataColumn("_metadata")
+    place = [F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row")]
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
+                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("digest"), *place)
+    first = rows.groupBy(*key).agg(F.min(F.struct("file", "row")).alias("at"))
+    copies = copies.where("copies > 0").select(*[F.col(k).alias(f"_{k}") for k in key], "copies")
+    on = C.same(F.col("id"), F.col("_id")) & C.same(F.col("source"), F.col("_source")) & (F.col("digest") == F.col("_digest"))
+    often = C.materialize(first.join(copies, on).select("at.file", "at.row", "copies"), "mix-copies")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *place)
+    return C.expand_copies(whole.join(often, ["file", "row"]), "copies", "_copy").select("_doc.*")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(C.read_documents(spark, sf_dir))
     q = mixed["sources"].select("number", "source", "source_size", "target")
