@@ -5,7 +5,10 @@
    original per-trigger cap) under the session's checkpoint folder.
 2. Time every headline batch query reading those text files, fully executed
    into a ``noop`` sink; best of $BENCH_REPEAT runs.
-3. Time streaming replays (one file per micro-batch, availableNow).
+3. Time streaming replays (one file per micro-batch, availableNow): the original
+   cap of 200 000 lines per trigger, then ``GROWTH_LINES`` lines per trigger for
+   ranked, update-mode and itinerary tables, to see whether triggers grow with
+   the table.
 
 Prints one JSON line.
 """
@@ -27,6 +30,8 @@ from skytally.sources.lines import RECORDS_PER_TRIGGER, TRIGGER_SECONDS  # noqa:
 from skytally.streaming import runner as R  # noqa: E402
 from skytally.streaming.replay import run_available  # noqa: E402
 
+GROWTH_LINES = 50_000
+
 COUNT_QUERIES = {
     "airport_popularity": Q.airport_popularity,
     "carrier_on_time_arrivals": Q.carrier_on_time_arrivals,
@@ -58,12 +63,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    # Input splits sized for this scale: sf0.1 is ~18 MB of lines in 3 files, and the default
-    # 4 MB per-file open cost would leave cores idle (6 splits for 8 cores). On a cluster the
-    # 128 MB split default applies unchanged.
     spark = build_session(f"local[{cpus}]", app="skytally-bench", shuffle_partitions=max(8, cpus),
-                          extra={"spark.driver.memory": "16g",
-                                 "spark.sql.files.openCostInBytes": str(1 << 20)})
+                          extra={"spark.driver.memory": "16g"})
 
     base = scratch_path(spark, "bench")
     five_dir, seven_dir = f"{base}/lines5", f"{base}/lines7"
@@ -71,6 +72,9 @@ def main() -> None:
         "derive_lines5": timed(lambda: write_lines(on_time_lines(spark, sf_dir), five_dir)),
         "derive_lines7": timed(lambda: write_lines(itinerary_lines(spark, sf_dir), seven_dir)),
     }
+    small5, small7 = f"{base}/small5", f"{base}/small7"
+    write_lines(text_lines(spark, five_dir).coalesce(1), small5, GROWTH_LINES)
+    write_lines(text_lines(spark, seven_dir).coalesce(1), small7, GROWTH_LINES)
     n_lines = text_lines(spark, five_dir).count()
 
     # warm-up (JIT, codegen caches): one untimed run of a count query
@@ -106,10 +110,19 @@ def main() -> None:
             "carriers-by-route", grouped(Q.CARRIERS_BY_ROUTE), five_dir),
         "stream_itinerary": stream_time("itinerary", R.itinerary_stream, seven_dir),
     }
+    growth = {
+        "growth_airports_ranked": stream_time(
+            "g-airports-ranked", lambda st, t, c, tr: R.airport_popularity_stream(st, t, c, tr, ranked=True), small5),
+        "growth_airports_update": stream_time(
+            "g-airports-update", lambda st, t, c, tr: R.airport_popularity_stream(st, t, c, tr, mode="update"), small5),
+        "growth_carriers_by_route_update": stream_time(
+            "g-route-update", lambda st, t, c, tr: R.grouped_top_k_stream(st, Q.CARRIERS_BY_ROUTE, t, c, tr, mode="update", packed=True), small5),
+        "growth_itinerary_update": stream_time("g-itinerary-update", R.itinerary_stream, small7),
+    }
     five_counts = ("airports", "carriers", "carriers-by-airport", "destinations-by-airport", "carriers-by-route")
     n_files = max(1, -(-n_lines // RECORDS_PER_TRIGGER))
     count_total = sum(times[k] for k in COUNT_QUERIES)
-    all_queries = {**times, **stream}
+    all_queries = {**times, **stream, **growth}
     out = {
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),
@@ -124,6 +137,7 @@ def main() -> None:
         "stream_wall_lines_per_sec": round(n_lines / stream["stream_airport_popularity"]),
         "stream_files": n_files,
         "stream_trigger_sec": {k: [round(x, 3) for x in v] for k, v in triggers.items()},
+        "growth_lines_per_trigger": GROWTH_LINES,
         "stream_trigger_sec_max": {k: round(max(v), 3) for k, v in triggers.items() if v},
         "five_count_streams_max_trigger_sec": round(max(max(triggers[k]) for k in five_counts), 3),
         "target_lines_per_trigger": RECORDS_PER_TRIGGER,

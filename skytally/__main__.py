@@ -18,52 +18,58 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.operators import rejects, strict, top_n
+from skytally.operators.topk import DEFAULT_K
 from skytally.plans import layout as L
 from skytally.plans import queries as Q
 from skytally.sources import file_line_stream, kafka_line_stream, text_lines
-from skytally.sources.lines import RECORDS_PER_TRIGGER, TRIGGER_SECONDS
+from skytally.sources.lines import TRIGGER_SECONDS
 from skytally.streaming import runner as R
-from skytally.streaming.sinks import latest_version, write_version
+from skytally.streaming.sinks import DEFAULT_KEEP_VERSIONS, is_batch_table, latest_version, write_version
 
 
-def _counts(runner, batch):
-    def stream(lines, table, ckpt, trigger, mode, original):
-        return runner(lines, table, ckpt, trigger, mode=mode, post=L.counts_layout if original else None)
+def _counts(runner, batch, ranked):
+    def stream(lines, table, ckpt, trigger, args):
+        return runner(lines, table, ckpt, trigger, mode=args.mode or "complete", ranked=args.ranked, top=args.top,
+                      post=L.counts_layout if args.original_layout else None, keep_versions=args.keep_versions, show=args.print)
 
-    def once(lines, original):
-        out = batch(lines)
-        return L.counts_layout(out) if original else out
+    def once(lines, args):
+        out = ranked(lines) if args.ranked else batch(lines)
+        if args.top is not None:
+            out = top_n(out, args.top)
+        return L.counts_layout(out) if args.original_layout else out
     return stream, once
 
 
 def _grouped(spec):
-    def stream(lines, table, ckpt, trigger, mode, original):
-        post = (lambda df: L.lists_layout(df, spec.group_cols)) if original else None
-        return R.grouped_top_k_stream(lines, spec, table, ckpt, trigger, mode=mode, packed=original, post=post)
-
-    def once(lines, original):
-        return (L.lists_layout(Q.packed_top_k(lines, spec), spec.group_cols) if original
-                else Q.grouped_top_k(lines, spec))
+    def stream(lines, table, ckpt, trigger, args):
+        post = (lambda df: L.lists_layout(df, spec.group_cols)) if args.original_layout else None
+        return R.grouped_top_k_stream(lines, spec, table, ckpt, trigger, k=args.top or DEFAULT_K, mode=args.mode or "complete",
+                                      packed=args.original_layout, post=post, keep_versions=args.keep_versions, show=args.print)
+
+    def once(lines, args):
+        k = args.top or DEFAULT_K
+        return (L.lists_layout(Q.packed_top_k(lines, spec, k), spec.group_cols) if args.original_layout
+                else Q.grouped_top_k(lines, spec, k))
     return stream, once
 
 
 def _itineraries():
-    def stream(lines, table, ckpt, trigger, mode, original):
-        if original:
-            raise SystemExit("itineraries have no original table layout")
-        return R.itinerary_stream(lines, table, ckpt, trigger, mode=mode)
-
-    def once(lines, original):
-        if original:
-            raise SystemExit("itineraries have no original table layout")
-        return Q.best_itineraries(lines)
+    def stream(lines, table, ckpt, trigger, args):
+        return R.itinerary_stream(lines, table, ckpt, trigger, mode=args.mode or "update",
+                                  post=L.itineraries_layout if args.original_layout else None,
+                                  keep_versions=args.keep_versions, show=args.print)
+
+    def once(lines, args):
+        out = Q.best_itineraries(lines)
+        return L.itineraries_layout(out) if args.original_layout else out
     return stream, once
 
 
 # job name -> (streaming runner, batch query)
 JOBS = {
-    "airports": _counts(R.airport_popularity_stream, Q.airport_popularity),
-    "carriers": _counts(R.carrier_on_time_stream, Q.carrier_on_time_arrivals),
+    "airports": _counts(R.airport_popularity_stream, Q.airport_popularity, Q.airports_ranked),
+    "carriers": _counts(R.carrier_on_time_stream, Q.carrier_on_time_arrivals, Q.carriers_ranked),
     "carriers-by-airport": _grouped(Q.CARRIERS_BY_AIRPORT),
     "destinations-by-airport": _grouped(Q.DESTINATIONS_BY_AIRPORT),
     "carriers-by-route": _grouped(Q.CARRIERS_BY_ROUTE),
@@ -83,17 +89,23 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--starting-offsets", default="latest", help="Kafka start: latest (default) or earliest")
     p.add_argument("--kafka-partitions", type=int, default=None,
                    help="minimum Spark partitions for the Kafka source (threads per topic)")
-    p.add_argument("--max-per-trigger", type=int, default=RECORDS_PER_TRIGGER,
-                   help="Kafka records per trigger (default 200000)")
+    p.add_argument("--max-per-trigger", type=int, default=None, help="Kafka records per trigger of the whole query (default: no cap)")
     p.add_argument("--files-per-trigger", type=int, default=1)
+    p.add_argument("--bytes-per-trigger", help="input size per trigger, e.g. 512m, instead of a number of files (with --files)")
     p.add_argument("--archive-dir", help="move processed input files here (with --files)")
     p.add_argument("--table", required=True, help="result table directory")
     p.add_argument("--checkpoint", help="streaming checkpoint directory (required for streams)")
     p.add_argument("--trigger-seconds", type=float, default=TRIGGER_SECONDS)
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
-    p.add_argument("--mode", choices=["complete", "update"], default="complete")
+    p.add_argument("--mode", choices=["complete", "update"], help="default: complete; itineraries: update")
+    p.add_argument("--ranked", action="store_true", help="airports, carriers: every key with its rank (complete mode)")
+    p.add_argument("--top", type=int, help="airports, carriers: only the n highest (complete mode); the grouped jobs: n per group")
+    p.add_argument("--print", type=int, nargs="?", const=10, default=0, metavar="N", help="also print N rows (10) per trigger")
+    p.add_argument("--keep-versions", type=int, default=DEFAULT_KEEP_VERSIONS, help="result versions to keep")
     p.add_argument("--original-layout", action="store_true",
-                   help="write (Id, Popularity) / (Airport, CarriersList) rows like the original tables")
+                   help="write (Id, Popularity), (Airport, CarriersList) or (Id, CarriersList) rows like the original tables")
+    p.add_argument("--rejects", help="folder for the lines the job can't use, with their reason")
+    p.add_argument("--failfast", action="store_true", help="fail on the first line the job can't use")
     return p
 
 
@@ -104,10 +116,23 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame | None:
 
 def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     start_fn, batch_fn = JOBS[args.job]
+    if (args.ranked or args.top is not None) and args.job == "itineraries":
+        raise SystemExit("--ranked and --top don't apply to itineraries")
+    if args.ranked and (args.job not in ("airports", "carriers") or args.top is not None or args.original_layout):
+        raise SystemExit("--ranked is for airports and carriers, without --top or --original-layout")
+    if args.mode == "update" and (args.ranked or (args.top is not None and args.job in ("airports", "carriers"))):
+        raise SystemExit("a ranking needs every key each trigger: use --mode complete")
     if args.batch:
-        out = batch_fn(text_lines(spark, args.batch), args.original_layout)
+        lines = text_lines(spark, args.batch)
+        out = batch_fn(strict(lines, args.job) if args.failfast else lines, args)
         last = latest_version(spark, args.table)
-        write_version(out, args.table, 0 if last is None else last + 1)
+        if last is not None and not is_batch_table(spark, args.table):
+            raise SystemExit(f"{args.table} belongs to a stream; write batch results to a table of their own")
+        if args.rejects:
+            rejects(lines, args.job).write.mode("append").parquet(args.rejects)
+        write_version(out, args.table, 0 if last is None else last + 1, batch=True)
+        if args.print:
+            out.show(args.print, truncate=False)
         return out
     if not args.checkpoint:
         raise SystemExit("--checkpoint is required for a stream")
@@ -118,21 +143,33 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
                                   max_offsets_per_trigger=args.max_per_trigger,
                                   min_partitions=args.kafka_partitions, group_id_prefix=args.group)
     else:
-        lines = file_line_stream(spark, args.files, args.files_per_trigger,
-                                 clean_source="archive" if args.archive_dir else None,
-                                 archive_dir=args.archive_dir)
+        lines = file_line_stream(spark, args.files, args.files_per_trigger, max_bytes_per_trigger=args.bytes_per_trigger,
+                                 clean_source="archive" if args.archive_dir and not args.rejects else None,
+                                 archive_dir=args.archive_dir if not args.rejects else None)
+        if args.archive_dir and args.rejects:
+            raise SystemExit("--archive-dir would move files that the reject stream still reads: leave one out")
     every = f"{int(round(args.trigger_seconds * 1000))} milliseconds"
     trigger = {"availableNow": True} if args.available_now else {"processingTime": every}
-    if args.original_layout and args.mode != "complete":
-        raise SystemExit("--original-layout writes whole snapshots: use --mode complete")
-    q = start_fn(lines, args.table, args.checkpoint, trigger, args.mode, args.original_layout)
-    q.awaitTermination()
+    queries = [start_fn(strict(lines, args.job) if args.failfast else lines, args.table, args.checkpoint, trigger, args)]
+    if args.rejects:
+        queries.append(R.reject_stream(lines, args.job, args.rejects, args.checkpoint.rstrip("/") + "_rejects", trigger))
+    try:
+        while all(q.isActive for q in queries):
+            queries[0].awaitTermination(1) if len(queries) > 1 else queries[0].awaitTermination()
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+            q.awaitTermination()
+    finally:
+        for q in queries:
+            q.stop()
     return None
 
 
 def main(argv: list[str] | None = None) -> None:
     args = build_parser().parse_args(list(sys.argv[1:] if argv is None else argv))  # before starting Spark
-    spark = SparkSession.builder.appName(f"skytally-{args.job}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"skytally-{args.job}")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     run_args(spark, args)
 
 

@@ -5,19 +5,23 @@ from skytally.functions.text import (
     is_numeric_literal,
     is_on_time,
     field,
-    split_fields,
+    fields_of_segments,
+    quote_segments,
     to_delay,
     trim_trailing_separators,
+    with_fields,
 )
 
 __all__ = [
     "field",
+    "fields_of_segments",
     "format_date",
     "is_numeric_literal",
     "is_on_time",
     "parse_date",
     "shift_days",
-    "split_fields",
+    "quote_segments",
     "to_delay",
     "trim_trailing_separators",
+    "with_fields",
 ]

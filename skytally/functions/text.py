@@ -1,12 +1,13 @@
 """Column expressions for comma-separated flight lines.
 
-Everything here returns a ``Column`` built from built-in Spark functions, so it
-runs inside whole-stage codegen on the executors; no Python touches a row.
+Everything here is built from built-in Spark functions, so no Python touches a
+row. The split of a line runs in a projection of its own, outside of whole-stage
+codegen (its per-part function is interpreted); the rest is generated code.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: these must stay exactly as they are for results to match ---
@@ -21,9 +22,10 @@ NUMERIC_LITERAL = r"[-+]?\d*\.?\d+"
 ON_TIME_THRESHOLD = 15.0
 # --- end of fixed values ---
 
-# Placeholder that marks real separators before the final split. Lines that
-# already contain it fall back to the look-ahead pattern above.
+# Marks real separators before the final split; where a line holds one of these characters itself,
+# it is escaped first and the fields are restored afterwards.
 _MARK = "\x1f"
+_ESCAPE = "\x1e"
 
 
 def _col(c: Column | str) -> Column:
@@ -37,33 +39,47 @@ def trim_trailing_separators(line: Column | str) -> Column:
     keeps no trailing empty fields, so removing the run first gives the same
     fields while letting Spark's ``split`` (which keeps trailing empties) be used.
     """
+    return F.rtrim(_col(line), F.lit(COMMA))
+
+
+def _needs_escape(line: Column) -> Column:
+    return (F.instr(line, _MARK) > 0) | (F.instr(line, _ESCAPE) > 0)
+
+
+def quote_segments(line: Column | str) -> Column:
+    """``STRUCT<escaped BOOLEAN, parts ARRAY<STRING>>``: the line without trailing commas, cut at quotes.
+
+    A projection of its own, in front of ``fields_of_segments``: the parts are then
+    a column, and looking at them from inside the per-part function costs nothing.
+    """
     c = _col(line)
-    return F.when(c.endswith(COMMA), F.regexp_replace(c, r",+\z", "")).otherwise(c)
+    odd = _needs_escape(c)
+    clean = F.when(odd, F.replace(F.replace(c, F.lit(_ESCAPE), F.lit(_ESCAPE + "0")), F.lit(_MARK), F.lit(_ESCAPE + "1"))).otherwise(c)
+    return F.struct(odd.alias("escaped"), F.split(trim_trailing_separators(clean), QUOTE, -1).alias("parts"))
 
 
-def split_fields(line: Column | str) -> Column:
-    """Quote-aware split of a line into ``ARRAY<STRING>``.
+def fields_of_segments(segments: Column | str) -> Column:
+    """``ARRAY<STRING>`` fields, still escaped, of a ``quote_segments`` column; linear in the line's length.
 
-    Three branches, all JVM-side:
-    * no quote on the line: a plain split on ``,``;
-    * quotes present: split on ``"``; a comma lying in a segment with an even
-      number of segments after it has an even number of quotes after it, so it
-      is a separator. Mark those, re-join, split on the mark;
-    * the mark character already occurs: use the look-ahead pattern directly.
+    A comma in a part with an even number of parts after it has an even number of
+    quotes after it, so it is a separator. Those are marked, the parts joined again and split on the mark.
     """
-    trimmed = trim_trailing_separators(line)
-    segments = F.split(trimmed, QUOTE, -1)
-    n_seg = F.size(segments)
+    parts = _col(segments)["parts"]
     marked = F.transform(
-        segments,
-        lambda seg, i: F.when((n_seg - 1 - i) % 2 == 0, F.translate(seg, COMMA, _MARK)).otherwise(seg),
-    )
-    by_parity = F.split(F.array_join(marked, QUOTE), _MARK, -1)
-    return (
-        F.when(F.instr(trimmed, QUOTE) == 0, F.split(trimmed, COMMA, -1))
-        .when(F.instr(trimmed, _MARK) > 0, F.split(trimmed, SEPARATOR_PATTERN, -1))
-        .otherwise(by_parity)
+        parts,
+        lambda part, i: F.when((F.size(parts) - 1 - i) % 2 == 0, F.translate(part, COMMA, _MARK)).otherwise(part),
     )
+    return F.when(F.size(parts) == 1, F.split(parts[0], COMMA, -1)).otherwise(F.split(F.array_join(marked, QUOTE), _MARK, -1))
+
+
+def with_fields(lines: DataFrame, line: Column | str, out: str = "f", keep: list[str] | None = None) -> DataFrame:
+    """Quote-aware split of ``line`` into ``out ARRAY<STRING>``, with the ``keep`` columns (default: all)."""
+    keep = lines.columns if keep is None else keep
+    cut = lines.select(*keep, quote_segments(line).alias("_segments"))
+    found = cut.select(*keep, F.col("_segments.escaped").alias("_escaped"), fields_of_segments("_segments").alias("_found"))
+    restored = F.transform("_found", lambda x: F.replace(
+        F.replace(x, F.lit(_ESCAPE + "1"), F.lit(_MARK)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE)))
+    return found.select(*keep, F.when(F.col("_escaped"), restored).otherwise(F.col("_found")).alias(out))
 
 
 def field(fields: Column | str, index: int) -> Column:

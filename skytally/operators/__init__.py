@@ -10,32 +10,33 @@ from skytally.operators.itinerary import (
     route_day_stats,
 )
 from skytally.operators.parse import (
+    LEG_JOB,
+    ON_TIME_JOBS,
     airport_ids,
-    classify_legs,
-    classify_on_time,
+    classify,
     flat_map_fields,
-    leg_rejects,
     legs,
     on_time_records,
     records,
     rejects,
+    strict,
 )
 from skytally.operators.ranking import bottom_n, global_rank, rank_by_count, top_n
 from skytally.operators.topk import pack_top_k, top_k_per_group
 
 __all__ = [
+    "LEG_JOB",
+    "ON_TIME_JOBS",
     "airport_ids",
     "best_from_stats",
     "best_itineraries",
     "bottom_n",
-    "classify_legs",
-    "classify_on_time",
+    "classify",
     "connect",
     "count_by",
     "flat_map_fields",
     "global_rank",
     "itinerary_counts",
-    "leg_rejects",
     "leg_union",
     "legs",
     "on_time_records",
@@ -44,6 +45,7 @@ __all__ = [
     "records",
     "rejects",
     "route_day_stats",
+    "strict",
     "top_k_per_group",
     "top_n",
 ]

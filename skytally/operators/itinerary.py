@@ -44,21 +44,25 @@ def leg_union(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame
 ROUTE_DAY_KEYS = ("flight_date", "origin", "dest")
 
 
-def route_day_stats(legs: DataFrame, extra_keys: tuple[str, ...] = (), best_flight: bool = True) -> DataFrame:
+def route_day_stats(legs: DataFrame, best_flight: bool = True, streaming: bool = False) -> DataFrame:
     """Per (flight_date, origin, dest): ``n`` flights and the best one.
 
-    ``best_flight=True``: ``best`` = min of struct(delay, flight), i.e. the lowest
-    delay and then the smallest flight number (a struct buffer: sort-based
-    aggregate). ``best_flight=False``: only ``min_delay`` (hash aggregate), enough
-    for pair counts and best totals.
-    ``extra_keys`` are added to the grouping (e.g. an event-time column that a
-    streaming watermark needs among the keys); they must depend on the date only.
+    ``best_flight=True``: ``best`` = struct(delay, flight) of the lowest delay and,
+    among its flights, the smallest number. In batch two hash aggregates: the
+    smallest flight per distinct delay first, then the lowest delay of that much
+    smaller table. A stream can aggregate once only, so ``streaming=True`` takes
+    the minimum of the struct (sort-based, over one trigger's rows).
+    ``best_flight=False``: only ``min_delay``, enough for pair counts and best totals.
     """
-    if best_flight:
+    if not best_flight:
+        return legs.groupBy(*ROUTE_DAY_KEYS).agg(F.count(F.lit(1)).alias("n"), F.min("arr_delay").alias("min_delay"))
+    if streaming:
         best = F.min(F.struct(F.col("arr_delay").alias("delay"), F.col("flight").alias("flight"))).alias("best")
-    else:
-        best = F.min("arr_delay").alias("min_delay")
-    return legs.groupBy(*extra_keys, *ROUTE_DAY_KEYS).agg(F.count(F.lit(1)).alias("n"), best)
+        return legs.groupBy(*ROUTE_DAY_KEYS).agg(F.count(F.lit(1)).alias("n"), best)
+    per_delay = legs.groupBy(*ROUTE_DAY_KEYS, "arr_delay").agg(F.count(F.lit(1)).alias("m"), F.min("flight").alias("flight"))
+    per_day = per_delay.groupBy(*ROUTE_DAY_KEYS).agg(
+        F.sum("m").alias("n"), F.min("arr_delay").alias("delay"), F.min_by("flight", "arr_delay").alias("flight"))
+    return per_day.select(*ROUTE_DAY_KEYS, "n", F.struct("delay", "flight").alias("best"))
 
 
 def connect(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS, second: DataFrame | None = None) -> DataFrame:
@@ -98,7 +102,7 @@ def itinerary_counts(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> Da
 
 
 def best_itineraries(legs: DataFrame, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
-    """``flight_date, x, y, z, flight1, flight2, total_delay`` for the best pair of each itinerary."""
+    """``flight_date, x, y, z, flight1, flight2, delay1, delay2, total_delay`` of each itinerary's best pair."""
     return best_from_stats(route_day_stats(legs), gap_days)
 
 
@@ -113,5 +117,7 @@ def best_from_stats(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS,
         "flight_date", "x", "y", "z",
         F.col("best1.flight").alias("flight1"),
         F.col("best2.flight").alias("flight2"),
+        F.col("best1.delay").alias("delay1"),
+        F.col("best2.delay").alias("delay2"),
         (F.col("best1.delay") + F.col("best2.delay")).alias("total_delay"),
     )

@@ -1,8 +1,8 @@
 """Line parsing: records, typed on-time rows, itinerary legs, and reject routing.
 
-Rows are never silently lost: every line gets a ``reason`` (``ok`` or why it
-cannot be used) through ``classify_on_time`` / ``classify_legs``; the query
-operators keep only the rows they can use, exactly as the original jobs did.
+Rows are never silently lost: for every job a line is either used or has a
+reason against it (``classify``, ``rejects``); ``strict`` fails on such a line
+instead. The query operators keep only the rows they can use, as the original jobs did.
 
 Plan shape. The quote-aware split is computed once per line in a projection.
 Keeping or dropping a line is then a flatMap (a generator that emits 0 or 1
@@ -22,17 +22,17 @@ from skytally.functions import (
     is_numeric_literal,
     is_on_time,
     parse_date,
-    split_fields,
     to_delay,
+    with_fields,
 )
 
 ON_TIME_FIELDS = 5
 LEG_FIELDS = 7
 MIN_AIRPORT_FIELDS = 3  # airport popularity only needs origin and destination
 
-# Reject reasons, first match wins.
-ON_TIME_REASONS = ("short", "arity", "blank_key", "bad_dep_delay", "bad_arr_delay", "ok")
-LEG_REASONS = ("arity", "bad_date", "blank_airport", "bad_arr_delay", "ok")
+# The jobs that read five-field lines and the one that reads seven-field legs.
+ON_TIME_JOBS = ("airports", "carriers", "carriers-by-airport", "destinations-by-airport", "carriers-by-route")
+LEG_JOB = "itineraries"
 
 
 def _f() -> Column:
@@ -49,10 +49,10 @@ def records(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -
     A missing line (e.g. a Kafka message without a value) splits like an empty
     line: one empty field, so it is rejected as ``short``, never taken as valid.
     """
-    cols: list[Column] = [split_fields(F.coalesce(F.col(line_col), F.lit(""))).alias("f")]
+    line = F.coalesce(F.col(line_col), F.lit(""))
     if keep_line:
-        cols.insert(0, F.col(line_col).alias("line"))
-    return lines.select(*cols)
+        return with_fields(lines.select(F.col(line_col).alias("line"), line.alias("_text")), "_text", keep=["line"])
+    return with_fields(lines.select(line.alias("_text")), "_text", keep=[])
 
 
 def flat_map_fields(rec: DataFrame, keep: Column, out: list[Column]) -> DataFrame:
@@ -80,84 +80,82 @@ def on_time_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
                         is_on_time("arr_delay").alias("arr_on_time"))
 
 
-def _on_time_reason() -> Column:
-    n = _n()
-    carrier, origin, dest = field(_f(), 0), field(_f(), 1), field(_f(), 2)
-    return (F.when(n < MIN_AIRPORT_FIELDS, F.lit("short"))
-            .when(n != ON_TIME_FIELDS, F.lit("arity"))
-            .when((carrier == "") | (origin == "") | (dest == ""), F.lit("blank_key"))
-            .when(~is_numeric_literal(field(_f(), 3)), F.lit("bad_dep_delay"))
-            .when(~is_numeric_literal(field(_f(), 4)), F.lit("bad_arr_delay"))
-            .otherwise(F.lit("ok")))
-
+def line_reason(job: str) -> Column:
+    """Why ``job`` cannot use a line (``ok`` if it can), first match wins.
 
-def classify_on_time(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Every line with ``n_fields`` and the first failing ``reason`` (or ``ok``)."""
+    A line is either used by the job or rejected, never both: the airport counts
+    take every line with three fields, blank ids included; the other jobs need
+    five fields and the one delay they look at; a ranking needs a non-blank item.
+    A late flight is a usable line.
+    """
+    n = _n()
+    ok = F.lit("ok")
+    short = F.when(n < MIN_AIRPORT_FIELDS, F.lit("short"))
+    if job == "airports":
+        return short.otherwise(ok)
+    if job == LEG_JOB:
+        return (F.when(n != LEG_FIELDS, F.lit("arity"))
+                .when(parse_date(field(_f(), 0)).isNull(), F.lit("bad_date"))
+                .when(_flight_number().isNull(), F.lit("bad_flight"))
+                .when((field(_f(), 2) == "") | (field(_f(), 3) == ""), F.lit("blank_airport"))
+                .when(~is_numeric_literal(field(_f(), 6)), F.lit("bad_arr_delay"))
+                .otherwise(ok))
+    delay, why, item = {
+        "carriers": (4, "bad_arr_delay", None),
+        "carriers-by-airport": (3, "bad_dep_delay", 0),
+        "destinations-by-airport": (3, "bad_dep_delay", 2),
+        "carriers-by-route": (4, "bad_arr_delay", 0),
+    }[job]
+    reason = short.when(n != ON_TIME_FIELDS, F.lit("arity")).when(~is_numeric_literal(field(_f(), delay)), F.lit(why))
+    if item is not None:
+        reason = reason.when(field(_f(), item) == "", F.lit("blank_key"))
+    return reason.otherwise(ok)
+
+
+def classify(lines: DataFrame, job: str, line_col: str = "line") -> DataFrame:
+    """Every line with ``n_fields`` and the first ``reason`` against it in ``job`` (or ``ok``)."""
     rec = records(lines, line_col, keep_line=True)
-    return rec.select("line", _n().cast("bigint").alias("n_fields"), _on_time_reason().alias("reason"))
+    return rec.select("line", _n().cast("bigint").alias("n_fields"), line_reason(job).alias("reason"))
 
 
-def rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """The lines that are not fully usable, with their reason."""
-    rec = records(lines, line_col, keep_line=True)
-    reason = _on_time_reason()
-    return flat_map_fields(rec, reason != "ok",
+def rejects(lines: DataFrame, job: str, line_col: str = "line") -> DataFrame:
+    """``line, n_fields, reason`` of the lines that ``job`` cannot use. Works on streams."""
+    reason = line_reason(job)
+    return flat_map_fields(records(lines, line_col, keep_line=True), reason != "ok",
                            [F.col("line"), _n().cast("bigint").alias("n_fields"), reason.alias("reason")])
 
 
-def airport_ids(lines: DataFrame, line_col: str = "line", mode: str = "drop") -> DataFrame:
-    """``id``: origin and destination of every line with at least three fields.
+def strict(lines: DataFrame, job: str, line_col: str = "line") -> DataFrame:
+    """``lines``, failing on the first one that ``job`` cannot use."""
+    rec = records(lines, line_col, keep_line=True)
+    reason = line_reason(job)
+    failed = F.raise_error(F.concat(F.lit(f"{job}: "), reason, F.lit(": "), F.coalesce("line", F.lit("NULL"))))
+    return rec.select(F.when(reason == "ok", F.col("line")).otherwise(failed).alias(line_col))
 
-    One generator does filter and unpivot. ``mode="drop"`` leaves short lines
-    to the rejects; ``mode="failfast"`` raises on the first short line, which
-    is how the original job behaved.
-    """
-    rec = records(lines, line_col, keep_line=(mode == "failfast"))
+
+def airport_ids(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """``id``: origin and destination of every line with at least three fields (one generator)."""
     ends = F.array(field(_f(), 1), field(_f(), 2))
-    if mode == "drop":
-        gen = F.when(_n() >= MIN_AIRPORT_FIELDS, ends)
-    elif mode == "failfast":
-        gen = F.when(_n() >= MIN_AIRPORT_FIELDS, ends).otherwise(
-            F.raise_error(F.concat(F.lit("line has fewer than 3 fields: "), F.col("line"))))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    return rec.select(F.explode(gen).alias("id"))
+    return records(lines, line_col).select(F.explode(F.when(_n() >= MIN_AIRPORT_FIELDS, ends)).alias("id"))
+
+
+def _flight_number() -> Column:
+    """The flight number as BIGINT; NULL unless the field is all digits that fit."""
+    f = field(_f(), 1)
+    return F.when(f.rlike(r"\A\d+\z"), f.try_cast("bigint"))
 
 
 def legs(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Valid itinerary legs: flight_date DATE, flight BIGINT, origin, dest, arr_delay DOUBLE.
 
-    Valid = seven fields, strict date, non-blank airports, numeric arrival delay.
+    Valid = seven fields, strict date, a flight number, non-blank airports, numeric arrival delay.
     """
     typed = flat_map_fields(records(lines, line_col), _n() == LEG_FIELDS, [
         parse_date(field(_f(), 0)).alias("flight_date"),
-        field(_f(), 1).try_cast("bigint").alias("flight"),
+        _flight_number().alias("flight"),
         field(_f(), 2).alias("origin"),
         field(_f(), 3).alias("dest"),
         to_delay(field(_f(), 6)).alias("arr_delay"),
     ])
-    return typed.where(F.col("flight_date").isNotNull() & (F.col("origin") != "")
+    return typed.where(F.col("flight_date").isNotNull() & F.col("flight").isNotNull() & (F.col("origin") != "")
                        & (F.col("dest") != "") & F.col("arr_delay").isNotNull())
-
-
-def _leg_reason() -> Column:
-    n = _n()
-    return (F.when(n != LEG_FIELDS, F.lit("arity"))
-            .when(parse_date(field(_f(), 0)).isNull(), F.lit("bad_date"))
-            .when((field(_f(), 2) == "") | (field(_f(), 3) == ""), F.lit("blank_airport"))
-            .when(~is_numeric_literal(field(_f(), 6)), F.lit("bad_arr_delay"))
-            .otherwise(F.lit("ok")))
-
-
-def classify_legs(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Every itinerary line with ``n_fields`` and the first failing ``reason`` (or ``ok``)."""
-    rec = records(lines, line_col, keep_line=True)
-    return rec.select("line", _n().cast("bigint").alias("n_fields"), _leg_reason().alias("reason"))
-
-
-def leg_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """The itinerary lines that cannot be legs, with their reason."""
-    rec = records(lines, line_col, keep_line=True)
-    reason = _leg_reason()
-    return flat_map_fields(rec, reason != "ok",
-                           [F.col("line"), _n().cast("bigint").alias("n_fields"), reason.alias("reason")])

@@ -2,7 +2,7 @@
 
 Every entry derives its lines from the supplied tables with Spark and runs
 over all of them. ``stream_*`` and ``sink_*`` entries replay the lines through
-the streaming runners (one file per micro-batch, ``availableNow``) and return
+the streaming runners (several micro-batches, ``availableNow``) and return
 the final result table, which must equal the batch answer.
 """
 
@@ -14,21 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from skytally.operators import leg_rejects, rejects
+from skytally.operators import LEG_JOB, rejects
 from skytally.plans import diagnostics as D
 from skytally.plans import queries as Q
-from skytally.sources import itinerary_lines, on_time_lines
+from skytally.plans import layout as L
+from skytally.sources import defect_itinerary_lines, defect_on_time_lines, itinerary_lines, on_time_lines
 from skytally.streaming import runner as R
 from skytally.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Replays use files of this many lines, one file per micro-batch, so every
-# streaming entry crosses several micro-batches (three at sf0.01) and the
-# final table depends on state carried between them.
-REPLAY_RECORDS_PER_FILE = 20_000
-
-
 def _five(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(on_time_lines(spark, sf_dir))
 
@@ -37,6 +32,14 @@ def _seven(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(itinerary_lines(spark, sf_dir))
 
 
+def _five_defects(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(defect_on_time_lines(spark, sf_dir))
+
+
+def _seven_defects(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(defect_itinerary_lines(spark, sf_dir))
+
+
 def _iso_dates(df: DataFrame) -> DataFrame:
     """Registry output only: DATE columns as ``yyyy-MM-dd`` text, so the comparison with the
     oracle does not depend on how a client library represents dates."""
@@ -52,6 +55,10 @@ def _joined_items(df: DataFrame, group_cols: list[str]) -> DataFrame:
     return df.select(*group_cols, F.array_join("items", "|").alias("items"))
 
 
+def _joined_list(df: DataFrame) -> DataFrame:
+    return df.select("Id", F.array_join("CarriersList", "|").alias("CarriersList"))
+
+
 def _packed(spec: Q.GroupedRanking) -> Query:
     return _five(lambda lines: _joined_items(Q.packed_top_k(lines, spec), spec.group_cols))
 
@@ -64,11 +71,18 @@ def _pair_counts(lines: DataFrame) -> DataFrame:
 def _stream(name: str, start_fn, lines_fn=on_time_lines,
             post: Callable[[DataFrame], DataFrame] | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = replay(spark, lines_fn(spark, sf_dir), start_fn, name, records_per_file=REPLAY_RECORDS_PER_FILE)
+        out = replay(spark, lines_fn(spark, sf_dir), start_fn, name)
         return post(out) if post else out
     return run
 
 
+def _stream_rejects(job: str, lines_fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return replay(spark, lines_fn(spark, sf_dir), lambda lines, table, ckpt, trigger: R.reject_stream(lines, job, table, ckpt, trigger),
+                      "stream-rejects", read=lambda s, base: s.read.parquet(f"{base}/table"))
+    return run
+
+
 def _grouped_stream(spec: Q.GroupedRanking, **kw):
     return lambda lines, table, ckpt, trigger: R.grouped_top_k_stream(lines, spec, table, ckpt, trigger, **kw)
 
@@ -80,10 +94,18 @@ def queries() -> dict[str, Query]:
         "arity_histogram": _five(D.arity_histogram),
         "numeric_delays": _five(D.numeric_delays),
         "on_time_flags": _five(D.on_time_flags),
-        "reject_summary": _five(D.reject_summary),
-        "leg_reject_summary": _seven(D.leg_reject_summary),
-        "rejected_lines": _five(rejects),
-        "rejected_legs": _seven(leg_rejects),
+        # the same over lines with planted defects of every kind
+        "defect_split_fields": _five_defects(D.split_summary),
+        "defect_airport_popularity": _five_defects(Q.airport_popularity),
+        "defect_carrier_on_time_arrivals": _five_defects(Q.carrier_on_time_arrivals),
+        "defect_top10_carriers_by_airport": _five_defects(Q.top10_carriers_by_airport),
+        "defect_itinerary_best": _dated(_seven_defects(Q.best_itineraries)),
+        "reject_summary": _five_defects(D.reject_summary),
+        "leg_reject_summary": _seven_defects(D.leg_reject_summary),
+        "rejected_lines": _five_defects(D.all_rejects),
+        "rejected_legs": _seven_defects(lambda lines: rejects(lines, LEG_JOB)),
+        "stream_rejects": _stream_rejects("carriers-by-route", defect_on_time_lines),
+        "stream_leg_rejects": _stream_rejects(LEG_JOB, defect_itinerary_lines),
         # Q1.1 airports
         "airport_popularity": _five(Q.airport_popularity),
         "airports_ranked": _five(Q.airports_ranked),
@@ -128,11 +150,13 @@ def queries() -> dict[str, Query]:
                                                   _grouped_stream(Q.CARRIERS_BY_ROUTE)),
         "stream_top10_carriers_by_route_update": _stream(
             "stream-carriers-by-route-update", _grouped_stream(Q.CARRIERS_BY_ROUTE, mode="update")),
-        "stream_itinerary": _dated(_stream("stream-itinerary", R.itinerary_stream, lines_fn=itinerary_lines)),
-        "stream_itinerary_update": _dated(_stream(
-            "stream-itinerary-update",
-            lambda lines, table, ckpt, trigger: R.itinerary_stream(lines, table, ckpt, trigger, mode="update"),
+        "stream_itinerary": _dated(_stream(
+            "stream-itinerary",
+            lambda lines, table, ckpt, trigger: R.itinerary_stream(lines, table, ckpt, trigger, mode="complete"),
             lines_fn=itinerary_lines)),
+        "stream_itinerary_update": _dated(_stream(
+            "stream-itinerary-update", R.itinerary_stream, lines_fn=itinerary_lines)),
+        "itinerary_layout": _seven(lambda lines: _joined_list(L.itineraries_layout(Q.best_itineraries(lines)))),
         # keyed upsert sinks in update mode, several micro-batches
         "sink_upsert_counts": _stream(
             "sink-counts",

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from skytally.functions import field, format_date, is_numeric_literal, parse_date, shift_days
 from skytally.functions.dates import CONNECTION_GAP_DAYS
 from skytally.operators import (
-    classify_legs,
-    classify_on_time,
+    LEG_JOB,
+    ON_TIME_JOBS,
+    classify,
     count_by,
     flat_map_fields,
     leg_union,
@@ -21,7 +22,7 @@ from skytally.operators import (
     on_time_records,
     records,
 )
-from skytally.operators.parse import LEG_FIELDS, ON_TIME_FIELDS
+from skytally.operators.parse import LEG_FIELDS, ON_TIME_FIELDS, line_reason
 
 
 def split_summary(lines: DataFrame) -> DataFrame:
@@ -52,13 +53,23 @@ def on_time_flags(lines: DataFrame) -> DataFrame:
 
 
 def reject_summary(lines: DataFrame) -> DataFrame:
-    """``reason, n`` for on-time lines (``ok`` included)."""
-    return count_by(classify_on_time(lines).select("reason"), ["reason"])
+    """``job, reason, n`` over five-field lines (``ok`` included): one scan, every job's reason per line."""
+    rec = records(lines)
+    each = F.array(*[F.struct(F.lit(j).alias("job"), line_reason(j).alias("reason")) for j in ON_TIME_JOBS])
+    return count_by(rec.select(F.inline(each)), ["job", "reason"])
 
 
 def leg_reject_summary(lines: DataFrame) -> DataFrame:
     """``reason, n`` for itinerary lines (``ok`` included)."""
-    return count_by(classify_legs(lines).select("reason"), ["reason"])
+    return count_by(classify(lines, LEG_JOB).select("reason"), ["reason"])
+
+
+def all_rejects(lines: DataFrame) -> DataFrame:
+    """``job, line, n_fields, reason``: what each of the five-field jobs rejects."""
+    rec = records(lines, keep_line=True)
+    each = F.array(*[F.struct(F.lit(j).alias("job"), line_reason(j).alias("reason")) for j in ON_TIME_JOBS])
+    hits = rec.select("line", F.size("f").cast("bigint").alias("n_fields"), F.inline(F.filter(each, lambda x: x["reason"] != "ok")))
+    return hits.select("job", "line", "n_fields", "reason")
 
 
 def date_parse_summary(lines: DataFrame) -> DataFrame:

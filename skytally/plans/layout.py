@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # --- fixed values: attribute names of the original result tables ---
 ORIGINAL_COUNT_COLUMNS = ("Id", "Popularity")
 ORIGINAL_LIST_COLUMNS = ("Airport", "CarriersList")
+ORIGINAL_ITINERARY_COLUMNS = ("Id", "CarriersList")
 # --- end of fixed values ---
 
 
@@ -28,3 +29,10 @@ def lists_layout(packed: DataFrame, group_cols: list[str]) -> DataFrame:
     key, value = ORIGINAL_LIST_COLUMNS
     group = F.col(group_cols[0]) if len(group_cols) == 1 else F.concat_ws(",", *group_cols)
     return packed.select(group.alias(key), F.col("items").alias(value))
+
+
+def itineraries_layout(best: DataFrame) -> DataFrame:
+    """Best itineraries -> ``Id, CarriersList``: key ``date,x,y,z``, list of ``"flight,delay"`` per leg."""
+    key, value = ORIGINAL_ITINERARY_COLUMNS
+    leg = [F.concat_ws(",", F.col(f"flight{i}").cast("string"), F.col(f"delay{i}").cast("string")) for i in (1, 2)]
+    return best.select(F.concat_ws(",", F.date_format("flight_date", "yyyy-MM-dd"), "x", "y", "z").alias(key), F.array(*leg).alias(value))

@@ -45,14 +45,18 @@ lines7 AS (
   FROM flights
 ),
 rec AS (
-  SELECT string_split(array_to_string(list_transform(seg, lambda e, i:
-           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)) AS f
-  FROM (SELECT string_split(regexp_replace(line, ',+$', ''), '"') AS seg FROM lines5) s
+  SELECT line, list_transform(string_split(array_to_string(list_transform(seg, lambda e, i:
+           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)),
+           lambda x: replace(replace(x, chr(30) || '1', chr(31)), chr(30) || '0', chr(30))) AS f
+  FROM (SELECT line, string_split(regexp_replace(
+          replace(replace(line, chr(30), chr(30) || '0'), chr(31), chr(30) || '1'), ',+$', ''), '"') AS seg FROM lines5) s
 ),
 rec7 AS (
-  SELECT string_split(array_to_string(list_transform(seg, lambda e, i:
-           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)) AS f
-  FROM (SELECT string_split(regexp_replace(line, ',+$', ''), '"') AS seg FROM lines7) s
+  SELECT line, list_transform(string_split(array_to_string(list_transform(seg, lambda e, i:
+           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)),
+           lambda x: replace(replace(x, chr(30) || '1', chr(31)), chr(30) || '0', chr(30))) AS f
+  FROM (SELECT line, string_split(regexp_replace(
+          replace(replace(line, chr(30), chr(30) || '0'), chr(31), chr(30) || '1'), ',+$', ''), '"') AS seg FROM lines7) s
 ),
 ontime AS (
   SELECT f[1] AS carrier, f[2] AS origin, f[3] AS dest,
@@ -61,38 +65,33 @@ ontime AS (
   FROM rec WHERE len(f) = 5
 ),
 leg AS (
-  SELECT CAST(try_strptime(f[1], '%Y-%m-%d') AS DATE) AS d, CAST(f[2] AS BIGINT) AS flight,
-         f[3] AS o, f[4] AS t, CAST(f[7] AS DOUBLE) AS arr
+  SELECT CAST(try_strptime(f[1], '%Y-%m-%d') AS DATE) AS d, try_cast(f[2] AS BIGINT) AS flight,
+         f[3] AS o, f[4] AS t, try_cast(f[7] AS DOUBLE) AS arr
   FROM rec7
   WHERE len(f) = 7 AND try_strptime(f[1], '%Y-%m-%d') IS NOT NULL AND f[3] <> '' AND f[4] <> ''
+    AND regexp_full_match(f[2], '\d+') AND try_cast(f[2] AS BIGINT) IS NOT NULL
     AND regexp_full_match(f[7], {NUM})
 ),
-split5 AS (
-  SELECT line, string_split(array_to_string(list_transform(seg, lambda e, i:
-           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)) AS f
-  FROM (SELECT line, string_split(regexp_replace(line, ',+$', ''), '"') AS seg FROM lines5) s
-),
-split7 AS (
-  SELECT line, string_split(array_to_string(list_transform(seg, lambda e, i:
-           CASE WHEN (len(seg) - i) % 2 = 0 THEN replace(e, ',', chr(31)) ELSE e END), '"'), chr(31)) AS f
-  FROM (SELECT line, string_split(regexp_replace(line, ',+$', ''), '"') AS seg FROM lines7) s
-),
-reason5 AS (
-  SELECT line, f, CASE WHEN len(f) < 3 THEN 'short'
-                       WHEN len(f) <> 5 THEN 'arity'
-                       WHEN f[1] = '' OR f[2] = '' OR f[3] = '' THEN 'blank_key'
-                       WHEN NOT coalesce(regexp_full_match(f[4], {NUM}), false) THEN 'bad_dep_delay'
-                       WHEN NOT coalesce(regexp_full_match(f[5], {NUM}), false) THEN 'bad_arr_delay'
-                       ELSE 'ok' END AS reason
-  FROM split5
+jobs AS (
+  SELECT line, f, job, CASE
+      WHEN len(f) < 3 THEN 'short'
+      WHEN job = 'airports' THEN 'ok'
+      WHEN len(f) <> 5 THEN 'arity'
+      WHEN job LIKE '%-by-airport' AND NOT coalesce(regexp_full_match(f[4], {NUM}), false) THEN 'bad_dep_delay'
+      WHEN job IN ('carriers', 'carriers-by-route') AND NOT coalesce(regexp_full_match(f[5], {NUM}), false) THEN 'bad_arr_delay'
+      WHEN job IN ('carriers-by-airport', 'carriers-by-route') AND f[1] = '' THEN 'blank_key'
+      WHEN job = 'destinations-by-airport' AND f[3] = '' THEN 'blank_key'
+      ELSE 'ok' END AS reason
+  FROM rec, (SELECT unnest(['airports', 'carriers', 'carriers-by-airport', 'destinations-by-airport', 'carriers-by-route']) AS job) j
 ),
 reason7 AS (
   SELECT line, f, CASE WHEN len(f) <> 7 THEN 'arity'
                        WHEN try_strptime(f[1], '%Y-%m-%d') IS NULL THEN 'bad_date'
+                       WHEN NOT regexp_full_match(f[2], '\d+') OR try_cast(f[2] AS BIGINT) IS NULL THEN 'bad_flight'
                        WHEN f[3] = '' OR f[4] = '' THEN 'blank_airport'
                        WHEN NOT coalesce(regexp_full_match(f[7], {NUM}), false) THEN 'bad_arr_delay'
                        ELSE 'ok' END AS reason
-  FROM split7
+  FROM rec7
 ),
 o1 AS (
   SELECT id, count(*) AS popularity
@@ -125,14 +124,47 @@ o6 AS (
   GROUP BY a.d, a.o, a.t, b.t
 ),
 o7 AS (
-  SELECT flight_date, x, y, z, flight1, flight2, total_delay FROM (
+  SELECT flight_date, x, y, z, flight1, flight2, delay1, delay2, total_delay FROM (
     SELECT a.d AS flight_date, a.o AS x, a.t AS y, b.t AS z, a.flight AS flight1, b.flight AS flight2,
-           a.arr + b.arr AS total_delay,
+           a.arr AS delay1, b.arr AS delay2, a.arr + b.arr AS total_delay,
            row_number() OVER (PARTITION BY a.d, a.o, a.t, b.t ORDER BY a.arr + b.arr, a.flight, b.flight) AS r
     FROM leg a JOIN leg b ON a.t = b.o AND b.d = a.d + INTERVAL 2 DAY) q WHERE r = 1
 )
 """
 
+# The same prefix over lines with planted defects, one kind per remainder of the flight number.
+DEFECT_LINES = r"""lines5 AS (
+  SELECT CASE (flight_num * 7 + ln) % 23
+      WHEN 0 THEN concat_ws(',', '', origin, dest, dep, arr)
+      WHEN 1 THEN concat_ws(',', carrier_raw, '', dest, dep, arr)
+      WHEN 2 THEN concat_ws(',', carrier_raw, origin, '', dep, 'NA')
+      WHEN 3 THEN concat_ws(',', carrier_raw, origin)
+      WHEN 4 THEN ''
+      WHEN 5 THEN concat_ws(',', carrier_raw || '"', origin, dest, dep, arr)
+      WHEN 6 THEN concat_ws(',', '"' || carrier_raw || chr(31) || chr(30) || '1' || ', Inc"', origin, dest, dep, arr)
+      WHEN 7 THEN concat_ws(',', carrier_raw || chr(31) || chr(30) || '1', origin, dest, ' ' || dep, arr)
+      ELSE concat_ws(',', carrier, origin, dest, dep, arr) END AS line
+  FROM (SELECT *, CASE WHEN ln = 1 THEN concat('"', carrier_raw, ', Inc"') ELSE carrier_raw END AS carrier,
+               concat(CAST(dep_i AS STRING), '.00') AS dep, concat(CAST(arr_i AS STRING), '.00') AS arr FROM flights) g
+),
+lines7 AS (
+  SELECT CASE (flight_num * 7 + ln) % 23
+      WHEN 0 THEN concat_ws(',', d, n, '', dest, carrier_raw, dep, arr)
+      WHEN 1 THEN concat_ws(',', d, n, origin, '', carrier_raw, dep, arr)
+      WHEN 2 THEN concat_ws(',', d, 'AA' || n, origin, dest, carrier_raw, dep, arr)
+      WHEN 3 THEN concat_ws(',', d, n, origin, dest, carrier_raw, dep, 'NA')
+      WHEN 4 THEN concat_ws(',', '1999-02-31', n, origin, dest, carrier_raw, dep, arr)
+      WHEN 5 THEN concat_ws(',', d, n, origin, dest, carrier_raw, dep)
+      WHEN 6 THEN concat_ws(',', d, n, origin, dest, '"' || carrier_raw || chr(31) || ', "', dep, arr)
+      WHEN 7 THEN concat_ws(',', d, n, origin, dest, '', dep, '')
+      ELSE concat_ws(',', d, n, origin, dest, carrier, dep, arr) END AS line
+  FROM (SELECT *, CAST(flight_date AS STRING) AS d, CAST(flight_num AS STRING) AS n,
+               CASE WHEN ln = 1 THEN concat('"', carrier_raw, ', Inc"') ELSE carrier_raw END AS carrier,
+               concat(CAST(dep_i AS STRING), '.00') AS dep, concat(CAST(arr_i AS STRING), '.00') AS arr FROM flights) g
+),
+"""
+DEFECT_PREFIX = PREFIX[:PREFIX.index("lines5 AS (")] + DEFECT_LINES + PREFIX[PREFIX.index("rec AS ("):]
+
 BODIES = {
     "split_fields": "SELECT CAST(len(f) AS BIGINT) AS n_fields, f[1] AS f0, f[2] AS f1, f[3] AS f2, "
                     "count(*) AS n FROM rec GROUP BY 1, 2, 3, 4",
@@ -146,10 +178,6 @@ BODIES = {
           FROM rec WHERE len(f) = 5) u
         GROUP BY 1, 2""",
     "on_time_flags": "SELECT dep_ok AS dep_on_time, arr_ok AS arr_on_time, count(*) AS n FROM ontime GROUP BY 1, 2",
-    "reject_summary": "SELECT reason, count(*) AS n FROM reason5 GROUP BY reason",
-    "leg_reject_summary": "SELECT reason, count(*) AS n FROM reason7 GROUP BY reason",
-    "rejected_lines": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason5 WHERE reason <> 'ok'",
-    "rejected_legs": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason7 WHERE reason <> 'ok'",
     "airport_popularity": "SELECT id, popularity FROM o1",
     "airports_ranked": "SELECT CAST(row_number() OVER (ORDER BY popularity DESC, id) AS BIGINT) AS rank, "
                        "id, popularity FROM o1",
@@ -190,7 +218,27 @@ BODIES = {
         GROUP BY 1, 2, 3""",
     "itinerary_legs": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, n, best FROM o6",
     "itinerary_best": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, flight1, flight2, "
-                      "total_delay FROM o7",
+                      "delay1, delay2, total_delay FROM o7",
+    "itinerary_layout": "SELECT concat_ws(',', strftime(flight_date, '%Y-%m-%d'), x, y, z) AS Id, "
+                        "concat(flight1, ',', delay1, '|', flight2, ',', delay2) AS CarriersList FROM o7",
+}
+
+# Lines with planted defects instead of the plain ones.
+DEFECTS = {
+    "defect_split_fields": "split_fields",
+    "defect_airport_popularity": "airport_popularity",
+    "defect_carrier_on_time_arrivals": "carrier_on_time_arrivals",
+    "defect_top10_carriers_by_airport": "top10_carriers_by_airport",
+    "defect_itinerary_best": "itinerary_best",
+}
+DEFECT_BODIES = {
+    "reject_summary": "SELECT job, reason, count(*) AS n FROM jobs GROUP BY job, reason",
+    "leg_reject_summary": "SELECT reason, count(*) AS n FROM reason7 GROUP BY reason",
+    "rejected_lines": "SELECT job, line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM jobs WHERE reason <> 'ok'",
+    "rejected_legs": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason7 WHERE reason <> 'ok'",
+    "stream_rejects": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM jobs "
+                      "WHERE reason <> 'ok' AND job = 'carriers-by-route'",
+    "stream_leg_rejects": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason7 WHERE reason <> 'ok'",
 }
 
 # Streaming replays and sinks must end equal to the batch answer.
@@ -215,4 +263,6 @@ def oracle_sql() -> dict[str, str]:
     out = {name: PREFIX + body for name, body in BODIES.items()}
     for name, same in SAME_AS.items():
         out[name] = out[same]
+    for name, body in (DEFECT_BODIES | {name: BODIES[same] for name, same in DEFECTS.items()}).items():
+        out[name] = DEFECT_PREFIX + body
     return out

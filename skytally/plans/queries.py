@@ -33,9 +33,9 @@ from skytally.operators.topk import DEFAULT_K
 
 # ---- Q1.1 airport popularity -------------------------------------------------
 
-def airport_popularity(lines: DataFrame, mode: str = "drop") -> DataFrame:
+def airport_popularity(lines: DataFrame) -> DataFrame:
     """``id, popularity``: flights that start or end at each airport."""
-    return count_by(airport_ids(lines, mode=mode), ["id"], "popularity")
+    return count_by(airport_ids(lines), ["id"], "popularity")
 
 
 def airports_ranked(lines: DataFrame) -> DataFrame:
@@ -123,5 +123,5 @@ def itinerary_counts(lines: DataFrame) -> DataFrame:
 
 
 def best_itineraries(lines: DataFrame) -> DataFrame:
-    """``flight_date, x, y, z, flight1, flight2, total_delay`` from itinerary lines."""
+    """``flight_date, x, y, z, flight1, flight2, delay1, delay2, total_delay`` from itinerary lines."""
     return _best_itineraries(legs(lines))

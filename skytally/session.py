@@ -1,8 +1,8 @@
 """Session construction and the shared scratch location.
 
 On a cluster the scratch root is the shared folder named by
-``spark.checkpoint.dir``; it is only invented (under the local temp dir) when
-the session has none, which is the case in unit tests on a laptop.
+``spark.checkpoint.dir``; without it a session with executors elsewhere is
+refused, and a local one (unit tests on a laptop) gets a temporary folder.
 """
 
 from __future__ import annotations
@@ -25,11 +25,12 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "skytally", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", app: str = "skytally", shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -49,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="skytally-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

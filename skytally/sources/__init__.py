@@ -1,6 +1,12 @@
 """Inputs: parquet tables, derived flight lines, text/Kafka line sources."""
 
-from skytally.sources.flights import flights, itinerary_lines, on_time_lines
+from skytally.sources.flights import (
+    defect_itinerary_lines,
+    defect_on_time_lines,
+    flights,
+    itinerary_lines,
+    on_time_lines,
+)
 from skytally.sources.lines import (
     file_line_stream,
     kafka_line_stream,
@@ -8,10 +14,11 @@ from skytally.sources.lines import (
     text_lines,
     write_lines,
 )
-from skytally.sources.tables import bounded_broadcast, read_table
+from skytally.sources.tables import read_table
 
 __all__ = [
-    "bounded_broadcast",
+    "defect_itinerary_lines",
+    "defect_on_time_lines",
     "file_line_stream",
     "flights",
     "itinerary_lines",

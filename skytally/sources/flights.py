@@ -6,7 +6,7 @@ section 2 and mirrored by the DuckDB oracle). Production input is text lines
 from files or Kafka (``skytally.sources.lines``); this module only produces the
 same kind of lines from the tables, with Spark, so the work grows with them.
 
-Plan shape: the two nation lookups are broadcast behind a row-count check; the
+Plan shape: Catalyst broadcasts the two nation lookups by their size; the
 order->customer->nation and supplier->nation lookups are reduced to two narrow
 key maps before they meet ``lineitem``, so ``lineitem`` is only joined to
 two-column frames and its scan reads just the seven columns it needs.
@@ -17,16 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.sources.tables import bounded_broadcast, read_table
-
-# nation has 25 rows by definition; anything above this is not broadcast.
-NATION_BROADCAST_ROWS = 10_000
-
+from skytally.sources.tables import read_table
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item: carrier, airports, integer delays, date, flight number."""
-    nation = bounded_broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]),
-                               NATION_BROADCAST_ROWS)
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     supplier = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
@@ -97,3 +92,52 @@ def itinerary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(",", date_s, F.col("flight_num").cast("string"), "origin", "dest",
                        _carrier(), _minutes("dep_i"), arr)
     return f.select(line.alias("line"))
+
+
+# Defects planted by flight number, one kind per remainder.
+DEFECT_EVERY = 23
+
+
+def _defects(line: F.Column, kinds: list[F.Column]) -> F.Column:
+    kind = F.pmod(F.col("flight_num") * 7 + F.col("ln"), F.lit(DEFECT_EVERY))
+    out = F.when(kind == 0, kinds[0])
+    for i, k in enumerate(kinds[1:], start=1):
+        out = out.when(kind == i, k)
+    return out.otherwise(line)
+
+
+def defect_on_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-field lines of which about a third are broken, in every way a line can be.
+
+    By remainder: blank carrier, blank origin, blank destination, two fields, an empty line, an unbalanced
+    quote, separators' marker characters inside quotes and outside, blanks around a delay.
+    """
+    carrier, dep, arr = F.col("carrier_raw"), _minutes("dep_i"), _minutes("arr_i")
+    mark = F.concat(carrier, F.lit("\x1f\x1e1"))
+    return flights(spark, sf_dir).select(_defects(F.concat_ws(",", _carrier(), "origin", "dest", dep, arr), [
+        F.concat_ws(",", F.lit(""), "origin", "dest", dep, arr),
+        F.concat_ws(",", carrier, F.lit(""), "dest", dep, arr),
+        F.concat_ws(",", carrier, "origin", F.lit(""), dep, F.lit("NA")),
+        F.concat_ws(",", carrier, "origin"),
+        F.lit(""),
+        F.concat_ws(",", F.concat(carrier, F.lit('"')), "origin", "dest", dep, arr),
+        F.concat_ws(",", F.concat(F.lit('"'), mark, F.lit(', Inc"')), "origin", "dest", dep, arr),
+        F.concat_ws(",", mark, "origin", "dest", F.concat(F.lit(" "), dep), arr),
+    ]).alias("line"))
+
+
+def defect_itinerary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven-field lines of which about a third are broken: blank airports, a flight number that is none,
+    a delay that is none, an impossible date, a missing field, a quote in the carrier."""
+    date, flight = F.col("flight_date").cast("string"), F.col("flight_num").cast("string")
+    carrier, dep, arr = F.col("carrier_raw"), _minutes("dep_i"), _minutes("arr_i")
+    return flights(spark, sf_dir).select(_defects(F.concat_ws(",", date, flight, "origin", "dest", _carrier(), dep, arr), [
+        F.concat_ws(",", date, flight, F.lit(""), "dest", carrier, dep, arr),
+        F.concat_ws(",", date, flight, "origin", F.lit(""), carrier, dep, arr),
+        F.concat_ws(",", date, F.concat(F.lit("AA"), flight), "origin", "dest", carrier, dep, arr),
+        F.concat_ws(",", date, flight, "origin", "dest", carrier, dep, F.lit("NA")),
+        F.concat_ws(",", F.lit("1999-02-31"), flight, "origin", "dest", carrier, dep, arr),
+        F.concat_ws(",", date, flight, "origin", "dest", carrier, dep),
+        F.concat_ws(",", date, flight, "origin", "dest", F.concat(F.lit('"'), carrier, F.lit('\x1f, "')), dep, arr),
+        F.concat_ws(",", date, flight, "origin", "dest", F.lit(""), dep, F.lit("")),
+    ]).alias("line"))

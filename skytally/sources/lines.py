@@ -23,9 +23,18 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
-                     clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
-    """Streaming replay of a directory of text files, ``max_files_per_trigger`` at a time.
+def byte_size(text: str | int) -> int:
+    """Bytes of ``"512m"``, ``"2g"``, ``"64k"`` or a plain number."""
+    text = str(text).strip().lower()
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(text[:-1] if unit > 1 else text) * unit
+
+
+def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1,
+                     clean_source: str | None = None, archive_dir: str | None = None,
+                     max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Streaming replay of a directory of text files, ``max_files_per_trigger`` at a time
+    (``None``: all there are), or up to ``max_bytes_per_trigger`` ("512m") instead.
 
     New files are picked up in modification-time order; the final result of
     every query in this package does not depend on that order.
@@ -33,7 +42,11 @@ def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     move or remove files once their batch is committed, so a long-running feed
     does not accumulate processed input.
     """
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", byte_size(max_bytes_per_trigger))
+    elif max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source is not None:
         if clean_source not in ("archive", "delete"):
             raise ValueError("clean_source must be 'archive' or 'delete'")
@@ -46,13 +59,15 @@ def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def kafka_options(bootstrap_servers: str, topics: str | list[str], starting_offsets: str = "latest",
-                  max_offsets_per_trigger: int | None = RECORDS_PER_TRIGGER,
+                  max_offsets_per_trigger: int | None = None,
                   min_partitions: int | None = None, group_id_prefix: str | None = None) -> dict[str, str]:
     """Options for the Kafka source.
 
     ``topics`` may be a comma list or a Python list (multi-topic subscribe).
     Start defaults to ``latest`` (newest offsets, as an old high-level consumer
-    with no reset setting); the per-trigger cap replaces a per-receiver rate.
+    with no reset setting). ``max_offsets_per_trigger`` caps the whole query's
+    trigger; there is no cap by default. For the original rate per receiver pass
+    ``RECORDS_PER_TRIGGER`` times the number of topic partitions.
     ``min_partitions`` plays the part of "threads per topic".
     """
     subscribe = topics if isinstance(topics, str) else ",".join(topics)
@@ -92,13 +107,13 @@ def kafka_line_stream(spark: SparkSession, bootstrap_servers: str, topics: str |
     return raw.select(F.col("value").cast("string").alias("line"))
 
 
-def write_lines(lines: DataFrame, path: str, records_per_file: int = RECORDS_PER_TRIGGER) -> str:
-    """Write lines as text files of at most ``records_per_file`` lines each.
+def write_lines(lines: DataFrame, path: str, records_per_file: int | None = RECORDS_PER_TRIGGER) -> str:
+    """Write lines as text files of at most ``records_per_file`` lines each (``None``: one per task).
 
     Paired with ``file_line_stream(max_files_per_trigger=1)`` this bounds every
     micro-batch the way the original per-receiver rate cap did. The write is
     parallel (one or more files per task); nothing goes through the driver.
     """
     (lines.select("line").write.mode("overwrite")
-     .option("maxRecordsPerFile", int(records_per_file)).text(path))
+     .option("maxRecordsPerFile", int(records_per_file or 0)).text(path))
     return path

@@ -1,9 +1,8 @@
-"""Parquet table access and a size-checked broadcast."""
+"""Parquet table access."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -19,14 +18,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """Read one parquet table, projecting early so the scan's ReadSchema is pruned."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it really holds at most ``max_rows`` rows.
-
-    The count is a cheap metadata-backed job on parquet dimension tables. Above
-    the bound the frame is returned untouched, so the planner keeps a shuffle
-    join (or AQE converts it at runtime from measured sizes).
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -10,7 +10,8 @@ micro-batch inside ``foreachBatch`` on the aggregation's output:
   a new snapshot version.
 * ``mode="update"``: only keys whose count changed are emitted; they are
   merged into a counts table by key and only the touched groups are re-ranked
-  and merged into the result table. Use this when the counted table is large.
+  and merged into the result table. Tables are bucketed by group, so a trigger
+  reads and writes the buckets of the groups it changed.
 
 Triggers: ``{"processingTime": "2 seconds"}`` in production, ``{"availableNow":
 True}`` for replays and tests.
@@ -27,6 +28,7 @@ from skytally.operators import (
     legs,
     pack_top_k,
     rank_by_count,
+    rejects,
     route_day_stats,
     top_k_per_group,
     top_n,
@@ -35,11 +37,15 @@ from skytally.operators.topk import DEFAULT_K
 from skytally.plans import queries as Q
 from skytally.sources.lines import TRIGGER_SECONDS
 from skytally.streaming.sinks import (
+    DEFAULT_BUCKETS,
+    DEFAULT_KEEP_VERSIONS,
+    buckets_of,
     check_table_matches_checkpoint,
+    read_version,
+    show_version,
     snapshot_sink,
     upsert_by_key,
     upsert_sink,
-    version_path,
 )
 
 DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
@@ -66,54 +72,53 @@ def _then(first, post):
     return lambda df: post(first(df))
 
 
-def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict | None,
-                  mode: str, ranked: bool, top: int | None = None, post=None) -> StreamingQuery:
-    if post is not None and mode != "complete":
-        raise ValueError("an output layout is applied to whole snapshots: use mode='complete'")
-    if top is not None:
-        if mode != "complete" or ranked:
-            raise ValueError("top-n needs every key each batch: use mode='complete' without ranked")
-        return start(counts, snapshot_sink(table, _then(lambda df: top_n(df, top), post)), checkpoint, mode,
-                     trigger, tables=(table,))
-    if mode == "complete":
-        sink = snapshot_sink(table, _then(rank_by_count if ranked else None, post))
-    elif mode == "update":
-        if ranked:
-            raise ValueError("a global rank needs every key each batch: use mode='complete'")
-        sink = upsert_sink(table, ["id"])
-    else:
+def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict | None, mode: str, ranked: bool,
+                  top: int | None, post, keep_versions: int | None, show: int) -> StreamingQuery:
+    if mode not in ("complete", "update"):
         raise ValueError(f"unknown mode {mode!r}")
+    if mode == "update":
+        if ranked or top is not None:
+            raise ValueError("a ranking needs every key each batch: use mode='complete'")
+        # a layout works row by row, and its first column is the key
+        key = "id" if post is None else post(counts).columns[0]
+        sink = upsert_sink(table, [key], post, keep_versions, show)
+    else:
+        if top is not None and ranked:
+            raise ValueError("top-n or a full ranking, not both")
+        arrange = (lambda df: top_n(df, top)) if top is not None else rank_by_count if ranked else None
+        sink = snapshot_sink(table, _then(arrange, post), keep_versions, show)
     return start(counts, sink, checkpoint, mode, trigger, tables=(table,))
 
 
 def airport_popularity_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                              mode: str = "complete", ranked: bool = False,
-                              top: int | None = None, post=None) -> StreamingQuery:
+                              mode: str = "complete", ranked: bool = False, top: int | None = None, post=None,
+                              keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0) -> StreamingQuery:
     """Running ``id, popularity`` per airport into ``table``.
 
     ``ranked=True`` adds the global ``rank``; ``top=n`` keeps only the n busiest;
-    ``post`` reshapes each snapshot (e.g. ``plans.layout.counts_layout``).
+    ``post`` reshapes the rows (e.g. ``plans.layout.counts_layout``); ``show=n`` prints n rows per trigger.
     """
-    return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked, top, post)
+    return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked, top, post, keep_versions, show)
 
 
 def carrier_on_time_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                           mode: str = "complete", ranked: bool = False,
-                           top: int | None = None, post=None) -> StreamingQuery:
+                           mode: str = "complete", ranked: bool = False, top: int | None = None, post=None,
+                           keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0) -> StreamingQuery:
     """Running ``id, popularity`` of on-time arrivals per carrier into ``table``."""
-    return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked, top, post)
+    return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked, top, post, keep_versions, show)
 
 
 def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, checkpoint: str,
                          trigger: dict | None = None, k: int = DEFAULT_K, mode: str = "complete",
-                         packed: bool = False, counts_table: str | None = None, post=None) -> StreamingQuery:
+                         packed: bool = False, counts_table: str | None = None, post=None,
+                         keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0) -> StreamingQuery:
     """Running per-group top-k (long form, or packed lists) into ``table``.
 
-    ``post`` reshapes each snapshot (complete mode only), e.g. ``plans.layout.lists_layout``.
+    ``post`` reshapes the packed rows, e.g. ``plans.layout.lists_layout``; its first column is then the key.
     """
     group = spec.group_cols
-    if post is not None and mode != "complete":
-        raise ValueError("an output layout is applied to whole snapshots: use mode='complete'")
+    if post is not None and not packed:
+        raise ValueError("an output layout reshapes packed lists: use packed=True")
 
     def finish(all_counts: DataFrame) -> DataFrame:
         top = top_k_per_group(all_counts, group, "item", "n", k)
@@ -122,7 +127,7 @@ def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, c
 
     counts = Q.grouped_counts(lines, spec)
     if mode == "complete":
-        return start(counts, snapshot_sink(table, finish), checkpoint, mode, trigger, tables=(table,))
+        return start(counts, snapshot_sink(table, finish, keep_versions, show), checkpoint, mode, trigger, tables=(table,))
     if mode != "update":
         raise ValueError(f"unknown mode {mode!r}")
     state_table = counts_table or table.rstrip("/") + "_counts"
@@ -131,10 +136,17 @@ def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, c
         spark = batch_df.sparkSession
         changes = batch_df.persist()
         try:
-            upsert_by_key(spark, state_table, changes, group + ["item"], batch_id)
-            all_counts = spark.read.parquet(version_path(state_table, batch_id))
-            touched = all_counts.join(changes.select(*group).distinct(), group, "left_semi")
-            upsert_by_key(spark, table, finish(touched), group, batch_id)
+            # both tables are bucketed by the group: a trigger reads and writes the buckets of its groups
+            upsert_by_key(spark, state_table, changes, group + ["item"], batch_id, keep_versions, cols=group)
+            groups = changes.select(*group).distinct()
+            held = read_version(spark, state_table, batch_id, buckets_of(groups, group, DEFAULT_BUCKETS))
+            touched = finish(held.join(groups, [held[g].eqNullSafe(groups[g]) for g in group], "left_semi")).persist()
+            try:
+                key = group if post is None else touched.columns[:1]
+                upsert_by_key(spark, table, touched, key, batch_id, keep_versions)
+            finally:
+                touched.unpersist()
+            show_version(spark, table, batch_id, show)
         finally:
             changes.unpersist()
 
@@ -146,65 +158,62 @@ ITINERARY_KEYS = ["flight_date", "x", "y", "z"]
 
 
 def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                     gap_days: int = 2, mode: str = "complete", route_days_table: str | None = None,
-                     lateness_days: int | None = None) -> StreamingQuery:
+                     gap_days: int = 2, mode: str = "update", route_days_table: str | None = None, post=None,
+                     keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0) -> StreamingQuery:
     """Best two-leg itineraries over all legs seen so far.
 
     The streaming state is one row per (date, origin, dest) route-day, so legs
-    that arrive in different micro-batches still connect.
-
-    * ``mode="complete"``: every trigger joins all route-days and writes the
-      whole result.
-    * ``mode="update"``: a trigger emits only the route-days that changed; they
-      are merged by key into ``route_days_table`` and only itineraries whose
-      first or second leg changed are recomputed and merged into ``table``.
-    * ``lateness_days`` (update mode only) adds an event-time watermark on the
-      flight date so route-day state older than that is evicted. Legs arriving
-      later than the watermark are then ignored by Spark, so leave it unset
-      unless the feed is ordered by date.
-    """
-    lg = legs(lines)
-    if lateness_days is not None:
-        if mode != "update":
-            raise ValueError("a watermark only bounds state in mode='update'")
-        lg = (lg.withColumn("event_ts", F.col("flight_date").cast("timestamp"))
-              .withWatermark("event_ts", f"{int(lateness_days)} days"))
-        stats = route_day_stats(lg, extra_keys=("event_ts",)).drop("event_ts")
-    else:
-        stats = route_day_stats(lg)
+    that arrive in different micro-batches still connect, however late.
 
-    if mode == "complete":
-        snapshot = snapshot_sink(table, lambda s: best_from_stats(s, gap_days))
+    * ``mode="update"``: a trigger emits only the route-days that changed. They
+      are merged into ``route_days_table``, which is bucketed by date, so only the
+      days two before and two after the changed ones are read; the itineraries
+      whose first or second leg changed are recomputed and merged into ``table``, also by date.
+    * ``mode="complete"``: every trigger joins all route-days and writes the whole
+      result, like the original jobs; its cost grows with all that was ever seen.
 
-        def sink(batch_df: DataFrame, batch_id: int) -> None:
-            # the batch feeds both sides of a self-join: materialise it once
-            cached = batch_df.persist()
-            try:
-                snapshot(cached, batch_id)
-            finally:
-                cached.unpersist()
-
-        return start(stats, sink, checkpoint, "complete", trigger, tables=(table,))
+    ``post`` reshapes the rows (e.g. ``plans.layout.itineraries_layout``); its first column is then the key.
+    """
+    stats = route_day_stats(legs(lines), streaming=True)
+    if mode == "complete":
+        arrange = _then(lambda s: best_from_stats(s, gap_days), post)
+        return start(stats, snapshot_sink(table, arrange, keep_versions, show), checkpoint, "complete", trigger, tables=(table,))
     if mode != "update":
         raise ValueError(f"unknown mode {mode!r}")
     rd_table = route_days_table or table.rstrip("/") + "_route_days"
+    day = ["flight_date"]
 
     def update_sink(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         changes = batch_df.select(*ROUTE_DAY_KEYS, "n", "best").persist()
         try:
-            upsert_by_key(spark, rd_table, changes, ROUTE_DAY_KEYS, batch_id)
-            all_days = spark.read.parquet(version_path(rd_table, batch_id))
-            as_first = best_from_stats(changes, gap_days, second=all_days)
-            as_second = best_from_stats(all_days, gap_days, second=changes)
+            upsert_by_key(spark, rd_table, changes, ROUTE_DAY_KEYS, batch_id, keep_versions, cols=day)
+            days = changes.select(*day).distinct()
+            around = days.select(F.date_add("flight_date", gap_days).alias("flight_date")).union(
+                days.select(F.date_sub("flight_date", gap_days).alias("flight_date")))
+            near = read_version(spark, rd_table, batch_id, buckets_of(around, day, DEFAULT_BUCKETS))
+            as_first = best_from_stats(changes, gap_days, second=near)
+            as_second = best_from_stats(near, gap_days, second=changes)
             affected = as_first.unionByName(as_second).distinct()
-            upsert_by_key(spark, table, affected, ITINERARY_KEYS, batch_id)
+            affected = (post(affected) if post is not None else affected).persist()
+            try:
+                key, cols = (ITINERARY_KEYS, day) if post is None else (affected.columns[:1], None)
+                upsert_by_key(spark, table, affected, key, batch_id, keep_versions, cols=cols)
+            finally:
+                affected.unpersist()
+            show_version(spark, table, batch_id, show)
         finally:
             changes.unpersist()
 
     return start(stats, update_sink, checkpoint, "update", trigger, tables=(table, rd_table))
 
 
+def reject_stream(lines: DataFrame, job: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the lines that ``job`` cannot use, with their reason, to the Parquet folder ``path``."""
+    return (rejects(lines, job).writeStream.format("parquet").outputMode("append").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER)).start())
+
+
 def top_n_stream(counts: DataFrame, n: int = 10, by: str = "popularity", key: str = "id") -> DataFrame:
     """Top-n of a streaming count (complete mode only), e.g. for a console sink."""
     return top_n(counts, n, by, key)

@@ -1,34 +1,50 @@
 """Keyed result tables written from ``foreachBatch``.
 
-A result table is a directory of immutable Parquet versions, one per
-micro-batch: ``<table>/version=<batch_id>``. Readers take the highest version.
-
-* ``snapshot_sink`` (complete mode): the batch *is* the whole table; writing it
-  as the new version is the same as upserting every key.
-* ``upsert_sink`` (update mode): the batch holds only changed keys; the new
-  version is the previous one minus those keys plus the batch rows.
-
-Each version is written with Spark's commit protocol, so a failed write leaves
-no visible version, and a replayed ``batch_id`` overwrites its own version
-from the same predecessor: the sink is idempotent under foreachBatch's
-at-least-once delivery. Write errors propagate and fail the query.
-
-Retention: after each write only the newest ``keep_versions`` versions stay
-(default 10, i.e. 20 s of history at a 2 s trigger); ``None`` keeps all.
+A table is a directory of immutable Parquet data and one small manifest per
+micro-batch:
+
+    <table>/version=<batch_id>/bucket=<b>/part-*.parquet    rows written by that batch
+    <table>/_manifests/<batch_id>.json                      which version holds each bucket
+
+A key's rows live in one hash bucket of the table's bucketing columns. A batch
+rewrites only the buckets it touches; its manifest points at older versions for
+all others, so a trigger costs what it changes. The manifest is the commit
+record: it is written last, by rename, and readers see nothing without it, so
+the result does not depend on marker files of any committer.
+
+* ``snapshot_sink`` (complete mode): the batch *is* the whole table.
+* ``upsert_sink`` (update mode): the batch holds only changed keys; they replace
+  the rows with the same keys of the preceding manifest. A later batch that
+  finds no predecessor fails instead of starting an empty table.
+
+A replayed ``batch_id`` overwrites its own version from the same predecessor, so
+the sinks are idempotent under foreachBatch's at-least-once delivery. Write
+errors propagate and fail the query.
+
+Retention: after each write the data that only manifests older than the newest
+``keep_versions`` point at is deleted (``None`` keeps all). A reader that scans
+for longer than ``keep_versions`` triggers needs a larger number.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 VERSION_COL = "version"
+BUCKET_COL = "bucket"
 DEFAULT_KEEP_VERSIONS = 10
+DEFAULT_BUCKETS = 64
 
 BatchTransform = Callable[[DataFrame], DataFrame]
 
 
+# ------------------------------------------------------------------- manifests
+
 def version_path(table: str, version: int) -> str:
     return f"{table.rstrip('/')}/{VERSION_COL}={int(version)}"
 
@@ -39,19 +55,40 @@ def _fs(spark: SparkSession, table: str):
     return jvm, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    """Committed versions of a table, via the Hadoop FileSystem listing of its directory."""
-    jvm, path, fs = _fs(spark, table)
+def _manifest_dir(table: str) -> str:
+    return f"{table.rstrip('/')}/_manifests"
+
+
+def versions(spark: SparkSession, table: str) -> list[int]:
+    """Committed versions of a table: those with a manifest."""
+    jvm, path, fs = _fs(spark, _manifest_dir(table))
     if not fs.exists(path):
         return []
-    out = []
-    prefix = VERSION_COL + "="
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                out.append(int(name[len(prefix):]))
-    return sorted(out)
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+
+def _read_manifest(spark: SparkSession, table: str, version: int) -> dict:
+    jvm, path, fs = _fs(spark, f"{_manifest_dir(table)}/{version}.json")
+    stream = fs.open(path)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _write_manifest(spark: SparkSession, table: str, version: int, manifest: dict) -> None:
+    jvm, path, fs = _fs(spark, f"{_manifest_dir(table)}/{version}.json")
+    temp = jvm.org.apache.hadoop.fs.Path(f"{_manifest_dir(table)}/.{version}.tmp")
+    out = fs.create(temp, True)
+    try:
+        out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    finally:
+        out.close()
+    if fs.exists(path):  # a replayed batch
+        fs.delete(path, False)
+    if not fs.rename(temp, path):
+        raise RuntimeError(f"could not commit version {version} of {table}")
 
 
 def check_table_matches_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
@@ -64,76 +101,157 @@ def check_table_matches_checkpoint(spark: SparkSession, table: str, checkpoint:
     jvm, _, fs = _fs(spark, checkpoint)
     offsets = jvm.org.apache.hadoop.fs.Path(checkpoint.rstrip("/") + "/offsets")
     fresh = not fs.exists(offsets) or len(fs.listStatus(offsets)) == 0
-    if fresh and _versions(spark, table):
+    if fresh and versions(spark, table):
         raise ValueError(f"{table} already holds versions from another run; use a new table path, "
                          f"or restart with the checkpoint that wrote it")
 
 
 def latest_version(spark: SparkSession, table: str, below: int | None = None) -> int | None:
-    vs = [v for v in _versions(spark, table) if below is None or v < below]
+    vs = [v for v in versions(spark, table) if below is None or v < below]
     return vs[-1] if vs else None
 
 
+# --------------------------------------------------------------------- reading
+
+def read_version(spark: SparkSession, table: str, version: int, buckets: list[int] | None = None) -> DataFrame:
+    """The table as of ``version``, or only its rows in ``buckets``."""
+    m = _read_manifest(spark, table, version)
+    schema = StructType.fromJson(m["schema"])
+    held = {int(b): v for b, v in m["held"].items()}
+    paths = [f"{version_path(table, v)}/{BUCKET_COL}={b}" for b, v in sorted(held.items()) if buckets is None or b in buckets]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def read_latest(spark: SparkSession, table: str) -> DataFrame:
     v = latest_version(spark, table)
     if v is None:
         raise FileNotFoundError(f"no committed version under {table}")
-    return spark.read.parquet(version_path(table, v))
+    return read_version(spark, table, v)
+
+
+# --------------------------------------------------------------------- writing
+
+def bucket_of(cols: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
+
+
+def _written_buckets(spark: SparkSession, table: str, version: int) -> list[int]:
+    jvm, path, fs = _fs(spark, version_path(table, version))
+    if not fs.exists(path):
+        return []
+    prefix = BUCKET_COL + "="
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
+
+
+def _write_rows(df: DataFrame, table: str, version: int, cols: list[str] | None, n: int) -> list[int]:
+    """Write rows into the version's buckets and return the buckets that got any."""
+    bucket = bucket_of(cols, n) if cols else F.lit(0)
+    rows = df.withColumn(BUCKET_COL, bucket)
+    if cols:
+        rows = rows.repartition(BUCKET_COL)
+    rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(version_path(table, version))
+    return _written_buckets(df.sparkSession, table, version)
 
 
-def write_version(df: DataFrame, table: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(version_path(table, version))
+def write_version(df: DataFrame, table: str, version: int, cols: list[str] | None = None,
+                  buckets: int = DEFAULT_BUCKETS, batch: bool = False) -> None:
+    """Commit ``df`` as the whole table. ``batch``: version numbers aren't a stream's batch ids."""
+    held = _write_rows(df, table, version, cols, buckets)
+    _write_manifest(df.sparkSession, table, version, {
+        "schema": df.schema.jsonValue(), "cols": cols, "buckets": buckets, "batch": batch, "held": {b: version for b in held}})
+
+
+def is_batch_table(spark: SparkSession, table: str) -> bool:
+    """Whether the newest version was written by a batch job."""
+    last = latest_version(spark, table)
+    return last is not None and bool(_read_manifest(spark, table, last).get("batch"))
 
 
 def prune_versions(spark: SparkSession, table: str, keep: int | None) -> None:
-    """Delete all but the newest ``keep`` committed versions (no-op for ``None``)."""
+    """Drop all but the newest ``keep`` manifests and the data no manifest points at any more."""
     if keep is None:
         return
-    jvm, _, fs = _fs(spark, table)
-    for v in _versions(spark, table)[:-max(1, keep)]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(table, v)), True)
-
+    jvm, root, fs = _fs(spark, table)
+    have = versions(spark, table)
+    old = have[:-max(1, keep)]
+    if not old:
+        return
+    used = {v for k in have[-max(1, keep):] for v in _read_manifest(spark, table, k)["held"].values()}
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{_manifest_dir(table)}/{v}.json"), False)
+    prefix = VERSION_COL + "="
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(prefix) and int(name[len(prefix):]) not in used and int(name[len(prefix):]) < have[-1]:
+            fs.delete(status.getPath(), True)
 
-def merge_by_key(previous: DataFrame | None, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``previous`` whose key is not in ``changes``, plus all ``changes``.
 
-    Keys are compared null-safely. Several change rows may share a key (a
-    whole group of top-k rows is replaced at once).
-    """
-    if previous is None:
-        return changes
-    changed_keys = changes.select(*keys).distinct()
-    cond = [previous[k].eqNullSafe(changed_keys[k]) for k in keys]
-    kept = previous.join(changed_keys, cond, "left_anti")
-    return kept.unionByName(changes.select(*previous.columns))
+def buckets_of(df: DataFrame, cols: list[str], n: int) -> list[int]:
+    """The buckets that rows of ``df`` belong to: at most ``n`` numbers."""
+    return [r[0] for r in df.select(bucket_of(cols, n)).distinct().collect()]
 
 
 def upsert_by_key(spark: SparkSession, table: str, changes: DataFrame, keys: list[str], version: int,
-                  keep_versions: int | None = DEFAULT_KEEP_VERSIONS) -> None:
-    prev_v = latest_version(spark, table, below=version)
-    previous = spark.read.parquet(version_path(table, prev_v)) if prev_v is not None else None
-    write_version(merge_by_key(previous, changes, keys), table, version)
+                  keep_versions: int | None = DEFAULT_KEEP_VERSIONS, cols: list[str] | None = None,
+                  buckets: int = DEFAULT_BUCKETS, drop: DataFrame | None = None) -> None:
+    """Replace the rows with the keys of ``changes`` (compared null-safely; several rows may share a key);
+    only the buckets they lie in are read and written.
+
+    ``cols``: bucketing columns, some or all of ``keys``. ``changes`` is read more than once: persist it.
+    ``drop``: further keys whose rows go without a replacement.
+    """
+    cols = cols or keys
+    prev = latest_version(spark, table, below=version)
+    if prev is None:
+        if version > 0:
+            raise RuntimeError(f"version {version} of {table} has no predecessor: earlier versions are missing")
+        write_version(changes, table, version, cols, buckets)
+        return
+    m = _read_manifest(spark, table, prev)
+    cols, buckets = m["cols"], m["buckets"]
+    gone = changes.select(*keys) if drop is None else changes.select(*keys).union(drop.select(*keys))
+    touched = buckets_of(gone, cols, buckets)
+    before = read_version(spark, table, prev, touched)
+    cond_keys = gone.distinct()
+    kept = before.join(cond_keys, [before[k].eqNullSafe(cond_keys[k]) for k in keys], "left_anti")
+    written = _write_rows(kept.unionByName(changes.select(*before.columns)), table, version, cols, buckets)
+    held = {int(b): v for b, v in m["held"].items() if int(b) not in touched} | {b: version for b in written}
+    _write_manifest(spark, table, version, m | {"held": held})
     prune_versions(spark, table, keep_versions)
 
 
 def snapshot_sink(table: str, transform: BatchTransform | None = None,
-                  keep_versions: int | None = DEFAULT_KEEP_VERSIONS):
-    """foreachBatch function for complete-mode output."""
+                  keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0):
+    """foreachBatch function for complete-mode output. ``show``: also print so many rows."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        out = transform(batch_df) if transform else batch_df
-        write_version(out, table, batch_id)
-        prune_versions(batch_df.sparkSession, table, keep_versions)
+        # several passes over the batch (range sort, self-join, print) must not run its state stage again
+        cached = batch_df.persist()
+        try:
+            write_version(transform(cached) if transform else cached, table, batch_id)
+            prune_versions(batch_df.sparkSession, table, keep_versions)
+            show_version(batch_df.sparkSession, table, batch_id, show)
+        finally:
+            cached.unpersist()
     return sink
 
 
+def show_version(spark: SparkSession, table: str, version: int, rows: int) -> None:
+    """Print ``rows`` rows of what a batch wrote, like a console sink, from the same run."""
+    if rows:
+        print(f"-------------------------------------------\nBatch: {version}")
+        read_version(spark, table, version).show(rows, truncate=False)
+
+
 def upsert_sink(table: str, keys: list[str], transform: BatchTransform | None = None,
-                keep_versions: int | None = DEFAULT_KEEP_VERSIONS):
+                keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0):
     """foreachBatch function for update-mode output, keyed on ``keys``."""
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         changes = (transform(batch_df) if transform else batch_df).persist()
         try:
             upsert_by_key(spark, table, changes, keys, batch_id, keep_versions)
+            show_version(spark, table, batch_id, show)
         finally:
             changes.unpersist()
     return sink

@@ -6,7 +6,7 @@ from conftest import SF_SMOKE, rows
 from skytally.__main__ import JOBS, build_parser, run
 from skytally.plans import queries as Q
 from skytally.session import scratch_path
-from skytally.sources import on_time_lines, text_lines, write_lines
+from skytally.sources import itinerary_lines, on_time_lines, text_lines, write_lines
 from skytally.streaming.sinks import read_latest
 
 
@@ -38,7 +38,7 @@ def test_arguments():
                          "carriers-by-route", "itineraries"}
     a = build_parser().parse_args(["carriers-by-route", "--kafka", "b:9092",
                                    "--topics", "x,y", "--table", "t", "--checkpoint", "c"])
-    assert a.max_per_trigger == 200_000 and a.trigger_seconds == 2
+    assert a.max_per_trigger is None and a.trigger_seconds == 2
     assert a.starting_offsets == "latest" and a.group is None
     b = build_parser().parse_args(["airports", "--kafka", "b:9092", "--topics", "x", "--group", "g1",
                                    "--starting-offsets", "earliest", "--table", "t", "--checkpoint", "c"])
@@ -66,6 +66,42 @@ def test_original_layout_batch_and_stream(spark, line_dir):
     batch = run(spark, ["carriers-by-airport", "--batch", line_dir, "--table", base + "/b", "--original-layout"])
     norm = lambda df: sorted((r["Airport"], tuple(r["CarriersList"])) for r in df.collect())
     assert norm(streamed) == norm(batch)
+    for mode in ("complete", "update"):
+        run(spark, ["airports", "--files", line_dir, "--table", base + f"/u-{mode}", "--checkpoint", base + f"/cu-{mode}",
+                    "--available-now", "--original-layout", "--mode", mode])
+        assert rows(read_latest(spark, base + f"/u-{mode}")) == rows(counts)
+    run(spark, ["carriers-by-airport", "--files", line_dir, "--table", base + "/su", "--checkpoint", base + "/csu",
+                "--available-now", "--original-layout", "--mode", "update"])
+    assert norm(read_latest(spark, base + "/su")) == norm(batch)
+
+
+def test_ranked_top_print_and_rejects(spark, line_dir, capsys):
+    base = scratch_path(spark, "t-cli-ranked")
+    lines = text_lines(spark, line_dir)
+    run(spark, ["airports", "--files", line_dir, "--table", base + "/r", "--checkpoint", base + "/cr", "--available-now",
+                "--ranked", "--rejects", base + "/bad", "--bytes-per-trigger", "200k"])
+    assert rows(read_latest(spark, base + "/r"), "rank", "id") == rows(Q.airports_ranked(lines), "rank", "id")
+    from skytally.operators import rejects
+    assert spark.read.parquet(base + "/bad").count() == rejects(lines, "airports").count()
+    run(spark, ["carriers", "--files", line_dir, "--table", base + "/t", "--checkpoint", base + "/ct", "--available-now",
+                "--top", "3", "--print", "2"])
+    assert rows(read_latest(spark, base + "/t")) == rows(Q.top10_carriers(lines, 3))
+    assert "Batch: 0" in capsys.readouterr().out
+    assert rows(run(spark, ["carriers", "--batch", line_dir, "--table", base + "/b", "--ranked"]), "rank", "id") == rows(
+        Q.carriers_ranked(lines), "rank", "id")
     with pytest.raises(SystemExit):
-        run(spark, ["airports", "--files", line_dir, "--table", base + "/u", "--checkpoint", base + "/cu",
-                    "--available-now", "--original-layout", "--mode", "update"])
+        run(spark, ["airports", "--batch", line_dir, "--table", base + "/t"])  # the stream's table
+    with pytest.raises(Exception, match="arity"):
+        run(spark, ["carriers", "--batch", line_dir, "--table", base + "/f", "--failfast"])
+
+
+def test_itineraries_layout_and_print(spark, capsys):
+    base = scratch_path(spark, "t-cli-itin")
+    src = base + "/in"
+    write_lines(itinerary_lines(spark, SF_SMOKE).coalesce(1), src, records_per_file=3000)
+    run(spark, ["itineraries", "--files", src, "--table", base + "/t", "--checkpoint", base + "/c", "--available-now",
+                "--original-layout", "--print"])
+    batch = run(spark, ["itineraries", "--batch", src, "--table", base + "/b", "--original-layout"])
+    norm = lambda df: sorted((r["Id"], tuple(r["CarriersList"])) for r in df.collect())
+    assert norm(read_latest(spark, base + "/t")) == norm(batch)
+    assert "CarriersList" in capsys.readouterr().out

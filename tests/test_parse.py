@@ -5,11 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from skytally.functions import is_numeric_literal, split_fields, to_delay
+from conftest import SF_SMOKE, rows
+from skytally.functions import is_numeric_literal, to_delay, with_fields
 from skytally.functions.text import SEPARATOR_PATTERN
-from skytally.operators import classify_on_time, legs, on_time_records, rejects
+from skytally.operators import ON_TIME_JOBS, classify, legs, on_time_records, rejects, strict
 from skytally.plans import queries as Q
+from skytally.sources import defect_itinerary_lines, defect_on_time_lines
 
 # The edge table: (line, number of fields after the quote-aware split)
 EDGE = [
@@ -49,7 +50,7 @@ AWKWARD = [
 
 def test_split_matches_lookahead_semantics(lines_df):
     lines = [x for x, _ in EDGE] + AWKWARD
-    got = {r["line"]: list(r["f"]) for r in lines_df(lines).select("line", split_fields("line").alias("f")).collect()}
+    got = {r["line"]: list(r["f"]) for r in with_fields(lines_df(lines), "line").collect()}
     for line in lines:
         expected = java_split(line)
         if expected == []:  # only commas: Java gives 0 fields, we give one empty field
@@ -59,8 +60,8 @@ def test_split_matches_lookahead_semantics(lines_df):
 
 
 def test_arity(lines_df):
-    got = {r["line"]: r["n"] for r in lines_df([x for x, _ in EDGE]).select(
-        "line", F.size(split_fields("line")).alias("n")).collect()}
+    got = {r["line"]: r["n"] for r in with_fields(lines_df([x for x, _ in EDGE]), "line").select(
+        "line", F.size("f").alias("n")).collect()}
     for line, n in EDGE:
         assert got[line] == n, line
 
@@ -87,9 +88,9 @@ def test_edge_airport_popularity(lines_df):
 
 
 def test_edge_failfast(lines_df):
-    with pytest.raises(Exception, match="fewer than 3 fields"):
-        Q.airport_popularity(lines_df([x for x, _ in EDGE]), mode="failfast").collect()
-    ok = Q.airport_popularity(lines_df(["AA,ATL,ORD"]), mode="failfast")
+    with pytest.raises(Exception, match="airports: short"):
+        Q.airport_popularity(strict(lines_df([x for x, _ in EDGE]), "airports")).collect()
+    ok = Q.airport_popularity(strict(lines_df(["AA,ATL,ORD"]), "airports"))
     assert rows(ok) == [("ATL", 1), ("ORD", 1)]
 
 
@@ -121,15 +122,53 @@ def test_packed_worst_first(lines_df):
 
 
 def test_rejects_reasons(lines_df):
-    got = {r["line"]: r["reason"] for r in classify_on_time(lines_df([x for x, _ in EDGE])).collect()}
-    assert got["AA,ATL"] == "short" and got[""] == "short"
-    assert got["AA,ATL,ORD,-3.00,"] == "arity" and got["AA,ATL,ORD,1,2,3"] == "arity"
-    assert got[",ATL,ORD,1,2"] == "blank_key"
-    assert got["AA,ATL,ORD,NA,2"] == "bad_dep_delay" and got["AA,ATL,ORD,,4.00"] == "bad_dep_delay"
-    assert got["AA,ATL,ORD,1,2\r"] == "bad_arr_delay"
-    assert got["AA,ATL,ORD,-3.00,4.00"] == "ok"
-    rej = rejects(lines_df([x for x, _ in EDGE]))
-    assert rej.count() == sum(1 for v in got.values() if v != "ok")
+    lines = lines_df([x for x, _ in EDGE])
+    got = {job: {r["line"]: r["reason"] for r in classify(lines, job).collect()} for job in ON_TIME_JOBS}
+    for job in ON_TIME_JOBS:
+        assert got[job]["AA,ATL"] == "short" and got[job][""] == "short"
+        assert got[job]["AA,ATL,ORD,-3.00,4.00"] == "ok"
+        assert got[job]["AA,ATL,ORD,-3.00,"] == ("ok" if job == "airports" else "arity")
+        assert rejects(lines, job).count() == sum(1 for v in got[job].values() if v != "ok")
+    blank = {job: got[job][",ATL,ORD,1,2"] for job in ON_TIME_JOBS}
+    assert blank == {"airports": "ok", "carriers": "ok", "carriers-by-airport": "blank_key",
+                     "destinations-by-airport": "ok", "carriers-by-route": "blank_key"}
+    assert got["carriers-by-airport"]["AA,ATL,ORD,NA,2"] == "bad_dep_delay" and got["carriers"]["AA,ATL,ORD,NA,2"] == "ok"
+    assert got["carriers-by-route"]["AA,ATL,ORD,1,2\r"] == "bad_arr_delay" and got["destinations-by-airport"]["AA,ATL,ORD,1,2\r"] == "ok"
+
+
+@pytest.mark.parametrize("job,used", [
+    ("airports", lambda df: Q.airport_popularity(df).agg(F.sum("popularity") / 2)),
+    ("carriers", lambda df: on_time_records(df).where("arr_delay IS NOT NULL").agg(F.count("*"))),
+    ("carriers-by-airport", lambda df: on_time_records(df).where("dep_delay IS NOT NULL AND carrier <> ''").agg(F.count("*"))),
+    ("destinations-by-airport", lambda df: on_time_records(df).where("dep_delay IS NOT NULL AND dest <> ''").agg(F.count("*"))),
+    ("carriers-by-route", lambda df: on_time_records(df).where("arr_delay IS NOT NULL AND carrier <> ''").agg(F.count("*"))),
+    ("itineraries", lambda df: legs(df).agg(F.count("*"))),
+])
+def test_each_line_is_used_or_rejected(spark, job, used):
+    make = defect_itinerary_lines if job == "itineraries" else defect_on_time_lines
+    lines = make(spark, SF_SMOKE).cache()
+    assert used(lines).first()[0] + rejects(lines, job).count() == lines.count()
+
+
+def test_flight_number_must_be_one(lines_df):
+    lines = lines_df(["2008-03-01,AA7,ATL,ORD,AA,1.00,2.00", "2008-03-01,5,ATL,ORD,AA,1.00,2.00",
+                      "2008-03-03,9,ORD,SFO,AA,1.00,2.00", "2008-03-03,99999999999999999999,ORD,SFO,AA,1.00,1.00"])
+    assert rows(classify(lines, "itineraries"), "reason") == [("bad_flight",), ("bad_flight",), ("ok",), ("ok",)]
+    assert [(r["flight1"], r["flight2"], r["delay1"], r["delay2"]) for r in Q.best_itineraries(lines).collect()] == [(5, 9, 2.0, 2.0)]
+
+
+@pytest.mark.parametrize("mark", ["", "\x1f", "\x1e1\x1f\x1e"])
+def test_split_is_linear_in_the_line(lines_df, mark):
+    """16 000 quoted fields: quadratic work took minutes, a look-ahead pattern overflowed the stack."""
+    import time
+
+    line = ",".join(f'"a{mark},{i}"' for i in range(16_000)) + ",end"
+    df = with_fields(lines_df([line]), "line", keep=[])
+    df.collect()  # compiled and warm
+    began = time.perf_counter()
+    got = df.first()["f"]
+    assert time.perf_counter() - began < 2
+    assert len(got) == 16_001 and got[0] == f'"a{mark},0"' and got[-2:] == [f'"a{mark},15999"', "end"]
 
 
 def test_legs_validity(lines_df):
@@ -147,7 +186,7 @@ def test_legs_validity(lines_df):
 
 def test_missing_line_is_a_short_reject(spark):
     df = spark.createDataFrame([(None,), ("AA,ATL,ORD,1,2",)], "line string")
-    assert rows(classify_on_time(df), "reason") == [("ok",), ("short",)]
+    assert rows(classify(df, "carriers"), "reason") == [("ok",), ("short",)]
     assert rows(Q.airport_popularity(df)) == [("ATL", 1), ("ORD", 1)]
     assert on_time_records(df).count() == 1
 
@@ -160,13 +199,12 @@ def test_split_property_random_lines(lines_df):
     collected: list[str] = []
 
     @settings(max_examples=400, database=None, suppress_health_check=list(HealthCheck))
-    @given(st.text(alphabet='ab,"\x1f ', max_size=24))
+    @given(st.one_of(st.text(alphabet='ab,"\x1f\x1e01 ', max_size=24), st.text(alphabet='a,"\x1f', min_size=200, max_size=600)))
     def gather(s):
         collected.append(s)
 
     gather()
-    got = {r["line"]: list(r["f"]) for r in lines_df(collected).select(
-        "line", split_fields("line").alias("f")).collect()}
+    got = {r["line"]: list(r["f"]) for r in with_fields(lines_df(collected), "line").collect()}
     for line in collected:
         expected = java_split(line)
         assert got[line] == (expected if expected != [] else [""]), repr(line)

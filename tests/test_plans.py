@@ -26,9 +26,17 @@ def physical(df):
 
 
 def test_split_evaluated_once(spark):
+    """The line is cut at quotes once, in a projection of its own; the per-part function only refers to the parts."""
     df = Q.top10_carriers_by_airport(on_time_lines(spark, SF_SMOKE))
     optimized = plan(df, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
-    assert optimized.count("lambdafunction") == 1
+    cut = [x for x in optimized.splitlines() if ', ", -1)' in x]
+    assert len(cut) == 1 and cut[0].count(', ", -1)') == 1 and "lambdafunction" not in cut[0]
+    per_part = [x for x in optimized.splitlines() if "lambdafunction" in x]
+    assert [("_segments" in x, "_found" in x) for x in reversed(per_part)] == [(True, True), (False, True)]
+
+
+def test_itinerary_best_is_hash_aggregated(spark):
+    assert "SortAggregate" not in physical(Q.best_itineraries(itinerary_lines(spark, SF_SMOKE)))
 
 
 def test_grouped_top_k_uses_window_group_limit(spark):
@@ -73,7 +81,7 @@ def test_itinerary_aggregate_computed_once(spark, fn):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange" in tree
-    assert tree.count("Generate") == 1
+    assert tree.count("Generate") == 1  # lines are parsed once
 
 
 @pytest.mark.parametrize("fn", [Q.airport_popularity, Q.carrier_on_time_arrivals, Q.top10_carriers_by_airport,

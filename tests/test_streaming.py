@@ -9,7 +9,7 @@ from skytally.session import scratch_path
 from skytally.sources import itinerary_lines, kafka_options, on_time_lines, text_lines, write_lines
 from skytally.streaming import runner as R
 from skytally.streaming.replay import run_available
-from skytally.streaming.sinks import latest_version, read_latest, upsert_sink, version_path
+from skytally.streaming.sinks import bucket_of, latest_version, read_latest, read_version, upsert_by_key, upsert_sink, version_path, versions
 
 
 @pytest.fixture(scope="module")
@@ -101,18 +101,18 @@ def test_upsert_sink_is_idempotent(spark):
     sink(b1, 1)
     sink(b1, 1)  # replayed batch
     assert rows(read_latest(spark, table)) == [("A", 1), ("B", 5), ("C", 1)]
-    assert rows(spark.read.parquet(version_path(table, 0))) == [("A", 1), ("B", 2)]
+    assert rows(read_version(spark, table, 0)) == [("A", 1), ("B", 2)]
     sink(b0.where(F.col("id") == "A").withColumn("popularity", F.lit(7).cast("long")), 2)
     assert rows(read_latest(spark, table)) == [("A", 7), ("B", 5), ("C", 1)]
 
 
 def test_kafka_options():
-    opts = kafka_options("k1:9092,k2:9092", "flights, more ,", min_partitions=4)
+    opts = kafka_options("k1:9092,k2:9092", "flights, more ,", min_partitions=4, max_offsets_per_trigger=200_000)
     assert opts["subscribe"] == "flights,more"
     assert opts["startingOffsets"] == "latest"
     assert opts["maxOffsetsPerTrigger"] == "200000"
     assert opts["minPartitions"] == "4"
-    assert kafka_options("k:1", ["a", "b"], max_offsets_per_trigger=None).get("maxOffsetsPerTrigger") is None
+    assert kafka_options("k:1", ["a", "b"]).get("maxOffsetsPerTrigger") is None  # no cap unless asked for
     with pytest.raises(ValueError):
         kafka_options("k:1", " , ")
 
@@ -167,14 +167,38 @@ def test_top_n_stream_memory_sink(spark, five):
     assert sorted(got) == sorted(expected)
 
 
-@pytest.mark.parametrize("lateness", [None, 10000])
-def test_itinerary_update_mode_equals_batch(spark, seven, lateness):
-    src = split_into_files(spark, seven, 4, "t-itin-upd")
-    got = run(spark, src, lambda s, t, c, tr: R.itinerary_stream(s, t, c, tr, mode="update",
-                                                                 lateness_days=lateness))
+@pytest.mark.parametrize("mode", ["complete", "update"])
+def test_itinerary_modes_equal_batch(spark, seven, mode):
+    src = split_into_files(spark, seven, 4, f"t-itin-{mode}")
+    got = run(spark, src, lambda s, t, c, tr: R.itinerary_stream(s, t, c, tr, mode=mode))
     assert rows(got) == rows(Q.best_itineraries(seven))
 
 
+def test_a_mistyped_far_date_loses_nothing(spark):
+    """A leg dated 2099 in the first file does not make later legs late."""
+    base = scratch_path(spark, "t-2099")
+    for i, lines in enumerate([["2099-01-01,1,A,B,X,0,1.00"], ["2008-03-01,2,A,B,X,0,1.00"], ["2008-03-03,3,B,C,X,0,1.00"]]):
+        df = spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1)
+        df.write.mode("append").text(base + "/input")
+    got = run_available(spark, base + "/input", base, R.itinerary_stream)
+    assert [(r["x"], r["y"], r["z"], r["flight1"], r["flight2"]) for r in got.collect()] == [("A", "B", "C", 2, 3)]
+
+
+def test_reject_stream_and_results_cover_every_line(spark):
+    from skytally.sources import defect_itinerary_lines
+    lines = defect_itinerary_lines(spark, SF_SMOKE)
+    path = scratch_path(spark, "t-rejects")
+    write_lines(lines.coalesce(1), path + "/input", 2000)
+    from skytally.sources import file_line_stream
+    q = R.reject_stream(file_line_stream(spark, path + "/input"), "itineraries", path + "/rejects", path + "/ckpt", {"availableNow": True})
+    q.awaitTermination()
+    from skytally.operators import legs
+    got = spark.read.parquet(path + "/rejects")
+    assert got.count() + legs(lines).count() == lines.count()
+    assert {r["reason"] for r in got.select("reason").distinct().collect()} == {
+        "arity", "bad_date", "bad_flight", "blank_airport", "bad_arr_delay"}
+
+
 def test_file_order_does_not_matter(spark, five):
     """Files are consumed in modification-time order; any order gives the same final table."""
     import glob
@@ -202,16 +226,77 @@ def test_kafka_source_needs_connector(spark):
 
 
 def test_old_versions_are_pruned(spark):
-    from skytally.streaming.sinks import _versions, snapshot_sink
+    from skytally.streaming.sinks import snapshot_sink
 
     table = scratch_path(spark, "t-prune")
     sink = snapshot_sink(table, keep_versions=3)
     for i in range(6):
         sink(spark.createDataFrame([("A", i)], "id string, popularity long"), i)
-    assert _versions(spark, table) == [3, 4, 5]
+    assert versions(spark, table) == [3, 4, 5]
     assert rows(read_latest(spark, table)) == [("A", 5)]
 
 
+def counts(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "id string, popularity long")
+
+
+def test_upsert_does_not_need_success_markers(spark):
+    """Sessions and committers without _SUCCESS files keep every earlier key."""
+    import glob
+    import os
+
+    from skytally.session import local_path
+
+    table = scratch_path(spark, "t-marker")
+    sink = upsert_sink(table, ["id"])
+    sink(counts(spark, ("a", 1), ("b", 1)), 0)
+    for f in glob.glob(os.path.join(local_path(table), "**", "*_SUCCESS*"), recursive=True):
+        os.remove(f)
+    sink(counts(spark, ("a", 2)), 1)
+    assert rows(read_latest(spark, table)) == [("a", 2), ("b", 1)]
+
+
+def test_upsert_without_its_predecessor_fails(spark):
+    table = scratch_path(spark, "t-lost")
+    with pytest.raises(RuntimeError, match="no predecessor"):
+        upsert_sink(table, ["id"])(counts(spark, ("a", 2)), 3)
+
+
+def test_upsert_touches_only_its_buckets(spark):
+    """Files of other buckets stay as they are; a dropped key's bucket may become empty."""
+    import glob
+    import os
+
+    from skytally.session import local_path
+
+    table = scratch_path(spark, "t-buckets")
+    many = counts(spark, *[(f"k{i}", i) for i in range(200)]).cache()
+    upsert_by_key(spark, table, many, ["id"], 0)
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(os.path.join(local_path(table), "version=0", "**", "*.parquet"), recursive=True)}
+    one = counts(spark, ("k7", -1))
+    upsert_by_key(spark, table, one, ["id"], 1)
+    b = one.select(bucket_of(["id"], 64)).first()[0]
+    assert {f: os.stat(f).st_mtime_ns for f in files} == files
+    assert [os.path.basename(x) for x in glob.glob(os.path.join(local_path(version_path(table, 1)), "bucket=*"))] == [f"bucket={b}"]
+    assert rows(read_latest(spark, table)) == sorted([(f"k{i}", i) for i in range(200) if i != 7] + [("k7", -1)])
+    # many versions later the old buckets are still there
+    for v in range(2, 15):
+        upsert_by_key(spark, table, counts(spark, ("k7", v)), ["id"], v, keep_versions=2)
+    assert len(read_latest(spark, table).collect()) == 200
+    assert len(versions(spark, table)) == 2
+
+
+def test_ranked_stream_runs_its_state_stage_once(spark, five):
+    """The batch is kept while the range sort samples and sorts it: one read per trigger."""
+    src = split_into_files(spark, five, 1, "t-once")
+    progress: list = []
+    run_available(spark, src, scratch_path(spark, "t-once-run"),
+                  lambda s, t, c, tr: R.airport_popularity_stream(s, t, c, tr, ranked=True), progress=progress)
+    batch = [p for p in progress if p["numInputRows"] > 0]
+    assert [p["numInputRows"] for p in batch] == [five.count()]
+    assert batch[0]["stateOperators"][0]["numRowsUpdated"] == Q.airport_popularity(five).count()
+
+
 def test_console_top10_runs(spark, five, capsys):
     src = split_into_files(spark, five, 2, "t-console")
     from skytally.sources import file_line_stream
