@@ -38,6 +38,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
           "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 COMPANIONS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "dt", "dd", "blockquote", "pre", "figcaption", "caption", "td", "th"}
+NESTING = {"ul", "ol", "dl", "li", "dt", "dd", "blockquote", "figure", "table", "thead", "tbody", "tfoot", "tr", "td", "th"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form",
             "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -105,7 +106,7 @@ def blocks_of(html: str, by_name: bool = True) -> list[Block]:
             path = tuple(x[0] for x in stack[1:] if x[0] not in INLINE)
             block = [x for x in stack if x[0] not in INLINE]
             holder = next((x[1] for x in reversed(stack) if x[0] in ("article", "main")), 0)
-            parent = block[-2][1] if len(block) > 1 else 0
+            parent = next((x[1] for x in reversed(block[:-1]) if x[0] not in NESTING), 0)
             current = Block(path, parent, holder, block[-1][0])
             out.append(current)
         current.parts.append(text)
