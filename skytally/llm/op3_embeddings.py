@@ -133,3 +133,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(C.read_documents(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON reach.r = link.a),
+k AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM k LEFT JOIN n USING (vec_id)
+"""

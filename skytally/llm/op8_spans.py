@@ -1,7 +1,8 @@
 """Substring deduplication by sliding spans of consecutive sentences.
 
 A text is cut after sentence marks followed by white space and after line ends. At every sentence a span
-begins: the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words. Spans are compared by a
+begins: the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words, or the sentence alone if it
+has ``LONG`` words or more. Spans are compared by a
 128-bit digest of their lower-cased words over all documents; sentences covered by any span that is not the
 first of its kind go. First is the span of the smallest id (null last), then the earliest row and place, so
 one copy of every repeated passage stays. Spans are judged on the input, not on what is left.
@@ -28,6 +29,7 @@ from skytally.llm import common as C
 
 SENTENCES = 2
 WORDS = 20
+LONG = 40
 _SENTENCE = re.compile(r"[\s\S]+?(?:[.!?]+(?=\s|\Z)|\n|\Z)\s*")
 
 
@@ -45,12 +47,14 @@ def spans(parts: list[str], least: int = SENTENCES, words: int = WORDS) -> Itera
     digests = [blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in split]
     end, n = least, len(parts)
     for i in range(n):
+        if len(split[i]) >= LONG:
+            yield i, i + 1, digests[i]
+            continue
         end = max(end, i + least)
         while end <= n and sums[end] - sums[i] < words:
             end += 1
-        if end > n:
-            return
-        yield i, end, blake2b(b"".join(digests[i:end]), digest_size=16).digest()
+        if end <= n:
+            yield i, end, blake2b(b"".join(digests[i:end]), digest_size=16).digest()
 
 
 def span_rows(rows: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:

@@ -86,12 +86,14 @@ def test_span_query_equals_brute_force(spark):
 def test_span_edge_cases(spark):
     passage = "One two three four five six seven. Eight nine ten eleven twelve thirteen? Fourteen fifteen sixteen seventeen eighteen nineteen twenty! "
     rows = [(2, "Start here. " + passage + "End."), (1, passage), (3, None), (4, ""), (5, "\n\n" + passage.upper() + "\nTail"), (6, "Short. " * 3),
-            (7, " ".join(f"w{i}" for i in range(20_000)) + ". " + passage), (None, passage + passage), (8, "No mark at all")]
+            (7, " ".join(f"w{i}" for i in range(20_000)) + ". " + passage), (None, passage + passage), (8, "No mark at all"),
+            (11, "a\n" + " ".join(f"v{i}" for i in range(55)) + "\nb"), (12, "c\n" + " ".join(f"v{i}" for i in range(55)) + "\nd")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row int").coalesce(1)
     got = {r["id"]: r for r in dedup_spans(df).collect()}
     assert got[1]["n_removed"] == 0 and got[1]["text"] == passage
     assert got[2]["text"] == "Start here. End." and got[5]["n_removed"] == 3 and got[None]["text"] == ""
     assert got[3]["text"] == "" and got[3]["n_sentences"] == 0 and got[6]["n_removed"] == 0 and got[8]["n_removed"] == 0
+    assert got[11]["n_removed"] == 0 and got[12]["text"] == "c\nd"
     assert as_rows(dedup_spans(df)) == brute_spans(rows)
     twice = spark.createDataFrame([(1, passage)] * 3, "doc_id long, text string")
     assert sorted(r["n_removed"] for r in dedup_spans(twice).collect()) == [0, 3, 3]
