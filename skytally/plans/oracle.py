@@ -143,6 +143,8 @@ DEFECT_LINES = r"""lines5 AS (
       WHEN 5 THEN concat_ws(',', carrier_raw || '"', origin, dest, dep, arr)
       WHEN 6 THEN concat_ws(',', '"' || carrier_raw || chr(31) || chr(30) || '1' || ', Inc"', origin, dest, dep, arr)
       WHEN 7 THEN concat_ws(',', carrier_raw || chr(31) || chr(30) || '1', origin, dest, ' ' || dep, arr)
+      WHEN 8 THEN concat_ws(',', carrier_raw, origin, dest, dep, '')
+      WHEN 9 THEN concat_ws(',', carrier_raw, origin, dest, dep, arr, 'x')
       ELSE concat_ws(',', carrier, origin, dest, dep, arr) END AS line
   FROM (SELECT *, CASE WHEN ln = 1 THEN concat('"', carrier_raw, ', Inc"') ELSE carrier_raw END AS carrier,
                concat(CAST(dep_i AS STRING), '.00') AS dep, concat(CAST(arr_i AS STRING), '.00') AS arr FROM flights) g

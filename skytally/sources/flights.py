@@ -110,7 +110,7 @@ def defect_on_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-field lines of which about a third are broken, in every way a line can be.
 
     By remainder: blank carrier, blank origin, blank destination, two fields, an empty line, an unbalanced
-    quote, separators' marker characters inside quotes and outside, blanks around a delay.
+    quote, separators' marker characters inside quotes and outside, a blank before a delay, four and six fields.
     """
     carrier, dep, arr = F.col("carrier_raw"), _minutes("dep_i"), _minutes("arr_i")
     mark = F.concat(carrier, F.lit("\x1f\x1e1"))
@@ -123,6 +123,8 @@ def defect_on_time_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.concat(carrier, F.lit('"')), "origin", "dest", dep, arr),
         F.concat_ws(",", F.concat(F.lit('"'), mark, F.lit(', Inc"')), "origin", "dest", dep, arr),
         F.concat_ws(",", mark, "origin", "dest", F.concat(F.lit(" "), dep), arr),
+        F.concat_ws(",", carrier, "origin", "dest", dep, F.lit("")),
+        F.concat_ws(",", carrier, "origin", "dest", dep, arr, F.lit("x")),
     ]).alias("line"))
 
 

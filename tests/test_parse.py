@@ -229,3 +229,12 @@ def test_numeric_literal_property(lines_df):
         "line", is_numeric_literal("line").alias("ok")).collect()}
     for v in collected:
         assert got[v] == bool(full.fullmatch(v)), repr(v)
+
+
+def test_every_reason_is_planted(spark):
+    from skytally.plans import diagnostics as D
+
+    got = {(r["job"], r["reason"]) for r in D.reject_summary(defect_on_time_lines(spark, SF_SMOKE)).collect()}
+    assert {reason for _, reason in got} == {"short", "arity", "bad_dep_delay", "bad_arr_delay", "blank_key", "ok"}
+    legs_got = {r["reason"] for r in D.leg_reject_summary(defect_itinerary_lines(spark, SF_SMOKE)).collect()}
+    assert legs_got == {"arity", "bad_date", "bad_flight", "blank_airport", "bad_arr_delay", "ok"}

@@ -378,3 +378,41 @@ def test_processed_files_are_archived(spark, five):
         q.stop()
     with pytest.raises(ValueError):
         file_line_stream(spark, src, clean_source="archive")
+
+
+def test_replay_runs_the_same_number_of_triggers_at_any_size(spark):
+    import os
+
+    from skytally.session import local_path
+    from skytally.streaming.replay import REPLAY_TRIGGERS, replay
+
+    for sf in (SF_SMOKE, "/root/testdata/sf0.01"):
+        seen = {}
+
+        def read(s, base, seen=seen):
+            seen["base"] = base
+            return versions(s, base + "/table")
+
+        got = replay(spark, on_time_lines(spark, sf), R.airport_popularity_stream, "t-triggers", read=read)
+        assert len(got) == REPLAY_TRIGGERS
+        assert not os.path.exists(local_path(seen["base"] + "/input"))  # the copy is gone
+
+
+def test_scratch_needs_a_shared_folder_off_local():
+    from skytally.session import checkpoint_root
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
