@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm import common as C
+from skytally.llm.shingles import batches
 
 ORDERS = (1, 2, 3)
 COLUMNS = 1 << 16
@@ -55,7 +56,7 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def ngram_columns(chars: np.ndarray, order: int, columns: int) -> np.ndarray:
     """Hashed column of the n-gram at each place; ``columns`` where it would leave its text."""
-    n = len(chars) - order + 1
+    n = max(0, len(chars) - order + 1)
     h = np.zeros(n, np.uint32)
     bad = np.zeros(n, bool)
     for k in range(order):
@@ -75,9 +76,10 @@ def slices(chars: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def columns_of(chars: np.ndarray, lo: int, hi: int, order: int, columns: int) -> np.ndarray:
-    cols = ngram_columns(chars[lo:hi + order - 1], order, columns) if hi - lo + order - 1 >= order else np.empty(0, np.int64)
+    """``ngram_columns`` of the places lo .. hi."""
     out = np.full(hi - lo, columns, np.int64)
-    out[:min(len(cols), hi - lo)] = cols[:hi - lo]
+    found = ngram_columns(chars[lo:hi + order - 1], order, columns)
+    out[:len(found)] = found
     return out
 
 
@@ -91,8 +93,18 @@ class Model:
         return len(self.matrix) - 1
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """(language, score) of every text."""
+        langs: list[str] = []
+        scores = [np.zeros(0)]
+        for lo, hi in batches([t or "" for t in texts]):
+            some, score = self._predict(texts[lo:hi])
+            langs += some
+            scores.append(score)
+        return langs, np.concatenate(scores)
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         n, k = len(texts), len(self.languages)
-        if not n or not k:
+        if not k:
             return [UNKNOWN] * n, np.zeros(n)
         chars, starts, known = code_points(texts)
         total = np.zeros((n, k))
@@ -127,14 +139,17 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < part * (1 << 30)).select("lang", "text")
     number = {k: i for i, k in enumerate(languages)}
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.zeros((len(languages), columns), np.int64)
-        for batch in batches:
-            for lang, texts in batch.groupby("lang")["text"]:
-                chars, _, _ = code_points(list(texts))
-                for lo, hi in slices(chars):
-                    for order in ORDERS:
-                        held[number[lang]] += np.bincount(columns_of(chars, lo, hi, order, columns), minlength=columns + 1)[:columns]
+        for frame in frames:
+            for lang, texts in frame.groupby("lang")["text"]:
+                texts = list(texts)
+                for at, to in batches(texts):
+                    chars, _, _ = code_points(texts[at:to])
+                    for lo, hi in slices(chars):
+                        for order in ORDERS:
+                            found = columns_of(chars, lo, hi, order, columns)
+                            held[number[lang]] += np.bincount(found, minlength=columns + 1)[:columns]
         at = np.nonzero(held)
         yield pd.DataFrame({"l": at[0].astype("int32"), "c": at[1].astype("int32"), "n": held[at]})
 
