@@ -192,9 +192,11 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
             around = days.select(F.date_add("flight_date", gap_days).alias("flight_date")).union(
                 days.select(F.date_sub("flight_date", gap_days).alias("flight_date")))
             near = read_version(spark, rd_table, batch_id, buckets_of(around, day, DEFAULT_BUCKETS))
+            # a changed first leg with any second one, and an unchanged first leg with a changed second one
             as_first = best_from_stats(changes, gap_days, second=near)
-            as_second = best_from_stats(near, gap_days, second=changes)
-            affected = as_first.unionByName(as_second).distinct()
+            unchanged = near.join(changes.select(*ROUTE_DAY_KEYS), ROUTE_DAY_KEYS, "left_anti")
+            as_second = best_from_stats(unchanged, gap_days, second=changes)
+            affected = as_first.unionByName(as_second)
             affected = (post(affected) if post is not None else affected).persist()
             try:
                 key, cols = (ITINERARY_KEYS, day) if post is None else (affected.columns[:1], None)

@@ -38,7 +38,7 @@ from pyspark.sql.types import StructType
 VERSION_COL = "version"
 BUCKET_COL = "bucket"
 DEFAULT_KEEP_VERSIONS = 10
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 16
 
 BatchTransform = Callable[[DataFrame], DataFrame]
 
@@ -213,8 +213,7 @@ def upsert_by_key(spark: SparkSession, table: str, changes: DataFrame, keys: lis
     gone = changes.select(*keys) if drop is None else changes.select(*keys).union(drop.select(*keys))
     touched = buckets_of(gone, cols, buckets)
     before = read_version(spark, table, prev, touched)
-    cond_keys = gone.distinct()
-    kept = before.join(cond_keys, [before[k].eqNullSafe(cond_keys[k]) for k in keys], "left_anti")
+    kept = before.join(gone, [before[k].eqNullSafe(gone[k]) for k in keys], "left_anti")
     written = _write_rows(kept.unionByName(changes.select(*before.columns)), table, version, cols, buckets)
     held = {int(b): v for b, v in m["held"].items() if int(b) not in touched} | {b: version for b in written}
     _write_manifest(spark, table, version, m | {"held": held})

@@ -9,7 +9,7 @@ from skytally.session import scratch_path
 from skytally.sources import itinerary_lines, kafka_options, on_time_lines, text_lines, write_lines
 from skytally.streaming import runner as R
 from skytally.streaming.replay import run_available
-from skytally.streaming.sinks import bucket_of, latest_version, read_latest, read_version, upsert_by_key, upsert_sink, version_path, versions
+from skytally.streaming.sinks import DEFAULT_BUCKETS, bucket_of, latest_version, read_latest, read_version, upsert_by_key, upsert_sink, version_path, versions
 
 
 @pytest.fixture(scope="module")
@@ -275,7 +275,7 @@ def test_upsert_touches_only_its_buckets(spark):
     files = {f: os.stat(f).st_mtime_ns for f in glob.glob(os.path.join(local_path(table), "version=0", "**", "*.parquet"), recursive=True)}
     one = counts(spark, ("k7", -1))
     upsert_by_key(spark, table, one, ["id"], 1)
-    b = one.select(bucket_of(["id"], 64)).first()[0]
+    b = one.select(bucket_of(["id"], DEFAULT_BUCKETS)).first()[0]
     assert {f: os.stat(f).st_mtime_ns for f in files} == files
     assert [os.path.basename(x) for x in glob.glob(os.path.join(local_path(version_path(table, 1)), "bucket=*"))] == [f"bucket={b}"]
     assert rows(read_latest(spark, table)) == sorted([(f"k{i}", i) for i in range(200) if i != 7] + [("k7", -1)])
