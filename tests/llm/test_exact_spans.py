@@ -1,6 +1,5 @@
 """Exact deduplication and sentence spans against brute force."""
 
-import hashlib
 import re
 from collections import defaultdict
 
