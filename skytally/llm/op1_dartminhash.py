@@ -9,10 +9,13 @@ coordinate with probability their weighted Jaccard similarity. A document with a
 again with twice the threshold.
 
 Signatures are cut into bands; documents that agree in a whole band meet in a bucket. Equal word sequences
-are one class from the start. In a bucket every member is compared with the first one, and after the
-components of these links are known, with the first member of every other component that meets there.
-So no bucket is expanded into all pairs and none is capped. The comparison is exact (weighted Jaccard
-similarity of the whole texts' shingles, ``THRESHOLD`` or more). Classes are connected components.
+are one class from the start. In a bucket every member is compared with three centres: the one that meets
+most others over all its buckets (what copies were made from meets more of them than any copy does), the one
+that meets fewest, and one by hash. After the components of these links are known, buckets where several
+components still meet are gone through block by block: members of different components whose sizes and
+signatures allow it are compared too. So no bucket is expanded into all pairs and none is capped. The
+comparison is exact (weighted Jaccard similarity of the whole texts' shingles, ``THRESHOLD`` or more).
+Classes are connected components.
 
 Defined results: words are separated by ASCII blanks and compared in lower case; a null text counts as
 empty; all texts without words are one class; a text of fewer than five words has one shingle; of a class
@@ -27,13 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from skytally.llm import common as C
 from skytally.llm.shingles import batches, mix, shingles, similarities
 
 THRESHOLD = 0.8
-BANDS, ROWS = 20, 4  # a pair at 0.8 is missed with probability (1 - 0.8^4)^20, about 3 in 100 000
+BLOCK = 256  # members of a bucket compared with as many others at a time
+BANDS, ROWS = 35, 6  # a pair at 0.8 is missed with probability (1 - 0.8^6)^35, about 2 in 100 000
 
 
 def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int, k: int) -> np.ndarray:
@@ -93,8 +97,9 @@ def plain_words(text: Column) -> Column:
 
 
 def signed(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
-    """(id, file, row, key, bands) of (id, file, row, key, words); bands is null without words."""
-    schema = rows.select("id", "file", "row", "key").schema.add("bands", ArrayType(LongType()))
+    """(id, file, row, key, size, sig, bands) of (id, file, row, key, words); bands is null without words. ``sig`` has one byte of
+    every coordinate."""
+    schema = rows.select("id", "file", "row", "key").schema.add("size", LongType()).add("sig", BinaryType()).add("bands", ArrayType(LongType()))
 
     def sign(parts: Iterator) -> Iterator:
         import pyarrow as pa
@@ -104,16 +109,70 @@ def signed(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
             for lo, hi in batches(texts):
                 some = texts[lo:hi]
                 d, s, c = shingles(some)
-                found = band_hashes(dart_signatures(d, s, c.astype(np.float64), len(some), bands * per_band), bands, per_band)
-                none = np.bincount(d, minlength=len(some)) == 0
+                darts = dart_signatures(d, s, c.astype(np.float64), len(some), bands * per_band)
+                found = band_hashes(darts, bands, per_band)
+                sigs = [row.tobytes() for row in (darts >> np.uint64(32)).astype(np.uint8)]
+                size = np.bincount(d, c, minlength=len(some)).astype(np.int64)
+                none = size == 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, bands), pa.int32()),
                                                  pa.array(found.reshape(-1)), mask=pa.array(none))
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(lo, hi - lo) for k in range(4)), lists],
-                                                 names=["id", "file", "row", "key", "bands"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(lo, hi - lo) for k in range(4)), pa.array(size), pa.array(sigs, pa.binary()), lists],
+                                                 names=["id", "file", "row", "key", "size", "sig", "bands"])
 
     return rows.mapInArrow(sign, schema)
 
 
+def alike(members: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Distinct (a, b) of different components in one bucket whose signatures agree nearly as often as those
+    of similar texts do: five standard deviations below ``threshold`` are let through.
+
+    ``members``: bucket, n (members of it), node, size, component, sig. Members are dealt into blocks of about
+    ``BLOCK``; every two blocks of a bucket are compared in one task, as matrices, so a crowded bucket is many
+    small groups and only alike pairs become rows.
+    """
+    least = k * (threshold - 5 * math.sqrt(threshold * (1 - threshold) / k))
+    d = members.withColumn("blocks", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)"))
+    d = d.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    d = d.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "size", "component", "sig")
+
+    def compare(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def found(group):
+            block, node, size, comp, sig = zip(*group, strict=True)
+            block, node, size, comp = (np.array(x) for x in (block, node, size, comp))
+            sig = np.frombuffer(b"".join(sig), np.uint8).reshape(len(node), -1)
+            left = np.flatnonzero(block == block.min())
+            right = np.flatnonzero(block == block.max())
+            for i in left:
+                js = right[(comp[right] != comp[i]) & (np.minimum(size[right], size[i]) >= threshold * np.maximum(size[right], size[i]))]
+                js = js[(sig[js] == sig[i]).sum(1) >= least]
+                for j in js:
+                    yield (min(node[i], node[j]), max(node[i], node[j]))
+
+        key, group, out = None, [], set()
+        for batch in batches:
+            for b, lo, hi, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (b, lo, hi) != key and group:
+                    out.update(found(group))
+                    group = []
+                key = (b, lo, hi)
+                group.append(rest)
+            if out:
+                a, b = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                out = set()
+        if group:
+            out.update(found(group))
+            if out:
+                a, b = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    place = ["bucket", "lo", "hi"]
+    return d.repartition(*place).sortWithinPartitions(*place).mapInArrow(compare, "a long, b long").distinct()
+
+
 def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The (a, b) of ``pairs`` whose ``texts`` (node, words) are similar enough."""
     j = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("left")), "a")
@@ -130,6 +189,11 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return j.mapInArrow(verify, "a long, b long")
 
 
+def may_be_near(a: str, b: str, threshold: float) -> Column:
+    """The shingles that two texts share are at most the smaller one's: many strangers differ too much in size."""
+    return F.least(a, b) >= F.greatest(a, b) * threshold
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_files: bool = False,
                     threshold: float = THRESHOLD, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """One row per document: id, file, row, class_id (smallest id of its class), class_size, kept."""
@@ -139,39 +203,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = C.materialize(signed(worded.select("id", "file", "row", "key", "words"), bands, per_band), "near-signed", compression="zstd")
 
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")
-    best = members.groupBy("key").agg(F.min(place).alias("best"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"))
+    best = members.groupBy("key").agg(F.min(place).alias("best"), F.count(F.lit(1)).alias("copies"),
+                                      F.first("size").alias("size"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     kinds = C.materialize(best.withColumn("node", F.monotonically_increasing_id()), "near-kinds", compression="zstd")
 
-    buckets = kinds.where("bands is not null").select("node", F.explode("bands").alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    crowded = C.materialize(crowded.select("bucket", "a"), "near-crowded")
-    meets = C.materialize(C.maybe_in(buckets, ["bucket"], crowded).join(crowded, "bucket").select("bucket", "a", F.col("node").alias("b")), "near-meets")
-    pairs = C.materialize(meets.where("a != b").select("a", "b").distinct(), "near-pairs")
+    buckets = kinds.where("bands is not null").select("node", "size", F.explode("bands").alias("bucket"))
+    crowded = C.materialize(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-crowded")
+    meets = C.materialize(C.maybe_in(buckets, ["bucket"], crowded).join(crowded, "bucket"), "near-meets")
+    # how many meetings a node has in all: what copies were made from meets most of them
+    company = C.materialize(meets.groupBy("node").agg(F.sum("n").alias("company")), "near-company")
+    meets = C.materialize(meets.select("node", "size", "bucket").join(company, "node"), "near-members")
+    who, alone, any_ = (F.max(F.struct(order.alias("order"), "size", "node")) for order in (
+        F.col("company"), -F.col("company"), F.xxhash64("node")))
+    chosen = meets.groupBy("bucket").agg(F.array(who, alone, any_).alias("c"))
+    centres = C.materialize(chosen.select("bucket", F.explode(F.array_distinct(F.transform(
+        "c", lambda x: F.struct(x["size"].alias("c_size"), x["node"].alias("c_node"))))).alias("c")).select("bucket", "c.*"), "near-centres")
+    pairs = meets.join(centres, (meets["bucket"] == centres["bucket"]) & (F.col("node") != F.col("c_node")) & may_be_near("size", "c_size", threshold))
+    pairs = C.materialize(pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct(), "near-pairs")
 
     wanted = kinds.select("node", F.col("best.file").alias("file"), F.col("best.row").alias("row")).join(
-        meets.select(F.col("b").alias("node")).distinct(), "node")
+        company.select("node"), "node")
     wanted = C.materialize(wanted, "near-wanted")
     texts = C.materialize(C.maybe_in(worded.select("file", "row", "words"), ["file", "row"], wanted)
                           .join(wanted, ["file", "row"]).select("node", "words"), "near-texts", compression="zstd")
     links = C.materialize(linked(pairs, texts, threshold), "near-links")
 
-    # buckets where different components still meet: every member with the others' first members
+    # buckets where different components still meet: signatures of all members, block against block
     comp = C.materialize(C.connected_components(links, "near-comp"), "near-comp")
-    with_comp = C.materialize(meets.select("bucket", F.col("b").alias("node")).join(comp, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")), "near-in-comp")
-    firsts = with_comp.groupBy("bucket", "component").agg(F.min("node").alias("first"))
-    several = firsts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    firsts = C.materialize(firsts.join(several, "bucket").select("bucket", F.col("component").alias("other"), "first"), "near-firsts")
-    more = C.maybe_in(with_comp, ["bucket"], firsts).join(firsts, "bucket").where("component != other").select(
-        F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
-    more = C.materialize(more.join(pairs, ["a", "b"], "left_anti"), "near-more")
-    links = links.union(C.materialize(linked(more, texts, threshold), "near-links-2"))
-    comp = C.connected_components(links, "near-final")
-
-    kinds = kinds.select("key", "best", "size", "node").join(comp, "node", "left").select(
-        "key", "best", "size", F.coalesce("component", "node").alias("component"))
+    placed = C.materialize(meets.select("bucket", "node", "size").join(comp, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")), "near-in-comp")
+    mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = C.materialize(mixed.where("lo != hi").select("bucket", "n"), "near-mixed")
+    inside = C.maybe_in(placed, ["bucket"], mixed).join(mixed, "bucket").join(kinds.select("node", "sig"), "node")
+    more = C.materialize(alike(inside, threshold, bands * per_band).join(pairs, ["a", "b"], "left_anti"), "near-more")
+    late = C.materialize(linked(more, texts, threshold), "near-links-2")
+    if not late.isEmpty():
+        # the stars found so far and the late links: the same components as all links
+        stars = comp.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+        comp = C.connected_components(stars.union(late), "near-final")
+
+    kinds = kinds.select("key", "best", "copies", "node").join(comp, "node", "left").select(
+        "key", "best", "copies", F.coalesce("component", "node").alias("component"))
     kinds = C.materialize(kinds, "near-kind-class")
-    classes = kinds.groupBy("component").agg(F.min("best").alias("keep"), F.sum("size").alias("class_size"))
+    classes = kinds.groupBy("component").agg(F.min("best").alias("keep"), F.sum("copies").alias("class_size"))
     of_key = C.materialize(kinds.select("key", "component").join(classes, "component").select("key", "keep", "class_size"), "near-class")
     return members.select("id", "file", "row", "key").join(of_key, "key").select(
         "id", "file", "row", F.col("keep.id").alias("class_id"), "class_size",
@@ -186,3 +260,23 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 def op1_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(C.read_documents(spark, sf_dir), in_files=True).select(
         F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
+#: Every pair of documents that shares a shingle; LSH misses a link at the threshold about 2 times in 100 000.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+c AS (SELECT doc_id, hash(s) AS s, count(*) AS c FROM s GROUP BY ALL),
+t AS (SELECT doc_id, sum(c) AS t FROM c GROUP BY ALL),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.c, b.c)) AS n FROM c a JOIN c b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN t ta ON ta.doc_id = a JOIN t tb ON tb.doc_id = b WHERE n >= 0.8 * (ta.t + tb.t - n)
+  UNION ALL
+  SELECT x.doc_id, y.doc_id FROM w x JOIN w y ON len(x.w) = 0 AND len(y.w) = 0 AND x.doc_id <> y.doc_id),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a),
+k AS (SELECT doc_id, min(r) AS class_id, count(*) AS class_size FROM reach GROUP BY doc_id)
+SELECT doc_id, class_id, class_size, doc_id = class_id AS kept FROM k
+"""
