@@ -1,8 +1,10 @@
 """Substring deduplication by sliding spans of consecutive sentences.
 
-A text is cut after sentence marks followed by white space and after line ends. At every sentence a span
-begins: the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words, or the sentence alone if it
-has ``LONG`` words or more. Spans are compared by a
+A text is cut after sentence marks followed by white space and after line ends. A run of consecutive
+sentences counts if it has at least ``SENTENCES`` sentences and ``WORDS`` words, or ``LONG`` words. The spans are
+the shortest such run that begins at each sentence and the shortest that ends there: every sentence of a longer
+run is in one of these that lies within the run, so removing spans removes repeated runs of any length whole.
+Spans are compared by a
 128-bit digest of their lower-cased words over all documents; sentences covered by any span that is not the
 first of its kind go. First is the span of the smallest id (null last), then the earliest row and place, so
 one copy of every repeated passage stays. Spans are judged on the input, not on what is left.
@@ -39,22 +41,33 @@ def sentences(text: str | None) -> list[str]:
 
 
 def spans(parts: list[str], least: int = SENTENCES, words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(first sentence, one past the last, digest) of every span."""
+    """(first sentence, one past the last, digest) of every span, each once."""
     split = [p.lower().split() for p in parts]
     sums = [0]
     for w in split:
         sums.append(sums[-1] + len(w))
     digests = [blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in split]
-    end, n = least, len(parts)
+    n = len(parts)
+
+    def enough(lo: int, hi: int) -> bool:
+        size = sums[hi] - sums[lo]
+        return size >= LONG or hi - lo >= least and size >= words
+
+    runs, end, start = [], 1, 0
     for i in range(n):
-        if len(split[i]) >= LONG:
-            yield i, i + 1, digests[i]
-            continue
-        end = max(end, i + least)
-        while end <= n and sums[end] - sums[i] < words:
+        end = max(end, i + 1)
+        while end <= n and not enough(i, end):
             end += 1
-        if end <= n:
-            yield i, end, blake2b(b"".join(digests[i:end]), digest_size=16).digest()
+        if end > n:
+            break
+        runs.append((i, end))
+    for j in range(1, n + 1):
+        while start + 1 < j and enough(start + 1, j):
+            start += 1
+        if enough(start, j) and not (start < len(runs) and runs[start] == (start, j)):
+            runs.append((start, j))
+    for lo, hi in runs:
+        yield lo, hi, digests[lo] if hi == lo + 1 else blake2b(b"".join(digests[lo:hi]), digest_size=16).digest()
 
 
 def span_rows(rows: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:

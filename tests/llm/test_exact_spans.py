@@ -1,5 +1,6 @@
 """Exact deduplication and sentence spans against brute force."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -73,6 +74,41 @@ def brute_spans(rows, least=2, words=20):
     return sorted((str(d), len(sentences(t)), len(gone[i]), "".join(s for k, s in enumerate(sentences(t)) if k not in gone[i])) for i, (d, t) in enumerate(rows))
 
 
+def brute_runs(texts, least=2, words=20, long=40):
+    """Per text, the sentences that stay if every run that counts, of any length, goes where it isn't the first of its kind."""
+    first, runs = {}, []
+    for d, t in enumerate(texts):
+        split = [tuple(s.lower().split()) for s in sentences(t)]
+        for lo in range(len(split)):
+            for hi in range(lo + 1, len(split) + 1):
+                size = sum(map(len, split[lo:hi]))
+                if hi - lo >= least and size >= words or hi - lo == 1 and size >= long:
+                    run = tuple(split[lo:hi])
+                    runs.append((d, lo, hi, run))
+                    first.setdefault(run, (d, lo))
+    gone = defaultdict(set)
+    for d, lo, hi, run in runs:
+        if first[run] != (d, lo):
+            gone[d] |= set(range(lo, hi))
+    return ["".join(s for k, s in enumerate(sentences(t)) if k not in gone[d]) for d, t in enumerate(texts)]
+
+
+def of_lengths(lengths, mark):
+    return " ".join(" ".join(f"{mark}{k}x{i}" for i in range(n)) + "." for k, n in enumerate(lengths)) + " "
+
+
+def test_repeated_runs_go_whole(spark):
+    tail, after_long, middle = of_lengths([25, 20, 5, 4], "a"), of_lengths([45, 10], "b"), of_lengths([12, 5, 12], "c")
+    texts = [f"Host {k} begins. {p}Host {k} ends." for p in (tail, after_long, middle) for k in (1, 2)]
+    rng = random.Random(3)
+    pool = [of_lengths([n], f"p{n}") for n in (1, 2, 4, 5, 9, 12, 19, 20, 39, 40, 45)]
+    texts += ["".join(rng.choices(pool, k=rng.randrange(9))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["text"] for r in dedup_spans(df).collect()}
+    assert got[1] == got[3] == got[5] == "Host 2 begins. Host 2 ends."
+    assert [got[k] for k in range(len(texts))] == brute_runs(texts)
+
+
 def as_rows(df):
     return sorted((str(r["id"]), r["n_sentences"], r["n_removed"], r["text"]) for r in df.collect())
 
