@@ -1,11 +1,12 @@
 """Substring deduplication by sliding spans of consecutive sentences.
 
-A text is cut after sentence marks followed by white space and after line ends. A run of consecutive
+A text is cut after sentence marks, with their closing quotes and brackets, followed by white space; after marks
+of scripts that need none; after line ends; and where a script without blanks between words has one (Thai, Lao,
+Khmer, Burmese). In such scripts letters are counted instead of words. A run of consecutive
 sentences counts if it has at least ``SENTENCES`` sentences and ``WORDS`` words, or ``LONG`` words. The spans are
 the shortest such run that begins at each sentence and the shortest that ends there: every sentence of a longer
 run is in one of these that lies within the run, so removing spans removes repeated runs of any length whole.
-Spans are compared by a
-128-bit digest of their lower-cased words over all documents; sentences covered by any span that is not the
+Spans are compared by a 128-bit digest of their lower-cased words over all documents; sentences covered by any span that is not the
 first of its kind go. First is the span of the smallest id (null last), then the earliest row and place, so
 one copy of every repeated passage stays. Spans are judged on the input, not on what is left.
 
@@ -32,7 +33,18 @@ from skytally.llm import common as C
 SENTENCES = 2
 WORDS = 20
 LONG = 40
-_SENTENCE = re.compile(r"[\s\S]+?(?:[.!?]+(?=\s|\Z)|\n|\Z)\s*")
+# Closing quotes and brackets (the second after marks that need no blank, where an opening one may follow); marks that
+# need no blank; letters of scripts without blanks between words, of which about two or about four write a word; after the latter a
+# blank ends a phrase.
+_CLOSING = "[\"'”’“‘»«›‹)\\]}]"
+_CLOSING_WIDE = "[”’)\\]}）］｝〕〉》」』】〗〙〛｠｣]"
+_MARKS = "\u3002\uff61\uff01\uff1f\u0964\u0965\u061f\u06d4\u0589\u1362\u1367\u1368\u0e5a\u0e5b\u17d4\u17d5\u104a\u104b\u0f0d-\u0f11"
+_PAIRS = "\u3005-\u3007\u3041-\u3096\u30a1-\u30fa\u30fc\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_FOURS = "\u0e01-\u0e4e\u0e81-\u0ece\u0edc-\u0edf\u0f40-\u0fbc\u1000-\u103f\u1050-\u109f\u1780-\u17d3"
+_SENTENCE = re.compile(
+    rf"[\s\S]+?(?:[.!?]++(?:[\u00a0\u202f]?{_CLOSING})*(?=\s|\Z|[{_PAIRS}])|(?:[{_MARKS}]|\uff0e(?!\d))[{_MARKS}.!?]*{_CLOSING_WIDE}*"
+    rf"|\n|(?=\s)(?<=[{_FOURS}])|\Z)\s*")
+_IN_PAIRS, _IN_FOURS = re.compile(f"[{_PAIRS}]"), re.compile(f"[{_FOURS}]")
 
 
 def sentences(text: str | None) -> list[str]:
@@ -40,12 +52,17 @@ def sentences(text: str | None) -> list[str]:
     return _SENTENCE.findall(text or "")
 
 
+def length(words: list[str]) -> int:
+    """Words; where a script has no blanks between them, two (Han, kana) or four letters (Thai and others) are one."""
+    return sum(1 if w.isascii() else max(1, len(_IN_PAIRS.findall(w)) // 2 + len(_IN_FOURS.findall(w)) // 4) for w in words)
+
+
 def spans(parts: list[str], least: int = SENTENCES, words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
     """(first sentence, one past the last, digest) of every span, each once."""
     split = [p.lower().split() for p in parts]
     sums = [0]
     for w in split:
-        sums.append(sums[-1] + len(w))
+        sums.append(sums[-1] + length(w))
     digests = [blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in split]
     n = len(parts)
 

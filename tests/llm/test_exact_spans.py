@@ -109,6 +109,25 @@ def test_repeated_runs_go_whole(spark):
     assert [got[k] for k in range(len(texts))] == brute_runs(texts)
 
 
+def test_spans_of_other_scripts(spark):
+    zh = "春天来了，公园里的花都开了，孩子们在草地上奔跑。老人们坐在长椅上晒太阳，谈论着过去的事情和明天的打算！"
+    ja = "昨日は友達と一緒に海へ行きました。とても天気が良くて、たくさんの写真を撮ることができました。"
+    th = "วันนี้อากาศดีมากเราจึงไปเที่ยวทะเลกับเพื่อนหลายคน ทุกคนสนุกสนานและได้กินอาหารทะเลอร่อยมากมาย "
+    hi = "आज मौसम बहुत अच्छा है और हम सब लोग बाग में घूमने गए। बच्चों ने वहाँ बहुत देर तक खेल खेला और सब खुश हुए। "
+    quoted = "One two three four five six seven eight nine ten. Eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty. "
+    hosts = [("甲说了一句话。", "“乙回答了。"), ("その一。", "その二。"), ("แรกสุดของเรื่อง ", "ต่อจากนั้น"), ("एक बात। ", "दूसरी बात।"), ('He said "no." ', "(Or so.) It ends.")]
+    texts = []
+    for (before, after), passage in zip(hosts, (zh, ja, th, hi, quoted), strict=True):
+        texts += [passage + "x", before + passage + after]
+    texts += [zh[:-1].replace("。", "，") * 2] * 2
+    got = {r["id"]: r["text"] for r in dedup_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[2 * k + 1] for k in range(5)] == [a + b for a, b in hosts]
+    assert all(got[2 * k] == texts[2 * k] for k in range(6)) and got[11] == ""
+    assert all("".join(sentences(t)) == t for t in texts)
+    assert sentences("在２０．５米处。2020年。「好。」完") == ["在２０．５米处。", "2020年。", "「好。」", "完"]
+    assert sentences("« Non.\u00a0» Oui (si.) fin") == ["« Non.\u00a0» ", "Oui (si.) ", "fin"]
+
+
 def as_rows(df):
     return sorted((str(r["id"]), r["n_sentences"], r["n_removed"], r["text"]) for r in df.collect())
 
