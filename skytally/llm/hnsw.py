@@ -9,6 +9,7 @@ import numpy as np
 DEGREE = 16          # links per node on the upper levels, twice as many on the lowest
 BUILD_BEAM = 48
 BATCH = 256          # nodes inserted, or queries searched, together
+EXTRA = 4            # links a node gives at most to nodes that no other link leads to
 STEP = 4             # beam entries expanded at a time
 
 
@@ -87,7 +88,9 @@ class Graph:
             part = q[at:at + BATCH]
             visited = np.zeros((len(part), len(self.x)), bool)
             hits = []
-            self.beam(part, 0, self.descend(part, 0), width, visited, least, hits)
+            # from the entry every node can be reached
+            start = np.hstack([self.descend(part, 0), np.full((len(part), 1), self.entry)])
+            self.beam(part, 0, start, width, visited, least, hits)
             r, n, s = (np.concatenate(x) for x in zip(*hits, strict=True))
             while len(r):
                 out.append((r + at, n, s))
@@ -159,9 +162,35 @@ def build(x: np.ndarray, degree: int = DEGREE, width: int = BUILD_BEAM) -> Graph
             table[new[here], :degree] = picked
             _link_back(x, table, np.repeat(new[here], degree), picked.reshape(-1))
         at += len(new)
+    g.links[0] = _reachable(x, g.links[0], g.entry)
     return g
 
 
+def _reachable(x: np.ndarray, table: np.ndarray, entry: int) -> np.ndarray:
+    """``table`` with further columns, so that links lead from ``entry`` to every node: a node that none leads to
+    gets one from the nearest node reached that has given fewer than ``EXTRA``."""
+    n = len(x)
+    reached, given = np.zeros(n, bool), np.zeros(n, int)
+    more = np.full((n, EXTRA), -1)
+
+    def spread(nodes: np.ndarray) -> None:
+        while len(nodes):
+            reached[nodes] = True
+            near = np.unique(np.hstack([table[nodes], more[nodes]]))
+            near = near[near >= 0]
+            nodes = near[~reached[near]]
+
+    spread(np.array([entry]))
+    for node in np.flatnonzero(~reached):
+        if not reached[node]:
+            free = np.flatnonzero(reached & (given < EXTRA))
+            owner = free[np.argmax(x[free] @ x[node])]
+            more[owner, given[owner]] = node
+            given[owner] += 1
+            spread(np.array([node]))
+    return np.hstack([table, more[:, :given.max()]])
+
+
 def _link_back(x: np.ndarray, table: np.ndarray, source: np.ndarray, target: np.ndarray) -> None:
     """Let ``target`` link to ``source`` too; lists that overflow are chosen anew."""
     ok = target >= 0

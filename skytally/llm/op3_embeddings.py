@@ -3,9 +3,10 @@
 Equal vectors of a label are one node with a count. The nodes of a label are dealt by hash into shards of
 about ``SHARD`` vectors; each shard becomes one navigable graph. Every shard's vectors are sent as queries to
 its own and every earlier shard of the label (a link has two ends, so one direction suffices). Beams start
-at ``BEAM`` and from every hit go on along its links; then a fixed sample of the block's queries is audited
-against all vectors of the shard, and the beams are doubled and the block searched again until the audited
-recall is ``RECALL`` or more; a beam as wide as the shard finds everything. Cosines are double precision
+at ``BEAM`` and from every hit go on along its links; a sample of the block's queries is compared with all vectors
+of the shard, grown until it has ``EVIDENCE`` links (a vector's link with itself isn't one) or is the whole
+block, which then is exact; and the beams are doubled and the block searched again until the audited recall is
+``RECALL`` or more, over the links and over the queries; if wide beams don't reach it, the block is compared by matrix product. Cosines are double precision
 products of unit vectors. Links are united into components by the distributed star steps.
 
 Defined results: vectors that are null, empty, zero or have null or non-finite components, and vectors
@@ -26,7 +27,9 @@ LEAST = 0.93
 SHARD = 4096
 BEAM = 64
 RECALL = 0.995
-AUDIT = 128  # queries of a block that are compared with all vectors of the shard
+AUDIT = 128  # queries of a block that are compared with all vectors of the shard at first
+EVIDENCE = 1000  # links that an audit needs
+WIDE = 4     # beams of a shard's size divided by this cost more than the product
 
 
 def usable(vector: Column) -> Column:
@@ -54,20 +57,46 @@ def shard_graphs(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("grp", "shard").applyInArrow(one, "grp long, shard long, ids binary, x binary, graph binary")
 
 
-def search_block(graph, queries, least: float, beam: int, recall: float):
-    """(query, node, cosine) hits of ``queries`` in ``graph``, the beam widened until the audit passes."""
+def product(graph, queries, least: float):
+    """(query, node, cosine) of all pairs of ``least`` or more."""
     import numpy as np
 
-    n = len(graph.x)
-    chosen = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
-    truth = graph.x @ queries[chosen].T >= least
-    want = int(truth.sum())
+    out = []
+    for lo in range(0, len(queries), AUDIT):
+        cos = queries[lo:lo + AUDIT] @ graph.x.T
+        r, c = np.nonzero(cos >= least)
+        out.append((r + lo, c, cos[r, c]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def search_block(graph, queries, least: float, beam: int, recall: float, own=None):
+    """(query, node, cosine) hits of ``queries`` in ``graph``, the beam widened until the audit passes.
+    ``own`` has the node that each query itself is, if they are the graph's."""
+    import numpy as np
+
+    n, m, audit = len(graph.x), len(queries), AUDIT
+
+    def counted(r, c):
+        """Links per query, without those to itself."""
+        return np.bincount(r if own is None else r[own[r] != c], minlength=m)
+
     while True:
-        r, c, s = graph.within(queries, least, min(beam, n))
-        found = int(np.isin(r, chosen).sum())
-        if beam >= n or found >= recall * want:
+        if audit >= m:
+            return product(graph, queries, least)
+        chosen = np.unique(np.linspace(0, m - 1, audit).astype(int))
+        r, c, _ = product(graph, queries[chosen], least)
+        want = counted(chosen[r], c)[chosen]
+        if want.sum() >= EVIDENCE:
+            break
+        audit *= 4
+    some = want > 0
+    while WIDE * beam < n:
+        r, c, s = graph.within(queries, least, beam)
+        found = counted(r, c)[chosen]
+        if found.sum() >= recall * want.sum() and (found[some] / want[some]).mean() >= recall:
             return r, c, s
         beam *= 2
+    return product(graph, queries, least)
 
 
 def links_of(graphs: DataFrame, least: float, beam: int = BEAM, recall: float = RECALL) -> DataFrame:
@@ -90,8 +119,10 @@ def links_of(graphs: DataFrame, least: float, beam: int = BEAM, recall: float =
                     last, graph = ids, hnsw.Graph.loads(batch.column(1)[i].as_py())
                 q_ids = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
                 q = np.frombuffer(batch.column(3)[i].as_py(), "<f8").reshape(len(q_ids), -1)
+                same = np.array_equal(ids, q_ids)
                 for lo in range(0, len(q), 2048):
-                    r, c, _ = search_block(graph, q[lo:lo + 2048], least, beam, recall)
+                    part = q[lo:lo + 2048]
+                    r, c, _ = search_block(graph, part, least, beam, recall, np.arange(lo, lo + len(part)) if same else None)
                     a, b = q_ids[lo:lo + 2048][r], ids[c]
                     other = a != b
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[other]), pa.array(np.maximum(a, b)[other])], names=["a", "b"])

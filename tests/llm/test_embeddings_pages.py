@@ -80,6 +80,34 @@ def test_recall_of_the_graph():
     assert len(r) >= 0.99 * truth.sum()
 
 
+def test_every_node_is_reached():
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=(1, 32))
+    x = hnsw.unit(np.vstack([centre + rng.normal(size=(5, 32)) * 0.3, centre + rng.normal(size=(1500, 32)) * 0.1]))
+    g = hnsw.build(x)
+    reached, todo = {g.entry}, [g.entry]
+    while todo:
+        for k in g.links[0][todo.pop()].tolist():
+            if k >= 0 and k not in reached:
+                reached.add(k)
+                todo.append(k)
+    assert len(reached) == len(x)
+
+
+def test_lost_links_are_noticed():
+    """Nodes that no link leads to: the links of a block that has few, and of a block of the shard's own vectors, are found."""
+    rng = np.random.default_rng(8)
+    x = hnsw.unit(rng.normal(size=(1000, 32)))
+    g = hnsw.build(x)
+    lost = np.arange(0, 1000, 3)
+    g.links = [np.where(np.isin(t, lost[lost != g.entry]), -1, t) for t in g.links]
+    others = hnsw.unit(rng.normal(size=(1000, 32)))
+    others[1:40] = hnsw.unit(x[lost[1:40]] + rng.normal(size=(39, 32)) * 0.01)
+    for q, own in ((others, None), (x, np.arange(1000))):
+        r, c, _ = search_block(g, q, 0.93, 64, 0.995, **({} if own is None else {"own": own}))
+        assert set(zip(r.tolist(), c.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(q @ x.T >= 0.93))))
+
+
 PAGE = """<!doctype html><html><head><title>Not this</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></nav>
 <div class="cookie-banner">We use cookies, as everybody does. Accept all of them, please.</div>
