@@ -5,7 +5,8 @@ is not part of a path). For every path, text length and punctuation marks outsid
 divided by the number of its blocks; both ratios are smoothed over neighbouring blocks and multiplied.
 Blocks whose fused ratio reaches ``SHARE`` of the page's largest belong to the content. Headings, lists,
 quotations, tables and captions in the same element as such blocks go with them, and so does everything
-else in an ``article`` or ``main`` element that holds such blocks, unless it is mostly links. Elements that say themselves
+else in an ``article`` or ``main`` element that holds such blocks, unless it is mostly links; where these elements
+hold most of such text, nothing outside them counts. Elements that say themselves
 that they are something else (navigation, forms, scripts, adverts, notices, comments, by tag, role or class) never count.
 
 Defined results: a null or empty html, and a page without any such block, have an empty text; unclosed,
@@ -209,7 +210,8 @@ def main_text(html: str | None) -> str:
     linked = [len(" ".join("".join(b.linked).split())) > LINKED * len(b.text) for b in blocks]
     high = [f >= least and not (x and b.tag == "li") for f, x, b in zip(fused, linked, blocks, strict=True)]
     holders = {b.holder for b, h in zip(blocks, high, strict=True) if h and b.holder}
-    if holders:
+    inside = sum(len(b.text) * (1 if b.holder else -1) for b, h in zip(blocks, high, strict=True) if h)
+    if holders and inside >= 0:
         # the page marks its article: what lies outside isn't part of it
         keep = [b.holder in holders and (h or not x) for b, h, x in zip(blocks, high, linked, strict=True)]
     else:

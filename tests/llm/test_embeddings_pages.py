@@ -129,6 +129,13 @@ def test_page_text():
     assert main_text("<p" + " x" * 100_000 + ">deep, text." + "<div>" * 3000) == "deep, text."
 
 
+def test_cards_do_not_replace_the_text():
+    text = [f"Paragraph {k}, " + "with words of the story " * 15 + "and more, as told; so it ends." for k in range(6)]
+    cards = "".join(f"<article><h3>Story {k}</h3><p>{'A summary of it ' * 14}goes, on, and, on.</p></article>" for k in range(3))
+    got = main_text(f"<body><div><h1>Title</h1>{''.join(f'<p>{t}</p>' for t in text)}</div><div>{cards}</div></body>")
+    assert got.startswith(" ".join(["Title", *text]))
+
+
 def test_page_query(spark):
     rows = duckdb.sql(f"SELECT page_id, url, html FROM '{SF}/pages.parquet'").fetchall()
     import re
