@@ -7,7 +7,8 @@ Blocks whose fused ratio reaches ``SHARE`` of the page's largest belong to the c
 quotations, tables and captions in the same element as such blocks go with them, and so does everything
 else in an ``article`` or ``main`` element that holds such blocks, unless it is mostly links; where these elements
 hold most of such text, nothing outside them counts. Elements that say themselves
-that they are something else (navigation, forms, scripts, adverts, notices, comments, by tag, role or class) never count.
+that they are something else (navigation, forms, scripts, adverts, notices, comments, by tag, role or class) never count,
+but for a form, or an element of such a class or role, that holds more than ``SPARED`` times the text outside such elements, none of it in an ``article`` or ``main``.
 
 Defined results: a null or empty html, and a page without any such block, have an empty text; unclosed,
 unknown and cut-off markup is read as browsers do, as far as text goes; repeated rows are extracted each; null ids and urls are kept;
@@ -29,6 +30,7 @@ from skytally.llm import common as C
 
 SHARE = 0.2       # of the largest fused ratio
 NEAR = 1          # blocks on either side that smoothing takes in
+SPARED = 3        # times the text outside that an element with another name, or a form, holds if it is the page's text after all
 LINKED = 0.5      # share of a block's text in links that makes it a list of links
 
 # Elements by kind.
@@ -52,6 +54,9 @@ MARKS = re.compile(
     r"complementary|consent|contentinfo|cookies?|disqus|disclaimer|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|navigator|"
     r"newsletter|notice|notification|alert|overlay|pagination|pager|popup|promo|promoted|recommended|related|replies|reply|respond|search|share|"
     r"sharing|sidebar|side-bar|signup|skip-link|social|sponsor|sponsored|subscribe|subscription|tags?|teaser|toolbar|widget)(?:$|[\s_-])", re.I)
+# Beginnings of a class that says what an element has, lacks or is beside.
+HAVING = re.compile(r"(?:has|have|no|not|non|with|without|hide|show)[_-]", re.I)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w-])(hidden)(?![\w=-])""", re.I)
 _TAG = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?>[^>"']+|"[^"]*"|'[^']*')*+)>"""
                   r"""|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
@@ -68,6 +73,16 @@ class Block:
         self.text = ""
 
 
+def named_other(token: str, tag: str) -> bool:
+    """Whether a class, id or role names a side matter: by itself, or as its first or last part (site-footer, related-posts).
+    What an element has or lacks doesn't name it (has-sidebar), and a heading isn't one by a part of a name (section-header)."""
+    if MARKS.fullmatch(token):
+        return True
+    if HAVING.match(token) or tag in HEADINGS:
+        return False
+    return any(m.start() == 0 or m.end() == len(token) for m in MARKS.finditer(token))
+
+
 def says_other(name: str, rest: str, by_name: bool) -> bool:
     """Whether an element says it isn't content: by its tag, or (unless ``by_name`` is off) its class, id or role."""
     if name in NOT_CONTENT:
@@ -84,16 +99,17 @@ def says_other(name: str, rest: str, by_name: bool) -> bool:
         elif key == "aria-hidden":
             if value.lower() == "true":
                 return True
-        elif by_name and MARKS.search(value):
+        elif by_name and any(named_other(x, name) for x in value.split()):
             return True
     return False
 
 
-def blocks_of(html: str, by_name: bool = True) -> list[Block]:
-    """The page's text blocks outside of elements that say they are something else."""
+def blocks_of(html: str, by_name: bool = True, spared: frozenset[int] = frozenset(), held: dict[tuple[int, ...], int] | None = None) -> list[Block]:
+    """The page's text blocks outside of elements that say they are something else, but for those of the numbers ``spared``.
+    ``held`` gets the length of text, outside links, by the elements around it that are something else by name, or forms."""
     out: list[Block] = []
-    # open elements: (name, number, is something else); inline ones only as far as they matter
-    stack: list[tuple[str, int, bool]] = [("", 0, False)]
+    # open elements: (name, number, is something else, the numbers of those around that are by name); inline ones only as far as they matter
+    stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", 0, False, ())]
     number, anchors, at, n = 0, 0, 0, len(html)
     current: Block | None = None
 
@@ -101,6 +117,10 @@ def blocks_of(html: str, by_name: bool = True) -> list[Block]:
         nonlocal current
         if not text or stack[-1][2]:
             return
+        if held is not None and not anchors:
+            held[stack[-1][3]] = held.get(stack[-1][3], 0) + len(text.strip())
+        if stack[-1][3]:
+            return
         if current is None:
             if not text.strip():
                 return
@@ -170,7 +190,15 @@ def blocks_of(html: str, by_name: bool = True) -> list[Block]:
                         break
         number += 1
         anchors += name == "a"
-        stack.append((name, number, stack[-1][2] or says_other(name, rest, by_name)))
+        other, around = stack[-1][2:]
+        if not other and number not in spared and says_other(name, rest, by_name):
+            if name == "form" or name not in NOT_CONTENT and not says_other(name, rest, False):
+                around = (*around, number)
+            else:
+                other = True
+        elif not other and number in spared:
+            other = says_other("", rest, False)
+        stack.append((name, number, other, around))
     for b in out:
         b.text = " ".join("".join(b.parts).split())
     return [b for b in out if b.text]
@@ -201,8 +229,19 @@ def fused_ratios(blocks: list[Block]) -> list[float]:
 
 
 def main_text(html: str | None) -> str:
-    # a page whose whole text stands in an element named like a side matter is read without those names
-    blocks = blocks_of(html or "") or blocks_of(html or "", by_name=False)
+    # a page whose whole text stands in an element named like a side matter is read without those names, and one whose
+    # text stands for the most part in such an element, or in a form, with that element, if none is in an article outside
+    for by_name in (True, False):
+        held: dict[tuple[int, ...], int] = {}
+        blocks = blocks_of(html or "", by_name, held=held)
+        free = held.pop((), 0)
+        most = max(held, key=held.__getitem__, default=())
+        if by_name and not blocks:
+            free = sum(held.values()) - held.get(most, 0)
+        if most and held[most] > SPARED * free and not any(b.holder for b in blocks):
+            blocks = blocks_of(html or "", by_name, frozenset(most))
+        if blocks:
+            break
     if not blocks:
         return ""
     fused = fused_ratios(blocks)

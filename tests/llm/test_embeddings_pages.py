@@ -136,6 +136,19 @@ def test_cards_do_not_replace_the_text():
     assert got.startswith(" ".join(["Title", *text]))
 
 
+def test_names_of_wrappers():
+    text = [f"Paragraph {k}, " + "with words of the story " * 9 + "and more, as told; so it ends." for k in range(4)]
+    body = "<h2 class='section-header'>Part</h2>" + "".join(f"<p>{t}</p>" for t in text)
+    want, side = " ".join(["Part", *text]), "<div class='site-footer'>Some rights, reserved.</div><div class='cookie-banner'>We, too.</div>"
+    for name in ("layout has-sidebar", "no-sidebar", "with-ads", "page-header-fixed", "related", "content-widget"):
+        for tag in ("div", "section"):
+            assert main_text(f"<body><{tag} class='{name}'>{body}</{tag}>{side}</body>") == want
+    assert want in main_text(f"<body><p>My site</p><div id='page-overlay'>{body}</div><p>Copyright</p></body>")
+    assert main_text(f"<body><form id=aspnet>{body}<div class='sidebar'>Other, things. Read.</div></form></body>") == want
+    assert main_text(f"<body><div>{body}</div><form>Your name, here. Please.</form>{side}</body>") == want
+    assert main_text(f"<body><form style='display:none'>{body}</form></body>") == ""
+
+
 def test_page_query(spark):
     rows = duckdb.sql(f"SELECT page_id, url, html FROM '{SF}/pages.parquet'").fetchall()
     import re
