@@ -22,6 +22,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from skytally.llm import common as C
 
+TOKENIZER = "word_bpe_49k.json"   # found by each worker on its own machine
 CAPACITY = 4096
 END_ID = 1
 GROUP_SEQUENCES = 2048
@@ -160,9 +161,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:
-    import public_tokenizers
-
-    pieces = encode_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    pieces = encode_pieces(docs, TOKENIZER)
     pieces = C.materialize(pieces, "pack-pieces", compression="zstd")
     return pack(pieces.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).select(
         F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

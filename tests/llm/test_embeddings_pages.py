@@ -1,5 +1,6 @@
 """Embedding near-duplicates, page extraction, packing and language identification."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -169,6 +170,24 @@ def path():
     return public.path("word_bpe_49k.json")
 
 
+def test_word_encoder_over_every_plain_character():
+    """Each character that takes the short way, beside letters, digits, marks and itself, and random strings."""
+    from tokenizers import Tokenizer
+
+    from skytally.llm import tokens as T
+
+    path = T.tokenizer_path("word_bpe_49k.json")
+    chars = [c for c in map(chr, range(0x2100)) if T.PLAIN.fullmatch(c)]
+    assert len(chars) > 500 and not set("İƆƏƁƐƱ") & set(chars)
+    texts = [t for c in chars for t in (c, "a" + c, c + "a", "1" + c, c + "1", "'" + c, c + "'", "é" + c, c + "\u0301", c + "!", " " + c, c + c)]
+    pick = random.Random(1)
+    texts += ["".join(pick.choice(chars) for _ in range(pick.randint(1, 12))) for _ in range(30_000)]
+    texts += ["".join(map(chr, pick.choices(range(1, 0x300), k=8))) for _ in range(3000)] + ["Ɔà", "ƏÚ", "Ʈl", "Ɓs"]
+    want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    for text, ids, w in zip(texts, WordEncoder(path).encode(texts), want):
+        assert np.frombuffer(ids, np.uint32).tolist() == w.ids, repr(text)
+
+
 ODD = ["It's  a TEST’s — “q” don't 12³½x", "ΑΣ Σ", "<|endoftext|> x", "\x85a\x1cb", "İstanbul", "á", "", "!!'s,,'re ''t", "a\xa0b\x0bc", "Ñandú ÀÉß ¿qué?", "日本語 text", "x" * 5000]
 
 
@@ -180,9 +199,11 @@ def test_tokens_are_the_tokenizers(path):
 
 
 def test_packing_query(spark, path):
-    enc = WordEncoder(path)
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
-    ids = {d: np.append(np.frombuffer(enc.encode([t or ""])[0], "<u4"), np.uint32(1)) for d, t in docs}
+    ids = {d: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], np.uint32) for d, t in docs}
     got = op6_packing(spark, SF).collect()
     seen, filled = defaultdict(list), defaultdict(list)
     for r in got:
