@@ -13,6 +13,7 @@ from skytally.llm.op7_language import op7_language
 from skytally.llm.op8_spans import op8_spans
 from skytally.llm.op9_sharding import op9_sharding
 from skytally.llm.op10_exact_dedup import OP10_SQL, op10_exact_dedup
+from skytally.llm.op11_alignment import op11_alignment
 from skytally.llm.op12_rules import OP12_SQL, op12_rules
 
 
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op8_spans": op8_spans,
         "op9_sharding": op9_sharding,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_alignment": op11_alignment,
         "op12_rules": op12_rules,
     }
 
