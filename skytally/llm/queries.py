@@ -15,6 +15,7 @@ from skytally.llm.op9_sharding import op9_sharding
 from skytally.llm.op10_exact_dedup import OP10_SQL, op10_exact_dedup
 from skytally.llm.op11_alignment import op11_alignment
 from skytally.llm.op12_rules import OP12_SQL, op12_rules
+from skytally.llm.op13_phrases import OP13_SQL, op13_phrases
 
 
 def queries() -> dict[str, Query]:
@@ -31,6 +32,7 @@ def queries() -> dict[str, Query]:
         "op10_exact_dedup": op10_exact_dedup,
         "op11_alignment": op11_alignment,
         "op12_rules": op12_rules,
+        "op13_phrases": op13_phrases,
     }
 
 
@@ -40,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_embeddings": OP3_SQL,
         "op10_exact_dedup": OP10_SQL,
         "op12_rules": OP12_SQL,
+        "op13_phrases": OP13_SQL,
     }
