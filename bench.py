@@ -46,6 +46,7 @@ OTHER_QUERIES = {
 ITINERARY_QUERIES = {
     "itinerary_legs": Q.itinerary_counts,
     "itinerary_best": Q.best_itineraries,
+    "itinerary_top10": Q.itinerary_top10,
 }
 
 
@@ -72,6 +73,8 @@ def main() -> None:
         "derive_lines5": timed(lambda: write_lines(on_time_lines(spark, sf_dir), five_dir)),
         "derive_lines7": timed(lambda: write_lines(itinerary_lines(spark, sf_dir), seven_dir)),
     }
+    ordered7 = f"{base}/ordered7"   # lines start with the date: a feed in the order of the days
+    write_lines(text_lines(spark, seven_dir).orderBy("line").coalesce(1), ordered7)
     small5, small7 = f"{base}/small5", f"{base}/small7"
     write_lines(text_lines(spark, five_dir).coalesce(1), small5, GROWTH_LINES)
     write_lines(text_lines(spark, seven_dir).coalesce(1), small7, GROWTH_LINES)
@@ -116,8 +119,11 @@ def main() -> None:
         "growth_airports_update": stream_time(
             "g-airports-update", lambda st, t, c, tr: R.airport_popularity_stream(st, t, c, tr, mode="update"), small5),
         "growth_carriers_by_route_update": stream_time(
-            "g-route-update", lambda st, t, c, tr: R.grouped_top_k_stream(st, Q.CARRIERS_BY_ROUTE, t, c, tr, mode="update", packed=True), small5),
+            "g-route-update", lambda st, t, c, tr: R.grouped_top_k_stream(st, Q.CARRIERS_BY_ROUTE, t, c, tr, mode="update", layout="packed"), small5),
         "growth_itinerary_update": stream_time("g-itinerary-update", R.itinerary_stream, small7),
+        "stream_itinerary_ordered": stream_time("itinerary-ordered", R.itinerary_stream, ordered7),
+        "stream_itinerary_complete": stream_time(
+            "itinerary-complete", lambda st, t, c, tr: R.itinerary_stream(st, t, c, tr, mode="complete"), seven_dir),
     }
     five_counts = ("airports", "carriers", "carriers-by-airport", "destinations-by-airport", "carriers-by-route")
     n_files = max(1, -(-n_lines // RECORDS_PER_TRIGGER))

@@ -6,7 +6,7 @@ Entry points:
   with one ``line`` column (airport popularity, carriers by on-time arrivals,
   grouped top-10s, itineraries);
 * ``skytally.streaming.runner``: the same questions as Structured Streaming
-  jobs writing keyed result tables (``skytally.streaming.sinks.read_latest``);
+  jobs writing keyed result tables (``skytally.streaming.changelog.read_latest``);
 * ``skytally.sources``: text/Kafka line sources and the line writer;
 * ``python -m skytally``: one job per process from the command line.
 """

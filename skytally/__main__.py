@@ -7,8 +7,9 @@
     python -m skytally carriers-by-route --batch /data/flights --table /shared/results/routes_once
 
 Streams run until stopped (or, with ``--available-now``, until the input seen
-at start is consumed). Results go to ``--table`` as keyed Parquet versions;
-read them with ``skytally.streaming.sinks.read_latest``.
+at start is consumed). Results go to ``--table`` as Parquet snapshots or change logs; read
+them with ``skytally.streaming.changelog.read_latest``, and the counts of ``--ranked --mode
+update`` with their ranks by ``skytally.streaming.runner.read_ranked``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from skytally.plans import queries as Q
 from skytally.sources import file_line_stream, kafka_line_stream, text_lines
 from skytally.sources.lines import TRIGGER_SECONDS
 from skytally.streaming import runner as R
-from skytally.streaming.sinks import DEFAULT_KEEP_VERSIONS, is_batch_table, latest_version, write_version
+from skytally.streaming.changelog import DEFAULT_KEEP_VERSIONS, write_once
 
 
 def _counts(runner, batch, ranked):
@@ -43,9 +44,8 @@ def _counts(runner, batch, ranked):
 
 def _grouped(spec):
     def stream(lines, table, ckpt, trigger, args):
-        post = (lambda df: L.lists_layout(df, spec.group_cols)) if args.original_layout else None
         return R.grouped_top_k_stream(lines, spec, table, ckpt, trigger, k=args.top or DEFAULT_K, mode=args.mode or "complete",
-                                      packed=args.original_layout, post=post, keep_versions=args.keep_versions, show=args.print)
+                                      layout="original" if args.original_layout else "long", keep_versions=args.keep_versions, show=args.print)
 
     def once(lines, args):
         k = args.top or DEFAULT_K
@@ -98,10 +98,10 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger-seconds", type=float, default=TRIGGER_SECONDS)
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--mode", choices=["complete", "update"], help="default: complete; itineraries: update")
-    p.add_argument("--ranked", action="store_true", help="airports, carriers: every key with its rank (complete mode)")
+    p.add_argument("--ranked", action="store_true", help="airports, carriers: every key with its rank (update mode: when read)")
     p.add_argument("--top", type=int, help="airports, carriers: only the n highest (complete mode); the grouped jobs: n per group")
     p.add_argument("--print", type=int, nargs="?", const=10, default=0, metavar="N", help="also print N rows (10) per trigger")
-    p.add_argument("--keep-versions", type=int, default=DEFAULT_KEEP_VERSIONS, help="result versions to keep")
+    p.add_argument("--keep-versions", type=int, default=DEFAULT_KEEP_VERSIONS, help="snapshots to keep (complete mode)")
     p.add_argument("--original-layout", action="store_true",
                    help="write (Id, Popularity), (Airport, CarriersList) or (Id, CarriersList) rows like the original tables")
     p.add_argument("--rejects", help="folder for the lines the job can't use, with their reason")
@@ -120,17 +120,17 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         raise SystemExit("--ranked and --top don't apply to itineraries")
     if args.ranked and (args.job not in ("airports", "carriers") or args.top is not None or args.original_layout):
         raise SystemExit("--ranked is for airports and carriers, without --top or --original-layout")
-    if args.mode == "update" and (args.ranked or (args.top is not None and args.job in ("airports", "carriers"))):
-        raise SystemExit("a ranking needs every key each trigger: use --mode complete")
+    if args.mode == "update" and args.top is not None and args.job in ("airports", "carriers"):
+        raise SystemExit("--top is cut from every key each trigger: use --mode complete, or --ranked --mode update")
     if args.batch:
         lines = text_lines(spark, args.batch)
         out = batch_fn(strict(lines, args.job) if args.failfast else lines, args)
-        last = latest_version(spark, args.table)
-        if last is not None and not is_batch_table(spark, args.table):
-            raise SystemExit(f"{args.table} belongs to a stream; write batch results to a table of their own")
+        try:
+            write_once(out, args.table)
+        except ValueError as e:
+            raise SystemExit(str(e)) from e
         if args.rejects:
             rejects(lines, args.job).write.mode("append").parquet(args.rejects)
-        write_version(out, args.table, 0 if last is None else last + 1, batch=True)
         if args.print:
             out.show(args.print, truncate=False)
         return out

@@ -7,7 +7,10 @@ from skytally.operators.itinerary import (
     connect,
     itinerary_counts,
     leg_union,
+    route_day_best,
     route_day_stats,
+    top_from_best,
+    top_itineraries,
 )
 from skytally.operators.parse import (
     LEG_JOB,
@@ -44,8 +47,11 @@ __all__ = [
     "rank_by_count",
     "records",
     "rejects",
+    "route_day_best",
     "route_day_stats",
     "strict",
+    "top_from_best",
+    "top_itineraries",
     "top_k_per_group",
     "top_n",
 ]

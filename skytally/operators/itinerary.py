@@ -7,7 +7,9 @@ independent statistic per leg:
 * count(pairs)  = n(d, X, Y) * n(d+2, Y, Z)
 * min(a + b)    = min_a + min_b, and the best pair, ordered by
   (total, flight1, flight2), is the best first leg by (delay, flight) joined
-  with the best second leg by (delay, flight).
+  with the best second leg by (delay, flight);
+* the k best pairs are among the pairs of the i-th best first and the j-th best
+  second leg with i * j <= k: each such pair has i * j - 1 others before it.
 
 So legs are first reduced to one row per (date, origin, dest) route-day, and
 only those rows are joined, on (connecting airport, date + gap). A hub airport
@@ -23,7 +25,7 @@ BIGINT products; under ANSI mode an overflow fails loudly instead of wrapping.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.functions import shift_days
@@ -121,3 +123,40 @@ def best_from_stats(stats: DataFrame, gap_days: int = CONNECTION_GAP_DAYS,
         F.col("best2.delay").alias("delay2"),
         (F.col("best1.delay") + F.col("best2.delay")).alias("total_delay"),
     )
+
+
+def route_day_best(legs: DataFrame, k: int) -> DataFrame:
+    """Per (flight_date, origin, dest): ``best``, its k best different flights as (delay, flight) in that order.
+
+    The k best are cut before and after the shuffle, so a route-day ships k rows per task however many
+    flights it has, and no list is longer than k. Lines repeated for one flight count once.
+    """
+    own = Window.partitionBy(*ROUTE_DAY_KEYS).orderBy("arr_delay", "flight")
+    flights = legs.groupBy(*ROUTE_DAY_KEYS, "arr_delay", "flight").agg(F.count(F.lit(1)).alias("m"))
+    top = flights.withColumn("i", F.row_number().over(own)).where(F.col("i") <= k)
+    entry = F.struct(F.col("arr_delay").alias("delay"), F.col("flight").alias("flight"))
+    return top.groupBy(*ROUTE_DAY_KEYS).agg(F.array_sort(F.collect_list(entry)).alias("best"))
+
+
+def top_from_best(route_days: DataFrame, k: int, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
+    """``flight_date, x, y, z, rank, flight1, flight2, delay1, delay2, total_delay``: each itinerary's k best
+    pairs, by total, then by the first and the second leg's (delay, flight), from ``route_day_best`` rows.
+
+    Two lists of k entries are merged into at most k * (1 + 1/2 + .. + 1/k) candidates, inside the row.
+    """
+    def pair(a: Column, b: Column) -> Column:
+        return F.struct((a["delay"] + b["delay"]).alias("total_delay"), a["delay"].alias("delay1"), a["flight"].alias("flight1"),
+                        b["delay"].alias("delay2"), b["flight"].alias("flight2"))
+
+    c = connect(route_days, gap_days)
+    candidates = F.flatten(F.transform("best1", lambda a, i: F.transform(
+        F.slice("best2", F.lit(1), F.floor(F.lit(k) / (i + 1)).cast("int")), lambda b: pair(a, b))))
+    first = F.slice(F.array_sort(candidates), 1, k)
+    rows = c.select("flight_date", "x", "y", "z", F.posexplode(first).alias("i", "p"))
+    return rows.select("flight_date", "x", "y", "z", (F.col("i") + 1).cast("bigint").alias("rank"), "p.flight1", "p.flight2",
+                       "p.delay1", "p.delay2", "p.total_delay")
+
+
+def top_itineraries(legs: DataFrame, k: int = 10, gap_days: int = CONNECTION_GAP_DAYS) -> DataFrame:
+    """Each itinerary's k best pairs of flights; see ``top_from_best``."""
+    return top_from_best(route_day_best(legs, k), k, gap_days)

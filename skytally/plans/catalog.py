@@ -20,6 +20,7 @@ from skytally.plans import queries as Q
 from skytally.plans import layout as L
 from skytally.sources import defect_itinerary_lines, defect_on_time_lines, itinerary_lines, on_time_lines
 from skytally.streaming import runner as R
+from skytally.streaming.changelog import compact, newest_batch, read_latest
 from skytally.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,10 +69,17 @@ def _pair_counts(lines: DataFrame) -> DataFrame:
     return c.select(F.col("airport").alias("origin"), F.col("item").alias("carrier"), "n")
 
 
+def _compacted(spark: SparkSession, base: str) -> DataFrame:
+    """The log's first half as one batch of another table, and the younger batches on top of it."""
+    half = newest_batch(spark, f"{base}/table") // 2
+    compact(spark, f"{base}/table", f"{base}/compacted", upto=half)
+    return read_latest(spark, f"{base}/table", base=f"{base}/compacted")
+
+
 def _stream(name: str, start_fn, lines_fn=on_time_lines,
-            post: Callable[[DataFrame], DataFrame] | None = None) -> Query:
+            post: Callable[[DataFrame], DataFrame] | None = None, read=None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = replay(spark, lines_fn(spark, sf_dir), start_fn, name)
+        out = replay(spark, lines_fn(spark, sf_dir), start_fn, name, read=read)
         return post(out) if post else out
     return run
 
@@ -129,6 +137,9 @@ def queries() -> dict[str, Query]:
         "leg_union": _dated(_seven(D.leg_union_counts)),
         "itinerary_legs": _dated(_seven(Q.itinerary_counts)),
         "itinerary_best": _dated(_seven(Q.best_itineraries)),
+        "itinerary_top10": _dated(_seven(Q.itinerary_top10)),
+        "itinerary_top10_layout": _seven(lambda lines: _joined_list(L.top_itineraries_layout(Q.itinerary_top10(lines)))),
+        "defect_itinerary_top10": _dated(_seven_defects(Q.itinerary_top10)),
         # streaming replays: final table == batch answer
         "stream_airport_popularity": _stream("stream-airports", R.airport_popularity_stream),
         "stream_airports_ranked": _stream(
@@ -157,12 +168,23 @@ def queries() -> dict[str, Query]:
         "stream_itinerary_update": _dated(_stream(
             "stream-itinerary-update", R.itinerary_stream, lines_fn=itinerary_lines)),
         "itinerary_layout": _seven(lambda lines: _joined_list(L.itineraries_layout(Q.best_itineraries(lines)))),
-        # keyed upsert sinks in update mode, several micro-batches
+        # change logs in update mode, several micro-batches
+        "stream_airports_ranked_update": _stream(
+            "stream-airports-ranked-update",
+            lambda lines, table, ckpt, trigger: R.airport_popularity_stream(lines, table, ckpt, trigger, mode="update", ranked=True),
+            read=lambda spark, base: R.read_ranked(spark, f"{base}/table", checkpoint=f"{base}/checkpoint")),
+        "stream_top10_carriers_by_airport_update": _stream(
+            "stream-carriers-by-airport-update", _grouped_stream(Q.CARRIERS_BY_AIRPORT, mode="update")),
+        "stream_top10_destinations_by_airport_update": _stream(
+            "stream-destinations-by-airport-update", _grouped_stream(Q.DESTINATIONS_BY_AIRPORT, mode="update")),
+        "stream_carriers_compacted": _stream(
+            "stream-carriers-compacted", lambda lines, table, ckpt, trigger: R.carrier_on_time_stream(lines, table, ckpt, trigger, mode="update"),
+            read=_compacted),
         "sink_upsert_counts": _stream(
             "sink-counts",
             lambda lines, table, ckpt, trigger: R.airport_popularity_stream(lines, table, ckpt, trigger,
                                                                             mode="update")),
         "sink_upsert_lists": _stream(
-            "sink-lists", _grouped_stream(Q.CARRIERS_BY_AIRPORT, mode="update", packed=True),
+            "sink-lists", _grouped_stream(Q.CARRIERS_BY_AIRPORT, mode="update", layout="packed"),
             post=lambda df: _joined_items(df, ["airport"])),
     }

@@ -36,3 +36,12 @@ def itineraries_layout(best: DataFrame) -> DataFrame:
     key, value = ORIGINAL_ITINERARY_COLUMNS
     leg = [F.concat_ws(",", F.col(f"flight{i}").cast("string"), F.col(f"delay{i}").cast("string")) for i in (1, 2)]
     return best.select(F.concat_ws(",", F.date_format("flight_date", "yyyy-MM-dd"), "x", "y", "z").alias(key), F.array(*leg).alias(value))
+
+
+def top_itineraries_layout(top: DataFrame) -> DataFrame:
+    """Ranked itineraries -> ``Id, CarriersList``: ``"flight,delay"`` of both legs of each pair, best pair first."""
+    key, value = ORIGINAL_ITINERARY_COLUMNS
+    leg = [F.concat_ws(",", F.col(f"flight{i}").cast("string"), F.col(f"delay{i}").cast("string")) for i in (1, 2)]
+    entries = F.array_sort(F.collect_list(F.struct("rank", F.array(*leg).alias("legs"))))   # k entries at most
+    packed = top.groupBy("flight_date", "x", "y", "z").agg(F.flatten(F.transform(entries, lambda e: e["legs"])).alias(value))
+    return packed.select(F.concat_ws(",", F.date_format("flight_date", "yyyy-MM-dd"), "x", "y", "z").alias(key), value)

@@ -129,6 +129,14 @@ o7 AS (
            a.arr AS delay1, b.arr AS delay2, a.arr + b.arr AS total_delay,
            row_number() OVER (PARTITION BY a.d, a.o, a.t, b.t ORDER BY a.arr + b.arr, a.flight, b.flight) AS r
     FROM leg a JOIN leg b ON a.t = b.o AND b.d = a.d + INTERVAL 2 DAY) q WHERE r = 1
+),
+o8 AS (
+  SELECT flight_date, x, y, z, CAST(r AS BIGINT) AS rank, flight1, flight2, delay1, delay2, total_delay FROM (
+    SELECT a.d AS flight_date, a.o AS x, a.t AS y, b.t AS z, a.flight AS flight1, b.flight AS flight2,
+           a.arr AS delay1, b.arr AS delay2, a.arr + b.arr AS total_delay,
+           row_number() OVER (PARTITION BY a.d, a.o, a.t, b.t ORDER BY a.arr + b.arr, a.arr, a.flight, b.arr, b.flight) AS r
+    FROM (SELECT DISTINCT * FROM leg) a JOIN (SELECT DISTINCT * FROM leg) b ON a.t = b.o AND b.d = a.d + INTERVAL 2 DAY) q
+  WHERE r <= 10
 )
 """
 
@@ -221,6 +229,11 @@ BODIES = {
     "itinerary_legs": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, n, best FROM o6",
     "itinerary_best": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, flight1, flight2, "
                       "delay1, delay2, total_delay FROM o7",
+    "itinerary_top10": "SELECT strftime(flight_date, '%Y-%m-%d') AS flight_date, x, y, z, rank, flight1, flight2, "
+                       "delay1, delay2, total_delay FROM o8",
+    "itinerary_top10_layout": "SELECT concat_ws(',', strftime(flight_date, '%Y-%m-%d'), x, y, z) AS Id, "
+                              "string_agg(concat(flight1, ',', delay1, '|', flight2, ',', delay2), '|' ORDER BY rank) "
+                              "AS CarriersList FROM o8 GROUP BY 1",
     "itinerary_layout": "SELECT concat_ws(',', strftime(flight_date, '%Y-%m-%d'), x, y, z) AS Id, "
                         "concat(flight1, ',', delay1, '|', flight2, ',', delay2) AS CarriersList FROM o7",
 }
@@ -232,6 +245,7 @@ DEFECTS = {
     "defect_carrier_on_time_arrivals": "carrier_on_time_arrivals",
     "defect_top10_carriers_by_airport": "top10_carriers_by_airport",
     "defect_itinerary_best": "itinerary_best",
+    "defect_itinerary_top10": "itinerary_top10",
 }
 DEFECT_BODIES = {
     "reject_summary": "SELECT job, reason, count(*) AS n FROM jobs GROUP BY job, reason",
@@ -254,6 +268,10 @@ SAME_AS = {
     "stream_top10_destinations_by_airport": "top10_destinations_by_airport",
     "stream_top10_carriers_by_route": "top10_carriers_by_route",
     "stream_top10_carriers_by_route_update": "top10_carriers_by_route",
+    "stream_airports_ranked_update": "airports_ranked",
+    "stream_top10_carriers_by_airport_update": "top10_carriers_by_airport",
+    "stream_top10_destinations_by_airport_update": "top10_destinations_by_airport",
+    "stream_carriers_compacted": "carrier_on_time_arrivals",
     "stream_itinerary": "itinerary_best",
     "stream_itinerary_update": "itinerary_best",
     "sink_upsert_counts": "airport_popularity",

@@ -25,6 +25,7 @@ from skytally.operators import (
     on_time_records,
     pack_top_k,
     rank_by_count,
+    top_itineraries as _top_itineraries,
     top_k_per_group,
     top_n,
 )
@@ -125,3 +126,8 @@ def itinerary_counts(lines: DataFrame) -> DataFrame:
 def best_itineraries(lines: DataFrame) -> DataFrame:
     """``flight_date, x, y, z, flight1, flight2, delay1, delay2, total_delay`` from itinerary lines."""
     return _best_itineraries(legs(lines))
+
+
+def itinerary_top10(lines: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+    """``flight_date, x, y, z, rank`` and the flights, delays and total of each itinerary's k best pairs."""
+    return _top_itineraries(legs(lines), k)

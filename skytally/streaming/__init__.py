@@ -1 +1 @@
-"""Structured Streaming runners and keyed sinks."""
+"""Structured Streaming runners, and their result tables as change logs and snapshots."""

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skytally.session import scratch_path
 from skytally.sources.lines import file_line_stream, write_lines
-from skytally.streaming.sinks import read_latest
+from skytally.streaming.changelog import read_latest
 
 StartFn = Callable[[DataFrame, str, str, dict], StreamingQuery]
 

@@ -2,16 +2,15 @@
 
 Counting runs as a Structured Streaming aggregation (state in the checkpoint,
 no key ever expires, the same as a running total per key). Ranking, per-group
-top-k and the itinerary join need the whole counted table, so they run per
-micro-batch inside ``foreachBatch`` on the aggregation's output:
+top-k and the itinerary join run per micro-batch inside ``foreachBatch`` on the
+aggregation's output (``streaming.changelog`` has the tables):
 
 * ``mode="complete"``: every trigger emits the full counted table (the
   original jobs re-emitted all keys every batch) and the result is written as
-  a new snapshot version.
-* ``mode="update"``: only keys whose count changed are emitted; they are
-  merged into a counts table by key and only the touched groups are re-ranked
-  and merged into the result table. Tables are bucketed by group, so a trigger
-  reads and writes the buckets of the groups it changed.
+  a new snapshot.
+* ``mode="update"``: only keys whose count changed are emitted and appended to
+  a log; what a trigger costs follows what it changed, not the size of the
+  table. Readers merge the log: newest value per key, highest items per group.
 
 Triggers: ``{"processingTime": "2 seconds"}`` in production, ``{"availableNow":
 True}`` for replays and tests.
@@ -19,14 +18,15 @@ True}`` for replays and tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skytally.operators import (
     best_from_stats,
     legs,
-    pack_top_k,
     rank_by_count,
     rejects,
     route_day_stats,
@@ -36,16 +36,18 @@ from skytally.operators import (
 from skytally.operators.topk import DEFAULT_K
 from skytally.plans import queries as Q
 from skytally.sources.lines import TRIGGER_SECONDS
-from skytally.streaming.sinks import (
-    DEFAULT_BUCKETS,
+from skytally.streaming.changelog import (
     DEFAULT_KEEP_VERSIONS,
-    buckets_of,
+    append_batch,
+    change_sink,
     check_table_matches_checkpoint,
-    read_version,
-    show_version,
+    history,
+    ranking_sink,
+    show_rows,
     snapshot_sink,
-    upsert_by_key,
-    upsert_sink,
+    arranged,
+    keyed,
+    read_latest,
 )
 
 DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
@@ -77,11 +79,13 @@ def _count_stream(counts: DataFrame, table: str, checkpoint: str, trigger: dict
     if mode not in ("complete", "update"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "update":
-        if ranked or top is not None:
-            raise ValueError("a ranking needs every key each batch: use mode='complete'")
+        if top is not None:
+            raise ValueError("top-n is cut from every key each batch: use mode='complete', or read_ranked(..., top=n)")
+        if ranked and post is not None:
+            raise ValueError("ranks are given when the log is read: use it without a layout")
         # a layout works row by row, and its first column is the key
         key = "id" if post is None else post(counts).columns[0]
-        sink = upsert_sink(table, [key], post, keep_versions, show)
+        sink = change_sink(table, [key], post, show)
     else:
         if top is not None and ranked:
             raise ValueError("top-n or a full ranking, not both")
@@ -95,8 +99,9 @@ def airport_popularity_stream(lines: DataFrame, table: str, checkpoint: str, tri
                               keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0) -> StreamingQuery:
     """Running ``id, popularity`` per airport into ``table``.
 
-    ``ranked=True`` adds the global ``rank``; ``top=n`` keeps only the n busiest;
-    ``post`` reshapes the rows (e.g. ``plans.layout.counts_layout``); ``show=n`` prints n rows per trigger.
+    ``ranked=True`` adds the global ``rank`` (in update mode the log holds the counts and ``read_ranked`` gives
+    the ranks); ``top=n`` keeps only the n busiest; ``post`` reshapes the rows (e.g.
+    ``plans.layout.counts_layout``); ``show=n`` prints n rows per trigger.
     """
     return _count_stream(Q.airport_popularity(lines), table, checkpoint, trigger, mode, ranked, top, post, keep_versions, show)
 
@@ -108,53 +113,48 @@ def carrier_on_time_stream(lines: DataFrame, table: str, checkpoint: str, trigge
     return _count_stream(Q.carrier_on_time_arrivals(lines), table, checkpoint, trigger, mode, ranked, top, post, keep_versions, show)
 
 
+def read_ranked(spark: SparkSession, table: str, top: int | None = None, **at) -> DataFrame:
+    """``rank, id, popularity`` of an update-mode counts table (``at``: as in ``read_latest``), or its first ``top``.
+
+    The log holds each trigger's changed counts; the order is made when it is asked for, by a range sort.
+    """
+    counts = read_latest(spark, table, **at)
+    return rank_by_count(counts) if top is None else top_n(counts, top)
+
+
 def grouped_top_k_stream(lines: DataFrame, spec: Q.GroupedRanking, table: str, checkpoint: str,
-                         trigger: dict | None = None, k: int = DEFAULT_K, mode: str = "complete",
-                         packed: bool = False, counts_table: str | None = None, post=None,
+                         trigger: dict | None = None, k: int = DEFAULT_K, mode: str = "complete", layout: str = "long",
                          keep_versions: int | None = DEFAULT_KEEP_VERSIONS, show: int = 0) -> StreamingQuery:
-    """Running per-group top-k (long form, or packed lists) into ``table``.
+    """Running per-group top-k into ``table``.
 
-    ``post`` reshapes the packed rows, e.g. ``plans.layout.lists_layout``; its first column is then the key.
+    ``layout``: ``long`` rows with their rank, ``packed`` lists, or ``original`` (the original table's attributes).
+    In update mode a trigger appends the k highest of each group's changed items, and ``read_latest`` merges
+    them to the same rows.
     """
     group = spec.group_cols
-    if post is not None and not packed:
-        raise ValueError("an output layout reshapes packed lists: use packed=True")
-
-    def finish(all_counts: DataFrame) -> DataFrame:
-        top = top_k_per_group(all_counts, group, "item", "n", k)
-        out = pack_top_k(top, group) if packed else top
-        return post(out) if post is not None else out
-
     counts = Q.grouped_counts(lines, spec)
     if mode == "complete":
-        return start(counts, snapshot_sink(table, finish, keep_versions, show), checkpoint, mode, trigger, tables=(table,))
-    if mode != "update":
+        sink = snapshot_sink(table, lambda df: arranged(top_k_per_group(df, group, "item", "n", k), group, layout), keep_versions, show)
+    elif mode == "update":
+        sink = ranking_sink(table, group, k, layout, show)
+    else:
         raise ValueError(f"unknown mode {mode!r}")
-    state_table = counts_table or table.rstrip("/") + "_counts"
-
-    def sink(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        changes = batch_df.persist()
-        try:
-            # both tables are bucketed by the group: a trigger reads and writes the buckets of its groups
-            upsert_by_key(spark, state_table, changes, group + ["item"], batch_id, keep_versions, cols=group)
-            groups = changes.select(*group).distinct()
-            held = read_version(spark, state_table, batch_id, buckets_of(groups, group, DEFAULT_BUCKETS))
-            touched = finish(held.join(groups, [held[g].eqNullSafe(groups[g]) for g in group], "left_semi")).persist()
-            try:
-                key = group if post is None else touched.columns[:1]
-                upsert_by_key(spark, table, touched, key, batch_id, keep_versions)
-            finally:
-                touched.unpersist()
-            show_version(spark, table, batch_id, show)
-        finally:
-            changes.unpersist()
-
-    return start(counts, sink, checkpoint, mode, trigger, tables=(table, state_table))
+    return start(counts, sink, checkpoint, mode, trigger, tables=(table,))
 
 
 ROUTE_DAY_KEYS = ["flight_date", "origin", "dest"]
 ITINERARY_KEYS = ["flight_date", "x", "y", "z"]
+FEW_DAYS = 64   # of a trigger, read one by one; of more, the range that they span
+
+
+def _near_days(changes: DataFrame, gap_days: int):
+    """A filter on ``flight_date``: the days of ``changes``, and those ``gap_days`` before and after."""
+    days = [r[0] for r in changes.select("flight_date").distinct().limit(FEW_DAYS + 1).collect()]
+    if len(days) > FEW_DAYS:
+        lo, hi = changes.agg(F.date_sub(F.min("flight_date"), gap_days), F.date_add(F.max("flight_date"), gap_days)).first()
+        return F.col("flight_date").between(lo, hi)
+    step = timedelta(days=gap_days)
+    return F.col("flight_date").isin(sorted({d + k * step for d in days for k in (-1, 0, 1)}))
 
 
 def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
@@ -165,10 +165,11 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
     The streaming state is one row per (date, origin, dest) route-day, so legs
     that arrive in different micro-batches still connect, however late.
 
-    * ``mode="update"``: a trigger emits only the route-days that changed. They
-      are merged into ``route_days_table``, which is bucketed by date, so only the
-      days two before and two after the changed ones are read; the itineraries
-      whose first or second leg changed are recomputed and merged into ``table``, also by date.
+    * ``mode="update"``: a trigger emits the route-days that got flights. Those whose best flight
+      changed are appended to ``route_days_table``, and the itineraries that have one of them as
+      first or second leg to ``table``. A best flight only ever gets better, so the newest row of a
+      route-day, and of an itinerary, is its lowest. Only the days around the changed ones are read:
+      files whose dates lie elsewhere are skipped by their statistics.
     * ``mode="complete"``: every trigger joins all route-days and writes the whole
       result, like the original jobs; its cost grows with all that was ever seen.
 
@@ -181,31 +182,37 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
     if mode != "update":
         raise ValueError(f"unknown mode {mode!r}")
     rd_table = route_days_table or table.rstrip("/") + "_route_days"
-    day = ["flight_date"]
 
     def update_sink(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        changes = batch_df.select(*ROUTE_DAY_KEYS, "n", "best").persist()
+        emitted = batch_df.select(*ROUTE_DAY_KEYS, "best").persist()
+        held = []
         try:
-            upsert_by_key(spark, rd_table, changes, ROUTE_DAY_KEYS, batch_id, keep_versions, cols=day)
-            days = changes.select(*day).distinct()
-            around = days.select(F.date_add("flight_date", gap_days).alias("flight_date")).union(
-                days.select(F.date_sub("flight_date", gap_days).alias("flight_date")))
-            near = read_version(spark, rd_table, batch_id, buckets_of(around, day, DEFAULT_BUCKETS))
+            if batch_id == 0:
+                changes = emitted
+                near = emitted.limit(0)
+            else:
+                known = history(spark, rd_table, upto=batch_id - 1).where(_near_days(emitted, gap_days))
+                near = known.groupBy(*ROUTE_DAY_KEYS).agg(F.min("best").alias("best")).persist()
+                held.append(near)
+                old = near.withColumnRenamed("best", "old")
+                changes = emitted.join(old, ROUTE_DAY_KEYS, "left").where(
+                    F.col("old").isNull() | (F.col("best") < F.col("old"))).drop("old").persist()
+                held.append(changes)
+            append_batch(changes, rd_table, batch_id)
             # a changed first leg with any second one, and an unchanged first leg with a changed second one
-            as_first = best_from_stats(changes, gap_days, second=near)
             unchanged = near.join(changes.select(*ROUTE_DAY_KEYS), ROUTE_DAY_KEYS, "left_anti")
+            as_first = best_from_stats(changes, gap_days, second=unchanged.unionByName(changes))
             as_second = best_from_stats(unchanged, gap_days, second=changes)
             affected = as_first.unionByName(as_second)
-            affected = (post(affected) if post is not None else affected).persist()
-            try:
-                key, cols = (ITINERARY_KEYS, day) if post is None else (affected.columns[:1], None)
-                upsert_by_key(spark, table, affected, key, batch_id, keep_versions, cols=cols)
-            finally:
-                affected.unpersist()
-            show_version(spark, table, batch_id, show)
+            affected = post(affected) if post is not None else affected
+            keys = ITINERARY_KEYS if post is None else affected.columns[:1]
+            append_batch(keyed(affected, keys), table, batch_id)
+            if show:
+                show_rows(spark.read.parquet(f"{table.rstrip('/')}/batch={batch_id}").select("key.*", "value.*"), batch_id, show)
         finally:
-            changes.unpersist()
+            for df in [*held, emitted]:
+                df.unpersist()
 
     return start(stats, update_sink, checkpoint, "update", trigger, tables=(table, rd_table))
 

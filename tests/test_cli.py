@@ -7,7 +7,8 @@ from skytally.__main__ import JOBS, build_parser, run
 from skytally.plans import queries as Q
 from skytally.session import scratch_path
 from skytally.sources import itinerary_lines, on_time_lines, text_lines, write_lines
-from skytally.streaming.sinks import read_latest
+from skytally.streaming.changelog import read_latest
+from skytally.streaming.runner import read_ranked
 
 
 @pytest.fixture(scope="module")
@@ -24,12 +25,10 @@ def test_stream_job_from_files(spark, line_dir):
     assert rows(read_latest(spark, base + "/t")) == rows(Q.top10_carriers_by_airport(text_lines(spark, line_dir)))
 
 
-def test_batch_job_versions(spark, line_dir):
+def test_batch_job_replaces_its_own_result(spark, line_dir):
     base = scratch_path(spark, "t-cli-batch")
     run(spark, ["airports", "--batch", line_dir, "--table", base])
     run(spark, ["airports", "--batch", line_dir, "--table", base])
-    from skytally.streaming.sinks import latest_version
-    assert latest_version(spark, base) == 1
     assert rows(read_latest(spark, base)) == rows(Q.airport_popularity(text_lines(spark, line_dir)))
 
 
@@ -83,6 +82,9 @@ def test_ranked_top_print_and_rejects(spark, line_dir, capsys):
     assert rows(read_latest(spark, base + "/r"), "rank", "id") == rows(Q.airports_ranked(lines), "rank", "id")
     from skytally.operators import rejects
     assert spark.read.parquet(base + "/bad").count() == rejects(lines, "airports").count()
+    run(spark, ["airports", "--files", line_dir, "--table", base + "/ru", "--checkpoint", base + "/cru", "--available-now",
+                "--ranked", "--mode", "update"])
+    assert rows(read_ranked(spark, base + "/ru"), "rank", "id") == rows(Q.airports_ranked(lines), "rank", "id")
     run(spark, ["carriers", "--files", line_dir, "--table", base + "/t", "--checkpoint", base + "/ct", "--available-now",
                 "--top", "3", "--print", "2"])
     assert rows(read_latest(spark, base + "/t")) == rows(Q.top10_carriers(lines, 3))
@@ -91,6 +93,8 @@ def test_ranked_top_print_and_rejects(spark, line_dir, capsys):
         Q.carriers_ranked(lines), "rank", "id")
     with pytest.raises(SystemExit):
         run(spark, ["airports", "--batch", line_dir, "--table", base + "/t"])  # the stream's table
+    with pytest.raises(SystemExit):
+        run(spark, ["airports", "--batch", line_dir, "--table", base + "/ru"])  # a stream's log
     with pytest.raises(Exception, match="arity"):
         run(spark, ["carriers", "--batch", line_dir, "--table", base + "/f", "--failfast"])
 

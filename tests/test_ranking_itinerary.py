@@ -108,3 +108,32 @@ def test_hot_airport_third_of_rows(spark, lines_df):
     assert rows(Q.airport_popularity(df)) == sorted(ends.items())
     ranked = rows(Q.airports_ranked(df), "rank", "id", "popularity")
     assert [(i, p) for _, i, p in ranked] == sorted(ends.items(), key=lambda t: (-t[1], t[0]))
+
+
+def test_ten_best_itineraries_against_all_pairs(lines_df):
+    """Many flights per route and day, many ties, repeated lines and equal sums of different parts."""
+    from collections import defaultdict
+
+    from skytally.operators import top_itineraries
+    from skytally.plans import queries as Q
+
+    rnd = random.Random(8)
+    lines = []
+    for _ in range(900):
+        o, t = rnd.sample("ABC", 2)
+        lines.append(f"2008-01-{rnd.choice((1, 3, 5)):02d},{rnd.randrange(60)},{o},{t},X,0,{rnd.choice((-2, 0, 0.5, 1, 3, 7))}")
+    lines += lines[:50] + ["2008-01-01,1,A,D,X,0,1.00", "2008-01-03,2,D,E,X,0,1.00"]
+    flights = sorted({(x[0], int(x[1]), x[2], x[3], float(x[6])) for x in (line.split(",") for line in lines)})
+    pairs = defaultdict(list)
+    for d, f1, x, y, a in flights:
+        for d2, f2, y2, z, b in flights:
+            if y == y2 and int(d2[-2:]) == int(d[-2:]) + 2:
+                pairs[d, x, y, z].append((a + b, a, f1, b, f2))
+    for k in (1, 10, 13):
+        want = sorted((*key, rank + 1, f1, f2, a, b, total) for key, own in pairs.items()
+                      for rank, (total, a, f1, b, f2) in enumerate(sorted(own)[:k]))
+        got = top_itineraries(legs(lines_df(lines).repartition(5)), k).collect()
+        assert sorted((str(r["flight_date"]), *list(r)[1:]) for r in got) == want
+    assert max(len(own) for own in pairs.values()) > 1000
+    best = rows(Q.itinerary_top10(lines_df(lines)).where("rank = 1").drop("rank"))
+    assert best == rows(best_itineraries(legs(lines_df(lines))))

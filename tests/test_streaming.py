@@ -9,7 +9,7 @@ from skytally.session import scratch_path
 from skytally.sources import itinerary_lines, kafka_options, on_time_lines, text_lines, write_lines
 from skytally.streaming import runner as R
 from skytally.streaming.replay import run_available
-from skytally.streaming.sinks import DEFAULT_BUCKETS, bucket_of, latest_version, read_latest, read_version, upsert_by_key, upsert_sink, version_path, versions
+from skytally.streaming.changelog import change_sink, compact, last_committed, newest_batch, ranking_sink, read_latest, snapshot_sink, write_once
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +48,7 @@ def test_airport_popularity_stream_equals_batch(spark, five, k):
 def test_packed_top10_update_mode_equals_batch(spark, five, k):
     src = split_into_files(spark, five, k, f"t-packed-{k}")
     start = lambda s, t, c, tr: R.grouped_top_k_stream(s, Q.CARRIERS_BY_AIRPORT, t, c, tr,
-                                                       mode="update", packed=True)
+                                                       mode="update", layout="packed")
     got = run(spark, src, start)
     expected = Q.packed_top_k(five, Q.CARRIERS_BY_AIRPORT)
     norm = lambda df: sorted((r["airport"], tuple(r["items"])) for r in df.collect())
@@ -84,26 +84,30 @@ def test_restart_resumes_from_checkpoint(spark, five):
     write_lines(parts[0].coalesce(1), src)
     parts[1].coalesce(1).write.mode("append").text(src)
     first = run_available(spark, src, work, R.airport_popularity_stream)
-    v1 = latest_version(spark, work + "/table")
+    v1 = newest_batch(spark, work + "/table")
     assert rows(first) == rows(Q.airport_popularity(parts[0].unionByName(parts[1])))
     parts[2].coalesce(1).write.mode("append").text(src)
     second = run_available(spark, src, work, R.airport_popularity_stream)
-    assert latest_version(spark, work + "/table") > v1
+    assert newest_batch(spark, work + "/table") > v1
     assert rows(second) == rows(Q.airport_popularity(five))
 
 
-def test_upsert_sink_is_idempotent(spark):
+def test_change_log_is_idempotent_and_keeps_its_history(spark):
     table = scratch_path(spark, "t-upsert")
-    sink = upsert_sink(table, ["id"])
+    sink = change_sink(table, ["id"])
     b0 = spark.createDataFrame([("A", 1), ("B", 2)], "id string, popularity long")
-    b1 = spark.createDataFrame([("B", 5), ("C", 1)], "id string, popularity long")
+    b1 = spark.createDataFrame([("B", 5), ("C", 1), (None, 3)], "id string, popularity long")
     sink(b0, 0)
     sink(b1, 1)
     sink(b1, 1)  # replayed batch
-    assert rows(read_latest(spark, table)) == [("A", 1), ("B", 5), ("C", 1)]
-    assert rows(read_version(spark, table, 0)) == [("A", 1), ("B", 2)]
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert key(read_latest(spark, table)) == [("A", 1), ("B", 5), ("C", 1), (None, 3)]
+    assert rows(read_latest(spark, table, upto=0)) == [("A", 1), ("B", 2)]
     sink(b0.where(F.col("id") == "A").withColumn("popularity", F.lit(7).cast("long")), 2)
-    assert rows(read_latest(spark, table)) == [("A", 7), ("B", 5), ("C", 1)]
+    sink(b0.limit(0), 3)  # a trigger without changes
+    assert key(read_latest(spark, table)) == [("A", 7), ("B", 5), ("C", 1), (None, 3)]
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, table + "-none")
 
 
 def test_kafka_options():
@@ -147,12 +151,11 @@ def test_sink_errors_fail_the_query(spark, five):
 
     from skytally.sources import file_line_stream
     from skytally.plans.queries import airport_popularity
-    from skytally.streaming.sinks import snapshot_sink
     q = R.start(airport_popularity(file_line_stream(spark, src)), snapshot_sink(base + "/table", broken),
                 base + "/ckpt", "complete", {"availableNow": True})
     with pytest.raises(Exception, match="sink exploded"):
         q.awaitTermination(300)
-    assert latest_version(spark, base + "/table") is None
+    assert newest_batch(spark, base + "/table") is None
 
 
 def test_top_n_stream_memory_sink(spark, five):
@@ -225,65 +228,120 @@ def test_kafka_source_needs_connector(spark):
         kafka_line_stream(spark, "localhost:1", "flights")
 
 
-def test_old_versions_are_pruned(spark):
-    from skytally.streaming.sinks import snapshot_sink
+def test_old_snapshots_are_overwritten(spark):
+    import glob
+
+    from skytally.session import local_path
 
     table = scratch_path(spark, "t-prune")
-    sink = snapshot_sink(table, keep_versions=3)
+    sink = snapshot_sink(table, keep=3)
     for i in range(6):
         sink(spark.createDataFrame([("A", i)], "id string, popularity long"), i)
-    assert versions(spark, table) == [3, 4, 5]
-    assert rows(read_latest(spark, table)) == [("A", 5)]
+        assert rows(read_latest(spark, table)) == [("A", i)]
+    assert len(glob.glob(local_path(table) + "/slot=*")) == 3
+    assert rows(read_latest(spark, table, upto=4)) == [("A", 4)]
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        write_once(spark.createDataFrame([("A", 1)], "id string, popularity long"), table)
 
 
 def counts(spark, *pairs):
     return spark.createDataFrame(list(pairs), "id string, popularity long")
 
 
-def test_upsert_does_not_need_success_markers(spark):
-    """Sessions and committers without _SUCCESS files keep every earlier key."""
-    import glob
-    import os
+def test_a_log_can_be_read_over_a_compacted_copy(spark):
+    """Older batches may go once they are compacted; a restarted stream may go on in the copy."""
+    import shutil
 
     from skytally.session import local_path
 
-    table = scratch_path(spark, "t-marker")
-    sink = upsert_sink(table, ["id"])
-    sink(counts(spark, ("a", 1), ("b", 1)), 0)
-    for f in glob.glob(os.path.join(local_path(table), "**", "*_SUCCESS*"), recursive=True):
-        os.remove(f)
-    sink(counts(spark, ("a", 2)), 1)
-    assert rows(read_latest(spark, table)) == [("a", 2), ("b", 1)]
-
-
-def test_upsert_without_its_predecessor_fails(spark):
-    table = scratch_path(spark, "t-lost")
-    with pytest.raises(RuntimeError, match="no predecessor"):
-        upsert_sink(table, ["id"])(counts(spark, ("a", 2)), 3)
+    table = scratch_path(spark, "t-compact")
+    sink = change_sink(table, ["id"])
+    for i in range(6):
+        sink(counts(spark, ("a", i), (f"k{i}", i)), i)
+    want = sorted([("a", 5)] + [(f"k{i}", i) for i in range(6)])
+    compact(spark, table, table + "-3", upto=3)
+    assert rows(read_latest(spark, table, base=table + "-3")) == want
+    for i in range(4):
+        shutil.rmtree(f"{local_path(table)}/batch={i}")
+    assert rows(read_latest(spark, table, base=table + "-3")) == want
+    assert rows(read_latest(spark, table)) != want
+    change_sink(table + "-3", ["id"])(counts(spark, ("a", 9)), 4)
+    assert rows(read_latest(spark, table + "-3")) == sorted([("a", 9)] + [(f"k{i}", i) for i in range(4)])
+
+
+def test_ranking_log_equals_batch_after_every_trigger(spark):
+    """Random running counts with many ties: the log alone gives each trigger's top-k."""
+    import random
+    from collections import Counter
+
+    pick = random.Random(4)
+    table, k, state = scratch_path(spark, "t-monotone"), 3, Counter()
+    sink = ranking_sink(table, ["g"], k)
+    for batch in range(8):
+        changed = set()
+        for _ in range(pick.choice((0, 5, 40))):
+            key = (pick.choice("xyz") if pick.random() < 0.8 else None, f"i{pick.randrange(9)}")
+            state[key] += pick.choice((1, 1, 2))
+            changed.add(key)
+        sink(spark.createDataFrame([(*key, state[key]) for key in changed], "g string, item string, n long"), batch)
+        want = [(g, i, n, r + 1) for g0 in {g for g, _ in state} for r, (n, g, i) in enumerate(
+            sorted(((n, g, i) for (g, i), n in state.items() if g == g0), key=lambda t: (-t[0], t[2]))[:k])]
+        got = [tuple(r) for r in read_latest(spark, table).select("g", "item", "n", "rank").collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+        written = spark.read.parquet(f"{table}/batch={batch}")
+        assert written.count() <= k * len({g for g, _ in changed})   # nothing else is written, nothing read
+    compact(spark, table, table + "-all")
+    assert sorted(map(tuple, read_latest(spark, table + "-all").select("g", "item", "n", "rank").collect()), key=repr) == sorted(want, key=repr)
+    with pytest.raises(ValueError):
+        ranking_sink(table, ["g"], k, "wide")
 
 
-def test_upsert_touches_only_its_buckets(spark):
-    """Files of other buckets stay as they are; a dropped key's bucket may become empty."""
-    import glob
+def test_readers_can_keep_to_committed_batches(spark, five):
     import os
 
     from skytally.session import local_path
 
-    table = scratch_path(spark, "t-buckets")
-    many = counts(spark, *[(f"k{i}", i) for i in range(200)]).cache()
-    upsert_by_key(spark, table, many, ["id"], 0)
-    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(os.path.join(local_path(table), "version=0", "**", "*.parquet"), recursive=True)}
-    one = counts(spark, ("k7", -1))
-    upsert_by_key(spark, table, one, ["id"], 1)
-    b = one.select(bucket_of(["id"], DEFAULT_BUCKETS)).first()[0]
-    assert {f: os.stat(f).st_mtime_ns for f in files} == files
-    assert [os.path.basename(x) for x in glob.glob(os.path.join(local_path(version_path(table, 1)), "bucket=*"))] == [f"bucket={b}"]
-    assert rows(read_latest(spark, table)) == sorted([(f"k{i}", i) for i in range(200) if i != 7] + [("k7", -1)])
-    # many versions later the old buckets are still there
-    for v in range(2, 15):
-        upsert_by_key(spark, table, counts(spark, ("k7", v)), ["id"], v, keep_versions=2)
-    assert len(read_latest(spark, table).collect()) == 200
-    assert len(versions(spark, table)) == 2
+    src = split_into_files(spark, five, 3, "t-committed")
+    work = scratch_path(spark, "t-committed-run")
+    run_available(spark, src, work, lambda s, t, c, tr: R.carrier_on_time_stream(s, t, c, tr, mode="update"))
+    table, checkpoint = work + "/table", work + "/checkpoint"
+    last = newest_batch(spark, table)
+    assert last_committed(spark, checkpoint) == last
+    os.remove(f"{local_path(checkpoint)}/commits/{last}")
+    assert rows(read_latest(spark, table, checkpoint)) == rows(read_latest(spark, table, upto=last - 1)) != rows(read_latest(spark, table))
+    ranked = R.read_ranked(spark, table)
+    assert rows(ranked, "rank", "id", "popularity") == rows(Q.carriers_ranked(five), "rank", "id", "popularity")
+    assert rows(R.read_ranked(spark, table, top=3)) == rows(Q.top10_carriers(five, 3))
+    with pytest.raises(ValueError, match="would be missing"):
+        R.carrier_on_time_stream(text_stream(spark, src), work + "/gone", checkpoint, {"availableNow": True}, mode="update")
+
+
+def text_stream(spark, src):
+    from skytally.sources import file_line_stream
+    return file_line_stream(spark, src)
+
+
+def test_itinerary_triggers_read_and_write_what_changes(spark):
+    """On a feed ordered by date a trigger writes the itineraries around its days; unchanged best flights write nothing."""
+    from skytally.streaming.changelog import history
+
+    src, base = scratch_path(spark, "t-ordered") + "/in", scratch_path(spark, "t-ordered-run")
+    q = lambda: R.itinerary_stream(text_stream(spark, src), base + "/t", base + "/c", {"availableNow": True}).awaitTermination()
+    days = ["2008-01-%02d" % d for d in range(1, 9)]
+    for day in days:
+        lines = [f"{day},{n},{o},{t},X,0,{n}.00" for n in (3, 5) for o, t in (("A", "B"), ("B", "C"), ("C", "A"))]
+        spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.mode("append").text(src)
+        q()
+    assert rows(read_latest(spark, base + "/t")) == rows(Q.best_itineraries(text_lines(spark, src)))
+    by_batch = {r["batch"]: r["count"] for r in history(spark, base + "/t").groupBy("batch").count().collect()}
+    assert by_batch == {b: 3 for b in range(2, 8)}
+    spark.createDataFrame([("2008-01-03,9,A,B,X,0,50.00",)], "line string").coalesce(1).write.mode("append").text(src)
+    q()     # a later, worse flight
+    spark.createDataFrame([("2008-01-05,9,B,C,X,0,-50.00",)], "line string").coalesce(1).write.mode("append").text(src)
+    q()     # a better second leg of the 3rd, and first leg towards the 7th
+    by_batch = {r["batch"]: r["count"] for r in history(spark, base + "/t").groupBy("batch").count().collect()}
+    assert by_batch.get(8, 0) == 0 and by_batch[9] == 2
+    assert rows(read_latest(spark, base + "/t")) == rows(Q.best_itineraries(text_lines(spark, src)))
 
 
 def test_ranked_stream_runs_its_state_stage_once(spark, five):
@@ -316,9 +374,9 @@ def test_replayed_last_batch_leaves_result_unchanged(spark, five, mode):
     src = split_into_files(spark, five, 3, f"t-replay-{mode}")
     work = scratch_path(spark, f"t-replay-run-{mode}")
     start = lambda s, t, c, tr: R.grouped_top_k_stream(s, Q.CARRIERS_BY_AIRPORT, t, c, tr,
-                                                       mode=mode, packed=True)
+                                                       mode=mode, layout="packed")
     first = rows(run_available(spark, src, work, start))
-    last = latest_version(spark, work + "/table")
+    last = newest_batch(spark, work + "/table")
     commits = os.path.join(local_path(work + "/checkpoint"), "commits")
     os.remove(os.path.join(commits, str(last)))
     crc = os.path.join(commits, f".{last}.crc")
@@ -391,7 +449,7 @@ def test_replay_runs_the_same_number_of_triggers_at_any_size(spark):
 
         def read(s, base, seen=seen):
             seen["base"] = base
-            return versions(s, base + "/table")
+            return [r[0] for r in s.read.parquet(base + "/table").select("batch").distinct().collect()]
 
         got = replay(spark, on_time_lines(spark, sf), R.airport_popularity_stream, "t-triggers", read=read)
         assert len(got) == REPLAY_TRIGGERS
