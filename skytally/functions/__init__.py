@@ -5,8 +5,7 @@ from skytally.functions.text import (
     is_numeric_literal,
     is_on_time,
     field,
-    fields_of_segments,
-    quote_segments,
+    split_fields,
     to_delay,
     trim_trailing_separators,
     with_fields,
@@ -14,13 +13,12 @@ from skytally.functions.text import (
 
 __all__ = [
     "field",
-    "fields_of_segments",
     "format_date",
     "is_numeric_literal",
     "is_on_time",
     "parse_date",
     "shift_days",
-    "quote_segments",
+    "split_fields",
     "to_delay",
     "trim_trailing_separators",
     "with_fields",

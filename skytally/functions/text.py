@@ -1,8 +1,7 @@
 """Column expressions for comma-separated flight lines.
 
-Everything here is built from built-in Spark functions, so no Python touches a
-row. The split of a line runs in a projection of its own, outside of whole-stage
-codegen (its per-part function is interpreted); the rest is generated code.
+Everything here is built from built-in Spark functions with generated code, so
+no Python touches a row and no line leaves whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -15,18 +14,15 @@ from pyspark.sql import functions as F
 # the line; quotes are kept inside the field values.
 QUOTE = '"'
 COMMA = ","
-SEPARATOR_PATTERN = ',(?=([^"]*"[^"]*")*[^"]*$)'
 # A delay is usable only if the whole field is this numeric literal.
 NUMERIC_LITERAL = r"[-+]?\d*\.?\d+"
 # A flight is on time when its delay in minutes is strictly below this.
 ON_TIME_THRESHOLD = 15.0
 # --- end of fixed values ---
 
-# Marks real separators before the final split; where a line holds one of these characters itself,
-# it is escaped first and the fields are restored afterwards.
-_MARK = "\x1f"
-_ESCAPE = "\x1e"
-
+# A comma and the field after it, in a line with an even number of quotes. Possessive, so neither does it
+# go back nor does a field of many quoted parts need a deep stack.
+QUOTED_FIELD = r',([^,"]*+(?:"[^"]*+"[^,"]*+)*+)'
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -42,44 +38,26 @@ def trim_trailing_separators(line: Column | str) -> Column:
     return F.rtrim(_col(line), F.lit(COMMA))
 
 
-def _needs_escape(line: Column) -> Column:
-    return (F.instr(line, _MARK) > 0) | (F.instr(line, _ESCAPE) > 0)
-
-
-def quote_segments(line: Column | str) -> Column:
-    """``STRUCT<escaped BOOLEAN, parts ARRAY<STRING>>``: the line without trailing commas, cut at quotes.
-
-    A projection of its own, in front of ``fields_of_segments``: the parts are then
-    a column, and looking at them from inside the per-part function costs nothing.
-    """
-    c = _col(line)
-    odd = _needs_escape(c)
-    clean = F.when(odd, F.replace(F.replace(c, F.lit(_ESCAPE), F.lit(_ESCAPE + "0")), F.lit(_MARK), F.lit(_ESCAPE + "1"))).otherwise(c)
-    return F.struct(odd.alias("escaped"), F.split(trim_trailing_separators(clean), QUOTE, -1).alias("parts"))
-
-
-def fields_of_segments(segments: Column | str) -> Column:
-    """``ARRAY<STRING>`` fields, still escaped, of a ``quote_segments`` column; linear in the line's length.
+def split_fields(line: Column | str) -> Column:
+    """``ARRAY<STRING>``: the fields of a line, linear in its length and inside whole-stage codegen.
 
-    A comma in a part with an even number of parts after it has an even number of
-    quotes after it, so it is a separator. Those are marked, the parts joined again and split on the mark.
+    A line without quotes is split at its commas. One with an even number of quotes is read from the left:
+    a field is a run of other characters and whole quoted parts. In one with an odd number the first quote
+    closes what the line began inside of, so the line is read with a quote in front, which the first field loses again.
     """
-    parts = _col(segments)["parts"]
-    marked = F.transform(
-        parts,
-        lambda part, i: F.when((F.size(parts) - 1 - i) % 2 == 0, F.translate(part, COMMA, _MARK)).otherwise(part),
-    )
-    return F.when(F.size(parts) == 1, F.split(parts[0], COMMA, -1)).otherwise(F.split(F.array_join(marked, QUOTE), _MARK, -1))
+    c = trim_trailing_separators(line)
+    odd = F.length(F.translate(c, QUOTE, "")) % 2 != F.length(c) % 2
+    whole = F.regexp_extract_all(F.concat(F.lit(COMMA), c), F.lit(QUOTED_FIELD), 1)
+    inside = F.regexp_extract_all(F.concat(F.lit(COMMA + QUOTE), c), F.lit(QUOTED_FIELD), 1)
+    first = F.array(F.substring(inside[0], F.lit(2), F.length(inside[0])))
+    return (F.when(F.instr(c, QUOTE) == 0, F.split(c, COMMA, -1)).when(~odd, whole)
+            .otherwise(F.concat(first, F.slice(inside, 2, F.size(inside)))))
 
 
 def with_fields(lines: DataFrame, line: Column | str, out: str = "f", keep: list[str] | None = None) -> DataFrame:
     """Quote-aware split of ``line`` into ``out ARRAY<STRING>``, with the ``keep`` columns (default: all)."""
     keep = lines.columns if keep is None else keep
-    cut = lines.select(*keep, quote_segments(line).alias("_segments"))
-    found = cut.select(*keep, F.col("_segments.escaped").alias("_escaped"), fields_of_segments("_segments").alias("_found"))
-    restored = F.transform("_found", lambda x: F.replace(
-        F.replace(x, F.lit(_ESCAPE + "1"), F.lit(_MARK)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE)))
-    return found.select(*keep, F.when(F.col("_escaped"), restored).otherwise(F.col("_found")).alias(out))
+    return lines.select(*keep, split_fields(line).alias(out))
 
 
 def field(fields: Column | str, index: int) -> Column:
