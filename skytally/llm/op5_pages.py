@@ -9,6 +9,8 @@ else in an ``article`` or ``main`` element that holds such blocks, unless it is
 hold most of such text, nothing outside them counts. Elements that say themselves
 that they are something else (navigation, forms, scripts, adverts, notices, comments, by tag, role or class) never count,
 but for a form, or an element of such a class or role, that holds more than ``SPARED`` times the text outside such elements, none of it in an ``article`` or ``main``.
+Inside an article a name that may be the article's own (its header, a search, an alert) doesn't decide: such an element counts unless it is mostly links, or
+short and without a heading. Time and memory are linear in the page: what an element's text needs to know is found once, when the element opens.
 
 Defined results: a null or empty html, and a page without any such block, have an empty text; unclosed,
 unknown and cut-off markup is read as browsers do, as far as text goes; repeated rows are extracted each; null ids and urls are kept;
@@ -31,14 +33,15 @@ from skytally.llm import common as C
 SHARE = 0.2       # of the largest fused ratio
 NEAR = 1          # blocks on either side that smoothing takes in
 SPARED = 3        # times the text outside that an element with another name, or a form, holds if it is the page's text after all
+SHORT = 0.1       # share of an article's other text that an element of a mild name in it exceeds if it is part of it
 LINKED = 0.5      # share of a block's text in links that makes it a list of links
 
 # Elements by kind.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 NOT_CONTENT = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "option", "template", "noscript",
-               "dialog", "menu", "svg", "canvas", "object", "audio", "video", "math", "input", "label", "fieldset", "datalist"}
+               "dialog", "menu", "svg", "canvas", "object", "audio", "video", "input", "fieldset", "datalist"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
+INLINE = {"a", "abbr", "label", "math", "mi", "mn", "mo", "mrow", "msub", "msup", "mfrac", "msqrt", "mtext", "semantics", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
           "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 COMPANIONS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "dt", "dd", "blockquote", "pre", "figcaption", "caption", "td", "th"}
 NESTING = {"ul", "ol", "dl", "li", "dt", "dd", "blockquote", "figure", "table", "thead", "tbody", "tfoot", "tr", "td", "th"}
@@ -54,6 +57,12 @@ MARKS = re.compile(
     r"complementary|consent|contentinfo|cookies?|disqus|disclaimer|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|navigator|"
     r"newsletter|notice|notification|alert|overlay|pagination|pager|popup|promo|promoted|recommended|related|replies|reply|respond|search|share|"
     r"sharing|sidebar|side-bar|signup|skip-link|social|sponsor|sponsored|subscribe|subscription|tags?|teaser|toolbar|widget)(?:$|[\s_-])", re.I)
+# Those of them that are never part of an article: readers' words, adverts, menus, other stories, notices of the site.
+FIRM = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adbox|breadcrumbs?|comments?|commentlist|comment-?form|complementary|consent|"
+    r"contentinfo|cookies?|disqus|footer|gdpr|modal|nav|navbar|navigation|navigator|newsletter|overlay|pagination|pager|popup|promo|promoted|"
+    r"recommended|related|replies|reply|respond|share|sharing|sidebar|side-bar|signup|skip-link|social|sponsor|sponsored|subscribe|subscription|"
+    r"teaser|toolbar)(?:$|[\s_-])", re.I)
 # Beginnings of a class that says what an element has, lacks or is beside.
 HAVING = re.compile(r"(?:has|have|no|not|non|with|without|hide|show)[_-]", re.I)
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -64,23 +73,75 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
 class Block:
-    __slots__ = ("path", "parent", "holder", "tag", "parts", "linked", "text")
+    """A text block. ``path``: the number of its tag path; ``parent``: the element around it that isn't part of a list or table;
+    ``holder``: the article around it, or 0; ``aside``: the element of another name around it, inside that article, or 0."""
 
-    def __init__(self, path: tuple[str, ...], parent: int, holder: int, tag: str):
-        self.path, self.parent, self.holder, self.tag = path, parent, holder, tag
+    __slots__ = ("path", "parent", "holder", "tag", "parts", "linked", "text", "aside")
+
+    def __init__(self, path: int, parent: int, holder: int, tag: str, aside: int):
+        self.path, self.parent, self.holder, self.tag, self.aside = path, parent, holder, tag, aside
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.text = ""
 
+    @property
+    def free(self) -> int:
+        """The length of the text outside links."""
+        return max(0, len(self.text) - len(" ".join("".join(self.linked).split())))
+
+
+class Element:
+    """An open element, with what its text needs to know about those around it: found once, when it opens."""
+
+    __slots__ = ("name", "number", "other", "around", "path", "tag", "near", "above", "holder", "para", "aside", "depth")
+
+    def __init__(self, name: str, number: int, other: bool, around: int, up: "Element | None", paths: dict, aside: int):
+        self.name, self.number, self.other, self.around, self.aside = name, number, other, around, aside
+        if up is None:
+            self.path, self.tag, self.near, self.above, self.holder, self.para, self.depth = 0, "", 0, 0, 0, 0, 0
+            return
+        self.depth = up.depth + 1
+        self.holder = number if name in ("article", "main") else up.holder
+        if name in INLINE:
+            self.path, self.tag, self.near, self.above, self.para = up.path, up.tag, up.near, up.above, up.para
+            return
+        self.path, self.tag, self.above = paths.setdefault((up.path, name), len(paths) + 1), name, up.near
+        self.near = up.near if name in NESTING else number
+        self.para = self.depth if name == "p" else 0     # the paragraph that a new block closes
+
+
+class Page:
+    """Blocks of a page, and what its elements of another name hold."""
+
+    __slots__ = ("blocks", "held", "outer")
 
-def named_other(token: str, tag: str) -> bool:
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.held: dict[int, int] = {}      # text outside links, by the innermost element of another name, or form
+        self.outer: dict[int, int] = {}     # the next one around such an element
+
+    def chain(self, number: int) -> frozenset[int]:
+        out = set()
+        while number:
+            out.add(number)
+            number = self.outer[number]
+        return frozenset(out)
+
+
+def named_other(token: str, tag: str, marks: re.Pattern = MARKS) -> bool:
     """Whether a class, id or role names a side matter: by itself, or as its first or last part (site-footer, related-posts).
     What an element has or lacks doesn't name it (has-sidebar), and a heading isn't one by a part of a name (section-header)."""
-    if MARKS.fullmatch(token):
+    if marks.fullmatch(token):
         return True
     if HAVING.match(token) or tag in HEADINGS:
         return False
-    return any(m.start() == 0 or m.end() == len(token) for m in MARKS.finditer(token))
+    return any(m.start() == 0 or m.end() == len(token) for m in marks.finditer(token))
+
+
+def firmly_other(name: str, rest: str) -> bool:
+    """Whether a class, id or role names what isn't part of an article even where it stands inside one and is long."""
+    return any(named_other(x, name, FIRM) for m in _ATTRIBUTE.finditer(rest or "") if m[1] and m[1].lower() in ("class", "id", "role")
+               for x in (m[2] or m[3] or m[4] or "").split())
 
 
 def says_other(name: str, rest: str, by_name: bool) -> bool:
@@ -104,31 +165,30 @@ def says_other(name: str, rest: str, by_name: bool) -> bool:
     return False
 
 
-def blocks_of(html: str, by_name: bool = True, spared: frozenset[int] = frozenset(), held: dict[tuple[int, ...], int] | None = None) -> list[Block]:
+def blocks_of(html: str, by_name: bool = True, spared: frozenset[int] = frozenset()) -> Page:
     """The page's text blocks outside of elements that say they are something else, but for those of the numbers ``spared``.
-    ``held`` gets the length of text, outside links, by the elements around it that are something else by name, or forms."""
-    out: list[Block] = []
-    # open elements: (name, number, is something else, the numbers of those around that are by name); inline ones only as far as they matter
-    stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", 0, False, ())]
+    Blocks inside an article's element whose name is mild are given too, with its number as ``aside``."""
+    page = Page()
+    out, held, paths = page.blocks, page.held, {}
+    # inline elements only matter for links, ends and what they are themselves
+    stack = [Element("", 0, False, 0, None, paths, 0)]
+    open_at: dict[str, list[int]] = defaultdict(list)   # depths of the open elements by name
     number, anchors, at, n = 0, 0, 0, len(html)
     current: Block | None = None
 
     def say(text: str) -> None:
         nonlocal current
-        if not text or stack[-1][2]:
+        top = stack[-1]
+        if not text or top.other:
             return
-        if held is not None and not anchors:
-            held[stack[-1][3]] = held.get(stack[-1][3], 0) + len(text.strip())
-        if stack[-1][3]:
+        if not anchors:
+            held[top.around] = held.get(top.around, 0) + len(text.strip())
+        if top.around and not top.aside:
             return
         if current is None:
             if not text.strip():
                 return
-            path = tuple(x[0] for x in stack[1:] if x[0] not in INLINE)
-            block = [x for x in stack if x[0] not in INLINE]
-            holder = next((x[1] for x in reversed(stack) if x[0] in ("article", "main")), 0)
-            parent = next((x[1] for x in reversed(block[:-1]) if x[0] not in NESTING), 0)
-            current = Block(path, parent, holder, block[-1][0])
+            current = Block(top.path, top.above, top.holder, top.tag, top.aside)
             out.append(current)
         current.parts.append(text)
         if anchors:
@@ -136,10 +196,14 @@ def blocks_of(html: str, by_name: bool = True, spared: frozenset[int] = frozense
 
     def close_to(depth: int) -> None:
         nonlocal anchors
-        for x in stack[depth:]:
-            anchors -= x[0] == "a"
+        for x in reversed(stack[depth:]):
+            anchors -= x.name == "a"
+            open_at[x.name].pop()
         del stack[depth:]
 
+    def innermost(names) -> int:
+        return max((open_at[x][-1] for x in names if open_at.get(x)), default=0)
+
     while at < n:
         m = _TAG.search(html, at)
         if not m:
@@ -153,10 +217,8 @@ def blocks_of(html: str, by_name: bool = True, spared: frozenset[int] = frozense
         if not name:
             continue
         if m["end"] or m["end2"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    close_to(k)
-                    break
+            if open_at.get(name):
+                close_to(open_at[name][-1])
             if name not in INLINE:
                 current = None
             continue
@@ -174,34 +236,33 @@ def blocks_of(html: str, by_name: bool = True, spared: frozenset[int] = frozense
             continue
         if name not in INLINE:
             current = None
-            if name in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == "p":
-                        close_to(k)
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
-            if name in SIBLINGS:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in SIBLINGS[name]:
-                        close_to(k)
-                        break
-                    if stack[k][0] in SCOPES[name]:
-                        break
+            if name in CLOSES_P and stack[-1].para:
+                close_to(stack[-1].para)
+            if name in SIBLINGS and (depth := innermost(SIBLINGS[name])) > innermost(SCOPES[name]):
+                close_to(depth)
         number += 1
         anchors += name == "a"
-        other, around = stack[-1][2:]
+        up = stack[-1]
+        other, around, aside = up.other, up.around, up.aside
         if not other and number not in spared and says_other(name, rest, by_name):
-            if name == "form" or name not in NOT_CONTENT and not says_other(name, rest, False):
-                around = (*around, number)
+            own_header = name == "header" and up.holder
+            if name == "form" or own_header or name not in NOT_CONTENT and not says_other(name, rest, False):
+                page.outer[number] = around
+                if name == "form" or name in INLINE or firmly_other(name, rest):
+                    aside = 0
+                elif up.holder and not up.around:
+                    aside = number
+                around = number
             else:
                 other = True
         elif not other and number in spared:
             other = says_other("", rest, False)
-        stack.append((name, number, other, around))
+        stack.append(Element(name, number, other, around, up, paths, aside))
+        open_at[name].append(len(stack) - 1)
     for b in out:
         b.text = " ".join("".join(b.parts).split())
-    return [b for b in out if b.text]
+    page.blocks = [b for b in out if b.text]
+    return page
 
 
 def smoothed(values: list[float], near: int = NEAR) -> list[float]:
@@ -218,7 +279,7 @@ def fused_ratios(blocks: list[Block]) -> list[float]:
     marks: dict = defaultdict(float)
     count: dict = defaultdict(int)
     for b in blocks:
-        own = max(0, len(b.text) - len(" ".join("".join(b.linked).split())))
+        own = b.free
         text[b.path] += own
         if own:
             marks[b.path] += len(_PUNCTUATION.findall(b.text)) * own / len(b.text)
@@ -228,25 +289,42 @@ def fused_ratios(blocks: list[Block]) -> list[float]:
     return [t * p for t, p in zip(by_text, by_mark, strict=True)]
 
 
+def articles_own(blocks: list[Block]) -> set[int]:
+    """The elements of a mild other name inside an article that are part of it: not mostly links, and with a heading at its
+    start or with as much text as a tenth (``SHORT``) of the article's other text."""
+    inside: dict[int, list[Block]] = defaultdict(list)
+    rest: dict[int, int] = defaultdict(int)
+    for b in blocks:
+        if b.aside:
+            inside[b.aside].append(b)
+        else:
+            rest[b.holder] += b.free
+    return {k for k, own in inside.items()
+            if (free := sum(b.free for b in own)) > (1 - LINKED) * sum(len(b.text) for b in own)
+            and (any(b.tag in HEADINGS for b in own) or free > SHORT * rest[own[0].holder])}
+
+
 def main_text(html: str | None) -> str:
     # a page whose whole text stands in an element named like a side matter is read without those names, and one whose
     # text stands for the most part in such an element, or in a form, with that element, if none is in an article outside
     for by_name in (True, False):
-        held: dict[tuple[int, ...], int] = {}
-        blocks = blocks_of(html or "", by_name, held=held)
-        free = held.pop((), 0)
-        most = max(held, key=held.__getitem__, default=())
+        page = blocks_of(html or "", by_name)
+        own = articles_own(page.blocks)
+        blocks = [b for b in page.blocks if not b.aside or b.aside in own]
+        held = dict(page.held)
+        free = held.pop(0, 0)
+        most = max(held, key=held.__getitem__, default=0)
         if by_name and not blocks:
             free = sum(held.values()) - held.get(most, 0)
         if most and held[most] > SPARED * free and not any(b.holder for b in blocks):
-            blocks = blocks_of(html or "", by_name, frozenset(most))
+            blocks = [b for b in blocks_of(html or "", by_name, page.chain(most)).blocks if not b.aside]
         if blocks:
             break
     if not blocks:
         return ""
     fused = fused_ratios(blocks)
     least = SHARE * max(fused)
-    linked = [len(" ".join("".join(b.linked).split())) > LINKED * len(b.text) for b in blocks]
+    linked = [len(b.text) - b.free > LINKED * len(b.text) for b in blocks]
     high = [f >= least and not (x and b.tag == "li") for f, x, b in zip(fused, linked, blocks, strict=True)]
     holders = {b.holder for b, h in zip(blocks, high, strict=True) if h and b.holder}
     inside = sum(len(b.text) * (1 if b.holder else -1) for b, h in zip(blocks, high, strict=True) if h)

@@ -17,6 +17,7 @@ from skytally.llm.op7_language import Model, fit, keep_identified, labelled, op7
 from skytally.llm.tokens import WordEncoder
 
 SF = "/root/testdata/sf0.001"
+ROOT = __file__.rsplit("/tests/", 1)[0]
 
 
 def brute_links(vectors, labels, ids, least=0.93):
@@ -150,6 +151,89 @@ def test_names_of_wrappers():
     assert main_text(f"<body><form style='display:none'>{body}</form></body>") == ""
 
 
+def test_deep_and_broken_pages_take_linear_time():
+    """A megabyte of open elements, of ends that close nothing and of searches up the open elements."""
+    import subprocess
+    import sys
+
+    pages = ['"<div>text here, ok. " * 50_000', '"<i>" * 100_000 + "</u>" * 100_000', '"<p><td>" + "<i>" * 50_000 + "<div></div>" * 50_000',
+             '"<ul><li><ul>" + "<div>" * 50_000 + "<li></li>" * 50_000', '"<div class=share>" * 50_000 + "a, b. "']
+    code = ("import resource, time\nfrom skytally.llm.op5_pages import main_text\n"
+            f"for page in [{', '.join(pages)}]:\n    at = time.process_time(); main_text(page); print(time.process_time() - at)\n"
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)")
+    *seconds, mb = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                                             cwd=ROOT).stdout.split())
+    assert max(seconds) < 10 and mb < 400      # about 1 s and 150 MB; quadratic ways take minutes and gigabytes
+    assert main_text("<div>text here, ok. " * 5000) == " ".join(["text here, ok."] * 5000)
+
+
+def test_what_belongs_to_an_article():
+    story = [f"Paragraph {k}, " + "with words of the story " * 9 + "and more, as told; so it ends." for k in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in story)
+
+    def text(extra, after=""):
+        return main_text(f"<body><nav><a href=/>Home</a></nav><article>{extra}{body}{after}</article><footer>Rights, reserved.</footer></body>")
+
+    lead = "<h1>Real Title</h1><p class='lead'>The lead, short.</p>"
+    for name in ("article-header", "entry-header", "post-header", "alert-header", "header"):
+        assert text(f"<div class='{name}'>{lead}</div>") == " ".join(["Real Title", "The lead, short.", *story])
+    assert text(f"<header>{lead}</header>") == " ".join(["Real Title", "The lead, short.", *story])
+    long = "A long list of what was searched for, and found; as it says. " * 3
+    assert text("", f"<div class='search-results'><p>{long}</p></div>").endswith(long.strip())
+    formula = "<p>The mass is <math><mi>m</mi></math>, as <label>known</label> by all, and <span class='tags'>x</span>more.</p>"
+    assert text(formula) == " ".join(["The mass is m, as known by all, and more.", *story])
+    for side in ("<div class='share'>Share this, now.</div>", "<div class='alert'>Beware, all.</div>", f"<div class='comments'><h3>Said</h3><p>{long * 9}</p></div>",
+                 "<div class='tags'><h4><a href=x>one</a></h4><a href=y>two</a></div>", f"<div class='related-posts'><h3>More</h3><p>{long}</p></div>",
+                 f"<form><label>Name</label> {long}</form>", f"<div class='tags'>{'<a href=x>word, another</a> ' * 40}</div>", f"<aside><h3>X</h3>{long}</aside>"):
+        assert text("", side) == " ".join(story), side
+
+
+class Marked:
+    """Another reading of a page: the text inside one element, by the standard library's parser."""
+
+    def __new__(cls, html, tag, name=None):
+        from html.parser import HTMLParser
+
+        class Parser(HTMLParser):
+            depth, parts, skip = 0, [], 0
+
+            def handle_starttag(self, t, attrs):
+                if self.depth:
+                    self.depth += t == tag
+                    self.parts += [" "] if t in ("p", "br", "h1", "li", "ul", "div") else []
+                elif t == tag and (name is None or dict(attrs).get("class") == name):
+                    self.depth = 1
+
+            def handle_endtag(self, t):
+                if self.depth:
+                    self.depth -= t == tag
+                    self.parts += [" "] if t in ("p", "h1", "li", "ul", "div") else []
+
+            def handle_data(self, data):
+                if self.depth:
+                    self.parts.append(data)
+
+        parser = Parser()
+        parser.parts = []
+        parser.feed(html)
+        parser.close()
+        return " ".join("".join(parser.parts).split())
+
+
+def test_pages_in_other_markup_against_another_parser():
+    """The table's pages, as they are and with the article in a plain, a named and a nested element."""
+    pages = [r[0] for r in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()]
+    for html in pages:
+        want = Marked(html, "article")
+        assert main_text(html) == want and len(want) > 20
+        post = html.replace("<article>", '<div class="post">').replace("</article>", "</div>")
+        assert Marked(post, "div", "post") == want
+        nested = html.replace("<article>", "<main><section><div>").replace("</article>", "</div></section></main>")
+        assert main_text(nested) == want
+        if want.count(".") > 9:      # enough text for the ratios to tell it from the menus without an article's mark
+            assert main_text(post) == want
+
+
 def test_page_query(spark):
     rows = duckdb.sql(f"SELECT page_id, url, html FROM '{SF}/pages.parquet'").fetchall()
     import re
