@@ -6,7 +6,7 @@ The counting follows ERA's vertical partitioning of a suffix tree, over words an
    task. What is frequent becomes a bitmap of fixed size (``FILTER_BITS``); a hash met by chance only lets more
    through. A phrase with an infrequent word or pair is itself infrequent, so suffixes end before one.
 2. Grouping: every position's suffix of at most four words is shipped as its words and a count, combined in
-   the task, to the group of its prefix. There are as many groups as the frequent words' occurrences fill
+   the task, sorted and as one row per group and task, to the group of its prefix. There are as many groups as the frequent words' occurrences fill
    ``GROUP_SUFFIXES``. A prefix is the first word; of a word that alone fills an eighth of a group the first
    two; of a pair that does, the whole suffix. So a group's rows stay within its budget whatever is hot.
 3. Subtrees: each group sorts its suffixes and adds up leaf totals for every node, independently of the others.
@@ -239,7 +239,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
 
         def leaves(held: dict[str, Counter]) -> Iterator:
             for lang, found in held.items():
-                phrases = list(found)
+                phrases = sorted(found)
                 w = Words(phrases, lang_seed(lang))     # no phrase holds a mark that ends a piece
                 first = np.flatnonzero(np.append(True, w.piece[1:] != w.piece[:-1]))
                 size = np.diff(np.append(first, len(w)))
@@ -249,12 +249,20 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
                 for k in range(1, DEPTH):
                     more = np.flatnonzero(size > k)
                     whole[more] = mix(whole[more] * _NEXT + w.hash[first[more] + k])
+                # a pair may be hot by chance beside a word that isn't, so the word decides first
                 key = np.where(deep, whole, np.where(hot & (size > 1), w.pair[first], w.hash[first]))
-                # a hot pair may be hot by chance for a word that isn't, so the word decides first
+                group = (mix(key) % np.uint64(groups)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                cut = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
+                need = np.where(deep, DEPTH, np.where(hot, 2, 1)).astype(np.uint8)
+                n = np.fromiter(map(found.__getitem__, phrases), np.int64, len(phrases))
+                spans = list(zip(cut.tolist(), [*cut[1:].tolist(), len(order)], strict=True))
+                at = order.tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((mix(key) % np.uint64(groups)).astype(np.int64)), pa.array([lang] * len(phrases), pa.string()),
-                     pa.array(phrases, pa.binary()), pa.array(list(found.values()), pa.int64()),
-                     pa.array(np.where(deep, DEPTH, np.where(hot, 2, 1)), pa.int32())], names=["group", "lang", "phrase", "n", "need"])
+                    [pa.array(group[order[cut]]), pa.array([lang] * len(cut), pa.string()),
+                     pa.array([b"\n".join([phrases[i] for i in at[x:y]]) for x, y in spans], pa.binary()),
+                     pa.array([n[order[x:y]].tobytes() for x, y in spans], pa.binary()),
+                     pa.array([need[order[x:y]].tobytes() for x, y in spans], pa.binary())], names=["group", "lang", "phrases", "n", "need"])
 
         held: dict[str, Counter] = {}
         for part in parts:
@@ -290,10 +298,12 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     def subtrees(table):
         import pyarrow as pa
 
-        phrases = table.column("phrase").combine_chunks().cast(pa.string())
-        langs = table.column("lang").combine_chunks()
-        found = nodes_of(phrases, langs.dictionary_encode().indices.to_numpy(), table.column("n").to_numpy(),
-                         table.column("need").to_numpy(), least)
+        n = np.frombuffer(b"".join(table.column("n").to_pylist()), np.int64)
+        need = np.frombuffer(b"".join(table.column("need").to_pylist()), np.uint8)
+        phrases = pa.array(b"\n".join(table.column("phrases").to_pylist()).decode("utf-8", "surrogatepass").split("\n") if len(n) else [], pa.string())
+        each = np.array([len(x) for x in table.column("need").to_pylist()], np.int64)
+        langs = table.column("lang").combine_chunks().take(pa.array(np.repeat(np.arange(len(each)), each)))
+        found = nodes_of(phrases, langs.dictionary_encode().indices.to_numpy(), n, need, least)
         out = []
         for head, total, depth in found:
             part = [" ".join(p.split(" ", depth)[:depth]) for p in phrases.take(pa.array(head)).to_pylist()]
@@ -301,7 +311,7 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
                                 names=["lang", "phrase", "n"]))
         return pa.concat_tables(out) if out else pa.table([[], [], []], schema=pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())]))
 
-    suffixes = rows.mapInArrow(ship, "group long, lang string, phrase binary, n long, need int")
+    suffixes = rows.mapInArrow(ship, "group long, lang string, phrases binary, n binary, need binary")
     nodes = suffixes.groupBy("group").applyInArrow(subtrees, "lang string, phrase string, n long")
     summed = nodes.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return C.materialize(summed, "phrase-counts")
