@@ -80,6 +80,11 @@ class Graph:
             start, _ = self.beam(q, level, start, width, np.zeros((len(q), len(self.x)), bool))
         return start
 
+    def nearest(self, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, cosines), each (queries, width), best first; -1 and -inf where a beam holds fewer."""
+        start = np.hstack([self.descend(q, 0), np.full((len(q), 1), self.entry)])
+        return self.beam(q, 0, start, width, np.zeros((len(q), len(self.x)), bool))
+
     def within(self, q: np.ndarray, least: float, width: int):
         """(query, node, cosine) found with cosine >= ``least``: beams of ``width``, then everything that
         links of hits lead to, as long as new hits come up."""

@@ -1,13 +1,18 @@
 """Embedding near-duplicates: HNSW graphs per shard, every shard queried, recall audited.
 
 Equal vectors of a label are one node with a count. The nodes of a label are dealt by hash into shards of
-about ``SHARD`` vectors; each shard becomes one navigable graph. Every shard's vectors are sent as queries to
-its own and every earlier shard of the label (a link has two ends, so one direction suffices). Beams start
-at ``BEAM`` and from every hit go on along its links; a sample of the block's queries is compared with all vectors
-of the shard, grown until it has ``EVIDENCE`` links (a vector's link with itself isn't one) or is the whole
-block, which then is exact; and the beams are doubled and the block searched again until the audited recall is
-``RECALL`` or more, over the links and over the queries; if wide beams don't reach it, the block is compared by matrix product. Cosines are double precision
-products of unit vectors. Links are united into components by the distributed star steps.
+about ``SHARD`` vectors; each shard becomes one navigable graph. Each shard's vectors are sent as queries to
+its own graph and, of every two shards, one's to the other's graph (a link has two ends, so one direction
+suffices; which one alternates, so no shard gets more blocks than another). Beams start at ``BEAM`` and from
+every hit go on along its links. A sample of the block's queries (``AUDIT``) is compared with all vectors of the
+shard: the sample's links, and its ``NEAREST`` nearest vectors, which are there whether it has links or not, tell
+the beams' recall. Beams are doubled and the block searched again until both recalls are ``RECALL`` or more.
+Only a block that beams of a quarter of its shard don't bring there, or whose shard is smaller than
+that from the start (256 vectors), is compared by matrix product. Every block says which way it went
+(``block_counts``). Cosines are double precision products of unit vectors.
+
+Links stay in their task: it adds up every node's number of links, weighted by copies, and gives one edge
+per node towards the first node of its component within the block. Those are united by the distributed star steps.
 
 Defined results: vectors that are null, empty, zero or have null or non-finite components, and vectors
 without a label, link with nothing and are their own component; vectors of different lengths aren't
@@ -27,8 +32,8 @@ LEAST = 0.93
 SHARD = 4096
 BEAM = 64
 RECALL = 0.995
-AUDIT = 128  # queries of a block that are compared with all vectors of the shard at first
-EVIDENCE = 1000  # links that an audit needs
+AUDIT = 128  # queries of a block that are compared with all vectors of the shard
+NEAREST = 10  # of each of them, besides its links
 WIDE = 4     # beams of a shard's size divided by this cost more than the product
 
 
@@ -38,7 +43,7 @@ def usable(vector: Column) -> Column:
 
 
 def shard_graphs(nodes: DataFrame) -> DataFrame:
-    """(grp, shard, ids, x, graph) of (grp, shard, node, vector): one row per shard."""
+    """(grp, shard, shards, ids, copies, x, graph) of (grp, shard, shards, node, copies, vector): one row per shard."""
     def one(key, table):
         import numpy as np
         import pyarrow as pa
@@ -51,10 +56,13 @@ def shard_graphs(nodes: DataFrame) -> DataFrame:
         x = hnsw.unit(flat[order])
         g = hnsw.build(x)
         return pa.table({"grp": pa.array([key[0].as_py()], pa.int64()), "shard": pa.array([key[1].as_py()], pa.int64()),
+                         "shards": pa.array([table.column("shards")[0].as_py()], pa.int64()),
                          "ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()),
+                         "copies": pa.array([table.column("copies").to_numpy()[order].astype("<i8").tobytes()], pa.binary()),
                          "x": pa.array([x.astype("<f8").tobytes()], pa.binary()), "graph": pa.array([g.dumps()], pa.binary())})
 
-    return nodes.groupBy("grp", "shard").applyInArrow(one, "grp long, shard long, ids binary, x binary, graph binary")
+    return nodes.groupBy("grp", "shard").applyInArrow(
+        one, "grp long, shard long, shards long, ids binary, copies binary, x binary, graph binary")
 
 
 def product(graph, queries, least: float):
@@ -70,40 +78,63 @@ def product(graph, queries, least: float):
 
 
 def search_block(graph, queries, least: float, beam: int, recall: float, own=None):
-    """(query, node, cosine) hits of ``queries`` in ``graph``, the beam widened until the audit passes.
-    ``own`` has the node that each query itself is, if they are the graph's."""
+    """((query, node, cosine) hits of ``queries`` in ``graph``, whether the graph found them), the beam widened
+    until the audit passes. ``own`` has the node that each query itself is, if they are the graph's."""
     import numpy as np
 
-    n, m, audit = len(graph.x), len(queries), AUDIT
+    n, m = len(graph.x), len(queries)
+    if WIDE * beam >= n:
+        return product(graph, queries, least), False
+    chosen = np.unique(np.linspace(0, m - 1, min(AUDIT, m)).astype(int))
+    sample = queries[chosen]
+    cos = sample @ graph.x.T
+    if own is not None:
+        cos[np.arange(len(chosen)), own[chosen]] = -np.inf   # a vector's link with itself is no evidence
+    want = (cos >= least).sum(1)
+    far = np.partition(cos, n - NEAREST, axis=1)[:, n - NEAREST] - 1e-12
+    while WIDE * beam < n:
+        nodes, near = graph.nearest(sample, beam)
+        if own is not None:
+            near = np.where(nodes == own[chosen][:, None], -np.inf, near)
+        if np.minimum((near >= far[:, None]).sum(1), NEAREST).mean() >= recall * NEAREST:
+            r, c, s = graph.within(queries, least, beam)
+            found = np.bincount(r if own is None else r[own[r] != c], minlength=m)[chosen]
+            some = want > 0
+            if found.sum() >= recall * want.sum() and (not some.any() or (found[some] / want[some]).mean() >= recall):
+                return (r, c, s), True
+        beam *= 2
+    return product(graph, queries, least), False
 
-    def counted(r, c):
-        """Links per query, without those to itself."""
-        return np.bincount(r if own is None else r[own[r] != c], minlength=m)
 
+def first_of_component(n: int, u, v):
+    """Per node of 0 .. n - 1 the smallest node that the edges (u, v) connect it with."""
+    import numpy as np
+
+    first = np.arange(n)
     while True:
-        if audit >= m:
-            return product(graph, queries, least)
-        chosen = np.unique(np.linspace(0, m - 1, audit).astype(int))
-        r, c, _ = product(graph, queries[chosen], least)
-        want = counted(chosen[r], c)[chosen]
-        if want.sum() >= EVIDENCE:
-            break
-        audit *= 4
-    some = want > 0
-    while WIDE * beam < n:
-        r, c, s = graph.within(queries, least, beam)
-        found = counted(r, c)[chosen]
-        if found.sum() >= recall * want.sum() and (found[some] / want[some]).mean() >= recall:
-            return r, c, s
-        beam *= 2
-    return product(graph, queries, least)
+        low = np.minimum(first[u], first[v])
+        now = first.copy()
+        np.minimum.at(now, first[u], low)
+        np.minimum.at(now, first[v], low)
+        now = now[now]
+        if np.array_equal(now, first):
+            return first
+        first = now
+
+
+DEGREE_ROW, EDGE_ROW, BLOCK_ROW = 0, 1, 2
 
 
 def links_of(graphs: DataFrame, least: float, beam: int = BEAM, recall: float = RECALL) -> DataFrame:
-    """(a, b), a < b: nodes whose cosine is ``least`` or more."""
-    blocks = graphs.select("grp", F.col("shard").alias("from_shard"), F.col("ids").alias("q_ids"), F.col("x").alias("q_x"))
-    blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), "from_shard")))
-    met = graphs.select("grp", "shard", "ids", "graph").join(blocks, ["grp", "shard"]).select("ids", "graph", "q_ids", "q_x")
+    """(kind, a, b) rows of every block of two shards: a node and its number of links there; an edge; whether
+    the graph answered (1) or the product (0), and for how many queries."""
+    blocks = graphs.select("grp", F.col("shard").alias("q_shard"), F.col("ids").alias("q_ids"), F.col("copies").alias("q_copies"),
+                           F.col("x").alias("q_x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
+    # of two shards the lower one's graph is asked if their numbers' sum is even, else the higher one's
+    even = (F.col("shard") + F.col("q_shard")) % 2 == 0
+    blocks = blocks.where((F.col("shard") <= F.col("q_shard")) & even | (F.col("shard") > F.col("q_shard")) & ~even)
+    met = graphs.select("grp", "shard", "ids", "copies", "graph").join(blocks, ["grp", "shard"]).select(
+        "ids", "copies", "graph", "q_ids", "q_copies", "q_x")
 
     def search(parts: Iterator) -> Iterator:
         import numpy as np
@@ -111,23 +142,60 @@ def links_of(graphs: DataFrame, least: float, beam: int = BEAM, recall: float =
 
         from skytally.llm import hnsw
 
+        def rows(kind: int, a, b):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
         last, graph = None, None
         for batch in parts:
             for i in range(len(batch)):
-                ids = np.frombuffer(batch.column(0)[i].as_py(), "<i8")
+                ids, copies, q_ids, q_copies = (np.frombuffer(batch.column(k)[i].as_py(), "<i8") for k in (0, 1, 3, 4))
                 if last is None or not np.array_equal(last, ids):
-                    last, graph = ids, hnsw.Graph.loads(batch.column(1)[i].as_py())
-                q_ids = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
-                q = np.frombuffer(batch.column(3)[i].as_py(), "<f8").reshape(len(q_ids), -1)
+                    last, graph = ids, hnsw.Graph.loads(batch.column(2)[i].as_py())
+                q = np.frombuffer(batch.column(5)[i].as_py(), "<f8").reshape(len(q_ids), -1)
                 same = np.array_equal(ids, q_ids)
+                n, found, ways = len(ids), [], np.zeros(2, np.int64)
                 for lo in range(0, len(q), 2048):
                     part = q[lo:lo + 2048]
-                    r, c, _ = search_block(graph, part, least, beam, recall, np.arange(lo, lo + len(part)) if same else None)
-                    a, b = q_ids[lo:lo + 2048][r], ids[c]
-                    other = a != b
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[other]), pa.array(np.maximum(a, b)[other])], names=["a", "b"])
-
-    return met.mapInArrow(search, "a long, b long").distinct()
+                    (r, c, _), by_graph = search_block(graph, part, least, beam, recall, np.arange(lo, lo + len(part)) if same else None)
+                    r = r + lo
+                    ways[int(by_graph)] += len(part)
+                    if same:    # either end may have found the other
+                        key = np.minimum(r, c) * n + np.maximum(r, c)
+                        found.append(np.unique(key[r != c]))
+                    else:
+                        found.append(r * n + c)
+                r, c = np.divmod(np.unique(np.concatenate(found)) if same else np.concatenate(found), n)
+                # one numbering of both sides: queries after the graph's nodes
+                r = r if same else r + n
+                node = ids if same else np.concatenate([ids, q_ids])
+                weight = copies if same else np.concatenate([copies, q_copies])
+                links = np.zeros(len(node), np.int64)
+                np.add.at(links, r, weight[c])
+                np.add.at(links, c, weight[r])
+                linked = np.flatnonzero(links)
+                yield rows(DEGREE_ROW, node[linked], links[linked])
+                first = first_of_component(len(node), r, c)
+                moved = np.flatnonzero(first != np.arange(len(node)))
+                yield rows(EDGE_ROW, node[moved], node[first[moved]])
+                ways_seen = np.flatnonzero(ways)
+                yield rows(BLOCK_ROW, ways_seen, ways[ways_seen])
+
+    return met.mapInArrow(search, "kind int, a long, b long")
+
+
+def block_counts(found: DataFrame) -> DataFrame:
+    """(by_graph, parts, queries): how many parts of blocks, and queries of them, the graphs answered or the product."""
+    return found.where(F.col("kind") == BLOCK_ROW).groupBy((F.col("a") == 1).alias("by_graph")).agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("b").alias("queries"))
+
+
+def graphs_of(nodes: DataFrame, shard: int = SHARD) -> DataFrame:
+    """``shard_graphs`` of (label, vector, node, copies) rows, the nodes of a label and vector length dealt into shards."""
+    sizes = nodes.groupBy("label", F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = C.materialize(sizes.select(F.col("label").alias("_l"), F.col("dim").alias("_d"), F.monotonically_increasing_id().alias("grp"),
+                                       F.expr(f"(n + {shard - 1}L) div {shard}L").alias("shards")), "vec-sizes")
+    dealt = nodes.join(sizes, (F.col("label") == F.col("_l")) & (F.size("vector") == F.col("_d")))
+    return shard_graphs(dealt.select("grp", F.pmod(F.xxhash64("node"), F.col("shards")).alias("shard"), "shards", "node", "copies", "vector"))
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label",
@@ -138,18 +206,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     good, bad = rows.where(ok), rows.where(~ok)
     nodes = good.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least_id"))
     nodes = C.materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "vec-nodes")
-    sizes = nodes.groupBy("label", F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = C.materialize(sizes.select(F.col("label").alias("_l"), F.col("dim").alias("_d"), F.monotonically_increasing_id().alias("grp"),
-                                       F.expr(f"(n + {shard - 1}L) div {shard}L").alias("shards")), "vec-sizes")
-    dealt = nodes.join(sizes, (F.col("label") == F.col("_l")) & (F.size("vector") == F.col("_d")))
-    dealt = dealt.select("grp", F.pmod(F.xxhash64("node"), F.col("shards")).alias("shard"), "node", "vector")
-    graphs = C.materialize(shard_graphs(dealt), "vec-graphs", compression="none")
-    links = C.materialize(links_of(graphs, least), "vec-links")
-
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    weight = nodes.select(F.col("node").alias("other"), "copies")
-    degree = both.join(weight, "other").groupBy("node").agg(F.sum("copies").alias("linked"))
-    comp = C.connected_components(links, "vec-comp")
+    graphs = C.materialize(graphs_of(nodes, shard), "vec-graphs", compression="none")
+    found = C.materialize(links_of(graphs, least), "vec-links")
+    degree = found.where(F.col("kind") == DEGREE_ROW).groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("linked"))
+    comp = C.connected_components(found.where(F.col("kind") == EDGE_ROW).select("a", "b"), "vec-comp")
     kinds = nodes.join(comp, "node", "left").join(degree, "node", "left").select(
         "label", "vector", "least_id", F.coalesce("component", "node").alias("component"),
         (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))

@@ -76,7 +76,8 @@ def test_recall_of_the_graph():
     rng = np.random.default_rng(4)
     x = hnsw.unit(np.vstack([rng.normal(size=(1500, 32)), rng.normal(size=(1, 32)) + rng.normal(size=(700, 32)) * 0.15]))
     g = hnsw.Graph.loads(hnsw.build(x).dumps())
-    r, c, s = search_block(g, x, 0.93, 64, 0.995)
+    (r, c, s), by_graph = search_block(g, x, 0.93, 64, 0.995)
+    assert by_graph
     truth = x @ x.T >= 0.93
     assert len(set(zip(r, c))) == len(r) and truth[r, c].all()
     assert len(r) >= 0.99 * truth.sum()
@@ -96,6 +97,49 @@ def test_every_node_is_reached():
     assert len(reached) == len(x)
 
 
+def test_blocks_are_answered_by_the_graphs(spark):
+    """Three shards of a label with copies and near copies, a hot group among them: every pair of shards meets
+    once, the graphs answer nearly all queries, and the links are those of brute force."""
+    from skytally.llm import common as C
+    from skytally.llm import op3_embeddings as op3
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(2200, 24))
+    hot = rng.normal(size=(1, 24)) + rng.normal(size=(400, 24)) * 0.04
+    near = base[:300] + rng.normal(size=(300, 24)) * 0.05
+    x = np.vstack([base, hot, near, base[300:350], base[300:350]])
+    rows = [(i, [float(e) for e in v], 7) for i, v in enumerate(x)]
+    df = C.materialize(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), "t-vectors")
+    nodes = C.materialize(df.groupBy("label", F.col("embedding").alias("vector")).agg(F.count(F.lit(1)).alias("copies"))
+                          .withColumn("node", F.monotonically_increasing_id()), "t-nodes")
+    graphs = C.materialize(op3.graphs_of(nodes, shard=1000), "t-graphs")
+    found = C.materialize(op3.links_of(graphs, 0.93), "t-found")
+    ways = {r["by_graph"]: (r["parts"], r["queries"]) for r in op3.block_counts(found).collect()}
+    sizes = [len(r["ids"]) // 8 for r in graphs.collect()]
+    assert len(sizes) == 3 and sum(p for p, _ in ways.values()) == 6     # three own blocks, three of two shards
+    assert ways[True][0] >= 5
+    u = hnsw.unit(x)
+    cos = u @ u.T
+    np.fill_diagonal(cos, 0)
+    want = (cos >= 0.93).sum(1)
+    got = {r["id"]: r for r in near_vectors(df, shard=1000).collect()}
+    links = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert links.sum() >= 0.995 * want.sum() and (links <= want).all() and want.sum() > 100_000
+    brute = brute_links([list(v) for v in x], [7] * len(x), list(range(len(x))))
+    assert [got[i]["component_id"] for i in range(len(x))] == [c for _, c in brute]
+    edges = found.where(F.col("kind") == op3.EDGE_ROW).count()
+    assert edges < 2 * 3 * len(x)      # not the links
+
+
+def test_components_of_a_block():
+    from skytally.llm.op3_embeddings import first_of_component
+
+    u, v = np.array([5, 3, 9, 1, 2, 8]), np.array([3, 9, 1, 0, 4, 4])
+    assert first_of_component(10, u, v).tolist() == [0, 0, 2, 0, 2, 0, 6, 7, 2, 0]
+    chain = np.arange(999)
+    assert (first_of_component(1000, chain, chain + 1) == 0).all() and first_of_component(3, u[:0], v[:0]).tolist() == [0, 1, 2]
+
+
 def test_lost_links_are_noticed():
     """Nodes that no link leads to: the links of a block that has few, and of a block of the shard's own vectors, are found."""
     rng = np.random.default_rng(8)
@@ -106,7 +150,8 @@ def test_lost_links_are_noticed():
     others = hnsw.unit(rng.normal(size=(1000, 32)))
     others[1:40] = hnsw.unit(x[lost[1:40]] + rng.normal(size=(39, 32)) * 0.01)
     for q, own in ((others, None), (x, np.arange(1000))):
-        r, c, _ = search_block(g, q, 0.93, 64, 0.995, **({} if own is None else {"own": own}))
+        (r, c, _), by_graph = search_block(g, q, 0.93, 64, 0.995, **({} if own is None else {"own": own}))
+        assert not by_graph
         assert set(zip(r.tolist(), c.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(q @ x.T >= 0.93))))
 
 
