@@ -1,7 +1,8 @@
 """Mixing sources to target weights (DataFrame functions only).
 
 The words of each source's documents, in a fixed order of documents, are cut into blocks of ``BLOCK``
-words. Every output shard of ``SHARD_BLOCKS`` places draws its sources multinomially (each place by a
+words (of a source with fewer than ``BLOCK`` such blocks, into shorter ones: a ``BLOCK``th of its words, one at
+least, so that rounding to blocks costs a small source no more than a large one). Every output shard of ``SHARD_BLOCKS`` places draws its sources multinomially (each place by a
 hash of its number, with the sources' quotas as probabilities); counts per shard and source give each
 draw its number within the source. Draws beyond a source's quota are handed, in order, to the sources
 that came out short, so the totals are the quotas exactly. Number j of a source is block
@@ -66,9 +67,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def quotas(targets: DataFrame, block: int) -> DataFrame:
-    """Adds blocks (of the source), quota (places it gets) and until (running sum of quotas)."""
-    blocks = F.expr(f"(source_size + {block - 1}L) div {block}L")
-    d = targets.withColumn("blocks", blocks)
+    """Adds length (words of the source's blocks), blocks, quota (places it gets) and until (running sum of quotas)."""
+    length = F.least(F.lit(block).cast("long"), F.greatest(F.lit(1).cast("long"), F.expr(f"source_size div {block}L")))
+    d = targets.withColumn("length", length).withColumn("blocks", F.expr("(source_size + length - 1L) div length"))
     quota = F.when(F.col("source_size") > 0,
                    F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"),
                            F.col("blocks") * MOST)).otherwise(F.lit(0)).cast("long")
@@ -76,8 +77,6 @@ def quotas(targets: DataFrame, block: int) -> DataFrame:
     return d.withColumn("until", F.sum("quota").over(Window.orderBy("number")))
 
 
-
-
 def draw_places(q: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     """(shard, place, number, ordinal): which source each output place takes, and its number therein.
 
@@ -88,6 +87,7 @@ def draw_places(q: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     places = spark.range(total).withColumn("shard", F.expr(f"id div {shard_blocks}L"))
     u = F.pmod(F.xxhash64(F.lit(seed).cast("long"), F.col("id")), F.lit(max(total, 1)).cast("long"))
     picked = locate(places.withColumn("u", u), "u", q.select("number", F.col("until"), F.col("quota").alias("_len")), "number")
+    picked = C.materialize(picked.select("id", "shard", "number"), "mix-picked")
     counts = picked.groupBy("shard", "number").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("shard").alias("_s"), F.col("number").alias("_k"), "n",
@@ -103,8 +103,9 @@ def draw_places(q: DataFrame, shard_blocks: int, seed: int) -> DataFrame:
     byn = Window.orderBy("number")
     over = F.greatest(F.col("got") - F.col("quota"), F.lit(0))
     under = F.greatest(F.col("quota") - F.col("got"), F.lit(0))
-    bal = bal.select(F.col("number").alias("_k"), "quota", "got", under.alias("_len"),
-                     (F.sum(over).over(byn) - over).alias("spare_from"), F.sum(under).over(byn).alias("until"))
+    bal = C.materialize(bal.select(F.col("number").alias("_k"), "quota", "got", under.alias("_len"),
+                                   (F.sum(over).over(byn) - over).alias("spare_from"), F.sum(under).over(byn).alias("until")), "mix-balance")
+    drawn = C.materialize(drawn, "mix-drawn")
     d = drawn.join(F.broadcast(bal.select("_k", "quota", "spare_from")) if small(bal) else bal.select("_k", "quota", "spare_from"),
                    F.col("number") == F.col("_k")).drop("_k")
     spare = F.col("spare_from") + F.col("ordinal") - F.col("quota")
@@ -147,10 +148,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> dict[str, DataFrame]:
     """The mix as three tables:
 
-    * ``sources``: source, source_size, number, target, blocks, quota;
+    * ``sources``: source, source_size, number, target, length (of its blocks), blocks, quota;
     * ``documents``: id, source, size, start (its first word's place in its source), digest, and
-      source_size, number, target, blocks;
+      source_size, number, target, length, blocks;
     * ``places``: shard, place, number, block, taken as often as they stand there.
+
+    All three are written tables.
     """
     digest = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     sized = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
@@ -158,35 +161,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sized = C.materialize(sized, "mix-sizes")
     q = C.materialize(quotas(source_targets(sized), block), "mix-quotas")
     placed = C.prefix_sums(sized, ["source"], "size", "start", C.bucket_count(sized.count()))
-    per_source = q.select(F.col("source").alias("_src"), "source_size", "number", "target", "blocks", "quota")
+    per_source = q.select(F.col("source").alias("_src"), "source_size", "number", "target", "length", "blocks", "quota")
     if small(per_source):
         per_source = F.broadcast(per_source)
-    documents = placed.join(per_source, C.same(F.col("source"), F.col("_src"))).drop("_src")
+    documents = C.materialize(placed.join(per_source, C.same(F.col("source"), F.col("_src"))).drop("_src"), "mix-documents")
     drawn = draw_places(q, shard_blocks, seed).join(
         F.broadcast(q.select(F.col("number").alias("_k"), "blocks")) if small(q) else q.select(F.col("number").alias("_k"), "blocks"),
         F.col("number") == F.col("_k")).drop("_k")
     drawn = drawn.withColumn("pass", F.expr("ordinal div blocks")).withColumn("turn", F.expr("ordinal % blocks"))
     places = C.feistel_permute(drawn, "turn", "blocks", [F.lit(seed).cast("long"), F.col("number").cast("long"), F.col("pass")],
                                "block").select("shard", "place", "number", "block")
+    places = C.materialize(places, "mix-places")
     return {"sources": q, "documents": documents, "places": places}
 
 
-def pieces(documents: DataFrame, block: int = BLOCK) -> DataFrame:
+def pieces(documents: DataFrame) -> DataFrame:
     """One row per document and block it reaches into: .., block, words (of the document therein)."""
     some = documents.where(F.col("size") > 0)
-    some = some.withColumn("block", F.explode(F.expr(f"sequence(start div {block}L, (start + size - 1L) div {block}L)")))
-    lo = F.greatest(F.col("start"), F.col("block") * block)
-    hi = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
+    some = some.withColumn("block", F.explode(F.expr("sequence(start div length, (start + size - 1L) div length)")))
+    lo = F.greatest(F.col("start"), F.col("block") * F.col("length"))
+    hi = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("length"))
     return some.withColumn("from_word", lo - F.col("start")).withColumn("words", hi - lo)
 
 
-def mixed_text(docs: DataFrame, mixed: dict[str, DataFrame], id_col: str = "doc_id", text_col: str = "text",
-               block: int = BLOCK) -> DataFrame:
+def mixed_text(docs: DataFrame, mixed: dict[str, DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The mix itself: shard, place, number, block, text (the block's words, joined by one space)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     words = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("digest"),
                         F.regexp_extract_all(text, F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0)).alias("all_words")).distinct()
-    p = pieces(mixed["documents"], block)
+    p = pieces(mixed["documents"])
     p = p.join(words.withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest"),
                C.same(F.col("id"), F.col("_id")) & (F.col("digest") == F.col("_digest")))
     part = F.slice("all_words", F.col("from_word").cast("int") + 1, F.col("words").cast("int"))
@@ -195,11 +198,11 @@ def mixed_text(docs: DataFrame, mixed: dict[str, DataFrame], id_col: str = "doc_
     return mixed["places"].join(blocks.select("number", "block", text.alias("text")), ["number", "block"])
 
 
-def taken_words(mixed: dict[str, DataFrame], block: int = BLOCK) -> DataFrame:
+def taken_words(mixed: dict[str, DataFrame]) -> DataFrame:
     """Per document of the mix: its columns and taken (words of it that the mix takes)."""
     times = mixed["places"].groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
     docs = mixed["documents"]
-    p = pieces(docs.select("id", "number", "digest", "start", "size"), block)
+    p = pieces(docs.select("id", "number", "digest", "start", "size", "length"))
     per_piece = p.join(times, ["number", "block"], "left").select(
         "id", "digest", "number", "start", "size", (F.col("words") * F.coalesce("times", F.lit(0))).alias("w"))
     none = docs.where(F.col("size") == 0).select("id", "digest", "number", "start", "size", F.lit(0).cast("long").alias("w"))
@@ -216,6 +219,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     values. Of rows equal in id, source and text the first one stands for all.
     """
     key = ["id", "source", "digest"]
+    mark = C.scratch_mark()
     mixed = mix(docs, id_col, text_col, source_col, seed=seed)
     taken = taken_words(mixed).join(mixed["sources"].select("number", "source"), "number").where("size > 0")
     chance = F.pmod(F.xxhash64(F.lit(seed).cast("long"), "id", "digest", "start"), F.lit(1 << 30)) / (1 << 30)
@@ -228,8 +232,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = copies.where("copies > 0").select(*[F.col(k).alias(f"_{k}") for k in key], "copies")
     on = C.same(F.col("id"), F.col("_id")) & C.same(F.col("source"), F.col("_source")) & (F.col("digest") == F.col("_digest"))
     often = C.materialize(first.join(copies, on).select("at.file", "at.row", "copies"), "mix-copies")
+    C.drop_scratch(docs.sparkSession, mark, ("mix-copies",))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *place)
-    return C.expand_copies(whole.join(often, ["file", "row"]), "copies", "_copy").select("_doc.*")
+    # nearly every row has copies, so the list grows with the input: the same shuffled join at every size
+    return C.expand_copies(whole.join(often.hint("shuffle_hash"), ["file", "row"]), "copies", "_copy").select("_doc.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

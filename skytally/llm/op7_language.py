@@ -30,6 +30,7 @@ COLUMNS = 1 << 16
 MATRIX_BYTES = 64 << 20
 TRAIN_ROWS = 5_000   # labelled rows per language that are counted
 SLICE = 1 << 19
+SLACK = 0.25         # of the way from a language's typical n-gram to a never seen one
 UNKNOWN = "und"
 _MIX = np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917)
 
@@ -87,6 +88,9 @@ def columns_of(chars: np.ndarray, lo: int, hi: int, order: int, columns: int) ->
 class Model:
     languages: list[str]
     matrix: np.ndarray  # (columns + 1, languages): log probabilities; the last row is 0
+    typical: np.ndarray | None = None   # per language, of an n-gram of its own texts: the mean log probability,
+    spread: np.ndarray | None = None    # its standard deviation,
+    unseen: np.ndarray | None = None    # and the log probability of an n-gram that was never seen
 
     @property
     def columns(self) -> int:
@@ -94,31 +98,49 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """(language, score) of every text."""
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, whether the text may well be in that language) of every text.
+
+        The last one is by likelihood per n-gram, whatever the other languages say: it lies no further below what
+        is typical of the language than ``SLACK`` of the way to never seen n-grams, and, as short texts vary,
+        three standard errors.
+        """
         langs: list[str] = []
-        scores = [np.zeros(0)]
+        scores, likely = [np.zeros(0)], [np.zeros(0, bool)]
         for lo, hi in batches([t or "" for t in texts]):
-            some, score = self._predict(texts[lo:hi])
+            some, score, fits = self._judge(texts[lo:hi])
             langs += some
             scores.append(score)
-        return langs, np.concatenate(scores)
+            likely.append(fits)
+        return langs, np.concatenate(scores), np.concatenate(likely)
 
-    def _predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def _judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         n, k = len(texts), len(self.languages)
         if not k:
-            return [UNKNOWN] * n, np.zeros(n)
+            return [UNKNOWN] * n, np.zeros(n), np.zeros(n, bool)
         chars, starts, known = code_points(texts)
-        total = np.zeros((n, k))
+        total, grams = np.zeros((n, k)), np.zeros(n)
         for lo, hi in slices(chars):
             first = int(np.searchsorted(starts, lo, "right")) - 1
             last = int(np.searchsorted(starts, hi, "left"))
             cuts = np.maximum(starts[first:last], lo) - lo
-            got = np.zeros((hi - lo, k), np.float32)
+            got, seen = np.zeros((hi - lo, k), np.float32), np.zeros(hi - lo)
             for order in ORDERS:
-                got += self.matrix[columns_of(chars, lo, hi, order, self.columns)]
+                columns = columns_of(chars, lo, hi, order, self.columns)
+                got += self.matrix[columns]
+                seen += columns < self.columns
             total[first:last] += np.add.reduceat(got.astype(np.float64), cuts, axis=0)
+            grams[first:last] += np.add.reduceat(seen, cuts)
         best = total.argmax(1)
         score = np.where(known, 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1), 0.0)
-        return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)], score
+        likely = known.copy()
+        if self.typical is not None:
+            mean = total[np.arange(n), best] / np.maximum(grams, 1)
+            far = SLACK * (self.typical - self.unseen)[best] + 3 * self.spread[best] * np.sqrt(len(ORDERS) / np.maximum(grams, 1))
+            likely &= mean >= self.typical[best] - far
+        return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)], score, likely
 
 
 def held_out(id_col: Column) -> Column:
@@ -156,18 +178,23 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     counts = chosen.mapInPandas(count, "l int, c int, n long").groupBy("l", "c").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((columns + 1, len(languages)))
     table[counts["c"], counts["l"]] = counts["n"]
-    logs = np.log((table[:-1] + 0.5) / (table[:-1].sum(0) + 0.5 * columns))
-    return Model(languages, np.vstack([logs, np.zeros(len(languages))]).astype(np.float32))
+    total = table[:-1].sum(0)
+    logs = np.log((table[:-1] + 0.5) / (total + 0.5 * columns))
+    share = table[:-1] / np.maximum(total, 1)
+    typical = (share * logs).sum(0)
+    spread = np.sqrt(np.maximum((share * logs ** 2).sum(0) - typical ** 2, 0))
+    return Model(languages, np.vstack([logs, np.zeros(len(languages))]).astype(np.float32), typical, spread,
+                 np.log(0.5 / (total + 0.5 * columns)))
 
 
 def predictor(spark: SparkSession, model: Model):
-    """A column function: text -> struct(lang_pred, score)."""
+    """A column function: text -> struct(lang_pred, score, likely)."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, likely boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = shared.value.predict([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+        langs, scores, likely = shared.value.judge([t if isinstance(t, str) else None for t in texts])
+        return pd.DataFrame({"lang_pred": langs, "score": scores, "likely": likely})
 
     return predict
 
@@ -177,12 +204,19 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return rows.where(~held_out(F.col("id")))
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language with a score of ``least`` or more."""
-    predict = predictor(spark, fit(labelled(docs)))
-    names = docs.columns
-    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), predict(docs["text"]).alias("_p"))
-    return got.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least)).select("_doc.*")
+def keep_identified(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text may well be in the learned language that it is taken for.
+
+    Null texts and texts without a letter go, and texts far less likely in their language than its own are
+    (``Model.judge``): texts of languages never learned, not short texts between two learned ones. Where no
+    row is labelled nothing can be told, and every row stays.
+    """
+    model = fit(labelled(docs))
+    if not model.languages:
+        return docs
+    predict = predictor(spark, model)
+    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), predict(docs["text"]).alias("_p"))
+    return got.where("_p.likely").select("_doc.*")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,13 +28,15 @@ def number_rows(rows: DataFrame, out: str, total: int) -> DataFrame:
 
 
 def shard_rows(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """``rows`` with shard (int) and slot (long). Select the columns to carry before the call; all of
-    them decide the numbering, so map columns can't take part."""
+    """``rows`` with shard (int) and slot (long), which replace columns of these names; others may have any name.
+    Select the columns to carry before the call; all of them decide the numbering, so map columns can't take part."""
     rows = rows.drop("shard", "slot")
+    names = rows.columns
+    rows = rows.toDF(*[f"v{i}" for i in range(len(names))])
     total = rows.count()
     numbered = number_rows(rows, "_number", total).withColumn("_total", F.lit(total).cast("long"))
     placed = C.feistel_permute(numbered, "_number", "_total", [F.lit(seed).cast("long")], "_place")
-    return placed.select(*rows.columns, F.expr(f"cast(_place % {shards} as int)").alias("shard"),
+    return placed.select(*[F.col(c).alias(n) for c, n in zip(rows.columns, names, strict=True)], F.expr(f"cast(_place % {shards} as int)").alias("shard"),
                          F.expr(f"_place div {shards}").alias("slot"))
 
 

@@ -409,6 +409,60 @@ def test_language_edge_cases(spark):
     assert Model([], np.zeros((65537, 0), np.float32)).predict([]) [0] == []
 
 
+def test_naive_bayes_against_plain_counting(spark):
+    """Log probabilities by counting characters one by one, without numpy or slices."""
+    import math
+    from collections import Counter
+
+    from skytally.llm import op7_language as M
+
+    texts = [("die Katze und der Hund", "de"), ("the cat, the dog", "en"), ("Über Öl", "de"), ("a1b2 the end", "en")]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(texts * 3)]
+    model = fit(spark.createDataFrame(rows, "id long, text string, lang string"))
+
+    def grams(text):
+        chars = [c if c.isalpha() else " " for c in text.lower()]
+        return ["".join(chars[i:i + n]) for n in (1, 2, 3) for i in range(len(chars) - n + 1)]
+
+    def column(gram):
+        return int(M.ngram_columns(np.array([ord(c) for c in gram], "<u4"), len(gram), model.columns)[0])
+
+    counts = {lang: Counter(column(g) for _, t, k in rows if k == lang for g in grams(t)) for lang in ("de", "en")}
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+
+    def logs(text):
+        return [sum(math.log((counts[k][column(g)] + 0.5) / (total[k] + 0.5 * model.columns)) for g in grams(text)) for k in ("de", "en")]
+
+    for text in ("der Hund", "the dog and the cat", "Öl", "x", "katze end", "12 the"):
+        want = logs(text)
+        lang, score = (x[0] for x in model.predict([text]))
+        assert lang == ("de", "en")[int(want[1] > want[0])]
+        assert score == pytest.approx(1 / (1 + math.exp(-abs(want[0] - want[1]))), rel=1e-4)
+    for k, lang in enumerate(("de", "en")):
+        own = [(math.log((n + 0.5) / (total[lang] + 0.5 * model.columns)), n) for n in counts[lang].values()]
+        assert model.typical[k] == pytest.approx(sum(x * n for x, n in own) / total[lang])
+
+
+def test_what_the_language_stage_keeps(spark):
+    """Short clean texts and texts between two languages stay, languages never learned go; without labels all stays."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clean = docs.join(spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1"), "doc_id").select(docs.columns)
+    model = fit(labelled(docs))
+    other = ["Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5, "私はガラスを食べられます。それは私を傷つけません。" * 5,
+             "Μπορώ να φάω σπασμένα γυαλιά χωρίς να πάθω τίποτα. " * 5]
+    assert not model.judge(other)[2].any()
+    texts = [r["text"] for r in clean.collect()]
+    short = [w for t in texts[:60] for w in (t[:4], t[5:12], t[:25]) if any(c.isalpha() for c in w)]
+    assert model.judge(texts)[2].mean() == 1.0 and model.judge(short)[2].mean() > 0.97
+    rows = [(i, t, "en" if i % 2 else None, "s", 1) for i, t in enumerate([*other, None, "", "12 !"])]
+    mixed = clean.limit(50).union(spark.createDataFrame(rows, docs.schema))
+    kept = keep_identified(spark, docs.limit(400).union(mixed)).where("source = 's'").count()
+    assert kept == 0
+    unlabelled = mixed.withColumn("lang", F.lit(None).cast("string"))
+    assert keep_identified(spark, unlabelled).count() == mixed.count()
+
+
 def test_slices_do_not_change_scores(monkeypatch):
     from skytally.llm import op7_language as M
     rng = np.random.default_rng(0)

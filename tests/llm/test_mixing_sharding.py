@@ -77,6 +77,23 @@ def test_mix_edge_cases(spark):
     assert taken_words(empty).count() == 0 and empty["places"].count() == 0
 
 
+def test_many_small_sources_come_near_their_targets(spark):
+    """Sixty sources of 50 words, one of three words and one of 9000: totals within one block, none left out."""
+    rows = [(i, " ".join(["w"] * 25), f"s{i % 60:02d}") for i in range(120)] + [(200, "a b c", "t"), (201, "x " * 9000, "u"), (202, "", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    m = mix(df)
+    got = taken_words(m).join(m["sources"].select("number", "source", "source_size", "target"), "number").withColumnRenamed("id", "doc_id").collect()
+    check(rows, got, 64)
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert abs(sum(taken.values()) - sum(target.values())) <= 64
+    assert all(abs(taken[s] - target[s]) <= (64 if s == "u" else 1) for s in target)
+    assert all(taken[s] > 0 for s in target if s != "v")
+    assert sum(r["taken"] for r in got) == sum(len(r["text"].split()) for r in mixed_text(df, m).collect())
+
+
 def test_mixed_text_is_whole_blocks_of_the_sources(spark):
     rows = [(i, " ".join(f"{i}_{k}" for k in range(37 * i % 200)), f"s{i % 3}") for i in range(1, 60)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -135,6 +152,9 @@ def test_sharding_edge_cases(spark):
     got = shard_rows(df, shards=7).collect()
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
     assert Counter((r["shard"], r["slot"]) for r in got) == Counter(place(i, len(rows), 7) for i in range(len(rows)))
+    odd = df.selectExpr("doc_id AS _n", "doc_id AS `a.b`", "doc_id AS _number", "doc_id AS _b", "doc_id AS _copy", "doc_id AS _fa", "doc_id AS _place")
+    out = shard_rows(odd, shards=7)
+    assert out.columns == [*odd.columns, "shard", "slot"] and out.count() == odd.count()
     assert shard_rows(df.limit(0)).count() == 0
 
 
