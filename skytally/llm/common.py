@@ -18,14 +18,36 @@ def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+_written: list[tuple[str, str]] = []   # names and paths of the scratch tables that are still there
+
+
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.options(**options).parquet(path)
+    _written.append((name, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark() -> int:
+    """What ``drop_scratch`` takes as ``since``: the tables written up to now stay."""
+    return len(_written)
+
+
+def drop_scratch(spark: SparkSession, since: int, keep: tuple[str, ...] = ()) -> None:
+    """Delete the scratch tables written after a mark, but those named ``keep`` (which a lazy result still reads)."""
+    jvm = spark.sparkContext._jvm
+    stay = []
+    for name, path in _written[since:]:
+        if name in keep:
+            stay.append((name, path))
+        else:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _written[since:] = stay
+
+
 def located(docs: DataFrame, id_col: str, text_col: str, in_files: bool) -> DataFrame:
     """(id, text, file, row): rows with a place that later scans find again.
 
@@ -96,24 +118,28 @@ def prefix_sums(df: DataFrame, groups: list[str], weight: str | None, out: str,
     are expanded again, so neither a hot group nor a row repeated many times meets in one task:
     windows see one hash bucket of distinct rows, and the offsets one row per bucket.
     """
-    cols = df.columns
-    unit = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    u = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-         .withColumn("_b", F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
-         .withColumn("_w", unit))
-    per_bucket = u.groupBy(*groups, "_b").agg(F.sum(F.col("_w") * F.col("_n")).alias("_sum"))
-    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # the input's columns get names of their own, so no name of theirs can clash with one used here
+    names = df.columns
+    cols = [f"v{i}" for i in range(len(names))]
+    own = [cols[names.index(g)] for g in groups]
+    unit = F.lit(1).cast("long") if weight is None else F.col(cols[names.index(weight)]).cast("long")
+    u = (df.toDF(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+         .withColumn("b", F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
+         .withColumn("w", unit))
+    per_bucket = u.groupBy(*own, "b").agg(F.sum(F.col("w") * F.col("n")).alias("sum"))
+    before = Window.partitionBy(*own).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_b").alias("_gb"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast("long").alias("_offset"))
-    inside = (Window.partitionBy(*groups, "_b").orderBy(*cols)
+        *[F.col(g).alias(f"g{i}") for i, g in enumerate(own)], F.col("b").alias("gb"),
+        F.coalesce(F.sum("sum").over(before), F.lit(0)).cast("long").alias("offset"))
+    inside = (Window.partitionBy(*own, "b").orderBy(*cols)
               .rowsBetween(Window.unboundedPreceding, -1))
-    u = u.withColumn("_in", F.coalesce(F.sum(F.col("_w") * F.col("_n")).over(inside), F.lit(0)).cast("long"))
-    on = F.col("_b") == F.col("_gb")
-    for i, g in enumerate(groups):
-        on = on & same(F.col(g), F.col(f"_g{i}"))
-    placed = expand_copies(u.join(offsets, on), "_n", "_copy")
-    return placed.select(*cols, (F.col("_offset") + F.col("_in") + F.col("_copy") * F.col("_w")).alias(out))
+    u = u.withColumn("before", F.coalesce(F.sum(F.col("w") * F.col("n")).over(inside), F.lit(0)).cast("long"))
+    on = F.col("b") == F.col("gb")
+    for i, g in enumerate(own):
+        on = on & same(F.col(g), F.col(f"g{i}"))
+    placed = expand_copies(u.join(offsets, on), "n", "copy")
+    return placed.select(*[F.col(c).alias(n) for c, n in zip(cols, names, strict=True)],
+                         (F.col("offset") + F.col("before") + F.col("copy") * F.col("w")).alias(out))
 
 
 # --------------------------------------------------------------- permutations
