@@ -3,14 +3,14 @@
 Each stage takes the documents that the one before it kept, written as Parquet and read again; all but the
 last return the columns of ``documents``:
 
-1. language: documents without a letter, or in no language with a score of 0.5 or more, go;
+1. language: documents without a letter, or far less likely in their language than its own texts are, go;
 2. exact: of texts equal but for ASCII blanks the one with most code points (then smallest doc_id) stays;
 3. near: of every class of near-duplicates (weighted Jaccard similarity of five-word shingles of 0.8 or
    more) one document stays;
 4. mix: documents are taken as often as the mix of sources to target weights takes their words;
 5. pack: sequences of at most 4096 tokens, one row per piece of a document.
 
-Null texts go in the first stage; null sources are a source of their own; ties and repeated rows are settled
+Null texts go in the first stage (which keeps everything where no row has a language to learn from); null sources are a source of their own; ties and repeated rows are settled
 as the operators' docstrings say; an empty table passes every stage; further columns are carried along.
 """
 
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
+        before = common.scratch_mark()
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = common.materialize(docs, f"pipeline-{name}")
+            # what the stage wrote on the way, and what it read, is no longer needed
+            common.drop_scratch(spark, max(0, before - (k > 0)), (f"pipeline-{name}",))
     return docs
