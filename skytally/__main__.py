@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,7 @@ from skytally.plans import queries as Q
 from skytally.sources import file_line_stream, kafka_line_stream, text_lines
 from skytally.sources.lines import TRIGGER_SECONDS
 from skytally.streaming import runner as R
+from skytally.streaming.accounts import Accounts, accounted
 from skytally.streaming.changelog import DEFAULT_KEEP_VERSIONS, write_once
 
 
@@ -105,6 +107,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--original-layout", action="store_true",
                    help="write (Id, Popularity), (Airport, CarriersList) or (Id, CarriersList) rows like the original tables")
     p.add_argument("--rejects", help="folder for the lines the job can't use, with their reason")
+    p.add_argument("--account", action="store_true", help="print the numbers of used and rejected lines, by reason, per trigger")
+    p.add_argument("--state-on-disk", action="store_true", help="keep running counts in RocksDB instead of the executors' memory")
     p.add_argument("--failfast", action="store_true", help="fail on the first line the job can't use")
     return p
 
@@ -150,7 +154,13 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
             raise SystemExit("--archive-dir would move files that the reject stream still reads: leave one out")
     every = f"{int(round(args.trigger_seconds * 1000))} milliseconds"
     trigger = {"availableNow": True} if args.available_now else {"processingTime": every}
-    queries = [start_fn(strict(lines, args.job) if args.failfast else lines, args.table, args.checkpoint, trigger, args)]
+    used = strict(lines, args.job) if args.failfast else lines
+    accounts = Accounts(show=True)
+    if args.account:
+        used = accounted(used, args.job)
+        spark.streams.addListener(accounts)
+    with R.state_on_disk(spark) if args.state_on_disk else nullcontext():
+        queries = [start_fn(used, args.table, args.checkpoint, trigger, args)]
     if args.rejects:
         queries.append(R.reject_stream(lines, args.job, args.rejects, args.checkpoint.rstrip("/") + "_rejects", trigger))
     try:
@@ -163,6 +173,8 @@ def run_args(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     finally:
         for q in queries:
             q.stop()
+        if args.account:
+            spark.streams.removeListener(accounts)
     return None
 
 

@@ -15,6 +15,7 @@ from skytally.operators.itinerary import (
 from skytally.operators.parse import (
     LEG_JOB,
     ON_TIME_JOBS,
+    REASONS,
     airport_ids,
     classify,
     flat_map_fields,
@@ -30,6 +31,7 @@ from skytally.operators.topk import pack_top_k, top_k_per_group
 __all__ = [
     "LEG_JOB",
     "ON_TIME_JOBS",
+    "REASONS",
     "airport_ids",
     "best_from_stats",
     "best_itineraries",

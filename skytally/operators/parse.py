@@ -112,6 +112,17 @@ def line_reason(job: str) -> Column:
     return reason.otherwise(ok)
 
 
+#: The reasons that ``line_reason`` can give, per job.
+REASONS = {
+    "airports": ("short",),
+    "carriers": ("short", "arity", "bad_arr_delay"),
+    "carriers-by-airport": ("short", "arity", "bad_dep_delay", "blank_key"),
+    "destinations-by-airport": ("short", "arity", "bad_dep_delay", "blank_key"),
+    "carriers-by-route": ("short", "arity", "bad_arr_delay", "blank_key"),
+    LEG_JOB: ("arity", "bad_date", "bad_flight", "blank_airport", "bad_arr_delay"),
+}
+
+
 def classify(lines: DataFrame, job: str, line_col: str = "line") -> DataFrame:
     """Every line with ``n_fields`` and the first ``reason`` against it in ``job`` (or ``ok``)."""
     rec = records(lines, line_col, keep_line=True)

@@ -20,6 +20,7 @@ from skytally.plans import queries as Q
 from skytally.plans import layout as L
 from skytally.sources import defect_itinerary_lines, defect_on_time_lines, itinerary_lines, on_time_lines
 from skytally.streaming import runner as R
+from skytally.streaming.accounts import Accounts, accounted
 from skytally.streaming.changelog import compact, newest_batch, read_latest
 from skytally.streaming.replay import replay
 
@@ -91,6 +92,31 @@ def _stream_rejects(job: str, lines_fn) -> Query:
     return run
 
 
+def _line_accounts(job: str, lines_fn) -> Query:
+    """What the triggers' observed metrics say about the lines, summed."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        started = []
+
+        def job_stream(lines, table, ckpt, trigger):
+            started.append(R.grouped_top_k_stream(accounted(lines, job), Q.CARRIERS_BY_ROUTE, table, ckpt, trigger, mode="update"))
+            return started[0]
+
+        replay(spark, lines_fn(spark, sf_dir), job_stream, "stream-accounts")
+        accounts = Accounts()
+        for progress in started[0].recentProgress:
+            accounts.add(progress)
+        return accounts.total(spark)
+    return run
+
+
+def _state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts as the stream's checkpoint holds them, on disk and with a changelog."""
+    with R.state_on_disk(spark):
+        return replay(spark, on_time_lines(spark, sf_dir),
+                      lambda lines, table, ckpt, trigger: R.carrier_on_time_stream(lines, table, ckpt, trigger, mode="update"),
+                      "stream-state", read=lambda s, base: R.read_state_counts(s, f"{base}/checkpoint"))
+
+
 def _grouped_stream(spec: Q.GroupedRanking, **kw):
     return lambda lines, table, ckpt, trigger: R.grouped_top_k_stream(lines, spec, table, ckpt, trigger, **kw)
 
@@ -168,6 +194,8 @@ def queries() -> dict[str, Query]:
         "stream_itinerary_update": _dated(_stream(
             "stream-itinerary-update", R.itinerary_stream, lines_fn=itinerary_lines)),
         "itinerary_layout": _seven(lambda lines: _joined_list(L.itineraries_layout(Q.best_itineraries(lines)))),
+        "stream_line_accounts": _line_accounts("carriers-by-route", defect_on_time_lines),
+        "stream_state_counts": _state_counts,
         # change logs in update mode, several micro-batches
         "stream_airports_ranked_update": _stream(
             "stream-airports-ranked-update",

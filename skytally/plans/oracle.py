@@ -252,6 +252,7 @@ DEFECT_BODIES = {
     "leg_reject_summary": "SELECT reason, count(*) AS n FROM reason7 GROUP BY reason",
     "rejected_lines": "SELECT job, line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM jobs WHERE reason <> 'ok'",
     "rejected_legs": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason7 WHERE reason <> 'ok'",
+    "stream_line_accounts": "SELECT reason, count(*) AS n FROM jobs WHERE job = 'carriers-by-route' GROUP BY reason",
     "stream_rejects": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM jobs "
                       "WHERE reason <> 'ok' AND job = 'carriers-by-route'",
     "stream_leg_rejects": "SELECT line, CAST(len(f) AS BIGINT) AS n_fields, reason FROM reason7 WHERE reason <> 'ok'",
@@ -271,6 +272,7 @@ SAME_AS = {
     "stream_airports_ranked_update": "airports_ranked",
     "stream_top10_carriers_by_airport_update": "top10_carriers_by_airport",
     "stream_top10_destinations_by_airport_update": "top10_destinations_by_airport",
+    "stream_state_counts": "carrier_on_time_arrivals",
     "stream_carriers_compacted": "carrier_on_time_arrivals",
     "stream_itinerary": "itinerary_best",
     "stream_itinerary_update": "itinerary_best",

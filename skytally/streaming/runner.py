@@ -18,6 +18,7 @@ True}`` for replays and tests.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,34 @@ from skytally.streaming.changelog import (
 DEFAULT_TRIGGER = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
 
 
+#: State on the executors' disks instead of their memory; a trigger uploads its changes, not all files.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB with a changelog (a query keeps the setting it was first started with)."""
+    old = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    for k, v in ROCKSDB.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def read_state_counts(spark: SparkSession, checkpoint: str, value: str = "popularity", batch_id: int | None = None) -> DataFrame:
+    """A count stream's running counts, key columns and ``value``, read from its checkpoint: as of the newest
+    committed batch, or of ``batch_id``. The stream may be stopped; nothing is recounted."""
+    reader = spark.read.format("statestore").option("path", checkpoint)
+    state = (reader if batch_id is None else reader.option("batchId", batch_id)).load()
+    return state.select("key.*", F.col("value.count").alias(value))
+
+
 def start(stream_df: DataFrame, sink, checkpoint: str, output_mode: str = "complete",
           trigger: dict | None = None, query_name: str | None = None,
           tables: tuple[str, ...] = ()) -> StreamingQuery:

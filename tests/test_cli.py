@@ -83,7 +83,7 @@ def test_ranked_top_print_and_rejects(spark, line_dir, capsys):
     from skytally.operators import rejects
     assert spark.read.parquet(base + "/bad").count() == rejects(lines, "airports").count()
     run(spark, ["airports", "--files", line_dir, "--table", base + "/ru", "--checkpoint", base + "/cru", "--available-now",
-                "--ranked", "--mode", "update"])
+                "--ranked", "--mode", "update", "--account", "--state-on-disk"])
     assert rows(read_ranked(spark, base + "/ru"), "rank", "id") == rows(Q.airports_ranked(lines), "rank", "id")
     run(spark, ["carriers", "--files", line_dir, "--table", base + "/t", "--checkpoint", base + "/ct", "--available-now",
                 "--top", "3", "--print", "2"])

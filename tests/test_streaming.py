@@ -316,6 +316,55 @@ def test_readers_can_keep_to_committed_batches(spark, five):
         R.carrier_on_time_stream(text_stream(spark, src), work + "/gone", checkpoint, {"availableNow": True}, mode="update")
 
 
+def test_state_holds_the_running_counts_after_a_restart(spark, five):
+    """RocksDB state with a changelog: the checkpoint's counts are the table's, before and after a restart."""
+    parts = five.randomSplit([1.0, 1.0], seed=3)
+    base = scratch_path(spark, "t-state")
+    src, work = base + "/input", base + "/work"
+    start = lambda s, t, c, tr: R.carrier_on_time_stream(s, t, c, tr, mode="update")
+    for part in parts:
+        part.coalesce(1).write.mode("append").text(src)
+        with R.state_on_disk(spark):
+            table = run_available(spark, src, work, start)
+        assert rows(R.read_state_counts(spark, work + "/checkpoint"), "id", "popularity") == rows(table, "id", "popularity")
+    assert rows(table) == rows(Q.carrier_on_time_arrivals(five))
+    first = R.read_state_counts(spark, work + "/checkpoint", batch_id=0)
+    assert rows(first, "id", "popularity") == rows(Q.carrier_on_time_arrivals(parts[0]), "id", "popularity")
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "false") == "false"
+
+
+def test_accounts_add_up_per_trigger(spark):
+    from pyspark.sql import Observation
+
+    from skytally.operators import ON_TIME_JOBS, REASONS, rejects
+    from skytally.sources import defect_on_time_lines
+    from skytally.streaming.accounts import Accounts, accounted
+
+    lines = defect_on_time_lines(spark, SF_SMOKE).cache()
+    n = lines.count()
+    src = split_into_files(spark, lines, 3, "t-accounts")
+    queries = []
+
+    def start(s, t, c, tr):
+        queries.append(R.grouped_top_k_stream(accounted(s, "carriers-by-airport"), Q.CARRIERS_BY_AIRPORT, t, c, tr, mode="update"))
+        return queries[-1]
+
+    got = run(spark, src, start)
+    assert rows(got) == rows(Q.top10_carriers_by_airport(lines))      # the numbers change nothing
+    accounts = Accounts()
+    for p in queries[0].recentProgress:
+        accounts.add(p)
+    assert len(accounts.triggers) == 3 and sum(t["lines"] for _, t in accounts.triggers) == n
+    for _, t in accounts.triggers:
+        assert t["lines"] == sum(v for k, v in t.items() if k != "lines")
+    for job in (*ON_TIME_JOBS, "itineraries"):
+        seen = Observation("t")
+        assert accounted(lines, job, seen).count() == n
+        want = {r["reason"]: r["count"] for r in rejects(lines, job).groupBy("reason").count().collect()}
+        assert {k: v for k, v in seen.get.items() if k in REASONS[job] and v} == want
+        assert seen.get["used"] == n - sum(want.values())
+
+
 def text_stream(spark, src):
     from skytally.sources import file_line_stream
     return file_line_stream(spark, src)
