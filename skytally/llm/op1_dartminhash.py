@@ -13,8 +13,9 @@ are one class from the start. In a bucket every member is compared with three ce
 most others over all its buckets (what copies were made from meets more of them than any copy does), the one
 that meets fewest, and one by hash. After the components of these links are known, buckets where several
 components still meet are gone through block by block: members of different components whose sizes and
-signatures allow it are compared too. So no bucket is expanded into all pairs and none is capped. The
-comparison is exact (weighted Jaccard similarity of the whole texts' shingles, ``THRESHOLD`` or more).
+signatures allow it are compared too, where they lie; only links that unite something leave the task. So no
+bucket is expanded into all pairs and none is capped. The comparison is exact (weighted Jaccard similarity
+of the whole texts' shingles, ``THRESHOLD`` or more).
 Classes are connected components.
 
 Defined results: words are separated by ASCII blanks and compared in lower case; a null text counts as
@@ -36,7 +37,7 @@ from skytally.llm import common as C
 from skytally.llm.shingles import batches, mix, shingles, similarities
 
 THRESHOLD = 0.8
-BLOCK = 256  # members of a bucket compared with as many others at a time
+BLOCK = 1024  # members of a bucket compared with as many others at a time
 BANDS, ROWS = 35, 6  # a pair at 0.8 is missed with probability (1 - 0.8^6)^35, about 2 in 100 000
 
 
@@ -122,52 +123,115 @@ def signed(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
     return rows.mapInArrow(sign, schema)
 
 
-def alike(members: DataFrame, threshold: float, k: int) -> DataFrame:
-    """Distinct (a, b) of different components in one bucket whose signatures agree nearly as often as those
-    of similar texts do: five standard deviations below ``threshold`` are let through.
+class Classes:
+    """Union-find over component numbers: what a task has already united."""
 
-    ``members``: bucket, n (members of it), node, size, component, sig. Members are dealt into blocks of about
-    ``BLOCK``; every two blocks of a bucket are compared in one task, as matrices, so a crowded bucket is many
-    small groups and only alike pairs become rows.
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        root = x
+        while (up := self.parent.get(root, root)) != root:
+            root = up
+        while x != root:
+            self.parent[x], x = root, self.parent.get(x, x)
+        return root
+
+    def unite(self, x: int, y: int) -> None:
+        self.parent[self.find(x)] = self.find(y)
+
+
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two texts' sorted shingles and their counts."""
+    (sa, ca), (sb, cb) = a, b
+    at = np.searchsorted(sb, sa)
+    same = np.flatnonzero(at < len(sb))
+    same = same[sb[at[same]] == sa[same]]
+    shared = int(np.minimum(ca[same], cb[at[same]]).sum())
+    return shared / (int(ca.sum()) + int(cb.sum()) - shared)
+
+
+def counted_shingles(texts: DataFrame) -> DataFrame:
+    """(node, shingles, counts) of (node, words): sorted hashes and counts as little-endian binaries."""
+    def each(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in parts:
+            words = batch.column(1).to_pylist()
+            for lo, hi in batches(words):
+                d, s, c = shingles(words[lo:hi])
+                cut = np.searchsorted(d, np.arange(hi - lo + 1))
+                spans = list(zip(cut[:-1], cut[1:], strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array([s[x:y].tobytes() for x, y in spans], pa.binary()),
+                     pa.array([c[x:y].astype(np.uint32).tobytes() for x, y in spans], pa.binary())], names=["node", "shingles", "counts"])
+
+    return texts.select("node", "words").mapInArrow(each, "node long, shingles binary, counts binary")
+
+
+def uniting(members: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Links (a, b) between different components that share a bucket, enough of them to unite what is alike.
+
+    ``members``: bucket, n (members of it), node, size, component, sig, bands, shingles, counts. Members are
+    dealt into blocks of about ``BLOCK``; every two blocks of a bucket are compared in one task. A pair is looked
+    at in the first bucket that both share, if sizes and signatures allow it (five standard deviations below
+    ``threshold`` are let through), and then by its exact similarity, unless links that the task has found
+    unite it already. So a task emits fewer links than it has seen components, whatever the pairs are.
     """
     least = k * (threshold - 5 * math.sqrt(threshold * (1 - threshold) / k))
     d = members.withColumn("blocks", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)"))
     d = d.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    d = d.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "size", "component", "sig")
+    d = d.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "size",
+                 "component", "sig", "bands", "shingles", "counts")
 
-    def compare(batches: Iterator) -> Iterator:
+    def compare(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def found(group):
-            block, node, size, comp, sig = zip(*group, strict=True)
-            block, node, size, comp = (np.array(x) for x in (block, node, size, comp))
+        known = Classes()
+
+        def found(bucket, group):
+            block, node, size, comp, sig, bands, shingle, count = zip(*group, strict=True)
+            block, node, size = (np.array(x) for x in (block, node, size))
             sig = np.frombuffer(b"".join(sig), np.uint8).reshape(len(node), -1)
-            left = np.flatnonzero(block == block.min())
-            right = np.flatnonzero(block == block.max())
+            bands = np.array(bands, np.int64)
+            band = int((bands == bucket).any(0).argmax())   # a bucket is of one band
+            text = [(np.frombuffer(s, np.uint64), np.frombuffer(c, np.uint32)) for s, c in zip(shingle, count, strict=True)]
+            left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+            alone = block.min() == block.max()
+            root = np.array([known.find(c) for c in comp])
             for i in left:
-                js = right[(comp[right] != comp[i]) & (np.minimum(size[right], size[i]) >= threshold * np.maximum(size[right], size[i]))]
-                js = js[(sig[js] == sig[i]).sum(1) >= least]
-                for j in js:
-                    yield (min(node[i], node[j]), max(node[i], node[j]))
+                js = right[right > i] if alone else right
+                js = js[(root[js] != root[i]) & (np.minimum(size[js], size[i]) >= threshold * np.maximum(size[js], size[i]))]
+                js = js[(bands[js, :band] != bands[i, :band]).all(1)]
+                agree = (sig[js] == sig[i]).sum(1)
+                # likely links first: what they unite need not be compared
+                for j in js[np.argsort(-agree, kind="stable")][:int((agree >= least).sum())]:
+                    if root[j] != root[i] and similarity(text[i], text[j]) >= threshold:
+                        known.unite(comp[i], comp[j])
+                        root[root == root[j]] = root[i]
+                        yield (min(node[i], node[j]), max(node[i], node[j]))
+                        new = known.find(comp[i])
+                        root[root == root[i]] = new
+
+        key, group, out = None, [], []
+
+        def batch_of(pairs):
+            a, b = zip(*pairs, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        key, group, out = None, [], set()
-        for batch in batches:
+        for batch in parts:
             for b, lo, hi, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (b, lo, hi) != key and group:
-                    out.update(found(group))
+                    out += found(key[0], group)
                     group = []
                 key = (b, lo, hi)
                 group.append(rest)
             if out:
-                a, b = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-                out = set()
-        if group:
-            out.update(found(group))
-            if out:
-                a, b = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield batch_of(out)
+                out = []
+        if group and (out := list(found(key[0], group))):
+            yield batch_of(out)
 
     place = ["bucket", "lo", "hi"]
     return d.repartition(*place).sortWithinPartitions(*place).mapInArrow(compare, "a long, b long").distinct()
@@ -197,6 +261,7 @@ def may_be_near(a: str, b: str, threshold: float) -> Column:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", in_files: bool = False,
                     threshold: float = THRESHOLD, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """One row per document: id, file, row, class_id (smallest id of its class), class_size, kept."""
+    spark, mark = docs.sparkSession, C.scratch_mark()
     rows = C.located(docs, id_col, text_col, in_files)
     worded = rows.select("id", "file", "row", plain_words(F.col("text")).alias("words"))
     worded = worded.withColumn("key", F.unhex(F.md5("words")))
@@ -228,15 +293,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                           .join(wanted, ["file", "row"]).select("node", "words"), "near-texts", compression="zstd")
     links = C.materialize(linked(pairs, texts, threshold), "near-links")
 
-    # buckets where different components still meet: signatures of all members, block against block
+    # buckets where different components still meet: all their members, block against block
     comp = C.materialize(C.connected_components(links, "near-comp"), "near-comp")
     placed = C.materialize(meets.select("bucket", "node", "size").join(comp, "node", "left").withColumn(
         "component", F.coalesce("component", "node")), "near-in-comp")
     mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = C.materialize(mixed.where("lo != hi").select("bucket", "n"), "near-mixed")
-    inside = C.maybe_in(placed, ["bucket"], mixed).join(mixed, "bucket").join(kinds.select("node", "sig"), "node")
-    more = C.materialize(alike(inside, threshold, bands * per_band).join(pairs, ["a", "b"], "left_anti"), "near-more")
-    late = C.materialize(linked(more, texts, threshold), "near-links-2")
+    inside = C.materialize(C.maybe_in(placed, ["bucket"], mixed).join(mixed, "bucket"), "near-inside")
+    own = C.materialize(counted_shingles(inside.select("node").distinct().join(texts, "node")).join(kinds.select("node", "sig", "bands"), "node"), "near-shingles", compression="zstd")
+    late = C.materialize(uniting(inside.join(own, "node"), threshold, bands * per_band), "near-links-2")
     if not late.isEmpty():
         # the stars found so far and the late links: the same components as all links
         stars = comp.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
@@ -247,6 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kinds = C.materialize(kinds, "near-kind-class")
     classes = kinds.groupBy("component").agg(F.min("best").alias("keep"), F.sum("copies").alias("class_size"))
     of_key = C.materialize(kinds.select("key", "component").join(classes, "component").select("key", "keep", "class_size"), "near-class")
+    C.drop_scratch(spark, mark, ("near-signed", "near-class"))
     return members.select("id", "file", "row", "key").join(of_key, "key").select(
         "id", "file", "row", F.col("keep.id").alias("class_id"), "class_size",
         ((F.col("keep.file") == F.col("file")) & (F.col("keep.row") == F.col("row"))).alias("kept"))
@@ -254,7 +320,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (an unchanged read of Parquet files) that stay, all columns."""
-    return C.without_rows(docs, near_duplicates(docs, in_files=True).where(~F.col("kept")))
+    mark = C.scratch_mark()
+    rest = C.without_rows(docs, near_duplicates(docs, in_files=True).where(~F.col("kept")))
+    C.drop_scratch(docs.sparkSession, mark, ("gone",))
+    return rest
 
 
 def op1_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
