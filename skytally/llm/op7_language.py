@@ -30,7 +30,7 @@ COLUMNS = 1 << 16
 MATRIX_BYTES = 64 << 20
 TRAIN_ROWS = 5_000   # labelled rows per language that are counted
 SLICE = 1 << 19
-SLACK = 0.25         # of the way from a language's typical n-gram to a never seen one
+SLACK = 0.4          # of the way from a language's typical n-gram to a never seen one
 UNKNOWN = "und"
 _MIX = np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917)
 
@@ -180,9 +180,10 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     table[counts["c"], counts["l"]] = counts["n"]
     total = table[:-1].sum(0)
     logs = np.log((table[:-1] + 0.5) / (total + 0.5 * columns))
-    share = table[:-1] / np.maximum(total, 1)
-    typical = (share * logs).sum(0)
-    spread = np.sqrt(np.maximum((share * logs ** 2).sum(0) - typical ** 2, 0))
+    # an n-gram of a text that was counted, as if it hadn't been: few counted texts don't look more typical than they are
+    share, others = table[:-1] / np.maximum(total, 1), np.log((np.maximum(table[:-1] - 1, 0) + 0.5) / (total + 0.5 * columns))
+    typical = (share * others).sum(0)
+    spread = np.sqrt(np.maximum((share * others ** 2).sum(0) - typical ** 2, 0))
     return Model(languages, np.vstack([logs, np.zeros(len(languages))]).astype(np.float32), typical, spread,
                  np.log(0.5 / (total + 0.5 * columns)))
 

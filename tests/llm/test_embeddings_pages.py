@@ -439,7 +439,7 @@ def test_naive_bayes_against_plain_counting(spark):
         assert lang == ("de", "en")[int(want[1] > want[0])]
         assert score == pytest.approx(1 / (1 + math.exp(-abs(want[0] - want[1]))), rel=1e-4)
     for k, lang in enumerate(("de", "en")):
-        own = [(math.log((n + 0.5) / (total[lang] + 0.5 * model.columns)), n) for n in counts[lang].values()]
+        own = [(math.log((n - 0.5) / (total[lang] + 0.5 * model.columns)), n) for n in counts[lang].values()]
         assert model.typical[k] == pytest.approx(sum(x * n for x, n in own) / total[lang])
 
 
