@@ -299,3 +299,22 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.octet_length("bytes").cast("long")
     return out.select(F.col("id").alias("doc_id"), n.alias("n_bytes"), (n - F.octet_length("kept")).alias("n_removed"),
                       F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), digests(F.col("kept")).alias("kept_sha256"))
+
+
+#: Every window of 400 bytes by its digest, over hexadecimal text.
+OP4_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, h, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 399)) AS i FROM t),
+w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM p),
+twice AS (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1),
+edges AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS first FROM twice),
+runs AS (SELECT r, i, sum(first) OVER (PARTITION BY r ORDER BY i) AS g FROM edges),
+spans AS (SELECT r, min(i) AS lo, max(i) + 400 AS hi FROM runs GROUP BY r, g),
+gaps AS (SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS before FROM spans),
+kept AS (SELECT r, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS last,
+                string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS parts FROM gaps JOIN t USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(parts, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN kept USING (r)
+"""

@@ -6,7 +6,7 @@ from skytally.llm.common import Query
 from skytally.llm.op1_dartminhash import OP1_SQL, op1_dartminhash
 from skytally.llm.op2_mixing import op2_mixing
 from skytally.llm.op3_embeddings import OP3_SQL, op3_embeddings
-from skytally.llm.op4_substrings import op4_substrings
+from skytally.llm.op4_substrings import OP4_SQL, op4_substrings
 from skytally.llm.op5_pages import op5_pages
 from skytally.llm.op6_packing import op6_packing
 from skytally.llm.op7_language import op7_language
@@ -40,6 +40,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_dartminhash": OP1_SQL,
         "op3_embeddings": OP3_SQL,
+        "op4_substrings": OP4_SQL,
         "op10_exact_dedup": OP10_SQL,
         "op12_rules": OP12_SQL,
         "op13_phrases": OP13_SQL,
