@@ -523,3 +523,45 @@ def test_scratch_needs_a_shared_folder_off_local():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+@pytest.fixture
+def few_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_expiring_itineraries_keep_little_state_and_report_late_legs(spark, few_partitions):
+    from skytally.streaming.expiring import expiring_itineraries, gate_late_legs
+
+    base = scratch_path(spark, "t-expiring")
+    src = base + "/in"
+    now = {"availableNow": True}
+    state = []
+    days = [f"2008-01-{d:02d}" for d in range(1, 12)]
+    for k, day in enumerate(days):
+        lines = [f"{day},{n},{o},{t},X,0,{n}.00" for n in (3, 5) for o, t in (("A", "B"), ("B", "C"), ("C", "A"))]
+        if k == 4:
+            lines += [f"{days[3]},1,A,B,X,0,-9.00"]           # a day late: in time
+        if k == 7:
+            lines += [f"{days[2]},1,A,B,X,0,-9.00", "no leg"]  # a week late
+        spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.mode("append").text(src)
+        gate_late_legs(text_stream(spark, src), base + "/accepted", base + "/late", base + "/c1", trigger=now).awaitTermination()
+        if k % 2:
+            continue
+        q = expiring_itineraries(spark, base + "/accepted", base + "/table", base + "/c2", trigger=now)
+        q.awaitTermination()
+        state.append(sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"]))
+    late = spark.read.parquet(base + "/late")
+    assert [(str(r["flight_date"]), r["flight"], r["reason"]) for r in late.collect()] == [(days[2], 1, "late")]
+    in_time = text_lines(spark, src).where(f"line != '{days[2]},1,A,B,X,0,-9.00'")
+    # final: what the watermark, a day behind the newest date, has passed
+    want = [r for r in rows(Q.best_itineraries(in_time)) if str(r[0]) <= days[-5]]
+    got = rows(spark.read.parquet(base + "/table"))
+    assert [r for r in got if str(r[0]) <= days[-5]] == want and len(want) == 3 * 7
+    assert set(got) <= set(rows(Q.best_itineraries(in_time)))
+    assert spark.read.parquet(base + "/accepted").count() + late.count() + 1 == text_lines(spark, src).count()
+    # no more rows in state as the days go on
+    assert max(state[4:]) <= max(state[2:4])
