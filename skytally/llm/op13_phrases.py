@@ -237,24 +237,30 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
         word_ok, word_hot = (Bitmap(*x, filter_bits) for x in frequent.value)
         pair_ok, pair_hot = (Bitmap(*x, filter_bits) for x in both.value)
 
+        def group_of(phrases: list[bytes], lang: str) -> tuple[np.ndarray, np.ndarray]:
+            """(group, depth from which nodes are whole in it) of every suffix."""
+            w = Words(phrases, lang_seed(lang))     # no phrase holds a mark that ends a piece
+            first = np.flatnonzero(np.append(True, w.piece[1:] != w.piece[:-1]))
+            size = np.diff(np.append(first, len(w)))
+            hot = word_hot.has(w.hash[first])
+            deep = hot & (size > 1) & pair_hot.has(w.pair[first])
+            whole = w.hash[first].copy()
+            for k in range(1, DEPTH):
+                more = np.flatnonzero(size > k)
+                whole[more] = mix(whole[more] * _NEXT + w.hash[first[more] + k])
+            # a pair may be hot by chance beside a word that isn't, so the word decides first
+            key = np.where(deep, whole, np.where(hot & (size > 1), w.pair[first], w.hash[first]))
+            return (mix(key) % np.uint64(groups)).astype(np.int64), np.where(deep, DEPTH, np.where(hot, 2, 1)).astype(np.uint8)
+
         def leaves(held: dict[str, Counter]) -> Iterator:
             for lang, found in held.items():
+                if not found:
+                    continue
                 phrases = sorted(found)
-                w = Words(phrases, lang_seed(lang))     # no phrase holds a mark that ends a piece
-                first = np.flatnonzero(np.append(True, w.piece[1:] != w.piece[:-1]))
-                size = np.diff(np.append(first, len(w)))
-                hot = word_hot.has(w.hash[first])
-                deep = hot & (size > 1) & pair_hot.has(w.pair[first])
-                whole = w.hash[first].copy()
-                for k in range(1, DEPTH):
-                    more = np.flatnonzero(size > k)
-                    whole[more] = mix(whole[more] * _NEXT + w.hash[first[more] + k])
-                # a pair may be hot by chance beside a word that isn't, so the word decides first
-                key = np.where(deep, whole, np.where(hot & (size > 1), w.pair[first], w.hash[first]))
-                group = (mix(key) % np.uint64(groups)).astype(np.int64)
+                group, need = (np.concatenate(x) for x in zip(*(
+                    group_of(phrases[lo:hi], lang) for lo, hi in batches(phrases)), strict=True))
                 order = np.argsort(group, kind="stable")
                 cut = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
-                need = np.where(deep, DEPTH, np.where(hot, 2, 1)).astype(np.uint8)
                 n = np.fromiter(map(found.__getitem__, phrases), np.int64, len(phrases))
                 spans = list(zip(cut.tolist(), [*cut[1:].tolist(), len(order)], strict=True))
                 at = order.tolist()

@@ -93,7 +93,8 @@ def test_products_beyond_64_bits(spark):
 
 
 def test_nothing_frequent_and_empty(spark, docs):
-    for few in (docs.limit(0), docs.where("doc_id < 4")):
+    assert docs.where("doc_id < 8").count() == 8      # with and without words
+    for few in (docs.limit(0), docs.where("doc_id < 4"), docs.where("doc_id < 8"), docs.where("text = 'a  b\t c'")):
         assert P.phrase_counts(few).count() == 0
         assert P.collocations(P.phrase_counts(few), P.word_totals(few.select("lang", "text").limit(0))).count() == 0
 
