@@ -44,6 +44,7 @@ def main() -> None:
         ("top10_airports", Q.top10_airports(five)),
         ("itinerary_best", Q.best_itineraries(seven)),
         ("itinerary_legs", Q.itinerary_counts(seven)),
+        ("itinerary_top10", Q.itinerary_top10(seven)),
     ]
     print("# Physical plans (AQE off, lines read from text files)\n")
     print(f"Generated by `scripts/show_plans.py {sf_dir}`. `*` marks whole-stage codegen. Join strategies")
