@@ -31,6 +31,7 @@ from skytally.streaming import runner as R  # noqa: E402
 from skytally.streaming.replay import run_available  # noqa: E402
 
 GROWTH_LINES = 50_000
+NOT_IN_VALUE = ("itinerary_top10",)   # timed, but left out of the total, which earlier rounds had without it
 
 COUNT_QUERIES = {
     "airport_popularity": Q.airport_popularity,
@@ -131,7 +132,8 @@ def main() -> None:
     all_queries = {**times, **stream, **growth}
     out = {
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(v for k, v in times.items() if k not in NOT_IN_VALUE), 3),
+        "not_in_value": list(NOT_IN_VALUE),
         "unit": "sec",
         "queries": all_queries,
         "sf": float(sf_dir.rsplit("sf", 1)[-1]) if "sf" in sf_dir else sf_dir,

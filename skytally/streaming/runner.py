@@ -217,10 +217,8 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
         emitted = batch_df.select(*ROUTE_DAY_KEYS, "best").persist()
         held = []
         try:
-            if batch_id == 0:
-                changes = emitted
-                near = emitted.limit(0)
-            else:
+            changes = emitted
+            if batch_id:
                 known = history(spark, rd_table, upto=batch_id - 1).where(_near_days(emitted, gap_days))
                 near = known.groupBy(*ROUTE_DAY_KEYS).agg(F.min("best").alias("best")).persist()
                 held.append(near)
@@ -229,11 +227,13 @@ def itinerary_stream(lines: DataFrame, table: str, checkpoint: str, trigger: dic
                     F.col("old").isNull() | (F.col("best") < F.col("old"))).drop("old").persist()
                 held.append(changes)
             append_batch(changes, rd_table, batch_id)
-            # a changed first leg with any second one, and an unchanged first leg with a changed second one
-            unchanged = near.join(changes.select(*ROUTE_DAY_KEYS), ROUTE_DAY_KEYS, "left_anti")
-            as_first = best_from_stats(changes, gap_days, second=unchanged.unionByName(changes))
-            as_second = best_from_stats(unchanged, gap_days, second=changes)
-            affected = as_first.unionByName(as_second)
+            if batch_id == 0:
+                affected = best_from_stats(changes, gap_days)
+            else:
+                # a changed first leg with any second one, and an unchanged first leg with a changed second one
+                unchanged = near.join(changes.select(*ROUTE_DAY_KEYS), ROUTE_DAY_KEYS, "left_anti")
+                as_first = best_from_stats(changes, gap_days, second=unchanged.unionByName(changes))
+                affected = as_first.unionByName(best_from_stats(unchanged, gap_days, second=changes))
             affected = post(affected) if post is not None else affected
             keys = ITINERARY_KEYS if post is None else affected.columns[:1]
             append_batch(keyed(affected, keys), table, batch_id)
