@@ -35,8 +35,8 @@ class Graph:
     def _fresh(self, rows: np.ndarray, nodes: np.ndarray, visited: np.ndarray, q: np.ndarray):
         """Distinct unvisited (row, node) and their cosines; marks them visited."""
         ok = nodes >= 0
-        key = np.unique(rows[ok] * visited.shape[1] + nodes[ok])
-        key = key[~visited.reshape(-1)[key]]
+        key = rows[ok] * visited.shape[1] + nodes[ok]
+        key = np.unique(key[~visited.reshape(-1)[key]])    # most neighbours of hits have been met before
         visited.reshape(-1)[key] = True
         rows, nodes = np.divmod(key, visited.shape[1])
         return rows, nodes, np.einsum("ij,ij->i", q[rows], self.x[nodes])

@@ -4,11 +4,11 @@ Equal vectors of a label are one node with a count. The nodes of a label are dea
 about ``SHARD`` vectors; each shard becomes one navigable graph. Each shard's vectors are sent as queries to
 its own graph and, of every two shards, one's to the other's graph (a link has two ends, so one direction
 suffices; which one alternates, so no shard gets more blocks than another). Beams start at ``BEAM`` and from
-every hit go on along its links. A sample of the block's queries (``AUDIT``) is compared with all vectors of the
-shard: the sample's links, and its ``NEAREST`` nearest vectors, which are there whether it has links or not, tell
-the beams' recall. Beams are doubled and the block searched again until both recalls are ``RECALL`` or more.
-Only a block that beams of a quarter of its shard don't bring there, or whose shard is smaller than
-that from the start (256 vectors), is compared by matrix product. Every block says which way it went
+every hit go on along its links. Two samples tell the beams' recall: queries of the block (``AUDIT``), compared with all
+vectors of the shard for their links, and queries made at just the least cosine from vectors of the shard
+(``PLANTED``), whose link is known, so that there is evidence where the block has no links. Beams are doubled and the
+block searched again until both recalls are ``RECALL`` or more. Only a block that beams of a quarter of its shard
+don't bring there, or whose shard is smaller than that from the start (128 vectors), is compared by matrix product. Every block says which way it went
 (``block_counts``). Cosines are double precision products of unit vectors.
 
 Links stay in their task: it adds up every node's number of links, weighted by copies, and gives one edge
@@ -30,10 +30,10 @@ from skytally.llm import common as C
 
 LEAST = 0.93
 SHARD = 4096
-BEAM = 64
+BEAM = 32
 RECALL = 0.995
 AUDIT = 128  # queries of a block that are compared with all vectors of the shard
-NEAREST = 10  # of each of them, besides its links
+PLANTED = 256  # queries made at just the least cosine from known vectors of the shard
 WIDE = 4     # beams of a shard's size divided by this cost more than the product
 
 
@@ -86,17 +86,21 @@ def search_block(graph, queries, least: float, beam: int, recall: float, own=Non
     if WIDE * beam >= n:
         return product(graph, queries, least), False
     chosen = np.unique(np.linspace(0, m - 1, min(AUDIT, m)).astype(int))
-    sample = queries[chosen]
-    cos = sample @ graph.x.T
+    cos = queries[chosen] @ graph.x.T
     if own is not None:
         cos[np.arange(len(chosen)), own[chosen]] = -np.inf   # a vector's link with itself is no evidence
     want = (cos >= least).sum(1)
-    far = np.partition(cos, n - NEAREST, axis=1)[:, n - NEAREST] - 1e-12
+    # queries whose link is known: a vector of the shard, turned by the least cosine in some direction
+    known = np.unique(np.linspace(0, n - 1, min(PLANTED, n)).astype(int))
+    aside = np.random.default_rng(n).normal(size=(len(known), graph.x.shape[1]))
+    aside -= (aside * graph.x[known]).sum(1, keepdims=True) * graph.x[known]
+    length = np.sqrt((aside * aside).sum(1, keepdims=True))
+    aside = np.divide(aside, length, out=np.zeros_like(aside), where=length > 0)
+    planted = least * graph.x[known] + np.sqrt(1 - least * least) * aside
     while WIDE * beam < n:
-        nodes, near = graph.nearest(sample, beam)
-        if own is not None:
-            near = np.where(nodes == own[chosen][:, None], -np.inf, near)
-        if np.minimum((near >= far[:, None]).sum(1), NEAREST).mean() >= recall * NEAREST:
+        nodes, near = graph.nearest(planted, beam)
+        # a beam full of links has found where to go on, though more vectors than it holds are as near
+        if ((nodes == known[:, None]).any(1) | (near >= least - 1e-9).all(1)).mean() >= recall:
             r, c, s = graph.within(queries, least, beam)
             found = np.bincount(r if own is None else r[own[r] != c], minlength=m)[chosen]
             some = want > 0
