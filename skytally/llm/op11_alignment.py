@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from skytally.llm import common as C
-from skytally.llm.shingles import batches
+from skytally.llm.shingles import batches, row_slices
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
@@ -167,7 +167,7 @@ def _per_batch(docs: DataFrame, id_col: str, text_col: str, fields: list[StructF
         import pyarrow as pa
 
         pair = pairing(name_a, name_b)
-        for part in parts:
+        for part in row_slices(parts):
             texts = [t or "" for t in part.column(1).to_pylist()]
             for lo, hi in batches(texts):
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(lo, hi - lo), *make(pair, pair.align(texts[lo:hi]))],
@@ -227,7 +227,7 @@ def pair_counts(found: DataFrame, name_a: str = TOKENIZER_A, name_b: str = TOKEN
         import pyarrow as pa
 
         total = np.zeros(len(pairing(name_a, name_b).keys), np.int64)
-        for part in parts:
+        for part in row_slices(parts):
             total += np.bincount(part.column(0).flatten().to_numpy(), minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=["pair", "n"])
@@ -253,7 +253,7 @@ def counted(found: DataFrame, name_a: str = TOKENIZER_A, name_b: str = TOKENIZER
         top = np.zeros(len(pair.bytes[1]), np.int64)
         np.maximum.at(top, b, totals[:-1])
         best = np.append(totals[:-1] == top[b], False).astype(np.int64)
-        for part in parts:
+        for part in row_slices(parts):
             links = part.column("links")
             flat, size = links.flatten().to_numpy(), np.diff(links.offsets.to_numpy())
             doc = np.repeat(np.arange(len(size)), size)

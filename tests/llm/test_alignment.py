@@ -113,3 +113,39 @@ def test_counts_and_groups_equal_a_plain_reading(spark, libraries):
         assert g["groups_sha256"] == hashlib.sha256(whole[i]["groups"].encode()).hexdigest()
     empty = A.C.materialize(A.digests(docs.limit(0)), "test-none")
     assert A.counted(empty).count() == 0
+
+
+def test_what_a_worker_remembers_is_bounded(monkeypatch):
+    """However many different words come, an encoder holds two halves of them, and its ids stay the tokenizer's own."""
+    from array import array
+
+    from skytally.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    a, b = tokens.ByteLevelEncoder(tokens.tokenizer_path("byte_bpe_50k.json")), tokens.PieceEncoder(tokens.tokenizer_path("piece_bpe_32k.model"))
+    for k in range(0, 2000, 10):
+        text = " the " + " ".join(f"w{k + i}x the" for i in range(10))
+        assert a.encode(text)[0] == array("I", a.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        assert b.encode(text)[0] == array("I", b.processor.encode(text[1:])).tobytes()
+        for side in (a, b):
+            assert len(side.known) <= 50 and len(side.known.old) <= 50
+            assert " the" in side.known or " the" in side.known.old
+    words = tokens.WordEncoder(tokens.tokenizer_path("word_bpe_49k.json"))
+    texts = [f"some word{k} and other{k}" for k in range(300)]
+    assert words.encode(texts) == [array("I", words.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert len(words.known) + len(words.known.old) <= 100
+
+
+def test_record_batches_come_in_slices():
+    """A worker that gets thousands of rows at once makes Python objects of a slice of them at a time."""
+    import pyarrow as pa
+
+    from skytally.llm.shingles import SLICE_ROWS, row_slices
+
+    n = 2 * SLICE_ROWS + 7
+    x = pa.array([[i] * (i % 3) for i in range(n)], pa.list_(pa.int64()))
+    parts = [pa.RecordBatch.from_arrays([pa.array(range(n)), x], names=["k", "x"])]
+    got = list(row_slices([*parts, parts[0].slice(0, 0)]))
+    assert [p.num_rows for p in got] == [SLICE_ROWS, SLICE_ROWS, 7]
+    assert [k for p in got for k in p.column(0).to_pylist()] == list(range(n))
+    assert got[1].column(1).flatten().to_pylist() == [i for i in range(SLICE_ROWS, 2 * SLICE_ROWS) for _ in range(i % 3)]
