@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from skytally.llm import common as C
-from skytally.llm.shingles import batches, mix, shingles, similarities
+from skytally.llm.shingles import batches, mix, row_slices, shingles, similarities
 
 THRESHOLD = 0.8
 BLOCK = 1024  # members of a bucket compared with as many others at a time
@@ -105,7 +105,7 @@ def signed(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
     def sign(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in parts:
+        for batch in row_slices(parts):
             texts = batch.column(4).to_pylist()
             for lo, hi in batches(texts):
                 some = texts[lo:hi]
@@ -156,7 +156,7 @@ def counted_shingles(texts: DataFrame) -> DataFrame:
     def each(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in parts:
+        for batch in row_slices(parts):
             words = batch.column(1).to_pylist()
             for lo, hi in batches(words):
                 d, s, c = shingles(words[lo:hi])
@@ -220,7 +220,7 @@ def uniting(members: DataFrame, threshold: float, k: int) -> DataFrame:
             a, b = zip(*pairs, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        for batch in parts:
+        for batch in row_slices(parts):
             for b, lo, hi, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (b, lo, hi) != key and group:
                     out += found(key[0], group)
@@ -245,7 +245,7 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def verify(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in parts:
+        for batch in row_slices(parts):
             left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             near = np.concatenate([similarities(left[lo:hi], right[lo:hi]) for lo, hi in batches(left)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near >= threshold))

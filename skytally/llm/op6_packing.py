@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from skytally.llm import common as C
+from skytally.llm.shingles import row_slices
 
 TOKENIZER = "word_bpe_49k.json"   # found by each worker on its own machine
 CAPACITY = 4096
@@ -44,7 +45,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end
         from skytally.llm.tokens import encoder
 
         enc, step = encoder(tokenizer), 4 * capacity
-        for batch in batches:
+        for batch in row_slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             at = 0
             while at < len(texts):

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm import common as C
-from skytally.llm.shingles import batches
+from skytally.llm.shingles import batches, row_slices
 
 ORDERS = (1, 2, 3)
 COLUMNS = 1 << 16
@@ -161,10 +161,12 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < part * (1 << 30)).select("lang", "text")
     number = {k: i for i, k in enumerate(languages)}
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
         held = np.zeros((len(languages), columns), np.int64)
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
+        for part in row_slices(parts):
+            for lang, texts in part.to_pandas().groupby("lang")["text"]:
                 texts = list(texts)
                 for at, to in batches(texts):
                     chars, _, _ = code_points(texts[at:to])
@@ -173,9 +175,9 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
                             found = columns_of(chars, lo, hi, order, columns)
                             held[number[lang]] += np.bincount(found, minlength=columns + 1)[:columns]
         at = np.nonzero(held)
-        yield pd.DataFrame({"l": at[0].astype("int32"), "c": at[1].astype("int32"), "n": held[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int32()), pa.array(at[1], pa.int32()), pa.array(held[at])], names=["l", "c", "n"])
 
-    counts = chosen.mapInPandas(count, "l int, c int, n long").groupBy("l", "c").agg(F.sum("n").alias("n")).toPandas()
+    counts = chosen.mapInArrow(count, "l int, c int, n long").groupBy("l", "c").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((columns + 1, len(languages)))
     table[counts["c"], counts["l"]] = counts["n"]
     total = table[:-1].sum(0)
