@@ -89,6 +89,16 @@ def test_itinerary_aggregate_computed_once(spark, fn):
     assert tree.count("Generate") == 1  # lines are parsed once
 
 
+def test_ten_best_flights_are_cut_once(spark):
+    """Both join sides read one shuffle of route-days: flights are ranked and listed once, not once for each leg."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tree = physical(Q.itinerary_top10(itinerary_lines(spark, SF_SMOKE)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tree.count("Window (") == 1 and tree.count("Generate") == 1
+
+
 @pytest.mark.parametrize("fn", [Q.airport_popularity, Q.carrier_on_time_arrivals, Q.top10_carriers_by_airport,
                                 Q.top10_destinations_by_airport, Q.top10_carriers_by_route])
 def test_counts_combine_map_side(spark, fn):
