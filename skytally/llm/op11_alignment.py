@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from typing import TYPE_CHECKING
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from skytally.llm import common as C
 from skytally.llm.shingles import batches, row_slices
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 
@@ -59,8 +63,10 @@ class Alignment:
     links: tuple[np.ndarray, np.ndarray]     # token numbers, ascending on both sides
     link_doc: np.ndarray
 
-    def groups(self, names: list[str]) -> list[str]:
-        """Every text's groups as ``a1,a2|b1;a3|b2,b3``. ``names``: the decimal ids."""
+    def groups(self, names: pa.Array) -> pa.Array:
+        """Every text's groups as ``a1,a2|b1;a3|b2,b3``. ``names``: see ``marked_names``."""
+        import pyarrow as pa
+
         (a, b), (la, lb) = self.ids, self.links
         last = [np.zeros(len(x), np.int64) for x in (a, b)]
         last[0][la] = last[1][lb] = 1
@@ -75,11 +81,20 @@ class Alignment:
         mark[lb + before_b[lb]] = 2
         tail = np.cumsum(self.counts[0] + self.counts[1])
         mark[tail[self.counts[0] > 0] - 1] = 3
-        n = len(names)
-        table = [x + sep for sep in (",", "|", ";", "") for x in names]
-        parts = list(map(table.__getitem__, (code + mark * n).tolist()))
-        at = np.concatenate([[0], tail]).tolist()
-        return ["".join(parts[lo:hi]) for lo, hi in zip(at, at[1:], strict=False)]
+        # the parts lie one after the other in the taken array's text, so a text's groups are a run of it
+        _, ends, text = names.take(pa.array(code + mark * (len(names) // len(MARKS)))).buffers()
+        at = np.frombuffer(ends, np.int64)[np.concatenate([[0], tail])]
+        return pa.LargeStringArray.from_buffers(len(tail), pa.py_buffer(at), text)
+
+
+MARKS = (",", "|", ";", "")   # after an id: within a side, after A's, after a group, after the last one
+
+
+def marked_names(n: int) -> pa.Array:
+    """The decimal ids up to ``n``, followed by each of ``MARKS`` in turn."""
+    import pyarrow as pa
+
+    return pa.array([f"{k}{mark}" for mark in MARKS for k in range(n)], pa.large_string())
 
 
 class Pairing:
@@ -92,7 +107,7 @@ class Pairing:
         self.bytes = [s.token_bytes for s in self.sides]
         self.lengths = [np.array([len(x) for x in s], np.int64) for s in self.bytes]
         self.keys = suffix_pairs(*self.bytes)
-        self.names = [str(k) for k in range(max(map(len, self.bytes)))]
+        self.names = marked_names(max(map(len, self.bytes)))
 
     def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[bytes]]]:
         """(has tokens, per side the ids of each text as 32-bit bytes, empty where it has none)."""
@@ -192,7 +207,7 @@ def alignments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         doc = np.repeat(np.arange(len(na)), na)[a]
         n = np.bincount(doc, minlength=len(na))
         return [_lists(found.ids[0], na), _lists(found.ids[1], nb), _lists(a - start_a[doc], n), _lists(b - start_b[doc], n),
-                pa.array(found.groups(pair.names), pa.string())]
+                found.groups(pair.names).cast(pa.string())]
 
     return _per_batch(docs, id_col, text_col, [*[StructField(c, ints) for c in ("a_ids", "b_ids", "overlap_a", "overlap_b")],
                                                StructField("groups", StringType())], name_a, name_b, make)
@@ -210,7 +225,9 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nam
         links = np.bincount(found.link_doc, minlength=n)
         doc = np.repeat(np.arange(n), found.counts[0])
         overlaps = np.bincount(doc[found.overlaps[0]], minlength=n)
-        hashes = [sha256(g.encode()).hexdigest() if g else "" for g in found.groups(pair.names)]
+        _, ends, text = found.groups(pair.names).buffers()
+        at, text = np.frombuffer(ends, np.int64).tolist(), memoryview(text or b"")
+        hashes = [sha256(text[lo:hi]).hexdigest() if hi > lo else "" for lo, hi in zip(at, at[1:], strict=False)]
         # every group ends in one link
         return [*[pa.array(x, pa.int64()) for x in (*found.counts, links, links, overlaps)], pa.array(hashes, pa.string()),
                 _lists(pair.places(found), links)]
