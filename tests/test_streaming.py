@@ -404,6 +404,19 @@ def test_ranked_stream_runs_its_state_stage_once(spark, five):
     assert batch[0]["stateOperators"][0]["numRowsUpdated"] == Q.airport_popularity(five).count()
 
 
+@pytest.mark.parametrize("mode", ["complete", "update"])
+def test_itinerary_stream_runs_its_state_stage_once(spark, mode):
+    """However often a trigger's sink uses the route-days, each is restored and saved once."""
+    src, base = scratch_path(spark, "t-itin-once") + "/in", scratch_path(spark, "t-itin-once-run")
+    for delay in (30, 20, 40):
+        lines = [f"2008-01-0{d},{d}{delay},{o},{t},X,0,{delay}.00" for d in range(1, 7) for o, t in (("A", "B"), ("B", "C"))]
+        spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.mode("append").text(src)
+    progress: list = []
+    got = run_available(spark, src, base, lambda s, t, c, tr: R.itinerary_stream(s, t, c, tr, mode=mode), progress=progress)
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in progress if p["numInputRows"] > 0] == [12, 12, 12]
+    assert rows(got) == rows(Q.best_itineraries(text_lines(spark, src)))
+
+
 def test_console_top10_runs(spark, five, capsys):
     src = split_into_files(spark, five, 2, "t-console")
     from skytally.sources import file_line_stream
