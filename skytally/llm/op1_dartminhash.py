@@ -37,6 +37,7 @@ from skytally.llm import common as C
 from skytally.llm.shingles import batches, mix, row_slices, shingles, similarities
 
 THRESHOLD = 0.8
+SIGN_CHARS = 1 << 18  # of text signed together
 BLOCK = 1024  # members of a bucket compared with as many others at a time
 BANDS, ROWS = 35, 6  # a pair at 0.8 is missed with probability (1 - 0.8^6)^35, about 2 in 100 000
 
@@ -107,7 +108,7 @@ def signed(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
 
         for batch in row_slices(parts):
             texts = batch.column(4).to_pylist()
-            for lo, hi in batches(texts):
+            for lo, hi in batches(texts, SIGN_CHARS):
                 some = texts[lo:hi]
                 d, s, c = shingles(some)
                 darts = dart_signatures(d, s, c.astype(np.float64), len(some), bands * per_band)
@@ -265,7 +266,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = C.located(docs, id_col, text_col, in_files)
     worded = rows.select("id", "file", "row", plain_words(F.col("text")).alias("words"))
     worded = worded.withColumn("key", F.unhex(F.md5("words")))
-    members = C.materialize(signed(worded.select("id", "file", "row", "key", "words"), bands, per_band), "near-signed", compression="zstd")
+    with C.small_python_batches(spark):
+        members = C.materialize(signed(worded.select("id", "file", "row", "key", "words"), bands, per_band), "near-signed", compression="zstd")
 
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")
     best = members.groupBy("key").agg(F.min(place).alias("best"), F.count(F.lit(1)).alias("copies"),
@@ -291,7 +293,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = C.materialize(wanted, "near-wanted")
     texts = C.materialize(C.maybe_in(worded.select("file", "row", "words"), ["file", "row"], wanted)
                           .join(wanted, ["file", "row"]).select("node", "words"), "near-texts", compression="zstd")
-    links = C.materialize(linked(pairs, texts, threshold), "near-links")
+    with C.small_python_batches(spark):
+        links = C.materialize(linked(pairs, texts, threshold), "near-links")
 
     # buckets where different components still meet: all their members, block against block
     comp = C.materialize(C.connected_components(links, "near-comp"), "near-comp")
@@ -300,8 +303,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = C.materialize(mixed.where("lo != hi").select("bucket", "n"), "near-mixed")
     inside = C.materialize(C.maybe_in(placed, ["bucket"], mixed).join(mixed, "bucket"), "near-inside")
-    own = C.materialize(counted_shingles(inside.select("node").distinct().join(texts, "node")).join(kinds.select("node", "sig", "bands"), "node"), "near-shingles", compression="zstd")
-    late = C.materialize(uniting(inside.join(own, "node"), threshold, bands * per_band), "near-links-2")
+    with C.small_python_batches(spark):
+        own = counted_shingles(inside.select("node").distinct().join(texts, "node")).join(kinds.select("node", "sig", "bands"), "node")
+        own = C.materialize(own, "near-shingles", compression="zstd")
+        late = C.materialize(uniting(inside.join(own, "node"), threshold, bands * per_band), "near-links-2")
     if not late.isEmpty():
         # the stars found so far and the late links: the same components as all links
         stars = comp.where("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))

@@ -163,6 +163,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_documents(docs: DataFrame) -> DataFrame:
     pieces = encode_pieces(docs, TOKENIZER)
-    pieces = C.materialize(pieces, "pack-pieces", compression="zstd")
+    with C.small_python_batches(docs.sparkSession):
+        pieces = C.materialize(pieces, "pack-pieces", compression="zstd")
     return pack(pieces.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).select(
         F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -18,12 +18,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm import common as C
-from skytally.llm.shingles import batches, row_slices
+from skytally.llm.shingles import SLICE_ROWS, batches, row_slices
 
 ORDERS = (1, 2, 3)
 COLUMNS = 1 << 16
@@ -162,8 +162,6 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     number = {k: i for i, k in enumerate(languages)}
 
     def count(parts: Iterator) -> Iterator:
-        import pyarrow as pa
-
         held = np.zeros((len(languages), columns), np.int64)
         for part in row_slices(parts):
             for lang, texts in part.to_pandas().groupby("lang")["text"]:
@@ -194,10 +192,14 @@ def predictor(spark: SparkSession, model: Model):
     """A column function: text -> struct(lang_pred, score, likely)."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, likely boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        langs, scores, likely = shared.value.judge([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang_pred": langs, "score": scores, "likely": likely})
+    @F.arrow_udf("lang_pred string, score double, likely boolean")
+    def predict(texts: pa.Array) -> pa.Array:
+        found = []
+        for at in range(0, max(1, len(texts)), SLICE_ROWS):  # texts become Python objects a slice at a time
+            langs, scores, likely = shared.value.judge(texts.slice(at, SLICE_ROWS).to_pylist())
+            found.append(pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores), pa.array(likely)],
+                                                    names=["lang_pred", "score", "likely"]))
+        return pa.concat_arrays(found)
 
     return predict
 

@@ -82,3 +82,48 @@ def test_awkward_rows(spark, empty):
     assert sorted(str(r[0]) for r in language[1]) == ["1", "1", "2", "7", "None"]
     assert sorted(str(r[0]) for r in exact[1]) == ["2", "7", "None"]
     assert near[1] and set(r[0] for r in pack[1]) <= {2, 7, None}
+
+
+def test_python_workers_get_bounded_batches(spark, monkeypatch):
+    """Whole texts reach Python workers, and become Python objects, a few megabytes at a time in near and pack, a slice at a time in language."""
+    key, most, seen = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20, {}
+    before, write = spark.conf.get(key), C.materialize
+
+    def noted(df, name, **options):
+        seen[name] = spark.conf.get(key)
+        return write(df, name, **options)
+
+    monkeypatch.setattr(C, "materialize", noted)
+    rows = [(i, " ".join(f"w{i // 3}x{k}" for k in range(20)) + " end" * (i % 3), "en", "a", 1) for i in range(30)]
+    docs = write(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "t-batches")
+    corpus_pipeline.near(spark, docs, SF).collect()
+    corpus_pipeline.pack(spark, docs, SF).collect()
+    asked = ("near-signed", "near-links", "near-shingles", "near-links-2", "pack-pieces")
+    assert [n for n in asked if not str(seen[n]).isdigit() or int(seen[n]) > most] == []
+    assert spark.conf.get(key) == before
+
+    texts = spark.createDataFrame([("x" * 50_000,)] * 400, "t string").coalesce(1)
+    with C.small_python_batches(spark):
+        sizes = C.materialize(texts.mapInArrow(lambda parts: (p.select([]).from_pydict({"n": [p.num_rows], "b": [p.nbytes]}) for p in parts),
+                                               "n long, b long"), "t-sizes").collect()
+    assert sum(r["n"] for r in sizes) == 400 and max(r["b"] for r in sizes) < 2 * most
+
+
+def test_language_reads_texts_by_slices(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from skytally.llm import op7_language as o7
+
+    asked = []
+
+    def judge(self, texts):
+        asked.append(len(texts))
+        return [t or "und" for t in texts], np.arange(len(texts)) / 10_000, np.array([t is not None for t in texts], bool)
+
+    monkeypatch.setattr(o7.Model, "judge", judge)
+    predict = o7.predictor(spark, o7.Model(["en"], np.zeros((2, 1), np.float32)))
+    texts = [None if i % 7 == 0 else f"t{i}" for i in range(2500)]
+    got = predict.func(pa.array(texts, pa.string())).to_pylist()
+    assert [r["lang_pred"] for r in got] == [t or "und" for t in texts] and [r["likely"] for r in got] == [t is not None for t in texts]
+    assert max(asked) <= 1000 and len(predict.func(pa.array([], pa.string()))) == 0
